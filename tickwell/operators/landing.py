@@ -1,21 +1,25 @@
 """Landing: raw payloads stored unchanged under deterministic keys, replaced on rerun.
 
 One Parquet table holds the payload text of all kinds below ``<root>/raw``.  Its
-directories are kind, date and hour of the fetch, so their number follows the
-calendar whatever the number of coins, and inside them files are sorted by
-(fetched_at, coin_id), so keyed reads skip row groups.
+directories are kind and date of the fetch, so their number follows the calendar
+whatever the number of coins, and inside them files are sorted by (fetched_at,
+coin_id), so keyed reads skip row groups.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import uuid
+from dataclasses import dataclass
+from datetime import date
+
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickwell.functions import keys
 from tickwell.functions.scalars import utc
 from tickwell.operators.sizing import broadcast_if_small
 from tickwell.schemas import ALL_COINS, LANDING, LANDING_DIRS, LANDING_KEY
-from tickwell.session import path_exists
+from tickwell.session import materialize, path_exists
 
 
 def landing_path(root: str) -> str:
@@ -33,10 +37,10 @@ def as_landing(payloads: DataFrame) -> DataFrame:
         F.coalesce(coin, F.lit(ALL_COINS)).alias("coin_id"),
         at.alias("fetched_at"),
         part.alias("part"),
+        F.lit(None).cast("string").alias("batch"),
         F.col("payload"),
         F.col("kind"),
         F.to_date(at).alias("date"),
-        F.hour(at).alias("hour"),
     )
 
 
@@ -51,14 +55,25 @@ def read_raw(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(LANDING).parquet(landing_path(root))
 
 
-def land_raw(payloads: DataFrame, root: str, order_by: str | None = None) -> str:
+@dataclass(frozen=True)
+class Landed:
+    """What a landing run stored: enough to read exactly its rows back."""
+
+    root: str
+    batch: str
+    rows: int
+    first_date: date | None
+    last_date: date | None
+
+
+def land_raw(payloads: DataFrame, root: str, order_by: str | None = None) -> Landed:
     """Store payloads; a fetch that is there already is replaced, all others are kept.
 
-    The unit of replacement is (kind, coin_id, fetched_at) with all its parts.  Only
-    directories that receive a payload are rewritten, with their other fetches
-    carried over; a directory new to the table is simply added.  The old files of a
-    directory go only after every task has written its new ones, so a lost executor
-    costs a task retry and nothing else.
+    The unit of replacement is (kind, coin_id, fetched_at) with all its parts.  A run
+    whose fetches are all new only adds files.  A rerun rewrites the directories it
+    falls into, with their other fetches carried over; the old files go only after
+    every task has written its new ones, so a lost executor costs a task retry and
+    nothing else.
 
     ``order_by`` names a column of the input that decides between several versions of
     one fetch inside the batch (highest wins); without it the batch must hold each
@@ -77,48 +92,72 @@ def land_raw(payloads: DataFrame, root: str, order_by: str | None = None) -> str
         coin = [F.col("coin_id")] if "coin_id" in payloads.columns else []
         versions = Window.partitionBy("kind", *coin, at).orderBy(F.col(order_by).desc())
         payloads = payloads.withColumn("_v", F.rank().over(versions)).filter("_v = 1").drop("_v")
-    batch = as_landing(payloads)
 
-    stored = batch
-    if path_exists(spark, path):
-        stored = _kept(spark, root, batch).unionByName(batch)
+    run = uuid.uuid4().hex
+    written = Observation(f"landing-{run}")
+    arriving = as_landing(payloads).withColumn("batch", F.lit(run))
+    stored = arriving.observe(
+        written,
+        F.count(F.lit(1)).alias("rows"),
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+    )
+    kept = _kept(spark, root, arriving) if path_exists(spark, path) else None
+    if kept is not None:
+        stored = stored.unionByName(kept)
     # Rebalance: one shuffle by directory, hot directories split and small ones
     # merged at run time, so the number of files follows the bytes.
     (
         stored.hint("rebalance", *LANDING_DIRS)
         .sortWithinPartitions(*LANDING_DIRS, "fetched_at", "coin_id", "part")
-        .write.mode("overwrite")
+        .write.mode("append" if kept is None else "overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*LANDING_DIRS)
         .parquet(path)
     )
-    return path
+    seen = written.get
+    return Landed(root, run, seen["rows"], seen["first_date"], seen["last_date"])
 
 
-def _kept(spark: SparkSession, root: str, batch: DataFrame) -> DataFrame:
-    """Stored rows that share a directory with the batch but are not replaced by it."""
-    span = batch.agg(F.min("date"), F.max("date")).first()
+def _kept(spark: SparkSession, root: str, arriving: DataFrame) -> DataFrame | None:
+    """Rows to carry over when a batch replaces stored fetches; None when it replaces none."""
+    # The keys are worked out once, payloads left aside, and used from then on.
+    keys_of = materialize(arriving.select(*LANDING_KEY, "date").distinct(), "keys")
+    span = keys_of.agg(F.min("date"), F.max("date")).first()
     if span[0] is None:
-        return read_raw(spark, root).limit(0)
+        return None
     # One row on the driver gives a literal range, which prunes directories at
-    # planning; the semi join then keeps exactly the touched ones.
+    # planning; the joins then decide exactly, on key columns only.
     stored = read_raw(spark, root).filter(F.col("date").between(*map(F.lit, span)))
-    touched = batch.select(*LANDING_DIRS).distinct()
-    replaced = batch.select(*LANDING_KEY).distinct()
+    arrived = keys_of.select(*LANDING_KEY)
+    if stored.select(*LANDING_KEY).join(arrived, list(LANDING_KEY), "left_semi").isEmpty():
+        return None
+    touched = keys_of.select(*LANDING_DIRS).distinct()
     return stored.join(broadcast_if_small(touched), list(LANDING_DIRS), "left_semi").join(
-        replaced, list(LANDING_KEY), "left_anti"
+        arrived, list(LANDING_KEY), "left_anti"
+    )
+
+
+def read_batch(spark: SparkSession, landed: Landed) -> DataFrame:
+    """Exactly the stored rows of one landing run; no join, only its dates are read."""
+    stored = read_raw(spark, landed.root)
+    if not landed.rows:
+        return stored.limit(0)
+    return stored.filter(
+        F.col("date").between(F.lit(landed.first_date), F.lit(landed.last_date))
+        & (F.col("batch") == landed.batch)
     )
 
 
 def read_landed(spark: SparkSession, root: str, fetches: DataFrame) -> DataFrame:
     """Stored payloads of many fetches at once, given as (kind, coin_id, fetched_at)."""
     wanted = as_landing(fetches.withColumn("payload", F.lit(None).cast("string"))).select(
-        *LANDING_KEY, "date", "hour"
+        *LANDING_KEY, "date"
     )
-    wanted = wanted.distinct()
+    wanted = materialize(wanted.distinct(), "wanted")
     span = wanted.agg(F.min("date"), F.max("date")).first()
     stored = read_raw(spark, root)
     if span[0] is None:
         return stored.limit(0)
     stored = stored.filter(F.col("date").between(*map(F.lit, span)))
-    return stored.join(broadcast_if_small(wanted), [*LANDING_KEY, "date", "hour"], "left_semi")
+    return stored.join(broadcast_if_small(wanted), [*LANDING_KEY, "date"], "left_semi")

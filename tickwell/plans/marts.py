@@ -157,17 +157,16 @@ def aligned_series(charts: DataFrame) -> DataFrame:
     )
     decoded = F.from_json("payload", schema, {"mode": "FAILFAST"})
 
-    def tagged(doc: Column) -> Column:
-        return F.concat(
-            *[
-                F.transform(
-                    F.coalesce(doc[n], F.array().cast("array<array<double>>")),
-                    lambda p, tag=i: F.struct(F.lit(tag).alias("s"), item(p, 1).alias("t"), item(p, 2).alias("v")),
-                )
-                for i, n in enumerate(names)
-            ]
+    def rows_of(doc: Column, tag: int, name: str) -> Column:
+        series = F.coalesce(doc[name], F.array().cast("array<array<double>>"))
+        return F.transform(
+            series,
+            lambda p: F.struct(F.lit(tag).alias("s"), item(p, 1).alias("t"), item(p, 2).alias("v")),
         )
 
+    def tagged(doc: Column) -> Column:
+        return F.concat(*[rows_of(doc, i, n) for i, n in enumerate(names)])
+
     bound = F.get(F.transform(F.array(decoded), tagged), 0)
     points = charts.select("coin_id", "fetched_at", F.inline(bound))
     values = [

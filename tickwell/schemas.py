@@ -235,22 +235,23 @@ SNAPSHOT_TEXT = as_text(SNAPSHOT_COLUMNS)
 METADATA_TEXT = as_text(METADATA_COLUMNS)
 GLOBAL_TEXT = T.StructType([T.StructField("data", as_text(GLOBAL_COLUMNS))])
 
-# The landing table.  kind, date and hour are directories: their number follows
-# the calendar, never the data.  One fetch of one coin is (kind, coin_id,
-# fetched_at); a very long response may be stored in several bounded parts.
+# The landing table.  kind and date are directories: their number follows the
+# calendar, never the data.  One fetch of one coin is (kind, coin_id,
+# fetched_at); a very long response may be stored in several bounded parts.  batch
+# names the landing run that wrote the row.
 LANDING = T.StructType(
     [
         T.StructField("coin_id", T.StringType()),
         T.StructField("fetched_at", T.TimestampNTZType()),
         T.StructField("part", T.LongType()),
+        T.StructField("batch", T.StringType()),
         T.StructField("payload", T.StringType()),
         T.StructField("kind", T.StringType()),
         T.StructField("date", T.DateType()),
-        T.StructField("hour", T.IntegerType()),
     ]
 )
 LANDING_KEY = ("kind", "coin_id", "fetched_at")
-LANDING_DIRS = ("kind", "date", "hour")
+LANDING_DIRS = ("kind", "date")
 ALL_COINS = "_all"  # coin_id of the kinds that are not per coin
 
 # ----------------------------------------------------- fixed values: data tests

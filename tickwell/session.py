@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Semantics the library needs, all settable at run time on any session.
 # UTC: every epoch, hive date and key is a UTC one.  ANSI: a bad cast is an
@@ -59,6 +59,17 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/tickwell-{label}-{uuid.uuid4().hex}"
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write a table once to the shared scratch folder and read it from there on.
+
+    For a result that several jobs use: the plan behind it then runs once, and a lost
+    executor cannot make it run again.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a Hadoop path (local, HDFS, object store) exists."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
