@@ -99,9 +99,14 @@ def _is_number(json_type: Column) -> Column:
     return json_type.isin("BIGINT", "DOUBLE") | json_type.startswith("DECIMAL")
 
 
+def _stripped(text: Column) -> Column:
+    """Text without surrounding white space of any kind."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def _plain_number(text: Column) -> Column:
     """Numeric text without surrounding space and digit separators; NULL if misplaced."""
-    stripped = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    stripped = _stripped(text)
     misplaced = stripped.rlike("^_|_$|__")
     return F.when(~misplaced, F.replace(stripped, F.lit("_"), F.lit("")))
 
@@ -115,7 +120,7 @@ def _float_fault(v: Column, json_type: Column) -> Column:
 
 def _int_fault(v: Column, json_type: Column) -> Column:
     number = _get(v, "double")
-    text = F.regexp_replace(_get(v, "string"), r"(?U)^\s+|\s+$", "")
+    text = _stripped(_get(v, "string"))
     whole = json_type.isin("BIGINT", "BOOLEAN") | json_type.endswith(",0)")
     return F.when(whole, None).otherwise(
         F.when(
@@ -175,7 +180,7 @@ def _float_value(v: Column) -> Column:
 
 def _int_value(v: Column) -> Column:
     json_type = F.schema_of_variant(v)
-    digits = F.regexp_replace(F.btrim(_get(v, "string")), r"_|\.0+$|^\+", "")
+    digits = F.regexp_replace(_stripped(_get(v, "string")), r"_|\.0+$|^\+", "")
     exact = _get(v, "bigint")
     return (
         F.when(json_type == "STRING", digits.try_cast("bigint"))

@@ -12,6 +12,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -115,7 +116,24 @@ def land_raw(payloads: DataFrame, root: str, order_by: str | None = None) -> Lan
         .partitionBy(*LANDING_DIRS)
         .parquet(path)
     )
-    seen = written.get
+    return _landed(spark, root, run, written)
+
+
+def _landed(spark: SparkSession, root: str, run: str, written: Observation) -> Landed:
+    """What the write observed; counted in the table if the plan held nothing to observe."""
+    try:
+        seen = written.get
+    except Py4JJavaError:  # the optimizer dropped an empty input with its observation
+        seen = (
+            read_raw(spark, root)
+            .filter(F.col("batch") == run)
+            .agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.min("date").alias("first_date"),
+                F.max("date").alias("last_date"),
+            )
+            .first()
+        )
     return Landed(root, run, seen["rows"], seen["first_date"], seen["last_date"])
 
 

@@ -91,11 +91,16 @@ def series_of(name: str, lenient: bool = False) -> Column:
     a payload that is no JSON at all is an error unless lenient.
     """
     mode = {"mode": "PERMISSIVE" if lenient else "FAILFAST"}
-    fast = F.from_json("payload", f"{name} array<array<double>>")[name]
     text = F.from_json("payload", f"{name} array<array<string>>", mode)[name]
     slow = F.transform(text, lambda p: F.transform(p, lambda x: text_to(x, "double", lenient)))
-    sound = F.forall(fast, lambda p: F.coalesce(F.forall(p, lambda x: x.isNotNull()), F.lit(False)))
-    return F.when(sound, fast).otherwise(slow)
+
+    def checked(fast: Column) -> Column:
+        whole = F.forall(fast, lambda p: F.coalesce(F.forall(p, lambda x: x.isNotNull()), F.lit(False)))
+        return F.when(whole, fast).otherwise(slow)
+
+    # One-item transform: binds the decoded series, which is then decoded only once.
+    fast = F.from_json("payload", f"{name} array<array<double>>")[name]
+    return F.get(F.transform(F.array(fast), checked), 0)
 
 
 def chart_points(df: DataFrame, series: str = "prices", lenient: bool = False) -> DataFrame:

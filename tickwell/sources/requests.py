@@ -24,8 +24,8 @@ _KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
 def part_of(unique_id: Column, size: int) -> Column:
-    """Part number of a row; ids are unique, so a part has at most ``size`` rows."""
-    return F.floor(unique_id / size).cast("bigint")
+    """Part number of a row; ids are unique, so a part has at most ``size`` (2^n) rows."""
+    return F.shiftright(unique_id.cast("bigint"), size.bit_length() - 1)
 
 
 def json_of(value: Column) -> Column:
@@ -46,24 +46,29 @@ def request_charts(
     ``values`` gives the value of each of the three series.  One grouping for all
     coins; nothing loops over coins.
     """
-    t = epoch_ms(F.col(ts)).cast("double")
-    series = [
-        F.collect_list(F.array(t, values[name].cast("double"))).alias(name) for name in CHART_SERIES
-    ]
+    # One list per coin carries time and all three values, so time is shuffled once.
+    point = F.struct(
+        epoch_ms(F.col(ts)).cast("double").alias("t"),
+        *[values[name].cast("double").alias(name) for name in CHART_SERIES],
+    )
     grouped = (
         last_n_days(points, ts, as_of, days)
         .groupBy(
             F.col(coin).cast("string").alias("coin_id"),
             part_of(F.col(unique_id), CHART_PART).alias("part"),
         )
-        .agg(*series)
+        .agg(F.collect_list(point).alias("points"))
     )
+
+    def series(name: str) -> Column:
+        return F.transform("points", lambda p: F.array(p["t"], p[name])).alias(name)
+
     return grouped.select(
         F.lit("market_chart").alias("kind"),
         "coin_id",
         F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz").alias("fetched_at"),
         "part",
-        json_of(F.struct(*CHART_SERIES)).alias("payload"),
+        json_of(F.struct(*[series(name) for name in CHART_SERIES])).alias("payload"),
     )
 
 

@@ -36,7 +36,7 @@ def watchlist_json(spark: SparkSession, path: str) -> DataFrame:
     Entries that are no objects, or have no id key, are skipped; a file without
     ``coins`` gives an empty list.
     """
-    doc = spark.read.option("wholetext", True).text(path)
+    doc = spark.read.text(path, wholetext=True)
     coins = F.try_variant_get(F.try_parse_json("value"), "$.coins", "array<variant>")
     entry = F.col("entry")
 

@@ -61,11 +61,10 @@ def stream_objects(
     coin = keys.coin_of(path)
     objects = (
         spark.readStream.schema("value string")
-        .option("wholetext", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "fetched_at=*.json")
         .option("maxFilesPerTrigger", files_per_trigger)
-        .text(f"{source.rstrip('/')}/raw")
+        .text(f"{source.rstrip('/')}/raw", wholetext=True)
         .select(
             keys.kind_of(path).alias("kind"),
             F.when(coin != "", coin).alias("coin_id"),
