@@ -107,7 +107,8 @@ def performance(
     daily log returns.
 
     A coin has one row per calendar day, which bounds the window; all frames share one
-    partitioning and one sort.
+    partitioning and one sort.  A return from zero, and a log return from or to a value
+    that is not positive, is NULL.
     """
     number = F.unix_date("day")
     coin = Window.partitionBy("coin_id").orderBy("_n")
@@ -115,8 +116,10 @@ def performance(
     def days_ago(n: int) -> Column:
         return F.max("close").over(coin.rangeBetween(-n, -n))
 
-    returns = [(F.col("close") / days_ago(n) - 1).alias(f"return_{n}d") for n in horizons]
-    log_return = F.log(F.col("close") / days_ago(1))
+    close = F.col("close")
+    returns = [(F.try_divide(close, days_ago(n)) - 1).alias(f"return_{n}d") for n in horizons]
+    positive = (close > 0) & (days_ago(1) > 0)
+    log_return = F.when(positive, F.log(F.try_divide(close, days_ago(1))))
     # Two steps: the volatility frame runs over the log returns.
     stepped = daily.withColumn("_n", number).select(
         "coin_id",

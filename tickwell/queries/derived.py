@@ -202,8 +202,8 @@ def coin_dim(spark, sf_dir):
         from events group by 1),
     lagged as (select *, lag(total) over (order by h) as prev from hourly)
     select strftime(h, '%Y-%m-%d %H:%M:%S') as fetched_at, total as total_market_cap,
-           round(clicks / total * 100, 6) as coin_share_pct, prev as prev_total_market_cap,
-           round(total - prev, 6) as cap_change, round((total - prev) / prev * 100, 6) as cap_change_pct
+           round(clicks / nullif(total, 0) * 100, 6) as coin_share_pct, prev as prev_total_market_cap,
+           round(total - prev, 6) as cap_change, round((total - prev) / nullif(prev, 0) * 100, 6) as cap_change_pct
     from lagged
 """)
 def market_health(spark, sf_dir):
@@ -217,7 +217,7 @@ def market_health(spark, sf_dir):
         .select(
             "fetched_at",
             "total_market_cap",
-            F.round(F.col("clicks") / F.col("total_market_cap") * 100, 6).alias("coin_share_pct"),
+            F.round(F.try_divide(F.col("clicks"), F.col("total_market_cap")) * 100, 6).alias("coin_share_pct"),
         )
     )
     health = marts.market_health(totals)
@@ -247,12 +247,12 @@ def market_health_by_currency(spark, sf_dir):
 @query("""
     with daily as (
         select cast(user_id as varchar) as coin_id, strftime(ts, '%Y-%m-%d 00:00:00') as fetched_at,
-               round((arg_max(value, ts) / arg_min(value, ts) - 1) * 100, 6) as change
+               round((arg_max(value, ts) / nullif(arg_min(value, ts), 0) - 1) * 100, 6) as change
         from events group by 1, 2),
     ranked as (
         select *, row_number() over (partition by fetched_at order by change desc, coin_id) as up,
                row_number() over (partition by fetched_at order by change, coin_id) as down
-        from daily)
+        from daily where change is not null)
     select fetched_at, coin_id, change as price_change_percentage_24h, cast(up as integer) as rank,
            'gainer' as direction from ranked where up <= 5
     union all
@@ -264,7 +264,7 @@ def top_movers(spark, sf_dir):
     moved = (
         table(spark, sf_dir, "events")
         .groupBy(F.col("user_id").cast("string").alias("coin_id"), day.alias("fetched_at"))
-        .agg((F.max_by("value", "ts") / F.min_by("value", "ts") - 1).alias("ratio"))
+        .agg((F.try_divide(F.max_by("value", "ts"), F.min_by("value", "ts")) - 1).alias("ratio"))
         .select(
             "coin_id",
             "fetched_at",
@@ -285,11 +285,12 @@ def top_movers(spark, sf_dir):
         left join daily c on c.coin_id = a.coin_id and c.d = a.d - 7
         left join daily e on e.coin_id = a.coin_id and e.d = a.d - 30)
     select coin_id, strftime(d, '%Y-%m-%d') as day, close,
-           round(close / c1 - 1, 6) as return_1d, round(close / c7 - 1, 6) as return_7d,
-           round(close / c30 - 1, 6) as return_30d,
+           round(close / nullif(c1, 0) - 1, 6) as return_1d,
+           round(close / nullif(c7, 0) - 1, 6) as return_7d,
+           round(close / nullif(c30, 0) - 1, 6) as return_30d,
            round(avg(close) over (partition by coin_id order by d
                  range between interval 6 days preceding and current row), 6) as moving_average,
-           round(stddev_samp(ln(close / c1)) over (partition by coin_id order by d
+           round(stddev_samp(case when close > 0 and c1 > 0 then ln(close / c1) end) over (partition by coin_id order by d
                  range between interval 29 days preceding and current row), 6) as volatility
     from steps
 """)
