@@ -66,13 +66,22 @@ def _get(doc: Column, target: str, key: str | None = None) -> Column:
     return F.try_variant_get(doc, f"$.{key}" if key else "$", target)
 
 
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once however often it is referred to."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _error(loc: Column, kind: Column) -> Column:
     """An error entry, or NULL when there is none."""
     messages = F.create_map(*[F.lit(x) for pair in MESSAGES.items() for x in pair])
-    entry = F.struct(
-        loc.alias("loc"), F.try_element_at(messages, kind).alias("msg"), kind.alias("type")
-    )
-    return F.when(kind.isNotNull(), entry)
+
+    def entry(k: Column) -> Column:
+        return F.when(
+            k.isNotNull(),
+            F.struct(loc.alias("loc"), F.try_element_at(messages, k).alias("msg"), k.alias("type")),
+        )
+
+    return _bind(kind, entry)
 
 
 def _errors(*entries: Column) -> Column:
@@ -138,22 +147,27 @@ def _epoch_seconds(number: Column) -> Column:
     return F.when(F.abs(number) > MILLIS_ABOVE, number / 1000).otherwise(number)
 
 
+def _is_iso(text: Column) -> Column:
+    """Whether text is an ISO time or date of an existing day."""
+    real_day = F.substring(text, 1, 10).try_cast("date").isNotNull()
+    return text.rlike(ISO_TEXT) & real_day & ~text.startswith("0000")
+
+
 def _datetime_fault(v: Column, json_type: Column) -> Column:
     text = _get(v, "string")
     in_text = (json_type == "STRING") & text.rlike(EPOCH_TEXT)
     epoch = F.when(in_text, text.try_cast("double")).when(_is_number(json_type), _get(v, "double"))
     seconds = _epoch_seconds(epoch)
-    day = F.substring(text, 1, 10)
-    # Year 0 passes as a date here (its months are checked as those of year 4).
-    real_day = F.regexp_replace(day, "^0000", "0004").try_cast("date").isNotNull()
+    year_0 = F.concat(F.lit("0004"), F.substring(text, 5, 99))
     return (
         F.when(
             epoch.isNotNull(),
             F.when((seconds < MIN_EPOCH) | (seconds >= MAX_EPOCH), "datetime_parsing"),
         )
         .when(json_type != "STRING", "datetime_type")
-        .when(~(text.rlike(ISO_TEXT) & real_day), "datetime_from_date_parsing")
-        .when(day.startswith("0000"), "datetime_parsing")
+        .when(_is_iso(text), None)
+        .when(text.startswith("0000") & _is_iso(year_0), "datetime_parsing")
+        .otherwise("datetime_from_date_parsing")
     )
 
 
@@ -167,8 +181,12 @@ _FAULT = {
 
 def _scalar_fault(spec: Scalar, v: Column, nullable: bool) -> Column:
     """Error type of one present value, NULL when it is fine."""
-    fault = _FAULT[spec.kind](v, F.schema_of_variant(v))
-    return F.when(~F.is_variant_null(v), fault) if nullable else fault
+    return _bind(F.schema_of_variant(v), lambda t: _typed_fault(spec, v, t, nullable))
+
+
+def _typed_fault(spec: Scalar, v: Column, json_type: Column, nullable: bool) -> Column:
+    fault = _FAULT[spec.kind](v, json_type)
+    return F.when(json_type != "VOID", fault) if nullable else fault
 
 
 def _float_value(v: Column) -> Column:
@@ -189,19 +207,25 @@ def _int_value(v: Column) -> Column:
     )
 
 
+def _iso_value(text: Column) -> Column:
+    """Time of an ISO text, read as UTC when it names no zone."""
+    usual = text.try_cast("timestamp")
+    iso = F.regexp_replace(F.upper(text), "^(.{10})[ _]", "$1T")
+    iso = F.replace(F.replace(iso, F.lit(","), F.lit(".")), F.lit("−"), F.lit("-"))
+    iso = F.regexp_replace(iso, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    return F.coalesce(usual, iso.try_cast("timestamp"))
+
+
 def _datetime_value(v: Column) -> Column:
     text = _get(v, "string")
     epoch = F.when(
         F.schema_of_variant(v) == "STRING",
         F.when(text.rlike(EPOCH_TEXT), text.try_cast("double")),
     ).otherwise(_get(v, "double"))
-    iso = F.regexp_replace(F.upper(text), "^(.{10})[ _]", "$1T")
-    iso = F.replace(F.replace(iso, F.lit(","), F.lit(".")), F.lit("−"), F.lit("-"))
-    iso = F.regexp_replace(iso, r"([+-]\d{2})(\d{2})$", "$1:$2")
     seconds = _epoch_seconds(epoch)
     in_range = (seconds >= MIN_EPOCH) & (seconds < MAX_EPOCH)
     micros = F.when(in_range, to_bigint(seconds * 1_000_000))
-    return F.coalesce(F.timestamp_micros(micros), iso.try_cast("timestamp"))
+    return F.coalesce(F.timestamp_micros(micros), _iso_value(text))
 
 
 _VALUE = {
@@ -222,29 +246,35 @@ def _fields_of_scalars(fields: list[Field], doc: Column, loc: Column | None) ->
     The fields go through as data, so the plan holds each rule once per kind and
     nullability instead of once per field.
     """
+    rules = {(f.spec.kind, f.nullable): i for i, f in enumerate(fields)}
+    terms = {rules[f.spec.kind, f.nullable]: f for f in fields}
     probes = F.array(
         *[
             F.struct(
                 F.lit(f.name).alias("name"),
-                F.lit(f"{f.spec.kind}{'?' if f.nullable else ''}").alias("rule"),
+                F.lit(rules[f.spec.kind, f.nullable]).alias("rule"),
                 F.lit(f.required).alias("required"),
                 _get(doc, "variant", f.name).alias("v"),
             )
             for f in fields
         ]
     )
+    typed = F.transform(
+        probes, lambda p: F.struct(p.alias("p"), F.schema_of_variant(p["v"]).alias("t"))
+    )
 
-    def check(p: Column) -> Column:
-        absent = F.when(p["required"], "missing")
+    def fault_of(x: Column) -> Column:
+        p = x["p"]
         fault = F.lit(None).cast("string")
-        for f in {(f.spec.kind, f.nullable): f for f in fields}.values():
-            rule = f"{f.spec.kind}{'?' if f.nullable else ''}"
-            fault = F.when(
-                p["rule"] == rule, _scalar_fault(f.spec, p["v"], f.nullable)
-            ).otherwise(fault)
-        return _error(_at(loc, p["name"]), F.when(p["v"].isNull(), absent).otherwise(fault))
+        for rule, f in terms.items():
+            of_rule = _typed_fault(f.spec, p["v"], x["t"], f.nullable)
+            fault = F.when(p["rule"] == rule, of_rule).otherwise(fault)
+        absent = F.when(p["required"], "missing")
+        kind = F.when(x["t"].isNull(), absent).otherwise(fault)
+        return F.struct(p["name"].alias("name"), kind.alias("kind"))
 
-    return F.filter(F.transform(probes, check), lambda e: e.isNotNull())
+    found = F.filter(F.transform(typed, fault_of), lambda x: x["kind"].isNotNull())
+    return F.transform(found, lambda x: _error(_at(loc, x["name"]), x["kind"]))
 
 
 def _record_errors(spec: Record, doc: Column, loc: Column | None) -> Column:
@@ -331,6 +361,50 @@ def _rows_errors(spec: Rows, v: Column, loc: Column | None) -> Column:
     return F.when(sound, _none()).otherwise(walked)
 
 
+# JSON types of a whole column of values that are surely fine, by kind.
+_PLAIN = {
+    "str": "STRING",
+    "float": r"BIGINT|DOUBLE|BOOLEAN|DECIMAL\(",
+    "int": "BIGINT|BOOLEAN",
+    "datetime": "STRING",
+}
+
+
+def _plain_list(spec: RecordList, v: Column) -> Column:
+    """Whether a list of flat records is fine by its merged type and its required values.
+
+    The merged type of all items comes from one look at the document; what it cannot
+    show (a null or absent required value, the text of a time) is read in one typed
+    access.  False only means that the detailed walk has to decide.
+    """
+    fields = spec.record.fields
+    by_types: dict[str, list[str]] = {}
+    for f in fields:
+        allowed = _PLAIN[f.spec.kind] + ("|VOID" if f.nullable else "")
+        by_types.setdefault(allowed, []).append(f.name)
+    wrong = "|".join(f"[< ]({'|'.join(names)}): (?!{allowed})" for allowed, names in by_types.items())
+    merged = F.schema_of_variant(v)
+    seen = [f for f in fields if f.required or f.spec.kind == "datetime"]
+
+    def suspect(x: Column) -> Column:
+        doubt = x.isNull()
+        for f in seen:
+            value = x[f.name]
+            if f.required:
+                doubt = doubt | value.isNull()
+            if f.spec.kind == "datetime":
+                doubt = doubt | (value.isNotNull() & ~_is_iso(value))
+        return doubt
+
+    items = _get(v, f"array<struct<{','.join(f'{f.name}:string' for f in seen)}>>")
+    typed = _bind(merged, lambda m: m.startswith("ARRAY<OBJECT<") & ~m.rlike(wrong))
+    return typed & ~F.coalesce(F.exists(items, suspect), F.lit(True))
+
+
+def _flat(spec: object) -> bool:
+    return isinstance(spec, RecordList) and all(isinstance(f.spec, Scalar) for f in spec.record.fields)
+
+
 def _errors_of(spec: object, v: Column, loc: Column | None) -> Column:
     if isinstance(spec, Record):
         return _record_errors(spec, v, loc)
@@ -339,7 +413,8 @@ def _errors_of(spec: object, v: Column, loc: Column | None) -> Column:
             _get(v, "array<variant>"),
             lambda x, i: _record_errors(spec.record, x, _at(loc, i)),
         )
-        return F.coalesce(F.flatten(found), _errors(_error(_root(loc), F.lit("list_type"))))
+        walked = F.coalesce(F.flatten(found), _errors(_error(_root(loc), F.lit("list_type"))))
+        return F.when(_plain_list(spec, v), _none()).otherwise(walked) if _flat(spec) else walked
     if isinstance(spec, Rows):
         return _rows_errors(spec, v, loc)
     if isinstance(spec, MapOf):
@@ -381,6 +456,18 @@ def validate(
 # ------------------------------------------------------------------- typed records
 
 
+def _plain_records(spec: RecordList, v: Column) -> Column:
+    """Records of a plain list, all fields in one typed access."""
+    fields = spec.record.fields
+    names = [(f, "string" if f.spec.kind == "datetime" else _SQL_TYPE[f.spec.kind]) for f in fields]
+    items = _get(v, f"array<struct<{','.join(f'{f.name}:{t}' for f, t in names)}>>")
+
+    def value(x: Column, f: Field) -> Column:
+        return _iso_value(x[f.name]) if f.spec.kind == "datetime" else x[f.name]
+
+    return F.transform(items, lambda x: F.struct(*[value(x, f).alias(f.name) for f in fields]))
+
+
 def _typed(spec: object, v: Column) -> Column:
     if isinstance(spec, Scalar):
         return _VALUE[spec.kind](v)
@@ -388,13 +475,18 @@ def _typed(spec: object, v: Column) -> Column:
         rows = _get(v, "array<variant>")
         return F.transform(rows, lambda r: F.transform(_get(r, "array<variant>"), _float_value))
     if isinstance(spec, RecordList):
-        return F.transform(_get(v, "array<variant>"), lambda x: _typed(spec.record, x))
+        walked = F.transform(_get(v, "array<variant>"), lambda x: _typed(spec.record, x))
+        return F.when(_plain_list(spec, v), _plain_records(spec, v)).otherwise(walked) if _flat(spec) else walked
     if isinstance(spec, ListOf):
         items = F.transform(_get(v, "array<variant>"), lambda x: _typed(spec.item, x))
         return items if spec.keep_empty else drop_empty(items)
     if isinstance(spec, MapOf):
         return F.transform_values(_get(v, "map<string,variant>"), lambda _, x: _typed(spec.value, x))
-    return F.struct(*[_typed_field(f, _get(v, "variant", f.name)).alias(f.name) for f in spec.fields])
+    return F.struct(*[_field_value(f, v).alias(f.name) for f in spec.fields])
+
+
+def _field_value(f: Field, doc: Column) -> Column:
+    return _bind(_get(doc, "variant", f.name), lambda v: _typed_field(f, v))
 
 
 def _typed_field(f: Field, v: Column) -> Column:

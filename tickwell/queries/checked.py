@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from tickwell.functions.scalars import epoch_ms
 from tickwell.operators import quality
+from tickwell.operators.landing import land_raw
 from tickwell.operators.contracts import conform, report, validate
 from tickwell.operators.staging import ohlc_rows, stg_snapshots
 from tickwell.plans.layers import first_rows
-from tickwell.plans.loads import load, load_charts, summarize
+from tickwell.plans.loads import load, load_charts, summarize, validate_stored
 from tickwell.queries import payloads as P
 from tickwell.queries.registry import query, table
 from tickwell.schemas import STAGING_TESTS
@@ -50,6 +51,27 @@ def incremental_summary(spark, sf_dir):
     )
 
 
+@query(f"""
+    select {_CHART_KEY} as s3_key, count(*) as prices_count, 'valid' as status
+    from events where user_id in (select user_id from events where value > 250)
+    group by user_id
+""")
+def keyed_readback(spark, sf_dir):
+    """Some fetches read back from the table by their keys, validated and summarized."""
+    root = P.new_root(spark, "keyed")
+    land_raw(P.charts(spark, sf_dir), root)
+    wanted = (
+        table(spark, sf_dir, "events")
+        .filter("value > 250")
+        .select(
+            F.lit("market_chart").alias("kind"),
+            F.col("user_id").cast("string").alias("coin_id"),
+            F.lit(P.BACKFILL_AT.isoformat(sep=" ")).cast("timestamp_ntz").alias("fetched_at"),
+        )
+    )
+    return summarize(validate_stored(spark, root, wanted, "market_chart"), "market_chart")
+
+
 @query("""
     select 'raw/coins/markets' || strftime(date_trunc('month', o_orderdate),
                '/date=%Y-%m-%d/fetched_at=%Y-%m-%dT%H-%M-%SZ.json') as s3_key,
@@ -196,7 +218,7 @@ def validate_global(spark, sf_dir):
 """)
 def conform_snapshots(spark, sf_dir):
     """Typed records of valid snapshots: numeric text and whole decimals coerced."""
-    valid = validate(P.unlanded(P.snapshots(spark, sf_dir)), "coins_markets")
+    valid = validate(P.unlanded(P.snapshots(spark, sf_dir, loose=True)), "coins_markets")
     return conform(valid, "coins_markets").select(F.inline("record")).select(
         "id", "symbol", "last_updated", "current_price", "market_cap_rank", "total_volume", "ath"
     )

@@ -12,6 +12,7 @@ from tickwell.plans import marts
 from tickwell.plans.layers import layer_path, write_table
 from tickwell.queries import payloads as P
 from tickwell.queries.registry import query, table
+from tickwell.session import materialize
 from tickwell.sources.scans import decode_global, decode_metadata
 from tickwell.sources.watchlist import watchlist
 from tickwell.streaming.ingest import stream_points
@@ -151,7 +152,8 @@ def stream_ingest(spark, sf_dir):
     root = P.new_root(spark, "stream")
     land_raw(P.charts(spark, sf_dir), root)
     stream_points(spark, root, f"{root}/points", f"{root}/checkpoint", files_per_trigger=2)
-    return spark.read.parquet(f"{root}/points").drop("batch")
+    schema = stg_chart_points(P.unlanded(P.charts(spark, sf_dir))).schema
+    return spark.read.schema(schema).parquet(f"{root}/points").select(*schema.names)
 
 
 # --------------------------------------------------------------------------- marts
@@ -220,7 +222,8 @@ def market_health(spark, sf_dir):
             F.round(F.try_divide(F.col("clicks"), F.col("total_market_cap")) * 100, 6).alias("coin_share_pct"),
         )
     )
-    health = marts.market_health(totals)
+    # One row per hour, read twice below: worked out once.
+    health = marts.market_health(materialize(totals, "totals"))
     return health.withColumns({c: F.round(c, 6) for c in ("cap_change", "cap_change_pct")})
 
 
@@ -239,7 +242,7 @@ def market_health_by_currency(spark, sf_dir):
     long = marts.currency_long(data, "fetched_at").select(
         "currency", "fetched_at", F.col("value").cast("double").alias("total_market_cap")
     )
-    return marts.market_health(long, ["currency"]).select(
+    return marts.market_health(materialize(long, "totals"), ["currency"]).select(
         "currency", "fetched_at", "total_market_cap", "prev_total_market_cap"
     )
 
@@ -271,7 +274,7 @@ def top_movers(spark, sf_dir):
             F.round(F.col("ratio") * 100, 6).alias("price_change_percentage_24h"),
         )
     )
-    return marts.top_movers(moved, 5)
+    return marts.top_movers(materialize(moved, "moved"), 5)
 
 
 @query("""

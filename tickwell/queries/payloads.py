@@ -84,8 +84,14 @@ def order_month() -> Column:
     return F.date_trunc("month", F.col("o_orderdate")).cast("timestamp_ntz")
 
 
-def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Snapshot lists: the orders of a month, fetched at its start; o_custkey is no known key."""
+def snapshots(spark: SparkSession, sf_dir: str, loose: bool = False) -> DataFrame:
+    """Snapshot lists: the orders of a month, fetched at its start; o_custkey is no known key.
+
+    ``loose`` writes integers as decimals and numbers as text, which a contract allows.
+    """
+    rank, volume = F.col("o_custkey"), F.col("o_totalprice")
+    if loose:
+        rank, volume = rank.cast("double"), volume.cast("string")
     iso = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     coin = F.struct(
         F.col("o_orderkey").cast("string").alias("id"),
@@ -94,8 +100,8 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         iso.alias("last_updated"),
         F.col("o_totalprice").alias("current_price"),
         (F.col("o_totalprice") * 4).alias("market_cap"),
-        F.col("o_custkey").cast("double").alias("market_cap_rank"),
-        F.col("o_totalprice").cast("string").alias("total_volume"),
+        rank.alias("market_cap_rank"),
+        volume.alias("total_volume"),
         F.lit(None).cast("double").alias("max_supply"),
         F.col("o_custkey"),
     )

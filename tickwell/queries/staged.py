@@ -57,7 +57,7 @@ _SNAPSHOT_SQL = """
 def snapshot_stage(spark, sf_dir):
     """Snapshot lists landed, scanned and typed; unknown keys are not read."""
     root = P.new_root(spark, "snapshot")
-    land_raw(P.snapshots(spark, sf_dir), root)
+    land_raw(P.snapshots(spark, sf_dir, loose=True), root)
     return stg_snapshots(scan_snapshots(spark, root, "landed"))
 
 

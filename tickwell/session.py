@@ -19,6 +19,9 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Payload text is small for the work of decoding it; do not merge shuffled
+    # payloads into few tasks as eagerly as plain rows.  Only small inputs notice.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
 }
 
 

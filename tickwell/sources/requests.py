@@ -57,7 +57,8 @@ def request_charts(
             F.col(coin).cast("string").alias("coin_id"),
             part_of(F.col(unique_id), CHART_PART).alias("part"),
         )
-        .agg(F.collect_list(point).alias("points"))
+        # In time order, as responses are; a rerun then writes the same text.
+        .agg(F.array_sort(F.collect_list(point)).alias("points"))
     )
 
     def series(name: str) -> Column:
