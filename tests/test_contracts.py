@@ -108,6 +108,17 @@ def test_global_and_ohlc(spark):
         [("", "value_error")], [("0 -> 4", "float_parsing")], [], [("", "list_type")], [("1", "list_type")]]
 
 
+def test_text_that_is_not_one_json_document(spark):
+    good = '{"prices":[],"market_caps":[],"total_volumes":[]}'
+    assert faults(
+        spark, "market_chart", f" \n{good}\t ", f"{good} x", f"[{good}]", good.replace('"', "'"),
+        good.replace("[]", "[[1,NaN]]", 1), good[:-1], good.replace("[]", '[["NaN",1]]', 1), f"{good}{' ' * 40}",
+    ) == [[], [("", "json_invalid")], [("", "model_type")], *[[("", "json_invalid")]] * 3, [], []]
+    assert faults(spark, "ohlc", " [[1,2,3,4,5]] ", "[[1,2,3,4,5]] ]", "[] {}", '"x"', "5", "null") == [
+        [], [("", "json_invalid")], [("", "json_invalid")], *[[("", "list_type")]] * 3]
+    assert faults(spark, "global", '{"data":{}} 1', '\n{"data":{}}\n') == [[("", "json_invalid")], []]
+
+
 def test_duplicate_keys_last_one_wins(spark):
     assert faults(spark, "global", '{"data":null,"data":{}}') == [[]]
 
@@ -126,6 +137,10 @@ def test_typed_records(spark):
     coin = record("coins_markets", [{**COIN, "ath_date": 1700000000, "ath": True, "market_cap_rank": "7"}])[0]
     assert (str(coin.ath_date), coin.ath, coin.market_cap_rank) == ("2023-11-14 22:13:20", 1.0, 7)
     assert record("ohlc", [[1, "2", 3, 4, 5]]) == [[1.0, 2.0, 3.0, 4.0, 5.0]]
+    assert record("ohlc", [[1, 2.5, 3, 4, 5]]) == [[1.0, 2.5, 3.0, 4.0, 5.0]]
+    for price in (2, "2"):
+        chart = record("market_chart", {"prices": [[1, price]], "market_caps": [], "total_volumes": [], "x": 1})
+        assert (chart.prices, chart.market_caps, chart.total_volumes) == ([[1.0, 2.0]], [], [])
 
 
 def test_invalid_payloads_give_no_record(spark):

@@ -330,18 +330,20 @@ def _map_errors(spec: MapOf, v: Column, loc: Column | None) -> Column:
     return F.coalesce(F.filter(found, lambda e: e.isNotNull()), wrong)
 
 
+def _off(rows: Column, width: int) -> Column:
+    """Whether a row of doubles is missing, has a hole or the wrong width."""
+    return F.exists(
+        rows, lambda p: p.isNull() | (F.size(p) != width) | F.exists(p, lambda x: x.isNull())
+    )
+
+
 def _rows_errors(spec: Rows, v: Column, loc: Column | None) -> Column:
     """Errors of a series: first its values, and only if those are fine its widths."""
-    # Long series are nearly always plain numbers.  One look at the merged type and
-    # one pass over the decoded doubles settles those; the detailed walk below runs
-    # only for the others.
+    # One look at the merged type and one pass over the decoded doubles settle a series
+    # of plain numbers; the detailed walk below runs only for the others.
     number = r"(VOID|BIGINT|DOUBLE|BOOLEAN|DECIMAL\(\d+,\d+\))"
     plain = F.schema_of_variant(v).rlike(f"^ARRAY<(VOID|ARRAY<{number}>)>$")
-    off = F.exists(
-        _get(v, "array<array<double>>"),
-        lambda p: p.isNull() | (F.size(p) != spec.width) | F.exists(p, lambda x: x.isNull()),
-    )
-    sound = plain & ~F.coalesce(off, F.lit(True))
+    sound = plain & ~F.coalesce(_off(_get(v, "array<array<double>>"), spec.width), F.lit(True))
 
     def row(x: Column, i: Column) -> Column:
         values = F.transform(
@@ -422,30 +424,115 @@ def _errors_of(spec: object, v: Column, loc: Column | None) -> Column:
     return _list_errors(spec, v, loc)
 
 
+# --------------------------------------------------- documents of numeric rows only
+
+# Reader options that keep to the letter of JSON, as the VARIANT parser does.
+_STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
+def _series_of(spec: object) -> dict[str, int] | None:
+    """Names and widths of the series, when a contract holds nothing but numeric rows.
+
+    The name is '' where the document itself is the series.
+    """
+    if isinstance(spec, Rows):
+        return {"": spec.width}
+    if isinstance(spec, Record) and all(isinstance(f.spec, Rows) and f.required for f in spec.fields):
+        return {f.name: f.spec.width for f in spec.fields}
+    return None
+
+
+def _in_list(text: Column) -> Column:
+    """The text as first of two list items.
+
+    A JSON reader stops after the first document and ignores what follows; inside a list
+    anything but exactly one document breaks the list or its length.
+    """
+    return F.concat(F.lit("["), text, F.lit(",null]"))
+
+
+def _decoded(series: dict[str, int], text: Column) -> Column:
+    """The document's series as doubles, as first of two items when it is one document."""
+    rows = "array<array<double>>"
+    whole = rows if "" in series else f"struct<{','.join(f'{n}:{rows}' for n in series)}>"
+    return F.from_json(_in_list(text), f"array<{whole}>", _STRICT_JSON)
+
+
+def _if_sound(series: dict[str, int], text: Column, use) -> Column:
+    """``use`` of the decoded document if that keeps the contract for sure, else NULL."""
+
+    def settle(doc: Column) -> Column:
+        sound = F.lit(True)
+        for name, width in series.items():
+            off = _off(doc[name] if name else doc, width)
+            sound = sound & ~F.coalesce(off, F.lit(True))
+        return F.when(sound, use(doc))
+
+    return _bind(
+        _decoded(series, text),
+        lambda items: F.when(F.size(items) == 2, _bind(F.get(items, 0), settle)),
+    )
+
+
 def _contract(contract: object) -> object:
     return CONTRACTS[contract] if isinstance(contract, str) else contract
 
 
+def _document(text: Column) -> Column:
+    """The payload as VARIANT; NULL when it is not exactly one JSON document."""
+    items = _get(F.try_parse_json(_in_list(text)), "array<variant>")
+    return _bind(items, lambda x: F.when(F.size(x) == 2, F.get(x, 0)))
+
+
+def _items_in(spec: object, doc: Column) -> Column:
+    """Number of entries of the list a payload is about."""
+    if isinstance(spec, (Rows, RecordList)):
+        return F.size(_get(doc, "array<variant>"))
+    if _series_of(spec):
+        return F.size(_get(doc, "array<variant>", spec.fields[0].name))
+    return F.lit(None).cast("int")
+
+
 def validate(
     df: DataFrame,
     contract: object,
     payload: str = "payload",
     raise_on_invalid: bool = False,
 ) -> DataFrame:
-    """Add ``doc`` (the parsed payload), ``errors`` and ``status`` ('valid' / 'invalid').
+    """Add ``doc`` (the payload as VARIANT), ``errors``, ``n_items`` (entries of the payload's
+    list, for the kinds that have one) and ``status`` ('valid' / 'invalid').
 
     ``contract`` is a payload kind or a contract term.  With ``raise_on_invalid`` the
     invalid payloads are counted first, in one pass, and any makes the call raise.
     """
+    spec = _contract(contract)
     text = F.col(payload)
-    unreadable = F.when(F.octet_length(text) > PARSE_LIMIT, "json_too_large").otherwise("json_invalid")
-    parsed = df.withColumn("doc", F.try_parse_json(text))
-    errors = F.when(
-        F.col("doc").isNull(), _errors(_error(F.lit(""), unreadable))
-    ).otherwise(_errors_of(_contract(contract), F.col("doc"), None))
-    checked = parsed.withColumn("errors", errors.cast(ERRORS_TYPE)).withColumn(
-        "status", F.when(F.size("errors") == 0, "valid").otherwise("invalid")
+    parsed = df.withColumn("doc", _document(text))
+
+    def walk(doc: Column) -> Column:
+        unreadable = F.when(F.octet_length(text) > PARSE_LIMIT, "json_too_large")
+        broken = _errors(_error(F.lit(""), unreadable.otherwise("json_invalid")))
+        errors = F.when(doc.isNull(), broken).otherwise(_errors_of(spec, doc, None))
+        return F.struct(errors.cast(ERRORS_TYPE).alias("errors"), _items_in(spec, doc).alias("n"))
+
+    series = _series_of(spec)
+    if series:
+        # Plain doubles decode several times faster than VARIANT, which is parsed only
+        # for documents that do not pass as such.  (``doc`` costs nothing unless used.)
+        first = next(iter(series))
+
+        def fine(doc: Column) -> Column:
+            rows = doc[first] if first else doc
+            return F.struct(_none().alias("errors"), F.size(rows).alias("n"))
+
+        check = F.coalesce(_if_sound(series, text, fine), _bind(_document(text), walk))
+    else:
+        check = walk(F.col("doc"))
+    checked = parsed.withColumn("_check", check).select(
+        "*", F.col("_check.errors").alias("errors"), F.col("_check.n").cast("bigint").alias("n_items")
     )
+    status = F.when(F.size("errors") == 0, "valid").otherwise("invalid")
+    checked = checked.drop("_check").withColumn("status", status)
     if raise_on_invalid:
         bad = checked.agg(F.count_if(F.col("status") == "invalid").alias("n")).first()["n"]
         if bad:
@@ -501,17 +588,23 @@ def _typed_field(f: Field, v: Column) -> Column:
     return value
 
 
-def conform(validated: DataFrame, contract: object) -> DataFrame:
+def conform(validated: DataFrame, contract: object, payload: str = "payload") -> DataFrame:
     """Valid payloads only, with their typed ``record``: values coerced, defaults filled in,
     empty links dropped, and for the global kind the object inside the envelope."""
     spec = _contract(contract)
     record = _typed(spec, F.col("doc"))
+    series = _series_of(spec)
+    if series:
+        # Read the variant only where the doubles do not tell the whole record.
+        text = F.col(payload)
+        walked = _bind(_document(text), lambda doc: _typed(spec, doc))
+        record = F.coalesce(_if_sound(series, text, lambda doc: doc), walked)
     if isinstance(spec, Record) and [f.name for f in spec.fields] == ["data"]:
         record = record["data"]
     # A generator over zero or one record rather than a filter: the optimizer would
     # copy the whole check into a filter and run it a second time.
     kept = F.when(F.size("errors") == 0, F.array(record))
-    carried = [c for c in validated.columns if c not in ("doc", "errors", "status")]
+    carried = [c for c in validated.columns if c not in ("doc", "errors", "n_items", "status")]
     return validated.select(*carried, F.explode(kept).alias("record"))
 
 
