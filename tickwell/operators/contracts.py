@@ -72,16 +72,19 @@ def _bind(value: Column, use) -> Column:
 
 
 def _error(loc: Column, kind: Column) -> Column:
-    """An error entry, or NULL when there is none."""
-    messages = F.create_map(*[F.lit(x) for pair in MESSAGES.items() for x in pair])
+    """A place and a kind of error, or NULL when there is no kind."""
+    return _bind(
+        kind, lambda k: F.when(k.isNotNull(), F.struct(loc.alias("loc"), k.alias("type")))
+    )
 
-    def entry(k: Column) -> Column:
-        return F.when(
-            k.isNotNull(),
-            F.struct(loc.alias("loc"), F.try_element_at(messages, k).alias("msg"), k.alias("type")),
-        )
 
-    return _bind(kind, entry)
+def _worded(errors: Column) -> Column:
+    """Errors with their messages."""
+    messages = F.expr("map(" + ", ".join(f"'{k}', '{v}'" for k, v in MESSAGES.items()) + ")")
+    return F.transform(
+        errors,
+        lambda e: F.struct(e["loc"], F.try_element_at(messages, e["type"]).alias("msg"), e["type"]),
+    ).cast(ERRORS_TYPE)
 
 
 def _errors(*entries: Column) -> Column:
@@ -89,7 +92,7 @@ def _errors(*entries: Column) -> Column:
 
 
 def _none() -> Column:
-    return F.array().cast(ERRORS_TYPE)
+    return F.expr("cast(array() as array<struct<loc:string,type:string>>)")
 
 
 def _at(loc: Column | None, child: Column) -> Column:
@@ -248,26 +251,22 @@ def _fields_of_scalars(fields: list[Field], doc: Column, loc: Column | None) ->
     """
     rules = {(f.spec.kind, f.nullable): i for i, f in enumerate(fields)}
     terms = {rules[f.spec.kind, f.nullable]: f for f in fields}
-    probes = F.array(
-        *[
-            F.struct(
-                F.lit(f.name).alias("name"),
-                F.lit(rules[f.spec.kind, f.nullable]).alias("rule"),
-                F.lit(f.required).alias("required"),
-                _get(doc, "variant", f.name).alias("v"),
-            )
-            for f in fields
-        ]
+    known = ", ".join(
+        f"named_struct('name', '{f.name}', 'rule', {rules[f.spec.kind, f.nullable]}, "
+        f"'required', {str(f.required).lower()})"
+        for f in fields
     )
-    typed = F.transform(
-        probes, lambda p: F.struct(p.alias("p"), F.schema_of_variant(p["v"]).alias("t"))
+    typed = F.zip_with(
+        F.expr(f"array({known})"),
+        F.array(*[_get(doc, "variant", f.name) for f in fields]),
+        lambda p, v: F.struct(p.alias("p"), v.alias("v"), F.schema_of_variant(v).alias("t")),
     )
 
     def fault_of(x: Column) -> Column:
         p = x["p"]
         fault = F.lit(None).cast("string")
         for rule, f in terms.items():
-            of_rule = _typed_fault(f.spec, p["v"], x["t"], f.nullable)
+            of_rule = _typed_fault(f.spec, x["v"], x["t"], f.nullable)
             fault = F.when(p["rule"] == rule, of_rule).otherwise(fault)
         absent = F.when(p["required"], "missing")
         kind = F.when(x["t"].isNull(), absent).otherwise(fault)
@@ -513,7 +512,7 @@ def validate(
         unreadable = F.when(F.octet_length(text) > PARSE_LIMIT, "json_too_large")
         broken = _errors(_error(F.lit(""), unreadable.otherwise("json_invalid")))
         errors = F.when(doc.isNull(), broken).otherwise(_errors_of(spec, doc, None))
-        return F.struct(errors.cast(ERRORS_TYPE).alias("errors"), _items_in(spec, doc).alias("n"))
+        return F.struct(_worded(errors).alias("errors"), _items_in(spec, doc).alias("n"))
 
     series = _series_of(spec)
     if series:
@@ -523,7 +522,8 @@ def validate(
 
         def fine(doc: Column) -> Column:
             rows = doc[first] if first else doc
-            return F.struct(_none().alias("errors"), F.size(rows).alias("n"))
+            none = F.expr(f"cast(array() as {ERRORS_TYPE})")
+            return F.struct(none.alias("errors"), F.size(rows).alias("n"))
 
         check = F.coalesce(_if_sound(series, text, fine), _bind(_document(text), walk))
     else:
@@ -569,10 +569,34 @@ def _typed(spec: object, v: Column) -> Column:
         return items if spec.keep_empty else drop_empty(items)
     if isinstance(spec, MapOf):
         return F.transform_values(_get(v, "map<string,variant>"), lambda _, x: _typed(spec.value, x))
-    return F.struct(*[_field_value(f, v).alias(f.name) for f in spec.fields])
-
-
-def _field_value(f: Field, doc: Column) -> Column:
+    return _typed_record(spec, v)
+
+
+def _typed_record(spec: Record, doc: Column) -> Column:
+    """A record with typed fields; scalars of one kind go through one lambda together."""
+    kinds = list(dict.fromkeys(f.spec.kind for f in spec.fields if isinstance(f.spec, Scalar)))
+    of_kind = {k: [f for f in spec.fields if f.spec == Scalar(k)] for k in kinds}
+    scalars = [
+        F.transform(
+            F.array(*[_get(doc, "variant", f.name) for f in of_kind[k]]), _VALUE[k]
+        ).alias(k)
+        for k in kinds
+    ]
+
+    def build(values: Column) -> Column:
+        fields = []
+        for f in spec.fields:
+            if isinstance(f.spec, Scalar):
+                value = F.get(values[f.spec.kind], of_kind[f.spec.kind].index(f))
+            else:
+                value = _composite_value(f, doc)
+            fields.append(value.alias(f.name))
+        return F.struct(*fields)
+
+    return _bind(F.struct(*scalars), build) if scalars else build(F.lit(None))
+
+
+def _composite_value(f: Field, doc: Column) -> Column:
     return _bind(_get(doc, "variant", f.name), lambda v: _typed_field(f, v))
 
 
