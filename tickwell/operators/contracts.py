@@ -12,6 +12,9 @@ milliseconds.  Text must be text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -492,6 +495,57 @@ def _items_in(spec: object, doc: Column) -> Column:
     return F.lit(None).cast("int")
 
 
+_COLUMNS: dict = {}
+
+
+def _built(what: str, spec: object, payload: str, build: Callable[[], Column]) -> Column:
+    """A contract's expression, put together once per application; it depends on no data."""
+    key = (SparkContext.getOrCreate().applicationId, what, spec, payload)
+    if key not in _COLUMNS:
+        _COLUMNS[key] = build()
+    return _COLUMNS[key]
+
+
+def _check(spec: object, payload: str) -> Column:
+    """Errors and number of items of a payload; ``doc`` is the payload as VARIANT."""
+    text = F.col(payload)
+
+    def walk(doc: Column) -> Column:
+        unreadable = F.when(F.octet_length(text) > PARSE_LIMIT, "json_too_large")
+        broken = _errors(_error(F.lit(""), unreadable.otherwise("json_invalid")))
+        errors = F.when(doc.isNull(), broken).otherwise(_errors_of(spec, doc, None))
+        return F.struct(_worded(errors).alias("errors"), _items_in(spec, doc).alias("n"))
+
+    series = _series_of(spec)
+    if not series:
+        return walk(F.col("doc"))
+
+    # Plain doubles decode several times faster than VARIANT, which is parsed only for
+    # documents that do not pass as such.  (``doc`` costs nothing unless it is used.)
+    first = next(iter(series))
+
+    def fine(doc: Column) -> Column:
+        rows = doc[first] if first else doc
+        none = F.expr(f"cast(array() as {ERRORS_TYPE})")
+        return F.struct(none.alias("errors"), F.size(rows).alias("n"))
+
+    return F.coalesce(_if_sound(series, text, fine), _bind(_document(text), walk))
+
+
+def _record(spec: object, payload: str) -> Column:
+    """The typed record of a valid payload."""
+    record = _typed(spec, F.col("doc"))
+    series = _series_of(spec)
+    if series:
+        # Read the variant only where the doubles do not tell the whole record.
+        text = F.col(payload)
+        walked = _bind(_document(text), lambda doc: _typed(spec, doc))
+        record = F.coalesce(_if_sound(series, text, lambda doc: doc), walked)
+    if isinstance(spec, Record) and [f.name for f in spec.fields] == ["data"]:
+        record = record["data"]
+    return record
+
+
 def validate(
     df: DataFrame,
     contract: object,
@@ -505,34 +559,15 @@ def validate(
     invalid payloads are counted first, in one pass, and any makes the call raise.
     """
     spec = _contract(contract)
-    text = F.col(payload)
-    parsed = df.withColumn("doc", _document(text))
-
-    def walk(doc: Column) -> Column:
-        unreadable = F.when(F.octet_length(text) > PARSE_LIMIT, "json_too_large")
-        broken = _errors(_error(F.lit(""), unreadable.otherwise("json_invalid")))
-        errors = F.when(doc.isNull(), broken).otherwise(_errors_of(spec, doc, None))
-        return F.struct(_worded(errors).alias("errors"), _items_in(spec, doc).alias("n"))
-
-    series = _series_of(spec)
-    if series:
-        # Plain doubles decode several times faster than VARIANT, which is parsed only
-        # for documents that do not pass as such.  (``doc`` costs nothing unless used.)
-        first = next(iter(series))
-
-        def fine(doc: Column) -> Column:
-            rows = doc[first] if first else doc
-            none = F.expr(f"cast(array() as {ERRORS_TYPE})")
-            return F.struct(none.alias("errors"), F.size(rows).alias("n"))
-
-        check = F.coalesce(_if_sound(series, text, fine), _bind(_document(text), walk))
-    else:
-        check = walk(F.col("doc"))
-    checked = parsed.withColumn("_check", check).select(
-        "*", F.col("_check.errors").alias("errors"), F.col("_check.n").cast("bigint").alias("n_items")
+    parsed = df.withColumn("doc", _document(F.col(payload)))
+    check = _built("check", spec, payload, lambda: _check(spec, payload))
+    errors = F.col("_check.errors")
+    checked = parsed.select("*", check.alias("_check")).select(
+        *parsed.columns,
+        errors.alias("errors"),
+        F.col("_check.n").cast("bigint").alias("n_items"),
+        F.when(F.size(errors) == 0, "valid").otherwise("invalid").alias("status"),
     )
-    status = F.when(F.size("errors") == 0, "valid").otherwise("invalid")
-    checked = checked.drop("_check").withColumn("status", status)
     if raise_on_invalid:
         bad = checked.agg(F.count_if(F.col("status") == "invalid").alias("n")).first()["n"]
         if bad:
@@ -616,15 +651,7 @@ def conform(validated: DataFrame, contract: object, payload: str = "payload") ->
     """Valid payloads only, with their typed ``record``: values coerced, defaults filled in,
     empty links dropped, and for the global kind the object inside the envelope."""
     spec = _contract(contract)
-    record = _typed(spec, F.col("doc"))
-    series = _series_of(spec)
-    if series:
-        # Read the variant only where the doubles do not tell the whole record.
-        text = F.col(payload)
-        walked = _bind(_document(text), lambda doc: _typed(spec, doc))
-        record = F.coalesce(_if_sound(series, text, lambda doc: doc), walked)
-    if isinstance(spec, Record) and [f.name for f in spec.fields] == ["data"]:
-        record = record["data"]
+    record = _built("record", spec, payload, lambda: _record(spec, payload))
     # A generator over zero or one record rather than a filter: the optimizer would
     # copy the whole check into a filter and run it a second time.
     kept = F.when(F.size("errors") == 0, F.array(record))

@@ -150,8 +150,9 @@ def _kept(spark: SparkSession, root: str, arriving: DataFrame) -> DataFrame | No
     arrived = keys_of.select(*LANDING_KEY)
     if stored.select(*LANDING_KEY).join(arrived, list(LANDING_KEY), "left_semi").isEmpty():
         return None
-    touched = keys_of.select(*LANDING_DIRS).distinct()
-    return stored.join(broadcast_if_small(touched), list(LANDING_DIRS), "left_semi").join(
+    # Five kinds times the days of the range: bounded by the calendar, so safe to broadcast.
+    touched = F.broadcast(keys_of.select(*LANDING_DIRS).distinct())
+    return stored.join(touched, list(LANDING_DIRS), "left_semi").join(
         arrived, list(LANDING_KEY), "left_anti"
     )
 
