@@ -21,6 +21,19 @@ def rows(df, *order):
     return [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]
 
 
+def test_shuffles_grow_with_the_input(spark):
+    from tickwell.session import bytes_below, size_shuffles
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, bytes_below(spark, "/root/testdata/sf0.001")) == int(before)
+        assert size_shuffles(spark, 2 * 1024**4) == 8192
+        assert size_shuffles(spark, 1000) == 8192
+        assert size_shuffles(spark, 100 * 1024**4) == 100_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 # -------------------------------------------------------------------- data tests
 
 

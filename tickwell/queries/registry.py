@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.session import configure
+from tickwell.session import bytes_below, configure, size_shuffles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,7 +33,7 @@ def query(sql: str | None = None):
 
     def register(build):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            configure(spark)
+            size_shuffles(configure(spark), bytes_below(spark, sf_dir))
             return portable(build(spark, sf_dir))
 
         name = build.__name__

@@ -48,6 +48,31 @@ def local_session(cores: int | str = 8, app: str = "tickwell", shuffle_partition
     return configure(spark)
 
 
+# Input bytes a shuffle partition should stand for, and the most partitions worth having.
+SHUFFLE_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise the number of shuffle partitions to suit the input; never lower it.
+
+    Adaptive execution can merge and split partitions, but starts from this number: the
+    default of 200 would give tasks of half a terabyte each on 100 TB.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    needed = min(-(-input_bytes // SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
+    if needed > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+    return max(needed, current)
+
+
+def bytes_below(spark: SparkSession, path: str) -> int:
+    """Bytes stored below a Hadoop path."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getContentSummary(hadoop_path).getLength()
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder for tables written part-way through a plan.
 

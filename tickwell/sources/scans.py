@@ -14,9 +14,10 @@ from tickwell.schemas import GLOBAL_TEXT, METADATA_TEXT, SNAPSHOT_TEXT
 from tickwell.sources import objects
 
 
-def _decode(schema: T.DataType, lenient: bool) -> Column:
+def _rows(schema: T.StructType, lenient: bool) -> Column:
+    """One row per document of a payload: the items of a top-level list, else the object."""
     mode = "PERMISSIVE" if lenient else "FAILFAST"
-    return F.from_json("payload", schema, {"mode": mode})
+    return F.inline(F.from_json("payload", T.ArrayType(schema), {"mode": mode}))
 
 
 def landed(spark: SparkSession, root: str, kind: str, dates=None) -> DataFrame:
@@ -34,18 +35,17 @@ def with_key(payloads: DataFrame) -> DataFrame:
 
 def decode_snapshots(payloads: DataFrame, lenient: bool = False) -> DataFrame:
     """One row per item of each snapshot payload."""
-    rows = F.inline(_decode(T.ArrayType(SNAPSHOT_TEXT), lenient))
-    return payloads.select("filename", "date", "fetched_at", rows)
+    return payloads.select("filename", "date", "fetched_at", _rows(SNAPSHOT_TEXT, lenient))
 
 
 def decode_metadata(payloads: DataFrame, lenient: bool = False) -> DataFrame:
-    doc = payloads.select("filename", "date", "fetched_at", _decode(METADATA_TEXT, lenient).alias("d"))
-    return doc.select("filename", "date", "fetched_at", "d.*")
+    """One row per metadata document, nested values as JSON text."""
+    return payloads.select("filename", "date", "fetched_at", _rows(METADATA_TEXT, lenient))
 
 
 def decode_global(payloads: DataFrame, lenient: bool = False) -> DataFrame:
-    doc = payloads.select("filename", "date", "fetched_at", _decode(GLOBAL_TEXT, lenient).alias("d"))
-    return doc.select("filename", "date", "fetched_at", "d.*")
+    """One row per global document, its envelope in ``data``."""
+    return payloads.select("filename", "date", "fetched_at", _rows(GLOBAL_TEXT, lenient))
 
 
 def scan_snapshots(spark, root, layout="objects", dates=None, lenient=False) -> DataFrame:
