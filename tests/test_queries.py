@@ -62,7 +62,7 @@ def test_payload_is_parsed_once(spark):
     assert plan.count("parseJson") == 1
     # One decode as doubles, and one as text that runs only where doubles leave a hole.
     points = _plan(QUERIES["chart_volumes"](spark, SF))
-    assert points.count("from_json") == 2 and "Filter" not in points
+    assert points.count("from_json") == 2 and "- Filter" not in points
 
 
 def test_contracts_need_no_shuffle(spark, root):
