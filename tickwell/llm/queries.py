@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickwell.llm import simhash
+from tickwell.llm import byte_bpe, simhash
+from tickwell.llm.spark import ship_package
 from tickwell.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -14,6 +16,7 @@ SQL: dict[str, str] = {}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -25,3 +28,9 @@ def _query(build: Callable[[SparkSession, str], DataFrame]):
 @_query
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.code(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwell.session import materialize
@@ -60,3 +65,21 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = materialize(small.union(least).distinct(), "edges")
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where their path does not already hold it."""
+    root = Path(__file__).resolve().parents[2]
+    known = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    app = spark.sparkContext.applicationId
+    if str(root) in known or app in _shipped:
+        return
+    archive = Path(tempfile.mkdtemp()) / "tickwell.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted((root / "tickwell").rglob("*.py")):
+            z.write(source, source.relative_to(root))
+    spark.sparkContext.addPyFile(str(archive))  # the driver serves it to all executors
+    _shipped.add(app)
