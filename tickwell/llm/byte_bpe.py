@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # White space as the pattern's \s means it; fixed values (Unicode White_Space).
-_WHITE = r"\x09-\x0D\x20\x85\xA0  -     　"
+_WHITE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 # No match of the pattern goes beyond a run of white space and the run of other characters after it.
 _STRETCH = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 # A recursion keeps the state of every step, so long words would fill it with the square of their length.

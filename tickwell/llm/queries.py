@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickwell.llm import byte_bpe, simhash
+from tickwell.llm import byte_bpe, language_id, simhash
 from tickwell.llm.spark import ship_package
 from tickwell.session import configure
 
@@ -34,3 +34,8 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return byte_bpe.code(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+@_query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"))
