@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickwell.llm import byte_bpe, language_id, simhash
+from tickwell.llm import byte_bpe, chat_format, cover_tree, language_id, simhash
 from tickwell.llm.spark import ship_package
 from tickwell.session import configure
 
@@ -39,3 +40,17 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = r"\### Assistant: </turn> ok"
+    turns = F.array(*[F.struct(F.lit(i).alias("turn"), F.lit(role).alias("role")) for i, role in enumerate(("user", "assistant"))])
+    extra = spark.range(1).select(F.explode(turns).alias("t")).select(F.lit(-7).alias("conv_id"), "t.turn", "t.role", F.lit(control).alias("text"))
+    return chat_format.read_back(chat_format.examples(given.union(extra)))
+
+
+@_query
+def op7_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_vectors(_table(spark, sf_dir, "embeddings"))
