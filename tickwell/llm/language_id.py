@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwell.llm.text import Spans, normal_words
+from tickwell.llm.text import byte_spans, normal_words
 
 # The network reads one sequence per run of non-space bytes; longer runs continue in further sequences.
 PIECE = 32
@@ -169,7 +169,7 @@ class Pooled:
         counts = np.array([len(p[1]) for p in parts])
         sums = np.zeros((len(texts), len(self.net.labels) + 1))
         if len(starts):
-            _, first, index = np.unique(Spans(kept, 11).of(starts, ends), return_index=True, return_inverse=True)
+            _, first, index = np.unique(byte_spans(kept, 11).of(starts, ends), return_index=True, return_inverse=True)
             each = self._sums(kept, starts[first], ends[first])[index]
             full = np.flatnonzero(counts)
             sums[full] = np.add.reduceat(each, (np.cumsum(counts) - counts)[full], axis=0)

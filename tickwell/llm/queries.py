@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.llm import byte_bpe, chat_format, cover_tree, language_id, simhash
+from tickwell.llm import byte_bpe, chat_format, cover_tree, decontaminate, language_id, license_scan, seed_extend, simhash
 from tickwell.llm.spark import ship_package
 from tickwell.session import configure
 
@@ -54,3 +54,22 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+SQL["op6_license_scan"] = license_scan.scan_sql()
+
+
+@_query
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op9_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = seed_extend.dedup(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256", F.size("spans").cast("long").alias("n_spans"))

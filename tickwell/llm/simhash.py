@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwell.llm.spark import components
-from tickwell.llm.text import Spans, mix, normal_words
+from tickwell.llm.text import byte_spans, mix, normal_words
 from tickwell.session import materialize
 
 # A bucket of more fingerprints than this is not probed pair by pair.
@@ -71,7 +71,7 @@ def word_fingerprints(text: str | None, tables: int = 3) -> list[int]:
     kept, starts, ends = normal_words((text or "").encode("utf-8", "surrogatepass").lower())
     if not len(starts):
         return [0] * tables
-    hashes, counts = np.unique(Spans(kept, 7).of(starts, ends), return_counts=True)
+    hashes, counts = np.unique(byte_spans(kept, 7).of(starts, ends), return_counts=True)
     weights = np.sqrt(counts)
     return [_majority(_votes(mix(hashes + np.uint64(101 + i)), weights), weights.sum()) for i in range(tables)]
 

@@ -15,7 +15,7 @@ from tickwell.session import materialize
 
 def planned_bytes(df: DataFrame) -> int:
     """Bytes the optimizer expects of a table: of files, their size. No job runs for file or local tables."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     if size < 1 << 50:
         return size
     return df.select([F.col(f"`{c}`").cast("string") for c in df.columns]).select(

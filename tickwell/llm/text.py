@@ -43,16 +43,33 @@ def byte_values(seed: int) -> np.ndarray:
 
 
 class Spans:
-    """64-bit hashes of any [start, end) spans of one byte array."""
+    """64-bit hashes of any [start, end) spans of a sequence of 64-bit values."""
 
-    def __init__(self, data: np.ndarray, seed: int):
-        self.total = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(byte_values(seed)[data] * powers(len(data)), out=self.total[1:])
+    def __init__(self, values: np.ndarray):
+        self.total = np.zeros(len(values) + 1, dtype=np.uint64)
+        np.cumsum(values * powers(len(values)), out=self.total[1:])
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         shift = powers(len(self.total), _INVERSE)[starts]
         return mix((self.total[ends] - self.total[starts]) * shift + (ends - starts).astype(np.uint64))
 
+    def all(self, length: int) -> np.ndarray:
+        """Of every span of that length."""
+        count = len(self.total) - length
+        return mix((self.total[length:] - self.total[:count]) * powers(count, _INVERSE) + np.uint64(length))
+
+
+def byte_spans(data: np.ndarray, seed: int) -> Spans:
+    return Spans(byte_values(seed)[data])
+
+
+def split_words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs without 0x20 and 0x09 to 0x0D."""
+    inside = np.zeros(len(raw) + 2, dtype=bool)
+    inside[1:-1] = ~SPACE[raw]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges[::2], edges[1::2]
+
 
 def normal_words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes with one 0x20 after each word and none before, with word starts and ends.
