@@ -23,7 +23,7 @@ _STRETCH = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 LONGEST = 128
 _SQUARES = 20_000_000
 # Stretches remembered by a worker; the memory starts anew beyond it.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 _TEXT_BYTES = 4 << 20
 
 _ENCODE = """
@@ -36,7 +36,7 @@ with recursive steps(w, ids) as (
     from (select w, unnest(ids[:-2]) a, unnest(ids[2:]) b, generate_subscripts(ids[2:], 1) pos from steps) p
     join merges on merges.ab = p.a::bigint * 65536 + p.b
     group by p.w) m on s.w = m.w)
-select w, arg_min(ids, len(ids)) ids from steps group by w order by w
+select s.w, s.ids from steps s join (select w, min(len(ids)) n from steps group by w) m on s.w = m.w and len(s.ids) = m.n order by s.w
 """
 _DECODE = """
 select doc, array_to_string(list(t order by pos), '') bytes
@@ -50,6 +50,12 @@ def read_ranks(path: str) -> bytes:
         return f.read()
 
 
+def _gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The stretches of values from each start, one after the other."""
+    ends = np.cumsum(lengths)
+    return values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)]
+
+
 class Coder:
     """Encodes and decodes with one vocabulary, in one process."""
 
@@ -59,7 +65,9 @@ class Coder:
         if max(self.ranks.values()) >= 65536:
             raise ValueError("ranks are packed into 16 bits each")
         self.pattern = regex.compile(pattern)
+        self.decimal = [b"%d" % i for i in range(max(self.ranks.values()) + 1)]
         self.byte = [self.ranks[bytes([i])] for i in range(256)]
+        self.byte_ids = np.array(self.byte, dtype=np.int32)
         self.merge = {}
         for token, rank in self.ranks.items():
             for cut in range(1, len(token)):
@@ -82,32 +90,49 @@ class Coder:
         self.shown: list[bytes] = []
         self.flat, self.at = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def words(self, words: list[bytes]) -> list[list[int]]:
-        """The ids of distinct words, each the leftmost pair of least rank contracted until none is left."""
-        made: list[list[int] | None] = [None] * len(words)
+    def words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words and where each word's begin, the end added.
+
+        Of each word the leftmost pair of least rank is contracted until none is left.
+        """
+        ready: list[tuple[int, list[int]]] = []
         part: list[int] = []
+        made: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         squares = 0
         for i, word in enumerate(words):
             if (rank := self.ranks.get(word)) is not None:
-                made[i] = [rank]
+                ready.append((i, [rank]))
             elif len(word) > LONGEST:
-                made[i] = self._long(word)
+                ready.append((i, self._long(word)))
             else:
                 part.append(i)
                 squares += len(word) ** 2
-            if part and (squares > _SQUARES or i == len(words) - 1):
-                self._contract(words, part, made)
-                part, squares = [], 0
+                if squares > _SQUARES:
+                    made.append(self._contract(words, part))
+                    part, squares = [], 0
         if part:
-            self._contract(words, part, made)
-        return made
-
-    def _contract(self, words: list[bytes], part: list[int], made: list) -> None:
-        ids = pa.array([[self.byte[c] for c in words[i]] for i in part], pa.list_(pa.int32()))
-        self._store("words", {"w": pa.array(part, pa.int32()), "ids": ids})
-        found = self.con.sql(_ENCODE).to_arrow_table()
-        for i, ids in zip(found["w"].to_pylist(), found["ids"].to_pylist()):
-            made[i] = ids
+            made.append(self._contract(words, part))
+        made.append(
+            (
+                np.array([i for i, _ in ready], np.int64),
+                np.array([len(x) for _, x in ready], np.int64),
+                np.array([r for _, x in ready for r in x], np.int32),
+            )
+        )
+        place, lengths, ids = (np.concatenate(c) for c in zip(*made))
+        starts = np.cumsum(lengths) - lengths
+        order = np.argsort(place)
+        return _gather(ids, starts[order], lengths[order]), np.append(0, np.cumsum(lengths[order]))
+
+    def _contract(self, words: list[bytes], part: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(places, lengths, ids) of some words, from one recursive query."""
+        chosen = [words[i] for i in part]
+        ids = self.byte_ids[np.frombuffer(b"".join(chosen), dtype=np.uint8)]
+        ends = np.cumsum([0, *map(len, chosen)])
+        self._store("words", {"w": pa.array(part, pa.int32()), "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))})
+        found = self.con.sql(_ENCODE).to_arrow_table().combine_chunks()
+        lists = found["ids"].chunk(0)
+        return found["w"].to_numpy().astype(np.int64), lists.value_lengths().to_numpy().astype(np.int64), lists.flatten().to_numpy()
 
     def _long(self, word: bytes) -> list[int]:
         """The same contraction with a heap and links, for words too long for the recursion."""
@@ -133,15 +158,19 @@ class Coder:
         if not new:
             return
         split = [self.pattern.findall(x) for x in new]
-        words = {w: None for ws in split for w in ws}
-        ids = dict(zip(words, self.words([w.encode() for w in words])))
-        lists = [[i for w in ws for i in ids[w]] for ws in split]
-        for x, own in zip(new, lists):
-            self.known[x] = len(self.known)
-            self.shown.append(b" ".join(b"%d" % i for i in own))
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        self.flat = np.concatenate([self.flat, np.fromiter((i for own in lists for i in own), np.int32, int(lengths.sum()))])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(lengths)])
+        index = {w: i for i, w in enumerate({w: None for ws in split for w in ws})}
+        ids, bounds = self.words([w.encode() for w in index])
+        place = np.array([index[w] for ws in split for w in ws])
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        sizes = np.diff(bounds)[place]
+        flat = _gather(ids, bounds[place], sizes)
+        ends = np.append(0, np.cumsum(sizes))[np.cumsum(counts)]
+        shown = [self.decimal[i] for i in flat.tolist()]
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        cuts = [0, *ends.tolist()]
+        self.shown += [b" ".join(shown[a:b]) for a, b in zip(cuts, cuts[1:])]
+        self.flat = np.concatenate([self.flat, flat])
+        self.at = np.concatenate([self.at, self.at[-1] + ends])
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, bytes]]:
         """For each text its ids, and the same in decimal, joined by spaces."""
@@ -154,9 +183,7 @@ class Coder:
             index = np.fromiter(map(self.known.__getitem__, xs), np.int64, len(xs))
             starts = self.at[index]
             lengths = self.at[index + 1] - starts
-            ends = np.cumsum(lengths)
-            place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
-            made.append((self.flat[place], b" ".join(map(self.shown.__getitem__, index.tolist()))))
+            made.append((_gather(self.flat, starts, lengths), b" ".join(map(self.shown.__getitem__, index.tolist()))))
         return made
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
