@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.llm import byte_bpe, chat_format, cover_tree, decontaminate, language_id, license_scan, seed_extend, simhash, suffix_dedup
+from tickwell.llm import byte_bpe, chat_format, cover_tree, decontaminate, hmm_lm, language_id, license_scan, seed_extend, simhash, suffix_dedup
 from tickwell.llm.spark import ship_package
 from tickwell.session import configure
 
@@ -79,3 +79,8 @@ def op9_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix_dedup.dedup(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+@_query
+def op4_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm_lm.score(_table(spark, sf_dir, "documents"))
