@@ -229,6 +229,32 @@ def train(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", pe
     return net
 
 
+def _labelled(batches: Iterator[pa.RecordBatch], net: Network | None, column: int) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Batches of some megabytes of text with the (label, score) of each row."""
+    pooled = Pooled(net) if net else lambda texts: [("und", 0.0)] * len(texts)
+    for batch in batches:
+        texts = batch.column(column).to_pylist()
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (size == 0 or size < _TEXT_BYTES):
+                size += len(texts[end] or "") + 1
+                end += 1
+            yield batch.slice(at, end - at), pooled(texts[at:end])
+            at = end
+
+
+def accepted(docs: DataFrame, net: Network | None, least: float, text_col="text") -> DataFrame:
+    """The rows of docs, all their columns, whose text has a language with a score of at least `least`."""
+    column = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, found in _labelled(batches, net, column):
+            yield batch.filter(pa.array([label != "und" and score >= least for label, score in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predict(docs: DataFrame, net: Network | None, id_col="doc_id", text_col="text") -> DataFrame:
     """(doc_id, lang_pred, score) of every row's whole text.
 
@@ -237,19 +263,9 @@ def predict(docs: DataFrame, net: Network | None, id_col="doc_id", text_col="tex
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pooled = Pooled(net) if net else lambda texts: [("und", 0.0)] * len(texts)
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            at = 0
-            while at < len(texts):
-                end, size = at, 0
-                while end < len(texts) and (size == 0 or size < _TEXT_BYTES):
-                    size += len(texts[end] or "") + 1
-                    end += 1
-                found = pooled(texts[at:end])
-                columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64()))]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, end - at), *columns], ["doc_id", "lang_pred", "score"])
-                at = end
+        for batch, found in _labelled(batches, net, 1):
+            columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "lang_pred", "score"])
 
     chosen = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     return chosen.mapInArrow(run, "doc_id long, lang_pred string, score double")

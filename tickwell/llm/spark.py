@@ -28,9 +28,10 @@ def shuffle_parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def by_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
-    """(block, doc_id, text), spread over blocks of about block_bytes by a hash of the id.
+def by_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int, carry: list[str] | None = None) -> DataFrame:
+    """(block, doc_id, text, rest), spread over blocks of about block_bytes by a hash of the id.
 
+    rest holds the columns to carry, null if there are none.
     The number of blocks grows with the input, so a block fits a task at any size.
     Rows without an id are spread by their text.
     """
@@ -38,9 +39,9 @@ def by_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int) ->
     doc_id = F.col(f"`{id_col}`").cast("long")
     text = F.col(f"`{text_col}`").cast("string")
     block = F.when(doc_id.isNull(), F.xxhash64(text)).otherwise(F.xxhash64(doc_id))
-    return docs.select(F.pmod(block, F.lit(blocks)).alias("block"), doc_id.alias("doc_id"), text.alias("text")).repartition(
-        shuffle_parts(docs), "block"
-    )
+    rest = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("int")
+    chosen = docs.select(F.pmod(block, F.lit(blocks)).alias("block"), doc_id.alias("doc_id"), text.alias("text"), rest.alias("rest"))
+    return chosen.repartition(shuffle_parts(docs), "block")
 
 
 def components(edges: DataFrame) -> DataFrame:

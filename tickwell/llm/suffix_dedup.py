@@ -213,11 +213,11 @@ def repeated(texts: list[bytes], length: int) -> list[np.ndarray]:
 
 # --- the job -----------------------------------------------------------------------------------
 
-_RESULT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string, kept binary"
+_RESULT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string, kept string"
 _FIELDS = [
     pa.field("kind", pa.int32()), pa.field("block", pa.int64()), pa.field("doc_id", pa.int64()), pa.field("n_bytes", pa.int64()),
     pa.field("n_removed", pa.int64()), pa.field("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-    pa.field("kept_sha256", pa.string()), pa.field("kept", pa.binary()), pa.field("text", pa.string()), pa.field("state", pa.binary()),
+    pa.field("kept_sha256", pa.string()), pa.field("kept", pa.string()), pa.field("text", pa.string()), pa.field("state", pa.binary()),
     pa.field("h1", pa.int64()), pa.field("h2", pa.int64()), pa.field("times", pa.int64()), pa.field("bytes", pa.binary()),
 ]
 _WRITTEN = f"kind int, block long, {_RESULT}, text string, state binary, h1 long, h2 long, times long, bytes binary"
@@ -253,21 +253,22 @@ def _kept(text: bytes, gone: np.ndarray | None, with_kept: bool) -> list:
         left = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
         removed = int(gone.sum())
         spans = [{"start": a, "end": b} for a, b in zip(starts.tolist(), ends.tolist())]
-    return [len(text), removed, spans, hashlib.sha256(left).hexdigest(), left if with_kept else None]
+    return [len(text), removed, spans, hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore") if with_kept else None]
 
 
-def _rows(**given) -> pa.Table:
+def _rows(rest: pa.DataType, **given) -> pa.Table:
     n = len(next(iter(given.values())))
     columns = [pa.array(given[f.name], f.type) if f.name in given else pa.nulls(n, f.type) for f in _FIELDS]
-    return pa.table(columns, schema=pa.schema(_FIELDS))
+    return pa.table(columns, schema=pa.schema(_FIELDS)).append_column("rest", pa.nulls(n, rest))
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_kept: bool = False, id_col="doc_id", text_col="text") -> DataFrame:
-    """(doc_id, n_bytes, n_removed, spans, kept_sha256, kept) of every row.
+def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_kept: bool = False, id_col="doc_id", text_col="text", carry: list[str] | None = None) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, spans, kept_sha256, kept, rest) of every row.
 
     Texts are UTF-8 bytes, null is empty. Every byte of a `length`-byte string that also starts
     anywhere else, in the same text or another row, is removed; strings never cross texts and are
-    judged on the input. spans are the maximal removed byte ranges; kept is null unless with_kept.
+    judged on the input. spans are the maximal removed byte ranges; kept, null unless with_kept, is
+    what is left as text, without characters of which only some bytes are left. rest is a struct of the columns to carry.
     Rows are told apart by where they stand, so ids may be null or repeat.
 
     Anchors, `seed` bytes that each window selects by hash, bring equal windows together with
@@ -277,7 +278,8 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_kept: bo
     windows occur in another context. Anchors with over CONTEXTS of them count 128-bit hashes of
     their windows instead, so no shard grows with a passage's number of surroundings.
     """
-    blocked = by_blocks(docs, id_col, text_col, BLOCK_BYTES)
+    blocked = by_blocks(docs, id_col, text_col, BLOCK_BYTES, carry)
+    rest = f", rest {blocked.schema['rest'].dataType.simpleString()}"
     read = _read(length, seed)
     rows = summed(report(blocked, read, _PART_BYTES)).filter("anchor_times > 1")
     rows = rows.select("block", "anchor", "context", "context_times", "context_block", "several", "anchor_contexts")
@@ -338,17 +340,18 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_kept: bo
                     row_ = [DONE, block, doc_id, *_kept(text, gone, with_kept), None, None]
                 for column, value in zip(made, [*row_, None, None, None, None]):
                     column.append(value)
-        outs.append(pa.table([pa.array(c, f.type) for c, f in zip(made, _FIELDS)], schema=pa.schema(_FIELDS)))
+        outs.append(pa.table([pa.array(c, f.type) for c, f in zip(made, _FIELDS)], schema=pa.schema(_FIELDS)).append_column("rest", left["rest"]))
+        none = left.schema.field("rest").type
         if windows:
             h = np.concatenate([np.stack(w, 1) for w in windows])
             h, n = np.unique(h, axis=0, return_counts=True)
-            outs.append(_rows(kind=np.full(len(h), WINDOW), block=np.full(len(h), block), h1=h[:, 0].view(np.int64), h2=np.ascontiguousarray(h[:, 1]).view(np.int64), times=n))
+            outs.append(_rows(none, kind=np.full(len(h), WINDOW), block=np.full(len(h), block), h1=h[:, 0].view(np.int64), h2=np.ascontiguousarray(h[:, 1]).view(np.int64), times=n))
         if ship:
             keys = np.array([(a, c) for a, c, _ in ship], dtype=np.uint64).view(np.int64)
-            outs.append(_rows(kind=np.full(len(ship), CONTEXT), block=np.full(len(ship), block), h1=keys[:, 0], h2=keys[:, 1], bytes=[x for _, _, x in ship]))
+            outs.append(_rows(none, kind=np.full(len(ship), CONTEXT), block=np.full(len(ship), block), h1=keys[:, 0], h2=keys[:, 1], bytes=[x for _, _, x in ship]))
         return pa.concat_tables(outs)
 
-    joined = blocked.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(find, _WRITTEN)
+    joined = blocked.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(find, _WRITTEN + rest)
     written = materialize(joined, "repeats")
     hashes = written.filter(F.col("kind") == WINDOW).select("block", "h1", "h2", "times")
     counted = hashes.withColumn("n", F.sum("times").over(Window.partitionBy("h1", "h2"))).filter("n > 1")
@@ -371,7 +374,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_kept: bo
     sorted_ = sharded.groupBy("shard").applyInArrow(sort_shard, "block long, h1 long, h2 long, starts binary")
     # A context's result goes to every block that holds it and waits: its own, as others were settled by count.
     found = sorted_.unionByName(counted.select("block", "h1", "h2", F.lit(None).cast("binary").alias("starts")))
-    pending = written.filter(F.col("kind") == PENDING).select("block", "doc_id", "text", "state")
+    pending = written.filter(F.col("kind") == PENDING).select("block", "doc_id", "text", "state", "rest")
 
     def settle(left: pa.Table, right: pa.Table) -> pa.Table:
         lists = right["starts"].to_pylist()
@@ -401,10 +404,11 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_kept: bo
                 gone = covered(own, length, len(own) + length)[: len(own)]
                 for column, value in zip(made, [left["doc_id"][part.start + i].as_py(), *_kept(text, gone, with_kept)]):
                     column.append(value)
-        return pa.table([pa.array(c, f.type) for c, f in zip(made, _RESULT_FIELDS)], schema=pa.schema(_RESULT_FIELDS))
+        table = pa.table([pa.array(c, f.type) for c, f in zip(made, _RESULT_FIELDS)], schema=pa.schema(_RESULT_FIELDS))
+        return table.append_column("rest", left["rest"])
 
-    settled = pending.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(settle, _RESULT)
-    done = written.filter(F.col("kind") == DONE).select(*[f.name for f in _RESULT_FIELDS])
+    settled = pending.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(settle, _RESULT + rest)
+    done = written.filter(F.col("kind") == DONE).select(*[f.name for f in _RESULT_FIELDS], "rest")
     return done.unionByName(settled)
 
 
