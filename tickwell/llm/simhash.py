@@ -17,7 +17,8 @@ from tickwell.session import materialize
 
 # A bucket of more fingerprints than this is not probed pair by pair.
 HOT_BUCKET = 4096
-# Up to this many distinct fingerprints three segments cost less than two, beyond it two do.
+# Up to this many distinct fingerprints four segments cost least, then three, beyond it two.
+FOUR_SEGMENTS = 1 << 22
 THREE_SEGMENTS = 1 << 25
 _CHUNK = 1 << 16
 
@@ -94,13 +95,13 @@ def _segments(radius: int, count: int) -> list[tuple[int, int, int]]:
     """(shift, width, radius) of each segment: the radii plus one each add up to radius + 1.
 
     Of two fingerprints within radius, one segment differs by its own radius at most, for
-    otherwise the differences would add up to more.
+    otherwise the differences would add up to more. More fingerprints take fewer, wider segments, as
+    buckets fill up; the balls around them grow.
     """
-    parts = 3 if count <= THREE_SEGMENTS else 2
+    parts = 4 if count <= FOUR_SEGMENTS else 3 if count <= THREE_SEGMENTS else 2
     share = [(radius + 1) // parts + (i < (radius + 1) % parts) for i in range(parts)]
-    widths = {(3, 5): [23, 23, 18]}.get((parts, radius + 1)) or ([22, 21, 21] if parts == 3 else [32, 32])
-    shifts = [sum(widths[:i]) for i in range(parts)]
-    return [(s, w, n - 1) for s, w, n in zip(shifts, widths, share) if n]
+    widths = [64 // parts + (i < 64 % parts) for i in range(parts)]
+    return [(sum(widths[:i]), widths[i], n - 1) for i, n in enumerate(share) if n]
 
 
 def _ball(width: int, radius: int) -> list[int]:
@@ -122,87 +123,98 @@ def _keys(fp: Column, segments: list[tuple[int, int, int]], probes: bool) -> Col
     return F.explode(F.concat(*[buckets(i, *segment) for i, segment in enumerate(segments)]))
 
 
-def link(nodes: DataFrame, tables: list[str], radius: int, same: Callable[[str, str], Column]) -> DataFrame:
-    """(node, component) of distinct nodes linked by same(), found by multi-index hashing.
+def _bucketed(nodes: DataFrame, columns: list[str], table: str, segments: list[tuple[int, int, int]], probes: bool) -> DataFrame:
+    """(seg, key, columns) of each node's buckets in a table."""
+    return nodes.select(*columns, _keys(F.col(table), segments, probes).alias("k")).select(*columns, "k.seg", "k.key")
+
+
+def link(nodes: DataFrame, tables: list[str], radius: int, check: tuple[list[str], int] | None = None, hint: tuple[str, int] | None = None) -> DataFrame:
+    """(node, component) of distinct nodes linked by their fingerprints, found by multi-index hashing.
+
+    nodes: (node, fingerprint columns), one row per node. A pair is found if its fingerprints in one
+    of the tables differ by radius bits at most; with check, (columns, bits), it is a link only if those
+    columns together differ by at most that many bits. hint, (column, bits), is a necessary
+    condition for that which bucket rows carry along to leave most other pairs out early. The joins
+    compare whole fingerprints as they read the buckets, so only pairs within reach become rows.
 
-    nodes: (node, fingerprint columns), one row per node. A pair is a candidate if its fingerprints
-    in one of the tables differ by radius bits at most, and a link if same(left, right) holds; the
-    join compares whole fingerprints as it reads the buckets, so candidates never become rows.
     First each node is compared with the smallest node of its buckets; then pairs are looked up
-    whose nodes these links leave apart. A bucket of thousands is not probed at all: its nodes, and
-    those whose probes meet it, get the keys of the whole ball of half the radius, where sharing a
-    key is being within the radius; each is compared with the smallest node of its keys, and
-    the key's other nodes, if a comparison fails, with each other.
+    whose nodes these links leave apart, so a group of many near copies does not give all its pairs. A
+    bucket of thousands is not probed at all: its nodes, and those whose probes meet it, get the keys
+    of the whole ball of half the radius instead.
     """
-    count = nodes.count()
-    segments = _segments(radius, count)
-    far = lambda t: F.bit_count(F.col(f"x.{t}").bitwiseXOR(F.col(f"y.{t}"))) <= radius
+    segments = _segments(radius, nodes.count())
+
+    def near(t: str, x: str, y: str) -> Column:
+        differ = lambda c: F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}")))
+        close = differ(t) <= radius
+        return close & (differ(hint[0]) <= hint[1]) if hint else close
+
+    def checked(pairs: list[DataFrame]) -> DataFrame:
+        found = pairs[0]
+        for more in pairs[1:]:
+            found = found.union(more)
+        if not check:
+            return found
+        columns, bits = check
+        sides = [nodes.select(F.col("node").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in columns]) for s in "ab"]
+        both = found.distinct().join(sides[0], "a").join(sides[1], "b")
+        differ = sum(F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in columns)
+        return both.filter(differ <= bits).select("a", "b")
+
     stars = []
     for t in tables:
-        own = nodes.select("*", _keys(F.col(t), segments, False).alias("k")).select("*", "k.seg", "k.key").drop("k")
-        whole = F.struct("node", *[c for c in nodes.columns if c != "node"])
-        first = own.groupBy("seg", "key").agg(F.min(whole).alias("y"), F.count("*").alias("n")).filter("n > 1")
-        met = own.join(first, ["seg", "key"]).select(F.struct(*nodes.columns).alias("x"), "y")
-        met = met.filter((F.col("x.node") != F.col("y.node")) & far(t) & same("x", "y"))
+        carried = list(dict.fromkeys(["node", t, *([hint[0]] if hint else [])]))
+        own = _bucketed(nodes, carried, t, segments, False)
+        first = own.groupBy("seg", "key").agg(F.min(F.struct(*carried)).alias("y"), F.count("*").alias("n")).filter("n > 1")
+        met = own.join(first, ["seg", "key"]).select(F.struct(*carried).alias("x"), "y")
+        met = met.filter((F.col("x.node") != F.col("y.node")) & near(t, "x", "y"))
         stars.append(met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
-    edges = stars[0]
-    for more in stars[1:]:
-        edges = edges.union(more)
-    edges = materialize(edges, "stars")
-    grouped = components(edges)
-    marked = materialize(
-        nodes.join(grouped, "node", "left").select(nodes["*"], F.coalesce("component", "node").alias("part")), "nodes"
-    )
-    links = [edges]
+    edges = materialize(checked(stars), "stars")
+    marked = nodes.join(components(edges), "node", "left").select(nodes["*"], F.coalesce("component", "node").alias("part"))
+    marked = materialize(marked, "nodes")
+    pairs = []
     for t in tables:
-        own = marked.select("*", _keys(F.col(t), segments, False).alias("k")).select("*", "k.seg", "k.key").drop("k")
-        probes = marked.select("*", _keys(F.col(t), segments, True).alias("k")).select("*", "k.seg", "k.key").drop("k")
-        hot = materialize(own.groupBy("seg", "key").agg(F.count("*").alias("n")).filter(f"n > {HOT_BUCKET}").select("seg", "key"), "hot")
-        if not hot.isEmpty():
-            links.append(_dense(probes.join(hot, ["seg", "key"], "left_semi").select(marked.columns).distinct(), t, radius, same))
-            own = own.join(hot, ["seg", "key"], "left_anti")
+        carried = list(dict.fromkeys(["node", "part", t, *([hint[0]] if hint else [])]))
+        own, probes = (_bucketed(marked, carried, t, segments, probes) for probes in (False, True))
+        crowded = own.groupBy("seg", "key").agg(F.count("*").alias("n")).filter(f"n > {HOT_BUCKET}").select("seg", "key")
+        crowded = materialize(crowded, "crowded")
+        if not crowded.isEmpty():
+            pairs.append(materialize(_dense(probes.join(crowded, ["seg", "key"], "left_semi").select(carried).distinct(), t, radius, near), "pairs"))
+            own = own.join(crowded, ["seg", "key"], "left_anti")
         joined = probes.alias("x").join(
             own.alias("y"),
             (F.col("x.seg") == F.col("y.seg"))
             & (F.col("x.key") == F.col("y.key"))
             & (F.col("x.node") > F.col("y.node"))
             & (F.col("x.part") != F.col("y.part"))
-            & far(t)
-            & same("x", "y"),
+            & near(t, "x", "y"),
         )
-        links.append(joined.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
-    every = links[0]
-    for more in links[1:]:
-        every = every.union(more)
-    return components(every)
+        pairs.append(materialize(joined.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "pairs"))
+    return components(edges.union(checked(pairs)))
 
 
-def _dense(nodes: DataFrame, table: str, radius: int, same: Callable[[str, str], Column]) -> DataFrame:
-    """Links among the nodes of crowded buckets, by keys of the balls of half the radius.
+def _dense(nodes: DataFrame, table: str, radius: int, near: Callable[[str, str, str], Column]) -> DataFrame:
+    """Pairs that connect the nodes of crowded buckets, by keys of the balls of half the radius.
 
-    Two fingerprints share such a key just when they are within the radius (an odd radius takes the
-    next even one, and same() decides). Each node is compared with the smallest of each key; nodes
-    which that leaves apart from it are compared among themselves.
+    Two fingerprints share such a key if they are within the radius. Each node is paired with the
+    smallest of each of its keys that holds a node of another part: the two are within the radius too
+    (or one more, if it is odd: then the pair is left to the other nodes of the key). If a hint or an odd radius
+    parts them, the key's nodes are compared among themselves.
     """
-    half = -(-radius // 2)
-    masks = F.array(*[F.lit(m - (1 << 64) if m >> 63 else m).cast("long") for m in _ball(64, half)])
+    masks = F.array(*[F.lit(m - (1 << 64) if m >> 63 else m).cast("long") for m in _ball(64, -(-radius // 2))])
     keyed = nodes.select("*", F.explode(F.transform(masks, lambda m: F.col(table).bitwiseXOR(m))).alias("key"))
-    first = keyed.groupBy("key").agg(F.min(F.struct("node", *[c for c in nodes.columns if c != "node"])).alias("y"), F.count("*").alias("n"))
-    met = keyed.join(first.filter("n > 1"), "key").filter(F.col("node") != F.col("y.node"))
-    met = met.select("key", F.struct(*nodes.columns).alias("x"), "y").withColumn("near", same("x", "y"))
+    first = keyed.groupBy("key").agg(F.min(F.struct(*nodes.columns)).alias("y"), F.min("part").alias("p"), F.max("part").alias("q"))
+    met = keyed.join(first.filter("p <> q"), "key").filter(F.col("node") != F.col("y.node"))
+    met = met.select("key", F.struct(*nodes.columns).alias("x"), "y").withColumn("near", near(table, "x", "y"))
     direct = met.filter("near").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     rest = met.filter("not near").select("key", "x.*")
     others = rest.alias("x").join(
-        rest.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & same("x", "y")
+        rest.alias("y"),
+        (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & near(table, "x", "y"),
     )
     return direct.union(others.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))).distinct()
 
 
-def within(column: str, radius: int) -> Callable[[str, str], Column]:
-    """The test that two fingerprints of a column differ by radius bits at most."""
-    return lambda x, y: F.bit_count(F.col(f"{x}.{column}").bitwiseXOR(F.col(f"{y}.{column}"))) <= radius
-
-
 def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, id_col="doc_id", text_col="text") -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row.
 
@@ -212,7 +224,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, id_col="doc
     """
     made = materialize(fingerprints(docs, lambda t: [fingerprint(t, size)], ["fp"], id_col, text_col), "fingerprints")
     nodes = materialize(made.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    linked = link(nodes, ["fp"], radius, within("fp", radius))
+    linked = link(nodes, ["fp"], radius)
     named = nodes.join(linked, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return made.join(named, "fp", "left").select(
         "doc_id",
@@ -221,7 +233,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, id_col="doc
     )
 
 
-def similar_groups(docs: DataFrame, bits: int = 45, id_col="doc_id", text_col="text") -> DataFrame:
+def similar_groups(docs: DataFrame, bits: int = 48, id_col="doc_id", text_col="text") -> DataFrame:
     """(doc_id, component_id): groups of texts that share most of their five-word shingles.
 
     Two texts are near-duplicates if their 256-bit SimHashes over five-word shingles differ in at
@@ -235,9 +247,6 @@ def similar_groups(docs: DataFrame, bits: int = 45, id_col="doc_id", text_col="t
     made = materialize(fingerprints(docs, make, wide + narrow, id_col, text_col), "fingerprints")
     nodes = materialize(made.filter("doc_id is not null").groupBy(wide + narrow).agg(F.min("doc_id").alias("node")), "nodes")
 
-    def same(x: str, y: str) -> Column:
-        return sum(F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))) for w in wide) <= bits
-
-    linked = link(nodes, narrow, 5, same)
+    linked = link(nodes, narrow, 5, check=(wide, bits), hint=(wide[0], 20))
     named = nodes.join(linked, "node", "left").select(*wide, *narrow, F.coalesce("component", "node").alias("component_id"))
     return made.join(named, wide + narrow).select("doc_id", "component_id")
