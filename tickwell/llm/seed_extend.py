@@ -11,10 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwell.llm.spark import by_blocks
+from tickwell.llm.spark import block_count, by_blocks, planned_bytes, written
 from tickwell.llm.text import Spans, byte_spans, split_words
-from tickwell.llm.windows import Contexts, Lookup, covered, doc_ids, parts, report, runs, summed
-from tickwell.session import materialize
+from tickwell.llm.windows import Contexts, Lookup, covered, doc_ids, parts, report_recurring, runs, summed
 
 LENGTH = 13
 SEED = 5
@@ -82,7 +81,9 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_text: bo
     """
     blocked = by_blocks(docs, id_col, text_col, BLOCK_BYTES)
     read = _read(length, seed)
-    rows = summed(report(blocked, read))
+    blocks = block_count(docs, BLOCK_BYTES)
+    bits = min(56, max(24, planned_bytes(docs).bit_length() + 5))  # so that few anchors share them by chance
+    rows = summed(report_recurring(blocked, read, blocks, bits))
     rows = rows.filter("anchor_low < anchor_high and (several or high > context_low)")
     rows = rows.select("block", "anchor", "context", "context_low", "several")
 
@@ -133,11 +134,12 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_text: bo
             tables.append(pa.table([pa.array(given[f.name]) if f.name in given else pa.nulls(n, f.type) for f in _FIELDS], schema=pa.schema(_FIELDS)))
         return pa.concat_tables(tables)
 
-    joined = blocked.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(extend, _WRITTEN)
-    written = materialize(joined, "repeats")
-    lookups = written.filter(F.col("kind") == WINDOW).select("block", "h1", "h2", "low", "high")
+    sides = [blocked.groupBy("block"), rows.groupBy("block")]
+    del blocked, rows  # nothing but the plan itself may hold on to its shuffles once it is written
+    stored = written(sides.pop(0).cogroup(sides.pop(0)).applyInArrow(extend, _WRITTEN), "repeats")
+    lookups = stored.filter(F.col("kind") == WINDOW).select("block", "h1", "h2", "low", "high")
     lookups = lookups.withColumn("least", F.min("low").over(Window.partitionBy("h1", "h2"))).filter("high > least")
-    pending = written.filter(F.col("kind") == PENDING).select("block", "doc_id", "text", "state")
+    pending = stored.filter(F.col("kind") == PENDING).select("block", "doc_id", "text", "state")
 
     def settle(left: pa.Table, right: pa.Table) -> pa.Table:
         table = Lookup(right["h1"].to_numpy(), right["h2"].to_numpy())
@@ -161,5 +163,5 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_text: bo
         return pa.table([pa.array(c, f.type) for c, f in zip(made, _RESULT_FIELDS)], schema=pa.schema(_RESULT_FIELDS))
 
     settled = pending.groupBy("block").cogroup(lookups.groupBy("block")).applyInArrow(settle, _RESULT)
-    done = written.filter(F.col("kind") == DONE).select(*[f.name for f in _RESULT_FIELDS])
+    done = stored.filter(F.col("kind") == DONE).select(*[f.name for f in _RESULT_FIELDS])
     return done.unionByName(settled)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -10,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.session import materialize
+from tickwell.session import materialize, scratch_dir
 
 
 def planned_bytes(df: DataFrame) -> int:
@@ -28,6 +29,11 @@ def shuffle_parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def block_count(docs: DataFrame, block_bytes: int) -> int:
+    """Blocks of about block_bytes of text; texts take about twice the bytes of their files."""
+    return max(1, -(-2 * planned_bytes(docs) // block_bytes))
+
+
 def by_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int, carry: list[str] | None = None) -> DataFrame:
     """(block, doc_id, text, rest), spread over blocks of about block_bytes by a hash of the id.
 
@@ -35,7 +41,7 @@ def by_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int, car
     The number of blocks grows with the input, so a block fits a task at any size.
     Rows without an id are spread by their text.
     """
-    blocks = max(1, -(-2 * planned_bytes(docs) // block_bytes))
+    blocks = block_count(docs, block_bytes)
     doc_id = F.col(f"`{id_col}`").cast("long")
     text = F.col(f"`{text_col}`").cast("string")
     block = F.when(doc_id.isNull(), F.xxhash64(text)).otherwise(F.xxhash64(doc_id))
@@ -44,6 +50,17 @@ def by_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int, car
     return chosen.repartition(shuffle_parts(docs), "block")
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """A table written once to the shared folder, well compressed; shuffles that nothing refers to any more go."""
+    path = scratch_dir(df.sparkSession, label)
+    spark, schema = df.sparkSession, df.schema
+    df.write.option("compression", "zstd").parquet(path)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()  # Spark removes the files of shuffles once their plans are collected
+    return spark.read.schema(schema).parquet(path)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node each node of the undirected edges (a, b) reaches.
 

@@ -11,10 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwell.llm.spark import by_blocks, shuffle_parts
+from tickwell.llm.spark import by_blocks, shuffle_parts, written
 from tickwell.llm.text import Spans, byte_spans, byte_values
 from tickwell.llm.windows import Contexts, Lookup, covered, doc_ids, parts, report, runs, summed
-from tickwell.session import materialize
 
 LENGTH = 400
 SEED = 32
@@ -351,11 +350,12 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_kept: bo
             outs.append(_rows(none, kind=np.full(len(ship), CONTEXT), block=np.full(len(ship), block), h1=keys[:, 0], h2=keys[:, 1], bytes=[x for _, _, x in ship]))
         return pa.concat_tables(outs)
 
-    joined = blocked.groupBy("block").cogroup(rows.groupBy("block")).applyInArrow(find, _WRITTEN + rest)
-    written = materialize(joined, "repeats")
-    hashes = written.filter(F.col("kind") == WINDOW).select("block", "h1", "h2", "times")
+    sides = [blocked.groupBy("block"), rows.groupBy("block")]
+    del blocked, rows  # nothing but the plan itself may hold on to its shuffles once it is written
+    stored = written(sides.pop(0).cogroup(sides.pop(0)).applyInArrow(find, _WRITTEN + rest), "repeats")
+    hashes = stored.filter(F.col("kind") == WINDOW).select("block", "h1", "h2", "times")
     counted = hashes.withColumn("n", F.sum("times").over(Window.partitionBy("h1", "h2"))).filter("n > 1")
-    shipped = written.filter(F.col("kind") == CONTEXT).select("block", "h1", "h2", "bytes")
+    shipped = stored.filter(F.col("kind") == CONTEXT).select("block", "h1", "h2", "bytes")
     total = shipped.agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0))).first()[0]
     shards = max(1, -(-total // SHARD_BYTES))
 
@@ -374,7 +374,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_kept: bo
     sorted_ = sharded.groupBy("shard").applyInArrow(sort_shard, "block long, h1 long, h2 long, starts binary")
     # A context's result goes to every block that holds it and waits: its own, as others were settled by count.
     found = sorted_.unionByName(counted.select("block", "h1", "h2", F.lit(None).cast("binary").alias("starts")))
-    pending = written.filter(F.col("kind") == PENDING).select("block", "doc_id", "text", "state", "rest")
+    pending = stored.filter(F.col("kind") == PENDING).select("block", "doc_id", "text", "state", "rest")
 
     def settle(left: pa.Table, right: pa.Table) -> pa.Table:
         lists = right["starts"].to_pylist()
@@ -408,7 +408,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_kept: bo
         return table.append_column("rest", left["rest"])
 
     settled = pending.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(settle, _RESULT + rest)
-    done = written.filter(F.col("kind") == DONE).select(*[f.name for f in _RESULT_FIELDS], "rest")
+    done = stored.filter(F.col("kind") == DONE).select(*[f.name for f in _RESULT_FIELDS], "rest")
     return done.unionByName(settled)
 
 

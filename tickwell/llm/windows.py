@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -120,6 +121,25 @@ def parts(texts: list, size: int) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
+def _reports(batches: Iterator[pa.RecordBatch], read, part_bytes: int, chosen=None) -> Iterator[pa.RecordBatch]:
+    held: list[tuple[np.ndarray, ...]] = []
+    size = 0
+    for batch in batches:
+        blocks = batch.column(0).to_numpy(zero_copy_only=False)
+        ids = doc_ids(batch.column(1))
+        texts = [(t or "").encode() for t in batch.column(2).to_pylist()]
+        for part in parts(texts, part_bytes):
+            found = read(texts[part])
+            rows = (blocks[part][found.of], found.anchor, found.context, ids[part][found.of])
+            held.append(rows if chosen is None else tuple(c[chosen(found.anchor)] for c in rows))
+            size += len(held[-1][0])
+            if size > _ROWS:
+                yield reported(*(np.concatenate(c) for c in zip(*held)))
+                held, size = [], 0
+    if size:
+        yield reported(*(np.concatenate(c) for c in zip(*held)))
+
+
 def report(blocked: DataFrame, read, part_bytes: int = 4 << 20) -> DataFrame:
     """REPORT rows of (block, doc_id, text): read turns a list of byte strings into Contexts.
 
@@ -128,25 +148,72 @@ def report(blocked: DataFrame, read, part_bytes: int = 4 << 20) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-        size = 0
-        for batch in batches:
-            blocks = batch.column(0).to_numpy(zero_copy_only=False)
-            ids = doc_ids(batch.column(1))
-            texts = [(t or "").encode() for t in batch.column(2).to_pylist()]
-            for part in parts(texts, part_bytes):
-                found = read(texts[part])
-                held.append((blocks[part][found.of], found.anchor, found.context, ids[part][found.of]))
-                size += len(found.of)
-                if size > _ROWS:
-                    yield reported(*(np.concatenate(c) for c in zip(*held)))
-                    held, size = [], 0
-        if size:
-            yield reported(*(np.concatenate(c) for c in zip(*held)))
+        return _reports(batches, read, part_bytes)
 
     return blocked.select("block", "doc_id", "text").mapInArrow(run, REPORT_SCHEMA)
 
 
+def report_recurring(blocked: DataFrame, read, blocks: int, bits: int, part_bytes: int = 4 << 20) -> DataFrame:
+    """REPORT rows of the anchors that occur twice, and of a few others.
+
+    First each block sends the leading bits of its anchors, sorted and packed by ranges of their
+    values, two or three bytes each; a range's task sends back those that several blocks hold.
+    """
+    shift = np.uint64(64 - bits)
+    width = np.uint64(-(-(1 << bits) // blocks))
+
+    def packed(values: np.ndarray) -> bytes:
+        return zlib.compress(np.diff(values, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+    def unpacked(data: bytes) -> np.ndarray:
+        planes = np.frombuffer(zlib.decompress(data), dtype=np.uint8).reshape(8, -1)
+        return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
+
+    def send(table: pa.Table) -> pa.Table:
+        texts = [(t or "").encode() for t in table["text"].to_pylist()]
+        found = [read(texts[part]).anchor >> shift for part in parts(texts, part_bytes)]
+        values, times = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
+        ranges = (values // width).astype(np.int64)
+        cuts = np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1])) if len(values) else []
+        lists = [values[i:j] for i, j in zip(cuts, [*cuts[1:], len(values)])]
+        n = len(lists)
+        block = table["block"][0].as_py() if len(table) else 0
+        own = [zlib.compress(np.packbits(times[i:j] > 1).tobytes(), 1) for i, j in zip(cuts, [*cuts[1:], len(values)])]
+        return pa.table(
+            [pa.array(np.full(n, block, np.int64)), pa.array([int(ranges[i]) for i in cuts], pa.int64()), pa.array([packed(x) for x in lists], pa.binary()), pa.array(own, pa.binary())],
+            names=["block", "range", "data", "twice"],
+        )
+
+    def answer(table: pa.Table) -> pa.Table:
+        lists = [unpacked(x) for x in table["data"].to_pylist()]
+        twice = [np.unpackbits(np.frombuffer(zlib.decompress(x), np.uint8), count=len(v)).astype(bool) for x, v in zip(table["twice"].to_pylist(), lists)]
+        values, times = np.unique(np.concatenate(lists), return_counts=True)
+        shared = values[times > 1]
+        kept = []
+        for own, often in zip(lists, twice):
+            at = np.minimum(np.searchsorted(shared, own), max(0, len(shared) - 1))
+            kept.append(own[often | (shared[at] == own if len(shared) else False)])
+        return pa.table([table["block"], pa.array([packed(k) for k in kept], pa.binary())], names=["block", "data"])
+
+    sent = blocked.select("block", "text").groupBy("block").applyInArrow(send, "block long, range long, data binary, twice binary")
+    back = sent.groupBy("range").applyInArrow(answer, "block long, data binary")
+
+    def tell(left: pa.Table, right: pa.Table) -> pa.Table:
+        recurring = np.unique(np.concatenate([unpacked(x) for x in right["data"].to_pylist()] or [np.zeros(0, np.uint64)]))
+
+        def chosen(anchor: np.ndarray) -> np.ndarray:
+            if not len(recurring):
+                return np.zeros(len(anchor), bool)
+            own = anchor >> shift
+            return recurring[np.minimum(np.searchsorted(recurring, own), len(recurring) - 1)] == own
+
+        made = list(_reports(iter(left.combine_chunks().to_batches()), read, part_bytes, chosen))
+        return pa.Table.from_batches(made) if made else pa.table([pa.array([], pa.int64())] * len(REPORT), names=REPORT)
+
+    docs = blocked.select("block", "doc_id", "text").groupBy("block")
+    return docs.cogroup(back.groupBy("block")).applyInArrow(tell, REPORT_SCHEMA)
+
+
 def doc_ids(column: pa.Array) -> np.ndarray:
     return column.fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
 
