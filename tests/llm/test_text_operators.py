@@ -182,7 +182,8 @@ def test_reparameterised_questions(spark, docs, awkward):
     ]
     found = {(r.doc_id, r.item_id): r.n_windows for r in decontaminate.contaminated(docs(rows), bench).collect()}
     assert {k for k in found if k[0] != 22} == {(20, 1), (21, 1), (24, 2)}
-    assert found[20, 1] == found[21, 1] > found.get((22, 1), 0)
+    # A name that begins a sentence cannot be told from a word, so the first window of 21 differs.
+    assert found[21, 1] == found[20, 1] - 1 > found.get((22, 1), 0)
     assert decontaminate.contaminated(docs([]), bench).collect() == []
     assert decontaminate.contaminated(docs(rows), bench.limit(0)).collect() == []
 
