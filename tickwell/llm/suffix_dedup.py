@@ -8,18 +8,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwell.llm.spark import by_blocks, shuffle_parts, written
+from tickwell.llm.spark import block_count, by_blocks, shuffle_parts, written
 from tickwell.llm.text import Spans, byte_spans, byte_values
-from tickwell.llm.windows import Contexts, Lookup, covered, doc_ids, parts, report, runs, summed
+from tickwell.llm.windows import Contexts, Lookup, covered, packed_rows, parts, report, runs, settled, summed, unpacked_windows
 
 LENGTH = 400
 SEED = 32
 BLOCK_BYTES = 16 << 20
 # Bytes of a suffix array's shard; an anchor with more contexts than CONTEXTS counts window hashes instead.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 18
 CONTEXTS = 1024
 _PART_BYTES = 2 << 20
 
@@ -159,17 +159,18 @@ def suffix_array(s: np.ndarray, size: int | None = None) -> np.ndarray:
     return induce(s, small, counts, left[inner])
 
 
-def common_prefixes(s: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
+def common_prefixes(s: np.ndarray, order: np.ndarray, most: int, room: np.ndarray | None = None) -> np.ndarray:
     """Permuted common prefixes: of each suffix with the one before it in order, up to most.
 
     By position i, the value is at least that of i - 1 less one, so it grows along the text; here
     whole positions are settled at once by doubling steps over span hashes, longest step first.
+    room leaves positions with less than most units of text to 0.
     """
     n = len(s)
     before = np.full(n, -1, dtype=np.int64)
     before[order[1:]] = order[:-1]
     spans = Spans(s.astype(np.uint64) * np.uint64(0xD1342543DE82EF95) + np.uint64(3))
-    at = np.flatnonzero(before >= 0)
+    at = np.flatnonzero((before >= 0) & (room >= most if room is not None else True))
     a, b = at.copy(), before[at]
     made = np.zeros(len(at), dtype=np.int64)
     step = 1 << (most.bit_length() - 1)
@@ -198,10 +199,9 @@ def repeated(texts: list[bytes], length: int) -> list[np.ndarray]:
     joined[np.arange(len(data)) + owner] = code[data]
     joined[begins + sizes] = 1  # ends a text; what lies beyond it never counts
     order = suffix_array(joined, len(values) + 2)
-    prefix = common_prefixes(joined, order, length)
     room = np.zeros(len(joined), dtype=np.int64)
     room[np.arange(len(data)) + owner] = np.repeat(begins + sizes, sizes) - (np.arange(len(data)) + owner)
-    prefix = np.where(room >= length, prefix, 0)
+    prefix = common_prefixes(joined, order, length, room)
     full = prefix >= length
     follows = np.append(full[order[1:]], False)
     mark = np.zeros(len(joined), dtype=bool)
@@ -217,9 +217,9 @@ _FIELDS = [
     pa.field("kind", pa.int32()), pa.field("block", pa.int64()), pa.field("doc_id", pa.int64()), pa.field("n_bytes", pa.int64()),
     pa.field("n_removed", pa.int64()), pa.field("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
     pa.field("kept_sha256", pa.string()), pa.field("kept", pa.string()), pa.field("text", pa.string()), pa.field("state", pa.binary()),
-    pa.field("h1", pa.int64()), pa.field("h2", pa.int64()), pa.field("times", pa.int64()), pa.field("bytes", pa.binary()),
+    pa.field("h1", pa.int64()), pa.field("h2", pa.int64()), pa.field("range", pa.int64()), pa.field("bytes", pa.binary()),
 ]
-_WRITTEN = f"kind int, block long, {_RESULT}, text string, state binary, h1 long, h2 long, times long, bytes binary"
+_WRITTEN = f"kind int, block long, {_RESULT}, text string, state binary, h1 long, h2 long, range long, bytes binary"
 _RESULT_FIELDS = _FIELDS[2:8]
 DONE, PENDING, WINDOW, CONTEXT = 0, 1, 2, 3
 
@@ -280,6 +280,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_kept: bo
     blocked = by_blocks(docs, id_col, text_col, BLOCK_BYTES, carry)
     rest = f", rest {blocked.schema['rest'].dataType.simpleString()}"
     read = _read(length, seed)
+    ranges = block_count(docs, BLOCK_BYTES)
     rows = summed(report(blocked, read, _PART_BYTES)).filter("anchor_times > 1")
     rows = rows.select("block", "anchor", "context", "context_times", "context_block", "several", "anchor_contexts")
 
@@ -292,22 +293,22 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_kept: bo
         texts = [(t or "").encode() for t in left["text"].to_pylist()]
         states: list[np.ndarray] = []
         crowd_seen: list[np.ndarray] = []
-        chunks = []
-        for part in parts(texts, _PART_BYTES):  # a first look: how often crowded anchors' contexts stand in this block
-            contexts = read(texts[part])
-            row, crowd = table(contexts.anchor, contexts.context), table.crowded(contexts.anchor)
-            chunks.append((part, row, crowd))
-            crowd_seen.append(contexts.context[crowd >= 0] ^ contexts.anchor[crowd >= 0])
+        if table.any_crowd():  # a first look: how often crowded anchors' contexts stand in this block
+            for part in parts(texts, _PART_BYTES):
+                contexts = read(texts[part])
+                crowd = table.crowded(contexts.anchor) >= 0
+                crowd_seen.append(contexts.context[crowd] ^ contexts.anchor[crowd])
         seen, often = np.unique(np.concatenate(crowd_seen) if crowd_seen else np.zeros(0, np.uint64), return_counts=True)
         sent: set[tuple[int, int]] = set()
         outs: list[pa.Table] = []
         made: list[list] = [[] for _ in _FIELDS]
         windows: list[tuple[np.ndarray, np.ndarray]] = []
         ship: list[tuple[int, int, bytes]] = []
-        for part, row, crowd in chunks:
+        for part in parts(texts, _PART_BYTES):
             data = Bytes(texts[part])
             values = data.values()
             contexts = Contexts(values, data.bounds, length, seed)
+            row, crowd = table(contexts.anchor, contexts.context), table.crowded(contexts.anchor)
             here = np.where(row >= 0, times[row], 0)
             if len(seen):
                 at = np.minimum(np.searchsorted(seen, contexts.context ^ contexts.anchor), len(seen) - 1)
@@ -344,7 +345,8 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_kept: bo
         if windows:
             h = np.concatenate([np.stack(w, 1) for w in windows])
             h, n = np.unique(h, axis=0, return_counts=True)
-            outs.append(_rows(none, kind=np.full(len(h), WINDOW), block=np.full(len(h), block), h1=h[:, 0].view(np.int64), h2=np.ascontiguousarray(h[:, 1]).view(np.int64), times=n))
+            rows_ = packed_rows(block, ranges, np.ascontiguousarray(h[:, 0]), np.ascontiguousarray(h[:, 1]), n, n)
+            outs.append(_rows(none, kind=[WINDOW] * len(rows_), block=[r[0] for r in rows_], range=[r[1] for r in rows_], bytes=[r[2] for r in rows_]))
         if ship:
             keys = np.array([(a, c) for a, c, _ in ship], dtype=np.uint64).view(np.int64)
             outs.append(_rows(none, kind=np.full(len(ship), CONTEXT), block=np.full(len(ship), block), h1=keys[:, 0], h2=keys[:, 1], bytes=[x for _, _, x in ship]))
@@ -353,8 +355,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_kept: bo
     sides = [blocked.groupBy("block"), rows.groupBy("block")]
     del blocked, rows  # nothing but the plan itself may hold on to its shuffles once it is written
     stored = written(sides.pop(0).cogroup(sides.pop(0)).applyInArrow(find, _WRITTEN + rest), "repeats")
-    hashes = stored.filter(F.col("kind") == WINDOW).select("block", "h1", "h2", "times")
-    counted = hashes.withColumn("n", F.sum("times").over(Window.partitionBy("h1", "h2"))).filter("n > 1")
+    counted = settled(stored.filter(F.col("kind") == WINDOW).select("block", "range", F.col("bytes").alias("data")), _recurring)
     shipped = stored.filter(F.col("kind") == CONTEXT).select("block", "h1", "h2", "bytes")
     total = shipped.agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0))).first()[0]
     shards = max(1, -(-total // SHARD_BYTES))
@@ -370,19 +371,21 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_kept: bo
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["block", "h1", "h2", "starts"])
 
-    sharded = shipped.withColumn("shard", F.pmod(F.xxhash64("h1"), F.lit(shards))).repartition(max(shuffle_parts(docs), min(shards, 4096)), "shard")
+    sharded = shipped.withColumn("shard", F.pmod(F.xxhash64("h1"), F.lit(shards))).repartition(max(shuffle_parts(docs), shards // 8), "shard")
     sorted_ = sharded.groupBy("shard").applyInArrow(sort_shard, "block long, h1 long, h2 long, starts binary")
     # A context's result goes to every block that holds it and waits: its own, as others were settled by count.
-    found = sorted_.unionByName(counted.select("block", "h1", "h2", F.lit(None).cast("binary").alias("starts")))
+    none = F.lit(None).cast("long")
+    found = sorted_.unionByName(counted.select("block", none.alias("h1"), none.alias("h2"), F.col("data").alias("starts")))
     pending = stored.filter(F.col("kind") == PENDING).select("block", "doc_id", "text", "state", "rest")
 
     def settle(left: pa.Table, right: pa.Table) -> pa.Table:
         lists = right["starts"].to_pylist()
-        is_context = np.array([x is not None for x in lists], dtype=bool)
-        first, second = right["h1"].to_numpy(), right["h2"].to_numpy()
-        by_context = Lookup(first[is_context], second[is_context])
-        starts_of = [np.frombuffer(zlib.decompress(x), dtype=np.int32) for x in lists if x is not None]
-        by_window = Lookup(first[~is_context], second[~is_context])
+        first, second = right["h1"].to_pylist(), right["h2"].to_pylist()
+        own_ = [i for i, h in enumerate(first) if h is not None]
+        by_context = Lookup(*(np.array([h[i] for i in own_], dtype=np.int64) for h in (first, second)))
+        starts_of = [np.frombuffer(zlib.decompress(lists[i]), dtype=np.int32) for i in own_]
+        windows = unpacked_windows([x for x, h in zip(lists, first) if h is None], 3)
+        by_window = Lookup(windows[0], windows[1])
         texts = [t.encode() for t in left["text"].to_pylist()]
         states = [np.frombuffer(zlib.decompress(s), dtype=np.uint8) for s in left["state"].to_pylist()]
         made: list[list] = [[] for _ in _RESULT_FIELDS]
@@ -407,9 +410,15 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_kept: bo
         table = pa.table([pa.array(c, f.type) for c, f in zip(made, _RESULT_FIELDS)], schema=pa.schema(_RESULT_FIELDS))
         return table.append_column("rest", left["rest"])
 
-    settled = pending.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(settle, _RESULT + rest)
+    finished = pending.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(settle, _RESULT + rest)
     done = stored.filter(F.col("kind") == DONE).select(*[f.name for f in _RESULT_FIELDS], "rest")
-    return done.unionByName(settled)
+    return done.unionByName(finished)
+
+
+def _recurring(times: np.ndarray, _: np.ndarray, group: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows that occur more than once over all blocks."""
+    total = np.bincount(group, times, groups).astype(np.int64)[group]
+    return total > 1, total
 
 
 def _window_hashes(raw: np.ndarray, values: np.ndarray, contexts: Contexts, i: int, length: int) -> tuple[np.ndarray, np.ndarray]:

@@ -257,6 +257,9 @@ class Lookup:
         row = self.order[at]
         return np.where((self.first[row] == first) & (self.second[row] == second), row, -1)
 
+    def any_crowd(self) -> bool:
+        return bool((self.second == _CROWD).any())
+
     def crowded(self, anchor: np.ndarray) -> np.ndarray:
         return self(anchor, np.full(len(anchor), _CROWD))
 
@@ -274,3 +277,50 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs that are set."""
     edges = np.flatnonzero(np.diff(np.concatenate([[False], mask, [False]]).astype(np.int8)))
     return edges[::2], edges[1::2]
+
+
+def packed_rows(block: int, ranges: int, h1: np.ndarray, h2: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, bytes]]:
+    """(block, range, data): sorted window hashes with two numbers each, packed by ranges of their values."""
+    at = (h1 // np.uint64(-(-(1 << 64) // ranges)) if ranges > 1 else np.zeros(len(h1))).astype(np.int64)
+    cuts = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else []
+    columns = (h1, h2, x.view(np.uint64), y.view(np.uint64))
+    return [(block, int(at[i]), packed_window(*(c[i:j] for c in columns))) for i, j in zip(cuts, [*cuts[1:], len(at)])]
+
+
+def packed_window(*columns: np.ndarray) -> bytes:
+    return zlib.compress(np.concatenate([np.ascontiguousarray(c, dtype="<u8") for c in columns]).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpacked_windows(data: list[bytes], columns: int) -> np.ndarray:
+    """The columns of several packed lists, one after the other."""
+    made = [np.zeros((columns, 0), np.uint64)]
+    for d in data:
+        planes = np.frombuffer(zlib.decompress(d), dtype=np.uint8).reshape(8, -1)
+        made.append(np.ascontiguousarray(planes.T).view("<u8").ravel().reshape(columns, -1))
+    return np.concatenate(made, axis=1)
+
+
+def settled(rows: DataFrame, keep) -> DataFrame:
+    """(block, data) of (block, range, data): what each block has to know of its own windows.
+
+    keep(x, y, group, groups) takes the numbers of all blocks' rows of some windows and says which rows
+    go back, and with which number; it is called with every row of a window.
+    """
+
+    def answer(table: pa.Table) -> pa.Table:
+        data = table["data"].to_pylist()
+        lists = [unpacked_windows([d], 4) for d in data]
+        h1, h2, x, y = np.concatenate(lists, axis=1)
+        order = np.lexsort((h2, h1))
+        new = np.append(True, (h1[order][1:] != h1[order][:-1]) | (h2[order][1:] != h2[order][:-1]))
+        group = np.empty(len(h1), np.int64)
+        group[order] = np.cumsum(new) - 1
+        kept, number = keep(x.view(np.int64), y.view(np.int64), group, int(new.sum()))
+        bounds = np.cumsum([0, *[a.shape[1] for a in lists]])
+        back = []
+        for i, j in zip(bounds[:-1], bounds[1:]):
+            at = i + np.flatnonzero(kept[i:j])
+            back.append(packed_window(h1[at], h2[at], number[at].view(np.uint64)))
+        return pa.table([table["block"], pa.array(back, pa.binary())], names=["block", "data"])
+
+    return rows.groupBy("range").applyInArrow(answer, "block long, data binary")
