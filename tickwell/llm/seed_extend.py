@@ -8,12 +8,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwell.llm.spark import block_count, by_blocks, planned_bytes, written
 from tickwell.llm.text import Spans, byte_spans, split_words
-from tickwell.llm.windows import Contexts, Lookup, covered, doc_ids, parts, report_recurring, runs, summed
+from tickwell.llm.windows import Contexts, Lookup, covered, doc_ids, packed_rows, parts, report_recurring, runs, settled, summed, unpacked_windows
 
 LENGTH = 13
 SEED = 5
@@ -24,9 +24,9 @@ _FIELDS = [
     pa.field("kind", pa.int32()), pa.field("block", pa.int64()), pa.field("doc_id", pa.int64()), pa.field("n_words", pa.int64()),
     pa.field("n_removed", pa.int64()), pa.field("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
     pa.field("kept_sha256", pa.string()), pa.field("kept_text", pa.string()), pa.field("text", pa.string()),
-    pa.field("state", pa.binary()), pa.field("h1", pa.int64()), pa.field("h2", pa.int64()), pa.field("low", pa.int64()), pa.field("high", pa.int64()),
+    pa.field("state", pa.binary()), pa.field("range", pa.int64()), pa.field("data", pa.binary()),
 ]
-_WRITTEN = f"kind int, block long, {_RESULT}, text string, state binary, h1 long, h2 long, low long, high long"
+_WRITTEN = f"kind int, block long, {_RESULT}, text string, state binary, range long, data binary"
 _RESULT_FIELDS = _FIELDS[2:8]
 DONE, PENDING, WINDOW = 0, 1, 2
 
@@ -64,6 +64,13 @@ def _kept(text: bytes, gone: np.ndarray | None, with_text: bool) -> list:
     return [len(words), removed, spans, hashlib.sha256(left).hexdigest(), left.decode() if with_text else None]
 
 
+def _earlier(low: np.ndarray, high: np.ndarray, group: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows that another text holds first, with the least doc_id."""
+    least = np.full(groups, np.iinfo(np.int64).max)
+    np.minimum.at(least, group, low)
+    return high > least[group], least[group]
+
+
 def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_text: bool = False, id_col="doc_id", text_col="text") -> DataFrame:
     """(doc_id, n_words, n_removed, spans, kept_sha256, kept_text) of every row.
 
@@ -119,7 +126,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_text: bo
                 else:
                     gone = covered(own == 1, length, len(own) + length)[: len(own)] if own.any() else None
                     values_ = [DONE, block, doc_id, *_kept(text, gone, with_text), None, None]
-                for column, value in zip(made, [*values_, None, None, None, None]):
+                for column, value in zip(made, [*values_, None, None]):
                     column.append(value)
         tables = [pa.table([pa.array(c, f.type) for c, f in zip(made, _FIELDS)], schema=pa.schema(_FIELDS))]
         if found:
@@ -128,22 +135,22 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_text: bo
             h1, h2, who = h1[order], h2[order], who[order]
             starts = np.flatnonzero(np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])))
             ends = np.append(starts[1:], len(h1)) - 1
-            given = {"h1": h1[starts].view(np.int64), "h2": h2[starts].view(np.int64), "low": who[starts], "high": who[ends]}
-            n = len(starts)
-            given |= {"kind": np.full(n, WINDOW, np.int32), "block": np.full(n, block, np.int64)}
-            tables.append(pa.table([pa.array(given[f.name]) if f.name in given else pa.nulls(n, f.type) for f in _FIELDS], schema=pa.schema(_FIELDS)))
+            rows_ = packed_rows(block, blocks, h1[starts], h2[starts], who[starts], who[ends])
+            given = {"kind": [WINDOW] * len(rows_), **{n: [r[i] for r in rows_] for i, n in enumerate(("block", "range", "data"))}}
+            columns = [pa.array(given[f.name], f.type) if f.name in given else pa.nulls(len(rows_), f.type) for f in _FIELDS]
+            tables.append(pa.table(columns, schema=pa.schema(_FIELDS)))
         return pa.concat_tables(tables)
 
     sides = [blocked.groupBy("block"), rows.groupBy("block")]
     del blocked, rows  # nothing but the plan itself may hold on to its shuffles once it is written
     stored = written(sides.pop(0).cogroup(sides.pop(0)).applyInArrow(extend, _WRITTEN), "repeats")
-    lookups = stored.filter(F.col("kind") == WINDOW).select("block", "h1", "h2", "low", "high")
-    lookups = lookups.withColumn("least", F.min("low").over(Window.partitionBy("h1", "h2"))).filter("high > least")
+    lookups = settled(stored.filter(F.col("kind") == WINDOW).select("block", "range", "data"), _earlier)
     pending = stored.filter(F.col("kind") == PENDING).select("block", "doc_id", "text", "state")
 
     def settle(left: pa.Table, right: pa.Table) -> pa.Table:
-        table = Lookup(right["h1"].to_numpy(), right["h2"].to_numpy())
-        least = np.append(right["least"].to_numpy(), np.iinfo(np.int64).max)
+        h1, h2, first_in = unpacked_windows(right["data"].to_pylist(), 3)
+        table = Lookup(h1, h2)
+        least = np.append(first_in.view(np.int64), np.iinfo(np.int64).max)
         ids = doc_ids(left["doc_id"].combine_chunks())
         texts = [t.encode() for t in left["text"].to_pylist()]
         states = [np.frombuffer(zlib.decompress(s), dtype=np.uint8) for s in left["state"].to_pylist()]
@@ -162,6 +169,6 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_text: bo
                     column.append(value)
         return pa.table([pa.array(c, f.type) for c, f in zip(made, _RESULT_FIELDS)], schema=pa.schema(_RESULT_FIELDS))
 
-    settled = pending.groupBy("block").cogroup(lookups.groupBy("block")).applyInArrow(settle, _RESULT)
+    finished = pending.groupBy("block").cogroup(lookups.groupBy("block")).applyInArrow(settle, _RESULT)
     done = stored.filter(F.col("kind") == DONE).select(*[f.name for f in _RESULT_FIELDS])
-    return done.unionByName(settled)
+    return done.unionByName(finished)
