@@ -1,9 +1,11 @@
+import os
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tickwell.functions import keys
+from tickwell.operators import landing
 from tickwell.operators.landing import land_raw, read_batch, read_landed, read_raw
 from tickwell.session import create_root
 
@@ -11,7 +13,7 @@ SCHEMA = "kind string, coin_id string, fetched_at timestamp_ntz, payload string"
 
 
 def at(hour, day=15):
-    return datetime(2026, 8, day, hour)
+    return datetime(2031, 3, day, hour)
 
 
 def stored(spark, root):
@@ -21,37 +23,37 @@ def stored(spark, root):
 
 def test_raw_key(spark):
     rows = spark.createDataFrame(
-        [("coins/markets",), ("/coins/bitcoin/market_chart/",)], "prefix string"
+        [("coins/markets",), ("/coins/harbour/market_chart/",)], "prefix string"
     )
-    when = F.lit("2026-08-15 14:30:00").cast("timestamp_ntz")
+    when = F.lit("2031-03-09 16:45:00").cast("timestamp_ntz")
     got = [r[0] for r in rows.select(keys.raw_key(F.col("prefix"), when)).collect()]
     assert got == [
-        "raw/coins/markets/date=2026-08-15/fetched_at=2026-08-15T14-30-00Z.json",
-        "raw/coins/bitcoin/market_chart/date=2026-08-15/fetched_at=2026-08-15T14-30-00Z.json",
+        "raw/coins/markets/date=2031-03-09/fetched_at=2031-03-09T16-45-00Z.json",
+        "raw/coins/harbour/market_chart/date=2031-03-09/fetched_at=2031-03-09T16-45-00Z.json",
     ]
 
 
 def test_raw_key_converts_an_offset_to_utc(spark):
-    when = F.lit("2026-08-15T03:00:00+07:00").cast("timestamp")
+    when = F.lit("2031-03-09T03:00:00+07:00").cast("timestamp")
     key = spark.range(1).select(keys.raw_key(F.lit("global"), when)).first()[0]
-    assert key == "raw/global/date=2026-08-14/fetched_at=2026-08-14T20-00-00Z.json"
+    assert key == "raw/global/date=2031-03-08/fetched_at=2031-03-08T20-00-00Z.json"
 
 
 def test_paths_read_back(spark):
-    path = "s3://x/raw/coins/usd-coin/market_chart/date=2026-08-15/fetched_at=2026-08-15T14-30-00Z.json"
-    df = spark.createDataFrame([(path,), ("s3://x/raw/global/date=2026-08-15/other.json",)], "p string")
+    path = "s3://x/raw/coins/usd-coin/market_chart/date=2031-03-09/fetched_at=2031-03-09T16-45-00Z.json"
+    df = spark.createDataFrame([(path,), ("s3://x/raw/global/date=2031-03-09/other.json",)], "p string")
     p = F.col("p")
     good, bad = df.select(
         keys.kind_of(p), keys.coin_of(p), keys.fetched_at_of(p, lenient=True), keys.chart_coin_of(p)
     ).collect()
-    assert tuple(good) == ("market_chart", "usd-coin", datetime(2026, 8, 15, 14, 30), "usd-coin")
+    assert tuple(good) == ("market_chart", "usd-coin", datetime(2031, 3, 9, 16, 45), "usd-coin")
     assert tuple(bad) == ("global", "", None, "")
     with pytest.raises(Exception):
         df.select(keys.fetched_at_of(p)).collect()
 
 
 def test_landing_keeps_the_text(spark, root):
-    text = '[{"id":"bitcoin","price":60000, "tên":"đồng \\u00e9 €"}]'
+    text = '[{"id":"harbour","price":3.75, "tên":"đồng \\u00e9 €"}]'
     df = spark.createDataFrame([("coins_markets", None, at(10), text)], SCHEMA)
     landed = land_raw(df, root)
     assert landed.rows == 1
@@ -132,3 +134,30 @@ def test_odd_coin_ids_survive(spark, root):
     rows = [("market_chart", c, at(1), c) for c in ("1", "007", "a/b", "x y", "đồng", "k=v")]
     land_raw(spark.createDataFrame(rows, SCHEMA), root)
     assert all(r[1] == r[3] for r in stored(spark, root)) and len(stored(spark, root)) == 6
+
+
+def test_runs_keep_each_others_data(spark, root, monkeypatch):
+    """A run that lands another fetch of the same day between the steps of a rerun loses nothing."""
+    land_raw(spark.createDataFrame([("market_chart", "a", at(1), "1")], SCHEMA), root)
+    note, between = landing._note_replaced, spark.createDataFrame([("market_chart", "b", at(1), "b")], SCHEMA)
+
+    def interrupted(session, landed):
+        monkeypatch.setattr(landing, "_note_replaced", note)
+        land_raw(between, root)
+        note(session, landed)
+
+    monkeypatch.setattr(landing, "_note_replaced", interrupted)
+    land_raw(spark.createDataFrame([("market_chart", "a", at(1), "2")], SCHEMA), root)
+    assert [r[3] for r in stored(spark, root)] == ["2", "b"]
+    assert landing.read_versions(spark, root).count() == 3
+    day = at(1).date()
+    landing.compact(spark, root, (day, day))
+    assert landing.read_versions(spark, root).count() == 2
+    assert [r[3] for r in stored(spark, root)] == ["2", "b"]
+
+
+def test_a_doubled_fetch_is_refused(spark, root):
+    rows = [("global", None, at(1), "x"), ("global", None, at(1), "y")]
+    with pytest.raises(ValueError):
+        land_raw(spark.createDataFrame(rows, SCHEMA), root)
+    assert not os.path.exists(f"{root}/raw")

@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import date, datetime
 
 import pytest
@@ -6,15 +7,15 @@ from pyspark.sql import functions as F
 
 from tickwell.operators import consolidate, quality
 from tickwell.operators.landing import land_raw, read_raw
-from tickwell.operators.sizing import broadcast_if_small
 from tickwell.operators.staging import ohlc_rows, stg_chart_points
 from tickwell.plans import layers, loads, marts
 from tickwell.operators.contracts import ContractError
 from tickwell.schemas import STAGING_TESTS
+from tickwell.sources import scans
 from tickwell.sources import watchlist as W
 from tickwell.sources.requests import request_charts
 from tickwell.sources.scans import scan_charts, scan_ohlc
-from tickwell.streaming.ingest import stream_objects, stream_points
+from tickwell.streaming.ingest import ingest_objects, stream_objects, stream_points
 
 
 def rows(df, *order):
@@ -29,7 +30,7 @@ def test_shuffles_grow_with_the_input(spark):
         assert size_shuffles(spark, bytes_below(spark, "/root/testdata/sf0.001")) == int(before)
         assert size_shuffles(spark, 2 * 1024**4) == 8192
         assert size_shuffles(spark, 1000) == 8192
-        assert size_shuffles(spark, 100 * 1024**4) == 100_000
+        assert size_shuffles(spark, 100 * 1024**4) == 409_600
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
@@ -94,9 +95,13 @@ def test_restrict_small_and_large_lists_agree(spark):
     df = spark.range(1000).select(F.col("id").cast("string").alias("coin"))
     watch = spark.range(0, 1000, 7).select(F.col("id").cast("string"))
     small = consolidate.restrict_to(df, watch, "coin")
-    ids = watch.select(F.col("id").alias("coin"))
-    large = df.join(broadcast_if_small(ids, max_rows=10), "coin", "left_semi")
-    assert rows(small, "coin") == rows(large, "coin") and small.count() == 143
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = rows(consolidate.restrict_to(df, watch, "coin"), "coin")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert rows(small, "coin") == large and small.count() == 143
 
 
 def test_lag_by_day_equals_a_plain_window(spark):
@@ -262,7 +267,7 @@ def test_streams(spark, root, put, tmp_path):
     lake.mkdir()
 
     def run():
-        stream_objects(spark, root, str(lake), str(tmp_path / "c1"), files_per_trigger=1)
+        stream_objects(spark, root, str(lake), str(tmp_path / "c1"), bytes_per_trigger=1)
         stream_points(spark, str(lake), out, str(tmp_path / "c2"))
         return spark.read.parquet(out).count(), read_raw(spark, str(lake)).count()
 
@@ -275,3 +280,34 @@ def test_streams(spark, root, put, tmp_path):
 
     land_raw(payloads_from_objects(spark, root), str(lake))
     assert read_raw(spark, str(lake)).count() == 3
+
+
+def test_objects_old_and_replaced_are_ingested(spark, root, put, tmp_path):
+    lake = tmp_path / "landed"
+    lake.mkdir()
+    first = put("coins/a/market_chart", "2024-01-01T00:00:00", "1")
+    assert ingest_objects(spark, root, str(lake)).rows == 1
+    assert ingest_objects(spark, root, str(lake)) is None
+    old = put("global", "2024-01-03T00:00:00", "old")
+    os.utime(old, (1e9, 1e9))  # restored from a backup: decades older than what was seen
+    put("coins/a/market_chart", "2024-01-01T00:00:00", "2")
+    os.utime(first, (2e9, 2e9))
+    assert ingest_objects(spark, root, str(lake)).rows == 2
+    assert sorted(r.payload for r in read_raw(spark, str(lake)).collect()) == ["2", "old"]
+
+
+def test_object_scans_prune_dates(spark, root, put):
+    for day in ("01", "02"):
+        put("global", f"2024-01-{day}T00:00:00", '{"data":{"markets":1}}')
+    scan = scans.scan_global(spark, root)
+    plan = scan.filter("date = date'2024-01-02'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+    assert scan.filter("date = date'2024-01-02'").count() == 1
+
+
+def test_declared_tests_read_a_table_once(spark):
+    df = spark.createDataFrame([(1, None), (1, 2), (None, 3), (None, 4)], "a int, b int")
+    tests = quality.run_tests(df.repartition(2), "t", {"not_null": ["a", "b"], "unique": ["a"]})
+    assert tests._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 1
+    found = {(r.test, r.columns): r.failures for r in tests.collect()}
+    assert found == {("not_null", "a"): 2, ("not_null", "b"): 1, ("unique", "a"): 1}

@@ -8,8 +8,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwell.operators.sizing import broadcast_if_small
-
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the highest ``order`` columns of every key.
@@ -46,8 +44,8 @@ def top_by(
 
 def restrict_to(df: DataFrame, watch: DataFrame, key: str) -> DataFrame:
     """Rows whose key is on the watch list."""
-    ids = watch.select(F.col("id").alias(key)).distinct()
-    return df.join(broadcast_if_small(ids), key, "left_semi")
+    # No hint and no count: adaptive execution broadcasts the ids once their bytes are known.
+    return df.join(watch.select(F.col("id").alias(key)).distinct(), key, "left_semi")
 
 
 def ids_string(

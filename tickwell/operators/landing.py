@@ -1,26 +1,31 @@
-"""Landing: raw payloads stored unchanged under deterministic keys, replaced on rerun.
+"""Landing: raw payloads stored unchanged under deterministic keys, append only.
 
 One Parquet table holds the payload text of all kinds below ``<root>/raw``.  Its
 directories are kind and date of the fetch, so their number follows the calendar
 whatever the number of coins, and inside them files are sorted by (fetched_at,
 coin_id), so keyed reads skip row groups.
+
+A run only ever adds files.  A fetch that is landed again is stored again with a
+later ``landed_at``, and its key is noted in a small log below ``<root>/replaced``;
+readers keep the latest version of the noted keys.  So runs never wait for, rewrite or
+delete each other's data, whatever dates they share.  ``compact`` drops old versions.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass
 from datetime import date
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickwell.functions import keys
 from tickwell.functions.scalars import utc
-from tickwell.operators.sizing import broadcast_if_small
 from tickwell.schemas import ALL_COINS, LANDING, LANDING_DIRS, LANDING_KEY
-from tickwell.session import materialize, path_exists
+from tickwell.session import path_exists, scratch_dir
 
 
 def landing_path(root: str) -> str:
@@ -39,6 +44,7 @@ def as_landing(payloads: DataFrame) -> DataFrame:
         at.alias("fetched_at"),
         part.alias("part"),
         F.lit(None).cast("string").alias("batch"),
+        F.lit(None).cast("bigint").alias("landed_at"),
         F.col("payload"),
         F.col("kind"),
         F.to_date(at).alias("date"),
@@ -51,11 +57,38 @@ def logical_key(df: DataFrame) -> DataFrame:
     return df.withColumn("key", keys.raw_key(prefix, F.col("fetched_at")))
 
 
-def read_raw(spark: SparkSession, root: str) -> DataFrame:
-    """The landing table with its explicit schema (numeric coin ids stay text)."""
+def read_versions(spark: SparkSession, root: str) -> DataFrame:
+    """All stored rows with the explicit schema (numeric coin ids stay text), old versions included."""
     return spark.read.schema(LANDING).parquet(landing_path(root))
 
 
+def _replaced(spark: SparkSession, root: str) -> DataFrame | None:
+    """The keys that were landed more than once; None while there is no log."""
+    path = f"{root.rstrip('/')}/replaced"
+    if not path_exists(spark, path):
+        return None
+    return spark.read.schema(LANDING).parquet(path).select(*LANDING_KEY, "date")
+
+
+def read_raw(spark: SparkSession, root: str, dates: tuple[date, date] | None = None) -> DataFrame:
+    """The landing table: of every fetch the latest version, of the given range of dates.
+
+    Only while the log of replaced keys holds any of these dates is there a join, on key
+    columns, against one short row per replaced fetch.
+    """
+    between = F.col("date").between(*map(F.lit, dates)) if dates else F.lit(True)
+    stored = read_versions(spark, root).filter(between)
+    noted = _replaced(spark, root)
+    if noted is None or noted.filter(between).isEmpty():
+        return stored
+    key = [*LANDING_KEY, "date"]
+    noted = noted.filter(between).distinct()
+    latest = stored.select(*key, "landed_at").join(noted, key, "left_semi")
+    latest = latest.groupBy(*key).agg(F.max("landed_at").alias("_latest"))
+    kept = stored.join(latest, key, "left").filter("_latest is null or landed_at = _latest")
+    return kept.select(*stored.columns)
+
+
 @dataclass(frozen=True)
 class Landed:
     """What a landing run stored: enough to read exactly its rows back."""
@@ -68,17 +101,16 @@ class Landed:
 
 
 def land_raw(payloads: DataFrame, root: str, order_by: str | None = None) -> Landed:
-    """Store payloads; a fetch that is there already is replaced, all others are kept.
+    """Store payloads; readers see the version landed last of a fetch, and all others.
 
-    The unit of replacement is (kind, coin_id, fetched_at) with all its parts.  A run
-    whose fetches are all new only adds files.  A rerun rewrites the directories it
-    falls into, with their other fetches carried over; the old files go only after
-    every task has written its new ones, so a lost executor costs a task retry and
-    nothing else.
+    The unit of replacement is (kind, coin_id, fetched_at) with all its parts.  The run
+    appends its rows and then notes those of its keys that are stored in another version
+    too.  Two runs that land one fetch at once both may note it; the later landed_at wins.
+    A lost executor costs a task retry and nothing else.
 
     ``order_by`` names a column of the input that decides between several versions of
-    one fetch inside the batch (highest wins); without it the batch must hold each
-    (kind, coin_id, fetched_at, part) once.
+    one fetch inside the batch (highest wins); without it a batch that holds one
+    (kind, coin_id, fetched_at, part) twice is refused.
     """
     spark = payloads.sparkSession
     path = landing_path(root)
@@ -88,35 +120,79 @@ def land_raw(payloads: DataFrame, root: str, order_by: str | None = None) -> Lan
         raise ValueError("landing needs a UTC session: call session.configure")
 
     if order_by:
-        # Rank, not row number: all parts of the winning version stay.
-        at = F.date_trunc("second", utc(F.col("fetched_at")))
-        coin = [F.col("coin_id")] if "coin_id" in payloads.columns else []
-        versions = Window.partitionBy("kind", *coin, at).orderBy(F.col(order_by).desc())
-        payloads = payloads.withColumn("_v", F.rank().over(versions)).filter("_v = 1").drop("_v")
+        # The top version is found on key columns only; payloads then meet it in a semi-join.
+        coin = F.col("coin_id").cast("string") if "coin_id" in payloads.columns else F.lit(None)
+        keyed = payloads.withColumns(
+            {
+                "_at": F.date_trunc("second", utc(F.col("fetched_at"))),
+                "_coin": F.coalesce(coin, F.lit(ALL_COINS)),
+                "_version": F.col(order_by),
+            }
+        )
+        top = keyed.groupBy("kind", "_coin", "_at").agg(F.max("_version").alias("_version"))
+        payloads = keyed.join(top, ["kind", "_coin", "_at", "_version"], "left_semi").select(*payloads.columns)
+    arriving = as_landing(payloads)
+    doubled = arriving.groupBy(*LANDING_KEY, "part").agg(F.count("*").alias("n")).filter("n > 1")
+    if not doubled.isEmpty():
+        raise ValueError("the batch holds one part of a fetch twice: say which counts with order_by")
 
     run = uuid.uuid4().hex
+    landed_at = time.time_ns() // 1000
     written = Observation(f"landing-{run}")
-    arriving = as_landing(payloads).withColumn("batch", F.lit(run))
-    stored = arriving.observe(
+    stored = arriving.withColumns({"batch": F.lit(run), "landed_at": F.lit(landed_at)}).observe(
         written,
         F.count(F.lit(1)).alias("rows"),
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
     )
-    kept = _kept(spark, root, arriving) if path_exists(spark, path) else None
-    if kept is not None:
-        stored = stored.unionByName(kept)
-    # Rebalance: one shuffle by directory, hot directories split and small ones
-    # merged at run time, so the number of files follows the bytes.
+    # Rebalance: one shuffle by directory and a share of the coins, hot directories split and
+    # small ones merged at run time, so the number of files follows the bytes.
     (
-        stored.hint("rebalance", *LANDING_DIRS)
+        stored.withColumn("_share", F.pmod(F.xxhash64("coin_id"), F.lit(16)))
+        .hint("rebalance", *LANDING_DIRS, "_share")
         .sortWithinPartitions(*LANDING_DIRS, "fetched_at", "coin_id", "part")
-        .write.mode("append" if kept is None else "overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .drop("_share")
+        .write.mode("append")
         .partitionBy(*LANDING_DIRS)
         .parquet(path)
     )
-    return _landed(spark, root, run, written)
+    landed = _landed(spark, root, run, written)
+    if landed.rows:
+        _note_replaced(spark, landed)
+    return landed
+
+
+def _note_replaced(spark: SparkSession, landed: Landed) -> None:
+    """Add the keys of a run that other runs have stored too to the log; reads key columns only."""
+    columns = [*LANDING_KEY, "date"]
+    span = F.col("date").between(F.lit(landed.first_date), F.lit(landed.last_date))
+    keys_of = read_versions(spark, landed.root).filter(span).select(*columns, "batch")
+    own = keys_of.filter(F.col("batch") == landed.batch).select(*columns).distinct()
+    others = keys_of.filter(F.col("batch") != landed.batch).select(*columns)
+    again = own.join(others, columns, "left_semi")
+    again = again.persist()
+    if not again.isEmpty():
+        again.write.mode("append").parquet(f"{landed.root.rstrip('/')}/replaced")
+    again.unpersist()
+
+
+def compact(spark: SparkSession, root: str, dates: tuple[date, date]) -> None:
+    """Rewrite a range of dates without old versions; run it while no other run lands these dates.
+
+    The latest versions are written aside first and then replace the directories, so what is
+    read is never what is being overwritten.
+    """
+    aside = scratch_dir(spark, "compact")
+    read_raw(spark, root, dates).write.partitionBy(*LANDING_DIRS).parquet(aside)
+    (
+        spark.read.schema(LANDING).parquet(aside)
+        .hint("rebalance", *LANDING_DIRS)
+        .sortWithinPartitions(*LANDING_DIRS, "fetched_at", "coin_id", "part")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*LANDING_DIRS)
+        .parquet(landing_path(root))
+    )
 
 
 def _landed(spark: SparkSession, root: str, run: str, written: Observation) -> Landed:
@@ -125,7 +201,7 @@ def _landed(spark: SparkSession, root: str, run: str, written: Observation) -> L
         seen = written.get
     except Py4JJavaError:  # the optimizer dropped an empty input with its observation
         seen = (
-            read_raw(spark, root)
+            read_versions(spark, root)
             .filter(F.col("batch") == run)
             .agg(
                 F.count(F.lit(1)).alias("rows"),
@@ -137,29 +213,9 @@ def _landed(spark: SparkSession, root: str, run: str, written: Observation) -> L
     return Landed(root, run, seen["rows"], seen["first_date"], seen["last_date"])
 
 
-def _kept(spark: SparkSession, root: str, arriving: DataFrame) -> DataFrame | None:
-    """Rows to carry over when a batch replaces stored fetches; None when it replaces none."""
-    # The keys are worked out once, payloads left aside, and used from then on.
-    keys_of = materialize(arriving.select(*LANDING_KEY, "date").distinct(), "keys")
-    span = keys_of.agg(F.min("date"), F.max("date")).first()
-    if span[0] is None:
-        return None
-    # One row on the driver gives a literal range, which prunes directories at
-    # planning; the joins then decide exactly, on key columns only.
-    stored = read_raw(spark, root).filter(F.col("date").between(*map(F.lit, span)))
-    arrived = keys_of.select(*LANDING_KEY)
-    if stored.select(*LANDING_KEY).join(arrived, list(LANDING_KEY), "left_semi").isEmpty():
-        return None
-    # Five kinds times the days of the range: bounded by the calendar, so safe to broadcast.
-    touched = F.broadcast(keys_of.select(*LANDING_DIRS).distinct())
-    return stored.join(touched, list(LANDING_DIRS), "left_semi").join(
-        arrived, list(LANDING_KEY), "left_anti"
-    )
-
-
 def read_batch(spark: SparkSession, landed: Landed) -> DataFrame:
     """Exactly the stored rows of one landing run; no join, only its dates are read."""
-    stored = read_raw(spark, landed.root)
+    stored = read_versions(spark, landed.root)
     if not landed.rows:
         return stored.limit(0)
     return stored.filter(
@@ -173,10 +229,9 @@ def read_landed(spark: SparkSession, root: str, fetches: DataFrame) -> DataFrame
     wanted = as_landing(fetches.withColumn("payload", F.lit(None).cast("string"))).select(
         *LANDING_KEY, "date"
     )
-    wanted = materialize(wanted.distinct(), "wanted")
+    wanted = wanted.distinct()
     span = wanted.agg(F.min("date"), F.max("date")).first()
-    stored = read_raw(spark, root)
     if span[0] is None:
-        return stored.limit(0)
-    stored = stored.filter(F.col("date").between(*map(F.lit, span)))
-    return stored.join(broadcast_if_small(wanted), [*LANDING_KEY, "date"], "left_semi")
+        return read_versions(spark, root).limit(0)
+    # No hint: adaptive execution broadcasts the wanted keys if their bytes allow.
+    return read_raw(spark, root, tuple(span)).join(wanted, [*LANDING_KEY, "date"], "left_semi")

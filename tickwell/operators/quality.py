@@ -62,10 +62,33 @@ def unique_combination(df: DataFrame, table: str, columns: Sequence[str]) -> Dat
 
 
 def run_tests(df: DataFrame, table: str, tests: dict) -> DataFrame:
-    """All tests declared for a table as (table, test, columns, failures, status)."""
-    results = []
-    if tests.get("not_null"):
-        results.append(not_null(df, table, tests["not_null"]))
-    results += [unique(df, table, c) for c in tests.get("unique", [])]
-    results += [unique_combination(df, table, c) for c in tests.get("unique_combination", [])]
+    """All tests declared for a table as (table, test, columns, failures, status).
+
+    The table is read once: rows are counted by the first key, with their NULLs per
+    column, and all verdicts but those of further keys come from these counts.
+    """
+    columns = list(tests.get("not_null", []))
+    found = [("unique", [c]) for c in tests.get("unique", [])]
+    found += [("unique_combination_of_columns", list(c)) for c in tests.get("unique_combination", [])]
+    if not found:
+        return not_null(df, table, columns)
+    kind, key = found[0]
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"_null{i}") for i, c in enumerate(columns)]
+    # Counts are combined on the map side, so a hot key ships one row per task.
+    grouped = df.groupBy(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(key)]).agg(F.count(F.lit(1)).alias("_n"), *nulls)
+    twice = F.col("_n") > 1
+    if kind == "unique":
+        twice = twice & F.col("_key0").isNotNull()
+    counts = grouped.agg(
+        F.count_if(twice).alias("_twice"), *[F.coalesce(F.sum(f"_null{i}"), F.lit(0)).alias(f"_null{i}") for i in range(len(columns))]
+    )
+
+    def verdict(test: str, named: str, failures: str):
+        return F.struct(F.lit(test).alias("test"), F.lit(named).alias("columns"), F.col(failures).alias("failures"))
+
+    verdicts = [verdict("not_null", c, f"_null{i}") for i, c in enumerate(columns)]
+    verdicts.append(verdict(kind, ",".join(key), "_twice"))
+    results = [_verdict(counts.select(F.lit(table).alias("table"), F.inline(F.array(*verdicts))))]
+    for kind, key in found[1:]:
+        results.append(unique(df, table, key[0]) if kind == "unique" else unique_combination(df, table, key))
     return reduce(DataFrame.unionByName, results)

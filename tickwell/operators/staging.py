@@ -83,27 +83,47 @@ def stg_global(df: DataFrame, currency: str = "usd", coin: str = "btc", lenient:
     )
 
 
-def series_of(name: str, lenient: bool = False) -> Column:
-    """A chart series as rows of doubles.
+def _numbers(fast: Column, text: Column, lenient: bool) -> Column:
+    """Rows of doubles: those decoded as numbers if they are whole, else their text, cast."""
+    whole = F.forall(fast, lambda p: F.coalesce(F.forall(p, lambda x: x.isNotNull()), F.lit(False)))
+    slow = F.transform(text, lambda p: F.transform(p, lambda x: text_to(x, "double", lenient)))
+    return F.when(whole, fast).otherwise(slow)
+
+
+def _decoded(shape: str, bind, lenient: bool) -> Column:
+    """bind(payload decoded with doubles, payload decoded with text).
 
     Numbers decode directly.  Where that leaves a hole (a number written as text)
     the payload is decoded again as text and cast, so nothing turns NULL unnoticed;
     a payload that is no JSON at all is an error unless lenient.
     """
     mode = {"mode": "PERMISSIVE" if lenient else "FAILFAST"}
-    text = F.from_json("payload", f"{name} array<array<string>>", mode)[name]
-    slow = F.transform(text, lambda p: F.transform(p, lambda x: text_to(x, "double", lenient)))
+    text = F.from_json("payload", shape.replace("double", "string"), mode)
+    # One-item transform: binds the decoded payload, which is then decoded only once.
+    return F.get(F.transform(F.array(F.from_json("payload", shape)), lambda fast: bind(fast, text)), 0)
+
+
+def series_of(name: str, lenient: bool = False) -> Column:
+    """A chart series as rows of doubles."""
+    return _decoded(f"struct<{name}:array<array<double>>>", lambda fast, text: _numbers(fast[name], text[name], lenient), lenient)
+
+
+def all_series(lenient: bool = False) -> Column:
+    """The three series of a chart payload as rows of doubles, from one decoding."""
+    shape = ",".join(f"{n}:array<array<double>>" for n in CHART_SERIES)
+
+    def bind(fast: Column, text: Column) -> Column:
+        return F.struct(*[_numbers(fast[n], text[n], lenient).alias(n) for n in CHART_SERIES])
 
-    def checked(fast: Column) -> Column:
-        whole = F.forall(fast, lambda p: F.coalesce(F.forall(p, lambda x: x.isNotNull()), F.lit(False)))
-        return F.when(whole, fast).otherwise(slow)
+    return _decoded(f"struct<{shape}>", bind, lenient)
 
-    # One-item transform: binds the decoded series, which is then decoded only once.
-    fast = F.from_json("payload", f"{name} array<array<double>>")[name]
-    return F.get(F.transform(F.array(fast), checked), 0)
 
+def candle_rows(lenient: bool = False) -> Column:
+    """The rows of a candle payload as doubles."""
+    return _decoded("array<array<double>>", lambda fast, text: _numbers(fast, text, lenient), lenient)
 
-def chart_points(df: DataFrame, series: str = "prices", lenient: bool = False) -> DataFrame:
+
+def chart_points(df: DataFrame, series: str = "prices", lenient: bool = False, *carry: str) -> DataFrame:
     """One row per pair of a chart series; a null or empty series gives none."""
     # The generator holds the decoding itself: written over a column, the optimizer
     # would add a size filter below and decode every payload twice.
@@ -111,19 +131,21 @@ def chart_points(df: DataFrame, series: str = "prices", lenient: bool = False) -
         "coin_id",
         "fetched_at",
         F.col("date").alias("snapshot_date"),
+        *carry,
         F.explode(series_of(series, lenient)).alias("point"),
     )
 
 
-def stg_chart_points(df: DataFrame, series: str = "prices", lenient: bool = False) -> DataFrame:
-    """stg_market_chart: one row per point of a coin's series and fetch."""
+def stg_chart_points(df: DataFrame, series: str = "prices", lenient: bool = False, *carry: str) -> DataFrame:
+    """stg_market_chart: one row per point of a coin's series and fetch; ``carry`` names columns to keep."""
     point = F.col("point")
-    return chart_points(df, series, lenient).select(
+    return chart_points(df, series, lenient, *carry).select(
         "coin_id",
         "fetched_at",
         "snapshot_date",
         to_bigint(item(point, 1)).alias("ts_ms"),
         item(point, 2).alias(CHART_SERIES[series]),
+        *carry,
     )
 
 

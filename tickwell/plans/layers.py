@@ -36,14 +36,18 @@ def first_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col("id") == 1)
 
 
-def register_views(spark: SparkSession, root: str, layout: str = "objects") -> list[str]:
-    """Register the staged views over a lake, and the example models."""
+def register_views(spark: SparkSession, root: str, layout: str = "objects", dates: Sequence | None = None) -> list[str]:
+    """Register the staged views over a lake, and the example models.
+
+    ``dates`` restricts the views to some days; the per-coin folders of the object layout are
+    then read no further.  In the others a filter on snapshot_date prunes folders by itself.
+    """
     example = literal_rows(spark)
     views = {
-        "stg_coins_markets": staging.stg_snapshots(scans.scan_snapshots(spark, root, layout)),
-        "stg_coin_metadata": staging.stg_metadata(scans.scan_metadata(spark, root, layout)),
-        "stg_global": staging.stg_global(scans.scan_global(spark, root, layout)),
-        "stg_market_chart": staging.stg_chart_points(scans.scan_charts(spark, root, layout)),
+        "stg_coins_markets": staging.stg_snapshots(scans.scan_snapshots(spark, root, layout, dates)),
+        "stg_coin_metadata": staging.stg_metadata(scans.scan_metadata(spark, root, layout, dates)),
+        "stg_global": staging.stg_global(scans.scan_global(spark, root, layout, dates)),
+        "stg_market_chart": staging.stg_chart_points(scans.scan_charts(spark, root, layout, dates)),
         "my_first_dbt_model": example,
         "my_second_dbt_model": first_rows(example),
     }

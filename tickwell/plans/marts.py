@@ -9,28 +9,37 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tickwell.functions.scalars import drop_empty, hour_start, item, to_bigint
 from tickwell.operators.consolidate import lag_by_day, latest_by, restrict_to, top_by
+from tickwell.operators.staging import all_series
 from tickwell.schemas import CHART_SERIES
 
 
 def hourly_fact(snapshots: DataFrame) -> DataFrame:
-    """Per coin and hour, the row of the latest fetch."""
+    """Per coin and hour, the row of the latest fetch; the other columns, in order, settle ties."""
     hourly = snapshots.withColumn("hour", hour_start(F.col("fetched_at")))
-    return latest_by(hourly, ["coin_id", "hour"], ["fetched_at"])
+    settled = ["landed_at"] if "landed_at" in snapshots.columns else []
+    settled += [c for c in snapshots.columns if c not in ("coin_id", "fetched_at", *settled)]
+    return latest_by(hourly, ["coin_id", "hour"], ["fetched_at", *settled])
+
+
+def current_points(points: DataFrame) -> DataFrame:
+    """Of streamed points, those of the version of each fetch that was landed last."""
+    key = ["coin_id", "fetched_at"]
+    latest = points.groupBy(*key).agg(F.max("landed_at").alias("landed_at"))
+    return points.join(latest, [*key, "landed_at"], "left_semi").drop("landed_at")
 
 
 def latest_points(points: DataFrame, value: str = "price_usd") -> DataFrame:
-    """One row per coin and time: the point of the latest fetch.
+    """One row per coin and time: the point of the latest fetch, of equal times the highest value.
 
-    A fetch holds each time once, so the fetch time alone decides.  All columns are
-    fixed-width, which makes this a hash aggregation with partial results in every
-    task: a point fetched very often ships one row per task, and no rows are sorted.
-    Use ``latest_by`` for whole rows or further tie-breaks.
+    All columns are fixed-width, which makes both steps hash aggregations with partial
+    results in every task: a point fetched very often ships one row per task and fetch, and no
+    rows are sorted.  Use ``latest_by`` for whole rows or further tie-breaks.
     """
-    return points.groupBy("coin_id", "ts_ms").agg(
+    settled = points.groupBy("coin_id", "ts_ms", "fetched_at").agg(F.max(value).alias(value))
+    return settled.groupBy("coin_id", "ts_ms").agg(
         F.max_by(value, "fetched_at").alias(value), F.max("fetched_at").alias("fetched_at")
     )
 
@@ -155,11 +164,6 @@ def aligned_series(charts: DataFrame) -> DataFrame:
     of a payload start out in one task, the partial aggregation already joins them.
     """
     names = list(CHART_SERIES)
-    schema = T.StructType(
-        [T.StructField(n, T.ArrayType(T.ArrayType(T.DoubleType()))) for n in names]
-    )
-    decoded = F.from_json("payload", schema, {"mode": "FAILFAST"})
-
     def rows_of(doc: Column, tag: int, name: str) -> Column:
         series = F.coalesce(doc[name], F.array().cast("array<array<double>>"))
         return F.transform(
@@ -170,7 +174,7 @@ def aligned_series(charts: DataFrame) -> DataFrame:
     def tagged(doc: Column) -> Column:
         return F.concat(*[rows_of(doc, i, n) for i, n in enumerate(names)])
 
-    bound = F.get(F.transform(F.array(decoded), tagged), 0)
+    bound = F.get(F.transform(F.array(all_series()), tagged), 0)
     points = charts.select("coin_id", "fetched_at", F.inline(bound))
     values = [
         F.max(F.when(F.col("s") == i, F.col("v"))).alias(CHART_SERIES[n]) for i, n in enumerate(names)

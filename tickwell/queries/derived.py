@@ -151,7 +151,7 @@ def stream_ingest(spark, sf_dir):
     """Landed charts read as a stream and staged in micro-batches."""
     root = P.new_root(spark, "stream")
     land_raw(P.charts(spark, sf_dir), root)
-    stream_points(spark, root, f"{root}/points", f"{root}/checkpoint", files_per_trigger=2)
+    stream_points(spark, root, f"{root}/points", f"{root}/checkpoint")
     schema = stg_chart_points(P.unlanded(P.charts(spark, sf_dir))).schema
     return spark.read.schema(schema).parquet(f"{root}/points").select(*schema.names)
 
@@ -332,13 +332,16 @@ def chain_bridge(spark, sf_dir):
     return marts.chain_bridge(docs, "coin_id")
 
 
-@query("""
+ALIGNED_SQL = """
     select cast(user_id as varchar) as coin_id, epoch_us(ts) // 1000 as ts_ms,
            case when event_type <> 'error' then value end as price_usd,
            case when event_type = 'click' then value * 1000 end as market_cap_usd,
            case when event_type in ('error', 'purchase') then cast(event_id as double) end as volume_usd
     from events
-""")
+"""
+
+
+@query(ALIGNED_SQL)
 def aligned_series(spark, sf_dir):
     """The three series of a chart side by side though they do not share positions."""
     t, kind = F.col("t"), F.col("event_type")

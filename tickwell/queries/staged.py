@@ -11,7 +11,7 @@ from tickwell.operators.staging import stg_chart_points, stg_global, stg_metadat
 from tickwell.plans.layers import register_views
 from tickwell.queries import payloads as P
 from tickwell.queries.registry import query, table
-from tickwell.sources.scans import decode_global, scan_charts, scan_metadata, scan_snapshots
+from tickwell.sources.scans import scan_charts, scan_global, scan_metadata, scan_snapshots
 
 
 @query("""
@@ -105,7 +105,7 @@ def metadata_stage(spark, sf_dir):
     return stg_metadata(scan_metadata(spark, root, "landed"))
 
 
-@query("""
+GLOBAL_SQL = """
     select count(*) as active_cryptocurrencies,
            cast(sum(cast(value as decimal(18,2))) filter (where event_type = 'purchase') as double)
                as total_market_cap_purchase,
@@ -117,10 +117,15 @@ def metadata_stage(spark, sf_dir):
            strftime(ts, '%Y-%m-%d') as snapshot_date,
            strftime(ts, '%Y-%m-%d %H:00:00') as fetched_at
     from events group by all
-""")
+"""
+
+
+@query(GLOBAL_SQL)
 def global_stage(spark, sf_dir):
     """Global documents per hour: envelope opened, one currency and one coin picked."""
-    df = stg_global(decode_global(P.unlanded(P.global_payloads(spark, sf_dir))), "purchase", "click")
+    root = P.new_root(spark, "global")
+    land_raw(P.global_payloads(spark, sf_dir), root)
+    df = stg_global(scan_global(spark, root, "landed"), "purchase", "click")
     return df.withColumn("click_dominance_pct", F.round("click_dominance_pct", 9))
 
 

@@ -245,6 +245,7 @@ LANDING = T.StructType(
         T.StructField("fetched_at", T.TimestampNTZType()),
         T.StructField("part", T.LongType()),
         T.StructField("batch", T.StringType()),
+        T.StructField("landed_at", T.LongType()),
         T.StructField("payload", T.StringType()),
         T.StructField("kind", T.StringType()),
         T.StructField("date", T.DateType()),

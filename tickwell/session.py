@@ -48,9 +48,8 @@ def local_session(cores: int | str = 8, app: str = "tickwell", shuffle_partition
     return configure(spark)
 
 
-# Input bytes a shuffle partition should stand for, and the most partitions worth having.
+# Input bytes a shuffle partition should stand for.
 SHUFFLE_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
@@ -60,7 +59,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     default of 200 would give tasks of half a terabyte each on 100 TB.
     """
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    needed = min(-(-input_bytes // SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
+    needed = -(-input_bytes // SHUFFLE_BYTES)
     if needed > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(needed))
     return max(needed, current)

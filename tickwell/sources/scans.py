@@ -5,11 +5,14 @@ Both layouts give the same rows.  ``root`` is any Hadoop path.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickwell.operators.landing import logical_key, read_raw
+from tickwell.operators.staging import candle_rows
 from tickwell.schemas import GLOBAL_TEXT, METADATA_TEXT, SNAPSHOT_TEXT
 from tickwell.sources import objects
 
@@ -22,9 +25,10 @@ def _rows(schema: T.StructType, lenient: bool) -> Column:
 
 def landed(spark: SparkSession, root: str, kind: str, dates=None) -> DataFrame:
     """Landed payloads of one kind; kind and dates prune directories."""
-    df = read_raw(spark, root).filter(F.col("kind") == kind)
+    days = sorted(date.fromisoformat(str(d)) for d in dates) if dates is not None else []
+    df = read_raw(spark, root, (days[0], days[-1]) if days else None).filter(F.col("kind") == kind)
     if dates is not None:
-        df = df.filter(F.col("date").isin([F.lit(str(d)).cast("date") for d in dates]))
+        df = df.filter(F.col("date").isin([F.lit(d) for d in days]))
     return with_key(df)
 
 
@@ -75,5 +79,4 @@ def scan_charts(spark, root, layout="objects", dates=None, lenient=False) -> Dat
 
 def scan_ohlc(payloads: DataFrame) -> DataFrame:
     """Candle payloads with their rows decoded."""
-    rows = F.from_json("payload", "array<array<double>>", {"mode": "FAILFAST"})
-    return payloads.withColumn("rows", rows)
+    return payloads.withColumn("rows", candle_rows())

@@ -11,9 +11,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwell.functions import keys
-from tickwell.operators.landing import land_raw, landing_path, logical_key
+from tickwell.operators.landing import Landed, land_raw, landing_path, logical_key
 from tickwell.operators.staging import stg_chart_points
 from tickwell.schemas import LANDING
+from tickwell.session import materialize, path_exists
+from tickwell.sources.objects import OBJECT, payloads_from_objects
+
+
+# By default a file stream leaves out files a week older than the newest it has seen.
+NEVER_OLD = "36500d"
+
+
+def ingest_objects(spark: SparkSession, source: str, root: str) -> Landed | None:
+    """Land the objects below ``source``/raw that are new or were replaced since the last call.
+
+    A batch job: the listing (path and modification time, no content) is compared with the
+    objects already landed, whatever their age, and what differs is landed.  The log
+    of landed objects is written last, so a run that fails is simply repeated; landing an
+    object twice leaves what readers see as it was.
+    """
+    log = f"{root.rstrip('/')}/objects"
+    schema = "path string, modified timestamp"
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(f"{source.rstrip('/')}/raw")
+        .filter(F.col("path").rlike(OBJECT))
+        .select("path", F.col("modificationTime").alias("modified"))
+    )
+    if path_exists(spark, log):
+        listed = listed.join(spark.read.schema(schema).parquet(log), ["path", "modified"], "left_anti")
+    new = materialize(listed, "arrived")
+    if new.isEmpty():
+        return None
+    objects = payloads_from_objects(spark, source, "path")
+    landed = land_raw(objects.join(new.select("path"), "path", "left_semi").drop("path"), root)
+    new.write.mode("append").parquet(log)
+    return landed
 
 
 def stream_points(
@@ -22,21 +56,22 @@ def stream_points(
     out: str,
     checkpoint: str,
     series: str = "prices",
-    files_per_trigger: int = 1000,
+    bytes_per_trigger: int = 256 << 30,
 ) -> None:
-    """Stage the points of newly landed chart payloads into ``out``.
+    """Stage the points of newly landed chart payloads into ``out``, with their ``landed_at``.
 
-    A micro-batch owns the folder ``batch=<id>`` and overwrites it when it is replayed
-    after a failure.  A payload landed again is staged again, as in the staged view;
-    ``latest_points`` settles which one counts.
+    Landing only adds files, so each landed payload is staged once.  A micro-batch owns the
+    folder ``batch=<id>`` and overwrites it when it is replayed after a failure.  Of a fetch
+    that is landed again both versions are staged; ``marts.current_points`` keeps the last.
     """
     landed = (
         spark.readStream.schema(LANDING)
-        .option("maxFilesPerTrigger", files_per_trigger)
+        .option("maxBytesPerTrigger", bytes_per_trigger)
+        .option("maxFileAge", NEVER_OLD)
         .parquet(landing_path(root))
         .filter(F.col("kind") == "market_chart")
     )
-    points = stg_chart_points(logical_key(landed).withColumnRenamed("key", "filename"), series)
+    points = stg_chart_points(logical_key(landed).withColumnRenamed("key", "filename"), series, False, "landed_at")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
@@ -51,11 +86,13 @@ def stream_points(
 
 
 def stream_objects(
-    spark: SparkSession, source: str, root: str, checkpoint: str, files_per_trigger: int = 10_000
+    spark: SparkSession, source: str, root: str, checkpoint: str, bytes_per_trigger: int = 64 << 30
 ) -> None:
     """Land newly arrived JSON objects (one document per key below ``source``/raw).
 
-    Landing replaces by key, so a replayed micro-batch leaves the table as it was.
+    Readers see the last version of a key, so a replayed micro-batch leaves what they read as
+    it was.  A file stream knows an object by its path: where objects are replaced under
+    their key, use ``ingest_objects``.
     """
     path = F.col("_metadata.file_path")
     coin = keys.coin_of(path)
@@ -63,7 +100,8 @@ def stream_objects(
         spark.readStream.schema("value string")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "fetched_at=*.json")
-        .option("maxFilesPerTrigger", files_per_trigger)
+        .option("maxBytesPerTrigger", bytes_per_trigger)
+        .option("maxFileAge", NEVER_OLD)
         .text(f"{source.rstrip('/')}/raw", wholetext=True)
         .select(
             keys.kind_of(path).alias("kind"),
