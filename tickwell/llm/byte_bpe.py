@@ -23,7 +23,7 @@ _STRETCH = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 LONGEST = 128
 _SQUARES = 20_000_000
 # Stretches remembered by a worker; the memory starts anew beyond it.
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 _TEXT_BYTES = 4 << 20
 
 _ENCODE = """
@@ -74,7 +74,7 @@ class Coder:
                 a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if a is not None and b is not None:
                     self.merge[a << 16 | b] = rank
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         self._store("merges", {"ab": pa.array(self.merge.keys(), pa.int64()), "r": pa.array(self.merge.values(), pa.int32())})
         ids, tokens = pa.array(self.ranks.values(), pa.int32()), [t.decode("latin-1") for t in self.ranks]
         self._store("tokens", {"id": ids, "t": pa.array(tokens, pa.string())})

@@ -18,7 +18,7 @@ STATES = 4
 CLASSES = 4096
 ROUNDS = 4
 BLOCK_BYTES = 24 << 20
-_PART_BYTES = 4 << 20
+_PART_BYTES = 2 << 20
 _CHUNK = 64  # tokens whose transition products are taken side by side
 _ROWS = 8192  # chunks worked on at a time
 _END = np.uint64(0)
@@ -203,7 +203,7 @@ def _totals(training: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             for part in parts(texts, _PART_BYTES):
                 held.append(Tokens(texts[part]).hashes)
                 size += len(held[-1])
-                if size > 1 << 23:
+                if size > 1 << 22:
                     yield counted()
                     held, size = [], 0
         if held:
@@ -289,7 +289,7 @@ def score(docs: DataFrame, id_col="doc_id", text_col="text", rounds: int = ROUND
                 found = Tokens(texts[part])
                 held.append((np.repeat(blocks[part], found.counts), found.hashes, np.repeat(learn[part], found.counts)))
                 size += len(found.hashes)
-                if size > 1 << 23:
+                if size > 1 << 22:
                     yield counted()
                     held, size = [], 0
         if held:

@@ -15,7 +15,7 @@ from tickwell.llm.text import byte_spans, normal_words
 PIECE = 32
 SAMPLE_PER_LABEL = 300
 SAMPLE_CHARS = 20_000
-_TEXT_BYTES = 8 << 20
+_TEXT_BYTES = 2 << 20
 LETTER = np.zeros(256, dtype=bool)
 LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
@@ -150,8 +150,8 @@ class Pooled:
         """Per sequence, the sums over letters of the label probabilities, and the number of letters."""
         made = np.zeros((len(starts), len(self.net.labels) + 1))
         order = np.argsort(ends - starts, kind="stable")
-        for at in range(0, len(order), 8192):
-            part = order[at : at + 8192]
+        for at in range(0, len(order), 4096):
+            part = order[at : at + 4096]
             codes, lengths = _padded(kept, starts[part], ends[part])
             mask = (codes < 256).astype(np.float32)
             letters = np.append(LETTER, False)[codes]

@@ -18,7 +18,7 @@ from tickwell.llm.windows import Contexts, Lookup, covered, doc_ids, packed_rows
 LENGTH = 13
 SEED = 5
 BLOCK_BYTES = 24 << 20
-_PART_BYTES = 4 << 20
+_PART_BYTES = 2 << 20
 _RESULT = "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string, kept_text string"
 _FIELDS = [
     pa.field("kind", pa.int32()), pa.field("block", pa.int64()), pa.field("doc_id", pa.int64()), pa.field("n_words", pa.int64()),
@@ -90,7 +90,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, seed: int = SEED, with_text: bo
     read = _read(length, seed)
     blocks = block_count(docs, BLOCK_BYTES)
     bits = min(56, max(24, planned_bytes(docs).bit_length() + 5))  # so that few anchors share them by chance
-    rows = summed(report_recurring(blocked, read, blocks, bits))
+    rows = summed(report_recurring(blocked, read, blocks, bits, _PART_BYTES))
     rows = rows.filter("anchor_low < anchor_high and (several or high > context_low)")
     rows = rows.select("block", "anchor", "context", "context_low", "several")
 

@@ -14,7 +14,7 @@ _powers = {}
 
 
 def powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, kept for the longest request up to 16 M."""
+    """base**0 .. base**(n-1) modulo 2**64, kept for the longest request up to 4 M."""
     key = int(base)
     have = _powers.get(key)
     if have is None or len(have) < n:
@@ -23,7 +23,7 @@ def powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
         have[0] = 1
         have[1:] = base
         np.multiply.accumulate(have, out=have)
-        if size <= 1 << 24:
+        if size <= 1 << 22:
             _powers[key] = have
     return have[:n]
 
