@@ -24,47 +24,48 @@ UNITS = (
     "years dollar dollars euro euros cent cents percent mph kmh degrees"
 ).split()
 # Digits lose the marks between them; a capital that begins a sentence gets a caret before it.
-_JOINED = (r"(\p{N})[.,](\p{N})", 2)
-_BEGIN = (r"(^|[.!?:;\n])([^\p{L}\p{N}]*)(\p{Lu})", 3)
-_BETWEEN = r"[^\p{L}\p{M}\p{N}^]+"
+_JOINED = (r"([0-9])[.,]([0-9])", "$1$2")
+_BEGIN = (r"(^|[.!?:;\n])([^\p{L}\p{N}]*)(\p{Lu})", "$1$2^$3")
+_BETWEEN = (r"[^\p{L}\p{M}\p{N}^]+", " ")
+# Of words with single spaces between them: numbers, units after a number, other capitals.
+_NUMBER = (rf"(?<![^ ])\^?(?:[0-9][^ ]*|(?i:{'|'.join(NUMBER_WORDS)})(?![^ ]))", "<num>")
+_UNIT = (rf"<num> (?i:{'|'.join(UNITS)})(?![^ ])", "<num> <unit>")
+_NAME = (r"(?<![^ ])\p{Lu}[^ ]*", "<name>")
 
 
 def words(table: DataFrame, text: str) -> DataFrame:
     """Replaces the text column by own, its words with the carets, and shape, its template.
 
     The template has the words in lower case; numbers, units after a number, and capitals within a
-    sentence are slots.
+    sentence are slots. Both are made by passes over the whole text, word by word alike.
     """
     rest = [c for c in table.columns if c != text]
-    plain = F.regexp_replace(F.translate(F.col(text), "^", " "), _JOINED[0], "$1$2")
-    marked = table.select(*rest, F.regexp_replace(plain, _BEGIN[0], "$1$2^$3").alias("marked"))
-    split = lambda c: F.filter(F.split(c, _BETWEEN), lambda w: w != "")
-    both = marked.select(*rest, split(F.col("marked")).alias("own"), split(F.lower(F.translate("marked", "^", ""))).alias("low"))
-    number = lambda w: w.isin(NUMBER_WORDS) | ((w >= "0") & (w < ":"))
-
-    def word(low: Column, i: Column) -> Column:
-        own = F.get("own", i)
-        return (
-            F.when(number(low), F.lit("<num>"))
-            .when(low.isin(UNITS) & F.coalesce(number(F.get("low", i - 1)), F.lit(False)), F.lit("<unit>"))
-            .when((own == low) | own.startswith("^"), low)
-            .otherwise(F.lit("<name>"))
-        )
-
-    return both.select(*rest, "own", F.transform("low", word).alias("shape"))
+    plain = F.replace(F.col(text), F.lit("^"), F.lit(" "))
+    for pattern, to in (_JOINED, _BEGIN, _BETWEEN):
+        plain = F.regexp_replace(plain, pattern, to)
+    plain = table.select(*rest, F.trim(plain).alias("plain"))
+    shape = F.col("plain")
+    for pattern, to in (_NUMBER, _UNIT, _NAME):
+        shape = F.regexp_replace(shape, pattern, to)
+    shape = F.lower(F.replace(shape, F.lit("^"), F.lit("")))
+    return plain.select(*rest, F.split("plain", " ").alias("own"), F.split(shape, " ").alias("shape"))
+
+
+def _keys(shape: Column, length: int) -> Column:
+    """The key of every window of so many words of a template."""
+    last = F.size(shape) - length
+    place = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    return F.transform(place, lambda p: F.xxhash64(*[F.get(shape, p + i) for i in range(length)]))
 
 
 def _windows(shape: Column, length: int) -> Column:
-    """(pos, key) of every window of so many words of a template."""
-    last = F.size(shape) - length
-    place = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    key = lambda p: F.xxhash64(*[F.get(shape, p + i) for i in range(length)])
-    return F.transform(place, lambda p: F.struct(p.alias("pos"), key(p).alias("key")))
+    """(pos, key) of every window."""
+    return F.transform(_keys(shape, length), lambda key, pos: F.struct(pos.alias("pos"), key.alias("key")))
 
 
 def _fits(shape: Column, item: Column, doc: Column) -> Column:
     """Slots that are filled alike in the item's window are filled alike in the document's."""
-    value = lambda w: F.lower(F.translate(w, "^", ""))
+    value = lambda w: F.lower(F.replace(w, F.lit("^"), F.lit("")))
     at = lambda i: F.struct(F.get(shape, i).alias("s"), value(F.get(item, i)).alias("i"), value(F.get(doc, i)).alias("d"))
     slots = F.filter(F.transform(F.sequence(F.lit(0), F.size(shape) - 1), at), lambda p: p["s"].startswith("<"))
     own = F.transform(slots, lambda p: F.struct(p["s"].alias("s"), p["i"].alias("i")))
@@ -96,7 +97,7 @@ def contaminated(
         keys = keys.filter(literal(F.col("shape")) >= (LITERAL if n == window else SHORT_LITERAL)).distinct()
         known = keys.select("key").distinct()
         known = F.broadcast(known) if known.count() <= BROADCAST_ROWS else known
-        spread = shaped.select("doc_id", F.explode(_windows(F.col("shape"), n)).alias("w")).select("doc_id", "w.key")
+        spread = shaped.select("doc_id", F.explode(_keys(F.col("shape"), n)).alias("key"))
         met = spread.join(known, "key", "left_semi").select("doc_id").distinct()
         met = F.broadcast(met) if met.count() <= BROADCAST_ROWS else met
         again = words(given.join(met, "doc_id", "left_semi"), "text")
