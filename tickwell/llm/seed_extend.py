@@ -16,7 +16,7 @@ from tickwell.llm.text import Spans, byte_spans, split_words
 from tickwell.llm.windows import Contexts, Lookup, covered, doc_ids, packed_rows, parts, report_recurring, runs, settled, summed, unpacked_windows
 
 LENGTH = 13
-SEED = 5
+SEED = 8
 BLOCK_BYTES = 24 << 20
 _PART_BYTES = 2 << 20
 _RESULT = "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept_sha256 string, kept_text string"

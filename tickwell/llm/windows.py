@@ -141,7 +141,7 @@ def _reports(batches: Iterator[pa.RecordBatch], read, part_bytes: int, chosen=No
 
 
 def report(blocked: DataFrame, read, part_bytes: int = 4 << 20) -> DataFrame:
-    """REPORT rows of (block, doc_id, text): read turns a list of byte strings into Contexts.
+    """REPORT rows of (block, doc_id, text, ...): read turns a list of byte strings into Contexts.
 
     A row stands for all occurrences in one block, so however often a passage occurs, an anchor has
     at most CROWDED rows a block; who is the doc_id, the greatest number for rows without one.
@@ -150,7 +150,7 @@ def report(blocked: DataFrame, read, part_bytes: int = 4 << 20) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _reports(batches, read, part_bytes)
 
-    return blocked.select("block", "doc_id", "text").mapInArrow(run, REPORT_SCHEMA)
+    return blocked.mapInArrow(run, REPORT_SCHEMA)
 
 
 def report_recurring(blocked: DataFrame, read, blocks: int, bits: int, part_bytes: int = 4 << 20) -> DataFrame:
@@ -195,7 +195,8 @@ def report_recurring(blocked: DataFrame, read, blocks: int, bits: int, part_byte
             kept.append(own[often | (shared[at] == own if len(shared) else False)])
         return pa.table([table["block"], pa.array([packed(k) for k in kept], pa.binary())], names=["block", "data"])
 
-    sent = blocked.select("block", "text").groupBy("block").applyInArrow(send, "block long, range long, data binary, twice binary")
+    # All uses of the blocks take the same columns, so that Spark shuffles them once.
+    sent = blocked.groupBy("block").applyInArrow(send, "block long, range long, data binary, twice binary")
     back = sent.groupBy("range").applyInArrow(answer, "block long, data binary")
 
     def tell(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -210,8 +211,7 @@ def report_recurring(blocked: DataFrame, read, blocks: int, bits: int, part_byte
         made = list(_reports(iter(left.combine_chunks().to_batches()), read, part_bytes, chosen))
         return pa.Table.from_batches(made) if made else pa.table([pa.array([], pa.int64())] * len(REPORT), names=REPORT)
 
-    docs = blocked.select("block", "doc_id", "text").groupBy("block")
-    return docs.cogroup(back.groupBy("block")).applyInArrow(tell, REPORT_SCHEMA)
+    return blocked.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(tell, REPORT_SCHEMA)
 
 
 def doc_ids(column: pa.Array) -> np.ndarray:
