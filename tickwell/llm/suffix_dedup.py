@@ -16,7 +16,7 @@ from tickwell.llm.text import Spans, byte_spans, byte_values
 from tickwell.llm.windows import Contexts, Lookup, covered, packed_rows, parts, report, runs, settled, summed, unpacked_windows
 
 LENGTH = 400
-SEED = 32
+SEED = 64
 BLOCK_BYTES = 16 << 20
 # Bytes of a suffix array's shard; an anchor with more contexts than CONTEXTS counts window hashes instead.
 SHARD_BYTES = 1 << 18
