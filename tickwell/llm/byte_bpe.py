@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import base64
+import ctypes
+import gc
 import hashlib
 import heapq
 import re
@@ -90,6 +92,15 @@ class Coder:
         self.shown: list[bytes] = []
         self.flat, self.at = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
+    def rest(self) -> None:
+        """Give back the memory of what was learned: the process may go on to other work."""
+        self._forget()
+        self.con.execute("drop table if exists words")
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+            trim(0)
+
     def words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of distinct words and where each word's begin, the end added.
 
@@ -253,6 +264,7 @@ def code(docs: DataFrame, path: str, pattern: str, id_col="doc_id", text_col="te
                     ends = np.cumsum([0, *[len(ids) for ids, _ in coded]])
                     columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([ids for ids, _ in coded]))))
                 yield pa.RecordBatch.from_arrays(columns, [n for n, _ in fields])
+        own.rest()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     chosen = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
