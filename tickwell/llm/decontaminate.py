@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickwell.session import materialize
+
 # Words of a template window, and how many of them must not be slots.
 WINDOW = 10
 LITERAL = 6
@@ -98,7 +100,7 @@ def contaminated(
         known = keys.select("key").distinct()
         known = F.broadcast(known) if known.count() <= BROADCAST_ROWS else known
         spread = shaped.select("doc_id", F.explode(_keys(F.col("shape"), n)).alias("key"))
-        met = spread.join(known, "key", "left_semi").select("doc_id").distinct()
+        met = materialize(spread.join(known, "key", "left_semi").select("doc_id").distinct(), "hits")
         met = F.broadcast(met) if met.count() <= BROADCAST_ROWS else met
         again = words(given.join(met, "doc_id", "left_semi"), "text")
         again = again.select("doc_id", "own", "shape", F.explode(_windows(F.col("shape"), n)).alias("w"))
