@@ -72,3 +72,40 @@ def test_near_copies_group_and_others_do_not(docs):
             rows.append((g * 10 + c, " ".join(copy)))
             groups[g * 10 + c] = g * 10
     assert {r.doc_id: r.component_id for r in simhash.similar_groups(docs(rows)).collect()} == groups
+
+
+def zipf_texts(rng, n, words=20_000):
+    return [[f"v{x}" for x in np.minimum(rng.zipf(1.3, 250), words)] + [f"u{x}" for x in rng.integers(0, words, 250)] for _ in range(n)]
+
+
+def copies(rng, base, share):
+    """A text with as much appended, cut, or replaced as leaves about that Jaccard similarity of five-word shingles."""
+    n = len(base)
+    fresh = [f"new{x}" for x in rng.integers(0, 1 << 30, n)]
+    changed = list(base)
+    for at in np.linspace(3, n - 4, int(n * (1 - share) / (1 + share) / 5)).astype(int):
+        changed[at] = fresh[at]
+    return [base + fresh[: int(n * (1 / share - 1))], base[: int(n * share) + 1], base[-int(n * share) - 1 :], changed]
+
+
+def jaccard(x, y):
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (x, y)]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_copies_with_passages_added_or_cut_group(docs):
+    rng = np.random.default_rng(8)
+    rows, groups = [], {}
+    for g, base in enumerate(zipf_texts(rng, 30)):
+        for c, text in enumerate([base, *copies(rng, base, 0.88)]):
+            rows.append((g * 10 + c, " ".join(text)))
+            groups[g * 10 + c] = g * 10
+    assert {r.doc_id: r.component_id for r in simhash.similar_groups(docs(rows)).collect()} == groups
+
+
+def test_bands_recall_copies_at_the_threshold():
+    rng = np.random.default_rng(9)
+    pairs = [(b, c) for b in zipf_texts(rng, 100) for c in copies(rng, b, 0.81) if jaccard(b, c) >= 0.8]
+    keys = lambda t: simhash.band_keys(" ".join(t))
+    assert len(pairs) > 300
+    assert all(any(x == y for x, y in zip(keys(b), keys(c))) for b, c in pairs)

@@ -21,6 +21,9 @@ HOT_BUCKET = 4096
 FOUR_SEGMENTS = 1 << 22
 THREE_SEGMENTS = 1 << 25
 _CHUNK = 1 << 16
+# Bands of MinHashes over shingles: at a Jaccard similarity of 0.8 all miss with (1 - 0.8**4)**20 = 0.00003.
+BANDS, BAND_ROWS = 20, 4
+_MULTIPLIERS = mix(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
 def _votes(hashes: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
@@ -67,6 +70,18 @@ def wide_fingerprint(text: str | None, size: int = 5, words: int = 4) -> list[in
     return [_majority(v, total) for v in votes]
 
 
+def band_keys(text: str | None, size: int = 5) -> list[int]:
+    """One key per band of MinHashes over word shingles; 0 for a text without words."""
+    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for hashes in shingle_hashes(text, size):
+        least = np.minimum(least, [(hashes * m).min() for m in _MULTIPLIERS])
+    keys = np.zeros(BANDS, dtype=np.uint64)
+    if (least < np.iinfo(np.uint64).max).any():
+        for column in least.reshape(BANDS, BAND_ROWS).T:
+            keys = mix(keys * np.uint64(0x9FB21C651E98DF25) + column)
+    return keys.view(np.int64).tolist()
+
+
 def word_fingerprints(text: str | None, tables: int = 3) -> list[int]:
     """SimHashes over the words of a text, each distinct word weighted by the root of its count."""
     kept, starts, ends = normal_words((text or "").encode("utf-8", "surrogatepass").lower())
@@ -128,7 +143,7 @@ def _bucketed(nodes: DataFrame, columns: list[str], table: str, segments: list[t
     return nodes.select(*columns, _keys(F.col(table), segments, probes).alias("k")).select(*columns, "k.seg", "k.key")
 
 
-def link(nodes: DataFrame, tables: list[str], radius: int, check: tuple[list[str], int] | None = None, hint: tuple[str, int] | None = None) -> DataFrame:
+def link(nodes: DataFrame, tables: list[str], radius: int, check: tuple[list[str], int] | None = None, hint: tuple[str, int] | None = None, bands: list[str] | None = None) -> DataFrame:
     """(node, component) of distinct nodes linked by their fingerprints, found by multi-index hashing.
 
     nodes: (node, fingerprint columns), one row per node. A pair is found if its fingerprints in one
@@ -136,6 +151,7 @@ def link(nodes: DataFrame, tables: list[str], radius: int, check: tuple[list[str
     columns together differ by at most that many bits. hint, (column, bits), is a necessary
     condition for that which bucket rows carry along to leave most other pairs out early. The joins
     compare whole fingerprints as they read the buckets, so only pairs within reach become rows.
+    With bands, which need a check, nodes that are equal in one of these columns are compared by the check too.
 
     First each node is compared with the smallest node of its buckets; then pairs are looked up
     whose nodes these links leave apart, so a group of many near copies does not give all its pairs. A
@@ -169,6 +185,8 @@ def link(nodes: DataFrame, tables: list[str], radius: int, check: tuple[list[str
         met = own.join(first, ["seg", "key"]).select(F.struct(*carried).alias("x"), "y")
         met = met.filter((F.col("x.node") != F.col("y.node")) & near(t, "x", "y"))
         stars.append(met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+    if bands:
+        stars.append(_band_stars(nodes, bands, *check))
     edges = materialize(checked(stars), "stars")
     marked = nodes.join(components(edges), "node", "left").select(nodes["*"], F.coalesce("component", "node").alias("part"))
     marked = materialize(marked, "nodes")
@@ -190,9 +208,46 @@ def link(nodes: DataFrame, tables: list[str], radius: int, check: tuple[list[str
             & near(t, "x", "y"),
         )
         pairs.append(materialize(joined.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "pairs"))
+    if bands:
+        pairs.append(materialize(_band_pairs(marked, bands, *check), "pairs"))
     return components(edges.union(checked(pairs)))
 
 
+def _within(x: str, y: str, columns: list[str], bits: int) -> Column:
+    return sum(F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in columns) <= bits
+
+
+def _banded(nodes: DataFrame, bands: list[str], columns: list[str]) -> DataFrame:
+    return nodes.select(*columns, F.posexplode(F.array(*bands)).alias("seg", "key"))
+
+
+def _band_stars(nodes: DataFrame, bands: list[str], columns: list[str], bits: int) -> DataFrame:
+    """Each node with the smallest node of its bands, if within bits."""
+    carried = ["node", *columns]
+    own = _banded(nodes, bands, carried)
+    first = own.groupBy("seg", "key").agg(F.min(F.struct(*carried)).alias("y"), F.count("*").alias("n")).filter("n > 1")
+    met = own.join(first, ["seg", "key"]).select(F.struct(*carried).alias("x"), "y")
+    met = met.filter((F.col("x.node") != F.col("y.node")) & _within("x", "y", columns, bits))
+    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
+def _band_pairs(marked: DataFrame, bands: list[str], columns: list[str], bits: int) -> DataFrame:
+    """Pairs within bits of bands that hold several parts: nodes apart from the smallest node's part, with all others."""
+    own = _banded(marked, bands, ["node", "part", *columns])
+    heads = own.groupBy("seg", "key").agg(F.min(F.struct("node", "part")).alias("y"), F.min("part").alias("p"), F.max("part").alias("q"))
+    mixed = own.join(heads.filter("p <> q").select("seg", "key", F.col("y.part").alias("main")), ["seg", "key"])
+    mixed = materialize(mixed, "bands")
+    joined = mixed.filter("part <> main").alias("x").join(
+        mixed.alias("y"),
+        (F.col("x.seg") == F.col("y.seg"))
+        & (F.col("x.key") == F.col("y.key"))
+        & (F.col("x.part") != F.col("y.part"))
+        & ((F.col("y.part") == F.col("y.main")) | (F.col("x.node") > F.col("y.node")))
+        & _within("x", "y", columns, bits),
+    )
+    return joined.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
 def _dense(nodes: DataFrame, table: str, radius: int, near: Callable[[str, str, str], Column]) -> DataFrame:
     """Pairs that connect the nodes of crowded buckets, by keys of the balls of half the radius.
 
@@ -239,14 +294,16 @@ def similar_groups(docs: DataFrame, bits: int = 48, id_col="doc_id", text_col="t
     Two texts are near-duplicates if their 256-bit SimHashes over five-word shingles differ in at
     most `bits` bits: at a Jaccard similarity of 0.8, 256 * arccos(2 * 0.8 / 1.8) / pi = 39 are
     expected, with a deviation of 6. Candidates come from three SimHashes over single words, which
-    a changed word moves far less, within five bits. Texts without words (null, empty) count as
-    copies of each other. Rows without doc_id are left out.
+    a changed word moves far less, within five bits, and from bands of MinHashes over the shingles, which
+    find copies with passages added or cut. Texts without words (null, empty) count as copies of each
+    other. Rows without doc_id are left out.
     """
-    wide, narrow = [f"s{i}" for i in range(4)], [f"w{i}" for i in range(3)]
-    make = lambda t: [*wide_fingerprint(t), *word_fingerprints(t)]
-    made = materialize(fingerprints(docs, make, wide + narrow, id_col, text_col), "fingerprints")
-    nodes = materialize(made.filter("doc_id is not null").groupBy(wide + narrow).agg(F.min("doc_id").alias("node")), "nodes")
-
-    linked = link(nodes, narrow, 5, check=(wide, bits), hint=(wide[0], 20))
-    named = nodes.join(linked, "node", "left").select(*wide, *narrow, F.coalesce("component", "node").alias("component_id"))
-    return made.join(named, wide + narrow).select("doc_id", "component_id")
+    wide, narrow, bands = [f"s{i}" for i in range(4)], [f"w{i}" for i in range(3)], [f"m{i}" for i in range(BANDS)]
+    make = lambda t: [*wide_fingerprint(t), *word_fingerprints(t), *band_keys(t)]
+    made = materialize(fingerprints(docs, make, wide + narrow + bands, id_col, text_col), "fingerprints")
+    nodes = made.filter("doc_id is not null").groupBy(wide + narrow + bands).agg(F.min("doc_id").alias("node"))
+    nodes = materialize(nodes, "nodes")
+
+    linked = link(nodes, narrow, 5, check=(wide, bits), hint=(wide[0], 20), bands=bands)
+    named = nodes.join(linked, "node", "left").select(*wide, *narrow, *bands, F.coalesce("component", "node").alias("component_id"))
+    return made.join(named, wide + narrow + bands).select("doc_id", "component_id")
