@@ -60,6 +60,23 @@ def test_words_against_brute_force(docs, awkward, sha, monkeypatch, crowded):
     assert seed_extend.dedup(docs([])).collect() == []
 
 
+def test_anchor_crowded_in_every_block(docs, sha, monkeypatch):
+    monkeypatch.setattr(seed_extend, "BLOCK_BYTES", 1 << 15)
+    rng = random.Random(17)
+    fresh = lambda n: [f"f{rng.randrange(1 << 40)}" for _ in range(n)]
+    rows = []
+    for i in range(0, 80, 2):  # a phrase in 30 surroundings of each text; in 10 of them the texts share 14 words
+        phrase = fresh(8)
+        shared = [fresh(3) + phrase + fresh(3) for _ in range(10)]
+        for j in (i, i + 1):
+            around = shared + [fresh(3) + phrase + fresh(3) for _ in range(20)]
+            rows.append((j, " ".join(w for a in around for w in [*fresh(6), *a, *fresh(6)])))
+    found = seed_extend.dedup(docs(rows), 13, with_text=True).collect()
+    expected = sorted((i, n, r, sha(k)) for i, n, r, k in brute_words(rows, 13))
+    assert sum(r for _, _, r, _ in expected) == 40 * 10 * 14
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in found) == expected
+
+
 @pytest.mark.parametrize("crowded, contexts", [(8, 1024), (1, 1024), (8, 1), (1, 1)])
 def test_bytes_against_brute_force(docs, awkward, sha, monkeypatch, crowded, contexts):
     monkeypatch.setattr(windows, "CROWDED", crowded)

@@ -221,7 +221,8 @@ def doc_ids(column: pa.Array) -> np.ndarray:
 def summed(rows: DataFrame) -> DataFrame:
     """Adds what all blocks together say of the row's context and of its anchor.
 
-    Rows are few per key, at most CROWDED a block, so plain windows over them are even.
+    Rows are few per key, at most CROWDED a block, so plain windows over them are even. A crowded row
+    stands for several contexts by itself, even if all blocks have nothing but such rows.
     """
     anchor, context = Window.partitionBy("anchor"), Window.partitionBy("anchor", "context")
     return (
@@ -229,7 +230,7 @@ def summed(rows: DataFrame) -> DataFrame:
         .withColumn("anchor_high", F.max("high").over(anchor))
         .withColumn("anchor_times", F.sum("times").over(anchor))
         .withColumn("anchor_contexts", F.sum("contexts").over(anchor))
-        .withColumn("several", F.min("context").over(anchor) != F.max("context").over(anchor))
+        .withColumn("several", (F.min("context").over(anchor) != F.max("context").over(anchor)) | (F.max("contexts").over(anchor) > 1))
         .withColumn("context_low", F.min("low").over(context))
         .withColumn("context_times", F.sum("times").over(context))
         .withColumn("context_block", F.min("block").over(context))
