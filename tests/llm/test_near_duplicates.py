@@ -59,6 +59,30 @@ def test_any_segments_link_alike(spark, monkeypatch, hot, four, three):
     assert got == brute_components(items, lambda x, y: (x ^ y).bit_count() <= 4)
 
 
+def test_crowded_buckets_apply_the_whole_check(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "HOT_BUCKET", 6)
+    ball = simhash._ball
+    # The keys of the first 16 bits are enough: the others are equal in all fingerprints.
+    monkeypatch.setattr(simhash, "_ball", lambda width, radius: ball(min(width, 16), radius))
+    rng = np.random.default_rng(21)
+    flip = lambda x, low, high, n: x ^ sum(1 << int(b) for b in low + rng.choice(high - low, n, replace=False))
+    rows = []
+    for base in (0, 0xA5A5):
+        for k in range(12):  # pairs of copies that share a crowded bucket with others like them by table and hint only
+            hint, rest = flip(0, 0, 60, 4), int(rng.integers(0, 1 << 60))
+            for _ in range(2):
+                rows.append((flip(base, 0, 16, int(rng.integers(0, 4))), flip(hint, 0, 60, 1), flip(rest, 0, 60, 2)))
+    items = list(enumerate(rows))
+    items = [items[i] for i in rng.permutation(len(items))]
+    bits = lambda x, y: (x ^ y).bit_count()
+    near = lambda x, y: bits(x[0], y[0]) <= 5 and bits(x[1], y[1]) <= 12 and bits(x[1], y[1]) + bits(x[2], y[2]) <= 14
+    nodes = spark.createDataFrame([(i, *x) for i, x in items], "node long, fp long, h long, r long")
+    found = simhash.link(nodes, ["fp"], 5, check=(["h", "r"], 14), hint=("h", 12)).collect()
+    expected = brute_components(items, near)
+    assert 10 < len(set(expected.values())) < len(items)
+    assert {i: i for i, _ in items} | {r.node: r.component for r in found} == expected
+
+
 def test_near_copies_group_and_others_do_not(docs):
     rng = np.random.default_rng(5)
     words = [f"w{i}" for i in range(3000)]

@@ -197,7 +197,8 @@ def link(nodes: DataFrame, tables: list[str], radius: int, check: tuple[list[str
         crowded = own.groupBy("seg", "key").agg(F.count("*").alias("n")).filter(f"n > {HOT_BUCKET}").select("seg", "key")
         crowded = materialize(crowded, "crowded")
         if not crowded.isEmpty():
-            pairs.append(materialize(_dense(probes.join(crowded, ["seg", "key"], "left_semi").select(carried).distinct(), t, radius, near), "pairs"))
+            met = probes.join(crowded, ["seg", "key"], "left_semi").select(carried).distinct()
+            pairs.append(materialize(_dense(met, t, radius, near, checked), "pairs"))
             own = own.join(crowded, ["seg", "key"], "left_anti")
         joined = probes.alias("x").join(
             own.alias("y"),
@@ -248,26 +249,29 @@ def _band_pairs(marked: DataFrame, bands: list[str], columns: list[str], bits: i
     return joined.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
-def _dense(nodes: DataFrame, table: str, radius: int, near: Callable[[str, str, str], Column]) -> DataFrame:
+def _dense(nodes: DataFrame, table: str, radius: int, near: Callable[[str, str, str], Column], checked: Callable[[list[DataFrame]], DataFrame]) -> DataFrame:
     """Pairs that connect the nodes of crowded buckets, by keys of the balls of half the radius.
 
     Two fingerprints share such a key if they are within the radius. Each node is paired with the
-    smallest of each of its keys that holds a node of another part: the two are within the radius too
-    (or one more, if it is odd: then the pair is left to the other nodes of the key). If a hint or an odd radius
-    parts them, the key's nodes are compared among themselves.
+    smallest of each of its keys that holds a node of another part. Nodes of that one's part, and
+    those whose link to it the whole check confirms, are settled among themselves; all others are
+    compared with every node of the key.
     """
     masks = F.array(*[F.lit(m - (1 << 64) if m >> 63 else m).cast("long") for m in _ball(64, -(-radius // 2))])
     keyed = nodes.select("*", F.explode(F.transform(masks, lambda m: F.col(table).bitwiseXOR(m))).alias("key"))
     first = keyed.groupBy("key").agg(F.min(F.struct(*nodes.columns)).alias("y"), F.min("part").alias("p"), F.max("part").alias("q"))
-    met = keyed.join(first.filter("p <> q"), "key").filter(F.col("node") != F.col("y.node"))
-    met = met.select("key", F.struct(*nodes.columns).alias("x"), "y").withColumn("near", near(table, "x", "y"))
-    direct = met.filter("near").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-    rest = met.filter("not near").select("key", "x.*")
-    others = rest.alias("x").join(
-        rest.alias("y"),
-        (F.col("x.key") == F.col("y.key")) & (F.col("x.node") > F.col("y.node")) & (F.col("x.part") != F.col("y.part")) & near(table, "x", "y"),
-    )
-    return direct.union(others.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))).distinct()
+    met = keyed.join(first.filter("p <> q").select("key", "y"), "key").filter(F.col("node") != F.col("y.node"))
+    met = materialize(met.select("key", F.struct(*nodes.columns).alias("x"), "y"), "met")
+    direct = met.filter((F.col("x.part") != F.col("y.part")) & near(table, "x", "y"))
+    direct = direct.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    direct = materialize(checked([direct]), "direct")
+    joined = direct.select(F.col("a").alias("x_node"), F.col("b").alias("y_node")).distinct()
+    apart = met.filter(F.col("x.part") != F.col("y.part"))
+    apart = apart.join(joined, (F.col("x.node") == F.col("x_node")) & (F.col("y.node") == F.col("y_node")), "left_anti").select("key", "x")
+    others = apart.alias("l").join(met.select("key", F.col("x").alias("y")).alias("r"), "key")
+    others = others.filter((F.col("x.part") != F.col("y.part")) & near(table, "x", "y"))
+    others = others.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"))
+    return direct.union(others).distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, id_col="doc_id", text_col="text") -> DataFrame:
