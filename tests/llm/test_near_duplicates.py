@@ -130,6 +130,22 @@ def test_copies_with_passages_added_or_cut_group(docs):
 def test_bands_recall_copies_at_the_threshold():
     rng = np.random.default_rng(9)
     pairs = [(b, c) for b in zipf_texts(rng, 100) for c in copies(rng, b, 0.81) if jaccard(b, c) >= 0.8]
-    keys = lambda t: simhash.band_keys(" ".join(t))
+    keys = lambda t: simhash.band_keys(simhash.shingle_set(" ".join(t)))
     assert len(pairs) > 300
     assert all(any(x == y for x, y in zip(keys(b), keys(c))) for b, c in pairs)
+
+
+def test_links_are_those_of_the_exact_similarity(docs):
+    rng = np.random.default_rng(10)
+    texts = []
+    for i, base in enumerate(zipf_texts(rng, 24)):
+        texts += [base, *copies(rng, base, 0.66 + 0.01 * i)]  # similarities from 0.66 to 0.89
+    line = [f"l{i}" for i in range(12)]
+    texts += [line * 40 + [f"p{i}" for i in range(40)], line * 40 + [f"q{i}" for i in range(40)]]  # alike but for their sets
+    items = list(enumerate(texts))
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    near = {(x, y) for x in range(len(texts)) for y in range(len(texts)) if len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y])}
+    expected = brute_components([(i, i) for i, _ in items], lambda x, y: (x, y) in near)
+    assert 24 < len(set(expected.values())) < len(items)
+    found = simhash.similar_groups(docs([(i, " ".join(t)) for i, t in items])).collect()
+    assert {r.doc_id: r.component_id for r in found} == expected

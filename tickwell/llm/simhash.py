@@ -26,6 +26,10 @@ BANDS, BAND_ROWS = 20, 4
 _MULTIPLIERS = mix(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
+# 256-bit SimHashes of sets with a Jaccard similarity of 0.8 differ in 39 bits, with a deviation of 5.7.
+CANDIDATE_BITS = 72
+
+
 def _votes(hashes: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
     """For each of 64 bits, the (weighted) number of hashes that have it."""
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -60,23 +64,30 @@ def fingerprint(text: str | None, size: int = 4) -> int:
     return _majority(votes, total)
 
 
-def wide_fingerprint(text: str | None, size: int = 5, words: int = 4) -> list[int]:
-    """SimHash of 64 * words bits over word shingles, each word from its own remix of the shingle hashes."""
-    votes, total = np.zeros((words, 64), dtype=np.int64), 0
-    for hashes in shingle_hashes(text, size):
+def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
+    """The distinct shingle hashes of a text, in order."""
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(text, size)]))
+
+
+def set_digest(shingles: np.ndarray) -> list[int]:
+    """128 bits of a set of shingles, each word a sum over its own remix."""
+    return [int(mix(shingles + np.uint64(11 + i)).sum(dtype=np.uint64).view(np.int64)) for i in range(2)]
+
+
+def wide_fingerprint(shingles: np.ndarray, words: int = 4) -> list[int]:
+    """SimHash of 64 * words bits over a set of shingles, each word from its own remix of the hashes."""
+    votes = np.zeros((words, 64), dtype=np.int64)
+    for at in range(0, len(shingles), _CHUNK):
         for i in range(words):
-            votes[i] += _votes(mix(hashes + np.uint64(i)))
-        total += len(hashes)
-    return [_majority(v, total) for v in votes]
+            votes[i] += _votes(mix(shingles[at : at + _CHUNK] + np.uint64(i)))
+    return [_majority(v, len(shingles)) for v in votes]
 
 
-def band_keys(text: str | None, size: int = 5) -> list[int]:
-    """One key per band of MinHashes over word shingles; 0 for a text without words."""
-    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for hashes in shingle_hashes(text, size):
-        least = np.minimum(least, [(hashes * m).min() for m in _MULTIPLIERS])
+def band_keys(shingles: np.ndarray) -> list[int]:
+    """One key per band of MinHashes over a set of shingles; 0 for the empty set."""
     keys = np.zeros(BANDS, dtype=np.uint64)
-    if (least < np.iinfo(np.uint64).max).any():
+    if len(shingles):
+        least = np.array([(shingles * m).min() for m in _MULTIPLIERS])
         for column in least.reshape(BANDS, BAND_ROWS).T:
             keys = mix(keys * np.uint64(0x9FB21C651E98DF25) + column)
     return keys.view(np.int64).tolist()
@@ -143,7 +154,7 @@ def _bucketed(nodes: DataFrame, columns: list[str], table: str, segments: list[t
     return nodes.select(*columns, _keys(F.col(table), segments, probes).alias("k")).select(*columns, "k.seg", "k.key")
 
 
-def link(nodes: DataFrame, tables: list[str], radius: int, check: tuple[list[str], int] | None = None, hint: tuple[str, int] | None = None, bands: list[str] | None = None) -> DataFrame:
+def link(nodes: DataFrame, tables: list[str], radius: int, check: tuple[list[str], int] | None = None, hint: tuple[str, int] | None = None, bands: list[str] | None = None, confirm: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(node, component) of distinct nodes linked by their fingerprints, found by multi-index hashing.
 
     nodes: (node, fingerprint columns), one row per node. A pair is found if its fingerprints in one
@@ -152,6 +163,7 @@ def link(nodes: DataFrame, tables: list[str], radius: int, check: tuple[list[str
     condition for that which bucket rows carry along to leave most other pairs out early. The joins
     compare whole fingerprints as they read the buckets, so only pairs within reach become rows.
     With bands, which need a check, nodes that are equal in one of these columns are compared by the check too.
+    confirm keeps those of the checked pairs (a, b) that are links.
 
     First each node is compared with the smallest node of its buckets; then pairs are looked up
     whose nodes these links leave apart, so a group of many near copies does not give all its pairs. A
@@ -175,7 +187,8 @@ def link(nodes: DataFrame, tables: list[str], radius: int, check: tuple[list[str
         sides = [nodes.select(F.col("node").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in columns]) for s in "ab"]
         both = found.distinct().join(sides[0], "a").join(sides[1], "b")
         differ = sum(F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in columns)
-        return both.filter(differ <= bits).select("a", "b")
+        near_pairs = both.filter(differ <= bits).select("a", "b")
+        return confirm(near_pairs) if confirm else near_pairs
 
     stars = []
     for t in tables:
@@ -292,22 +305,49 @@ def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, id_col="doc
     )
 
 
-def similar_groups(docs: DataFrame, bits: int = 48, id_col="doc_id", text_col="text") -> DataFrame:
-    """(doc_id, component_id): groups of texts that share most of their five-word shingles.
+def _shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, shingles): the set of five-word shingle hashes of each text."""
 
-    Two texts are near-duplicates if their 256-bit SimHashes over five-word shingles differ in at
-    most `bits` bits: at a Jaccard similarity of 0.8, 256 * arccos(2 * 0.8 / 1.8) / pi = 39 are
-    expected, with a deviation of 6. Candidates come from three SimHashes over single words, which
-    a changed word moves far less, within five bits, and from bands of MinHashes over the shingles, which
-    find copies with passages added or cut. Texts without words (null, empty) count as copies of each
-    other. Rows without doc_id are left out.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):  # one text a batch, as sets are as large as texts
+                made = pa.array([shingle_set(batch.column(1)[i].as_py()).view(np.int64)], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[i : i + 1], made], ["node", "shingles"])
+
+    chosen = docs.select(F.col(f"`{id_col}`").cast("long").alias("node"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return chosen.mapInArrow(run, "node long, shingles array<long>")
+
+
+def similar_groups(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
+    """(doc_id, component_id): groups of texts linked by a Jaccard similarity of 0.8 of their five-word shingles.
+
+    Candidates come from three SimHashes over single words, which a changed word moves far less than
+    those over shingles, within five bits, and from bands of MinHashes over the shingles, which find copies
+    with passages added or cut. Of these, pairs whose 256-bit SimHashes over the set of shingles differ in
+    at most CANDIDATE_BITS bits are confirmed by the sets themselves. Texts without words (null, empty)
+    count as copies of each other. Rows without doc_id are left out.
     """
-    wide, narrow, bands = [f"s{i}" for i in range(4)], [f"w{i}" for i in range(3)], [f"m{i}" for i in range(BANDS)]
-    make = lambda t: [*wide_fingerprint(t), *word_fingerprints(t), *band_keys(t)]
-    made = materialize(fingerprints(docs, make, wide + narrow + bands, id_col, text_col), "fingerprints")
-    nodes = made.filter("doc_id is not null").groupBy(wide + narrow + bands).agg(F.min("doc_id").alias("node"))
+    digest, wide, narrow, bands = ["d0", "d1"], [f"s{i}" for i in range(4)], [f"w{i}" for i in range(3)], [f"m{i}" for i in range(BANDS)]
+
+    def make(text: str | None) -> list[int]:
+        shingles = shingle_set(text)
+        return [*set_digest(shingles), *wide_fingerprint(shingles), *word_fingerprints(text), *band_keys(shingles)]
+
+    made = materialize(fingerprints(docs, make, digest + wide + narrow + bands, id_col, text_col), "fingerprints")
+    least = F.min(F.struct("doc_id", *wide, *narrow, *bands)).alias("n")
+    nodes = made.filter("doc_id is not null").groupBy(digest).agg(least).select(*digest, F.col("n.doc_id").alias("node"), "n.*").drop("doc_id")
     nodes = materialize(nodes, "nodes")
 
-    linked = link(nodes, narrow, 5, check=(wide, bits), hint=(wide[0], 20), bands=bands)
-    named = nodes.join(linked, "node", "left").select(*wide, *narrow, *bands, F.coalesce("component", "node").alias("component_id"))
-    return made.join(named, wide + narrow + bands).select("doc_id", "component_id")
+    def confirm(pairs: DataFrame) -> DataFrame:
+        pairs = materialize(pairs, "candidates")
+        ids = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+        wanted = docs.join(ids, F.col(f"`{id_col}`").cast("long") == ids["node"], "left_semi")
+        sets = materialize(_shingle_sets(wanted, id_col, text_col), "sets")
+        sides = [sets.select(F.col("node").alias(s), F.col("shingles").alias(f"{s}_set")) for s in "ab"]
+        shared = F.size(F.array_intersect("a_set", "b_set"))
+        # J = shared / (a + b - shared) >= 4 / 5
+        return pairs.join(sides[0], "a").join(sides[1], "b").filter(9 * shared >= 4 * (F.size("a_set") + F.size("b_set"))).select("a", "b")
+
+    linked = link(nodes, narrow, 5, check=(wide, CANDIDATE_BITS), hint=(wide[0], 24), bands=bands, confirm=confirm)
+    named = nodes.join(linked, "node", "left").select(*digest, F.coalesce("component", "node").alias("component_id"))
+    return made.join(named, digest).select("doc_id", "component_id")
