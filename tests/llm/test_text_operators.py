@@ -188,6 +188,16 @@ def test_reparameterised_questions(spark, docs, awkward):
     assert decontaminate.contaminated(docs(rows), bench.limit(0)).collect() == []
 
 
+def test_verbatim_questions_whatever_their_slots(spark, docs):
+    sums, coins = "What is 17 times 24?", "Tom, Ann, Bob, Eve and Max have 3, 5, 7, 9 and 11 coins"
+    foxes = "What do seven red foxes eat"
+    bench = spark.createDataFrame([(1, sums), (2, coins), (3, foxes), (4, "Who ran?"), (5, "?!")], "item_id long, text string")
+    rows = [(1, "so. " + sums), (2, "Then " + sums.lower()), (3, "we know " + coins + " now"), (4, "as we asked " + foxes + " at night"),
+            (5, "What is 18 times 24?"), (6, "as we asked who Ran away"), (7, "!! ??"), (8, sums + " And again: " + sums)]
+    found = {(r.doc_id, r.item_id): r.n_windows for r in decontaminate.contaminated(docs(rows), bench).collect()}
+    assert found == {(1, 1): 1, (2, 1): 1, (3, 2): 5, (4, 3): 1, (6, 4): 1, (8, 1): 2}
+
+
 def test_native_plans_have_no_python(spark, docs, awkward):
     bench = spark.createDataFrame([(1, "a b c d e f g h i j k l")], "item_id long, text string")
     for df in (license_scan.scan(docs(awkward)), decontaminate.contaminated(docs(awkward), bench)):

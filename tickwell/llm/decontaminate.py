@@ -36,7 +36,7 @@ _NAME = (r"(?<![^ ])\p{Lu}[^ ]*", "<name>")
 
 
 def words(table: DataFrame, text: str) -> DataFrame:
-    """Replaces the text column by own, its words with the carets, and shape, its template.
+    """Replaces the text column by own, its words with the carets, exact, its words in lower case, and shape, its template.
 
     The template has the words in lower case; numbers, units after a number, and capitals within a
     sentence are slots. Both are made by passes over the whole text, word by word alike.
@@ -50,7 +50,8 @@ def words(table: DataFrame, text: str) -> DataFrame:
     for pattern, to in (_NUMBER, _UNIT, _NAME):
         shape = F.regexp_replace(shape, pattern, to)
     shape = F.lower(F.replace(shape, F.lit("^"), F.lit("")))
-    return plain.select(*rest, F.split("plain", " ").alias("own"), F.split(shape, " ").alias("shape"))
+    exact = F.lower(F.replace(F.col("plain"), F.lit("^"), F.lit("")))
+    return plain.select(*rest, F.split("plain", " ").alias("own"), F.split(exact, " ").alias("exact"), F.split(shape, " ").alias("shape"))
 
 
 def _keys(shape: Column, length: int) -> Column:
@@ -83,31 +84,40 @@ def contaminated(
     other parameters has the same template; a window counts if slots that the item fills alike are
     filled alike in the document too. Windows with fewer than LITERAL other words say too little
     and are not compared; items shorter than a window are compared whole if SHORT_LITERAL other
-    words remain. Null and empty texts match nothing; rows sharing an id add up.
+    words remain. Windows that are equal word by word, but for capitals, count whatever their slots, and
+    so do short items. Null and empty texts match nothing; rows sharing an id add up.
     """
     literal = lambda shape: F.size(F.filter(shape, lambda w: ~w.startswith("<")))
     part = lambda column, n: F.slice(column, F.col("w.pos") + 1, n)
     items = words(benchmark.select(F.col(f"`{item_col}`").alias("item_id"), F.col(f"`{item_text}`").cast("string").alias("text")), "text")
     given = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    shaped = words(given, "text").select("doc_id", "shape")
-    lengths = items.select(F.size("shape").alias("n")).filter(F.col("n").between(SHORT_LITERAL, window - 1)).distinct()
+    shaped = words(given, "text").select("doc_id", "exact", "shape")
+    lengths = items.select(F.size("shape").alias("n")).filter((F.col("n") < window) & (F.get("exact", F.lit(0)) != "")).distinct()
     made = []
     for n in [window, *sorted(r.n for r in lengths.collect())]:  # at most window - 1 numbers
         whole = items if n == window else items.filter(F.size("shape") == n)
         keys = whole.select("item_id", "own", "shape", F.explode(_windows(F.col("shape"), n)).alias("w"))
         keys = keys.select("item_id", part("own", n).alias("wanted"), part("shape", n).alias("shape"), "w.key")
         keys = keys.filter(literal(F.col("shape")) >= (LITERAL if n == window else SHORT_LITERAL)).distinct()
-        known = keys.select("key").distinct()
+        copies = whole.select("item_id", "exact", F.explode(_windows(F.col("exact"), n)).alias("w"))
+        copies = copies.select("item_id", part("exact", n).alias("exact"), "w.key").filter(F.get("exact", F.lit(0)) != "").distinct()
+        known = keys.select("key").union(copies.select("key")).distinct()
         known = F.broadcast(known) if known.count() <= BROADCAST_ROWS else known
-        spread = shaped.select("doc_id", F.explode(_keys(F.col("shape"), n)).alias("key"))
+        spread = shaped.select("doc_id", F.explode(F.concat(_keys(F.col("shape"), n), _keys(F.col("exact"), n))).alias("key"))
         met = materialize(spread.join(known, "key", "left_semi").select("doc_id").distinct(), "hits")
         met = F.broadcast(met) if met.count() <= BROADCAST_ROWS else met
-        again = words(given.join(met, "doc_id", "left_semi"), "text")
-        again = again.select("doc_id", "own", "shape", F.explode(_windows(F.col("shape"), n)).alias("w"))
-        again = again.select("doc_id", part("own", n).alias("found"), part("shape", n).alias("shape"), "w.key")
+        again = materialize(given.join(met, "doc_id", "left_semi").withColumn("row", F.monotonically_increasing_id()), "texts")
+        again = words(again, "text")
+        shapes = again.select("row", "doc_id", "own", "shape", F.explode(_windows(F.col("shape"), n)).alias("w"))
+        shapes = shapes.select("row", "doc_id", "w.pos", part("own", n).alias("found"), part("shape", n).alias("shape"), "w.key")
         fits = _fits(F.col("shape"), F.col("wanted"), F.col("found"))
-        pairs = again.join(keys, ["key", "shape"]).select("doc_id", "item_id", fits.alias("fits")).filter("fits")
-        made.append(pairs.groupBy("doc_id", "item_id").agg(F.count("*").alias("n_windows")))
+        pairs = shapes.join(keys, ["key", "shape"]).select("row", "doc_id", "item_id", "pos", fits.alias("fits")).filter("fits")
+        equal = again.select("row", "doc_id", "exact", F.explode(_windows(F.col("exact"), n)).alias("w"))
+        equal = equal.select("row", "doc_id", "w.pos", part("exact", n).alias("exact"), "w.key")
+        equal = equal.join(copies, ["key", "exact"]).select("row", "doc_id", "item_id", "pos", F.lit(False).alias("fits"))
+        # A window that is found by its template already does not count again as an equal one.
+        windows = pairs.union(equal).groupBy("row", "doc_id", "item_id", "pos").agg(F.greatest(F.count_if("fits"), F.lit(1)).alias("n"))
+        made.append(windows.groupBy("doc_id", "item_id").agg(F.sum("n").alias("n_windows")))
     every = made[0]
     for more in made[1:]:
         every = every.union(more)
