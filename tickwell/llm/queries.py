@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.llm import byte_bpe, chat_format, cover_tree, decontaminate, hmm_lm, language_id, license_scan, seed_extend, simhash, suffix_dedup
+from tickwell.llm import best_fit, byte_bpe, chat_format, cover_tree, decontaminate, hmm_lm, language_id, license_scan, seed_extend, simhash, suffix_dedup
 from tickwell.llm.spark import ship_package
 from tickwell.session import configure
 
@@ -84,3 +84,8 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op4_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm_lm.score(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
