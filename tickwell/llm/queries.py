@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.llm import best_fit, byte_bpe, chat_format, cover_tree, decontaminate, hmm_lm, language_id, license_scan, seed_extend, simhash, suffix_dedup
+from tickwell.llm import best_fit, byte_bpe, chat_format, cover_tree, decontaminate, hmm_lm, language_id, license_scan, seed_extend, simhash, suffix_dedup, turn_repair
 from tickwell.llm.spark import ship_package
 from tickwell.session import configure
 
@@ -89,3 +89,9 @@ def op4_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations")
+    return turn_repair.audit(given, turn_repair.repair(turn_repair.damaged(given)))
