@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwell.llm import best_fit, byte_bpe, chat_format, cover_tree, decontaminate, hmm_lm, language_id, license_scan, seed_extend, simhash, suffix_dedup, turn_repair
+from tickwell.llm import best_fit, byte_bpe, chat_format, collocations, cover_tree, decontaminate, hmm_lm, language_id, license_scan, seed_extend, simhash, suffix_dedup, turn_repair
 from tickwell.llm.spark import ship_package
 from tickwell.session import configure
 
@@ -95,3 +95,11 @@ def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = _table(spark, sf_dir, "conversations")
     return turn_repair.audit(given, turn_repair.repair(turn_repair.damaged(given)))
+
+
+@_query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+SQL["op11_collocations"] = collocations.collocations_sql()
