@@ -7,25 +7,26 @@ it found: tokens, counts, ranks and places are all distributed.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwell.llm.spark import written
-from tickwell.llm.text import split_words
+from tickwell.llm.text import SPACE
 
 LIMIT = 2048
 END = 0
 # Steps of the search after which the best packing found so far counts.
 STEPS = 200_000
-_BATCH_BYTES = 8 << 20
+_BATCH_BYTES = 4 << 20
 
 # ------------------------------------------------------------------- the search
 
@@ -190,41 +191,93 @@ def plan(counts: np.ndarray, steps: int = STEPS) -> list[tuple[int, Counter]]:
 # -------------------------------------------------------------------- on Spark
 
 
-def _words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The distinct runs without ASCII space of some texts, and those of all texts in order: (runs, places, ends)."""
-    data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)
+def _words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct runs without ASCII space of some texts, the place of each run of all texts, and the runs up to each text's end."""
     bounds = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    parted = np.full(bounds[-1] - bounds[0] + len(texts), 0x20, dtype=np.uint8)  # a space after each text
-    lengths = np.diff(bounds)
-    shift = np.repeat(np.arange(len(texts)), lengths)
-    parted[np.arange(len(shift)) + shift] = data[bounds[0] : bounds[-1]]
-    starts, ends = split_words(parted)
-    sizes = ends - starts
-    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    inside = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], sizes)
-    runs = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(parted[inside])])
+    data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[bounds[0] : bounds[-1]]
+    word = ~SPACE[data]
+    edges = np.zeros(len(data) + 1, dtype=bool)  # a run ends where its text does
+    edges[bounds - bounds[0]] = True
+    begins, ends = word & edges[:-1], word & edges[1:]
+    begins[1:] |= word[1:] & ~word[:-1]
+    ends[:-1] |= word[:-1] & ~word[1:]
+    starts = np.flatnonzero(begins)
+    offsets = np.concatenate([[0], np.cumsum(np.flatnonzero(ends) + 1 - starts)])
+    runs = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[word])])
     coded = runs.dictionary_encode()
-    last = np.cumsum(lengths + 1)  # where each text and its space end
-    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), np.searchsorted(starts, last)
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), np.searchsorted(starts, bounds[1:] - bounds[0])
 
 
-def _ids_of(tokenizer, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts one after the other, each text's closed by end, and where each text's begin and the last ends.
+# Between words that are coded together: a character that makes a token of its own. A word that holds it is coded alone.
+_MARK = "\x01"
+_TOGETHER = 4096
+# Words a worker remembers before it starts afresh; this changes its memory and time, never its ids.
+KNOWN = 1 << 20
 
-    The tokenizer parts texts at white space before anything else, so the ids of a text are
-    those of its words, and a word is coded once however often it occurs.
-    """
-    words, places, ends = _words_of(texts)
-    coded = [e.ids for e in tokenizer.encode_batch(words.to_pylist(), add_special_tokens=False)]
-    sizes = np.array([len(c) for c in coded] + [1], dtype=np.int64)  # the last one is end
-    flat = np.fromiter((i for c in coded for i in c), dtype=np.uint32, count=int(sizes[:-1].sum()))
-    flat = np.append(flat, np.uint32(end))
-    at = np.cumsum(sizes) - sizes
-    places = np.insert(places.astype(np.int64), ends, len(coded))
-    n = sizes[places]
-    offsets = np.concatenate([[0], np.cumsum(n)])
-    ids = flat[np.arange(offsets[-1]) + np.repeat(at[places] - offsets[:-1], n)]
-    return ids, np.concatenate([[0], offsets[ends + np.arange(1, len(ends) + 1)]])
+
+class _Coder:
+    """Ids of words, each coded once while it is remembered."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core already
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True
+        self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids[0]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words = pa.array([], pa.large_string())
+        self.flat, self.sizes = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
+
+    def _coded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words one after the other, and how many each has."""
+        flat, sizes = [self.flat], [self.sizes]
+        for at in range(0, len(words), _TOGETHER):
+            some = words[at : at + _TOGETHER]
+            whole = self.tokenizer.encode_batch_fast([f" {_MARK} ".join([*some, ""])], add_special_tokens=False)[0].ids
+            ids = np.array(whole, dtype=np.uint32)
+            ends = np.flatnonzero(ids == self.mark)
+            if len(ends) == len(some):
+                flat.append(np.delete(ids, ends))
+                sizes.append(np.diff(ends, prepend=-1) - 1)
+            else:
+                each = [self.tokenizer.encode(word, add_special_tokens=False).ids for word in some]
+                flat.append(np.array([i for ids in each for i in ids], dtype=np.uint32))
+                sizes.append(np.array([len(ids) for ids in each], dtype=np.int64))
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where distinct words stand among those remembered; new ones are coded first."""
+        at = pc.index_in(words, value_set=self.words)
+        if len(self.words) + at.null_count > KNOWN:
+            self._forget()
+            at = pa.nulls(len(words), pa.int32())
+        new = words.filter(at.is_null())
+        known = len(self.words)
+        self.flat, self.sizes = self._coded(new.to_pylist())
+        self.words = pa.concat_arrays([self.words, new])
+        place = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[place < 0] = known + np.arange(len(new))
+        return place
+
+    def ids(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, each text's closed by end, and where each text's begin and the last ends.
+
+        The tokenizer parts texts at white space before anything else, so the ids of a text are
+        those of its words.
+        """
+        words, runs, ends = _words_of(texts)
+        runs = self.places(words)[runs]
+        flat, sizes = np.append(self.flat, np.uint32(end)), np.append(self.sizes, 1)  # the last one is end
+        at = np.cumsum(sizes) - sizes
+        runs = np.insert(runs, ends, len(sizes) - 1)
+        n = sizes[runs]
+        offsets = np.concatenate([[0], np.cumsum(n)])
+        shift = np.repeat(at[runs] - offsets[:-1], n)
+        shift += np.arange(offsets[-1])
+        return flat[shift], np.concatenate([[0], offsets[ends + np.arange(1, len(ends) + 1)]])
 
 
 def pieces(docs: DataFrame, path: str, limit: int = LIMIT, end: int = END, with_ids: bool = False) -> DataFrame:
@@ -236,15 +289,12 @@ def pieces(docs: DataFrame, path: str, limit: int = LIMIT, end: int = END, with_
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank", *(["ids"] if with_ids else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        coder = _Coder(path)
         part, seen = TaskContext.get().partitionId(), np.zeros(limit + 1, dtype=np.int64)
         for batch in batches:
             for some in _bounded(batch):
                 texts = some.column(1).cast(pa.large_string())
-                ids, bounds = _ids_of(tokenizer, texts, end)
+                ids, bounds = coder.ids(texts, end)
                 lengths = np.diff(bounds)
                 per = -(-lengths // limit)
                 owner = np.repeat(np.arange(len(lengths)), per)
@@ -275,7 +325,7 @@ def pieces(docs: DataFrame, path: str, limit: int = LIMIT, end: int = END, with_
 
 def _bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Slices of a batch of about _BATCH_BYTES of text, one row at least."""
-    sizes = np.cumsum(pa.compute.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
+    sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
     at = 0
     while at < len(sizes):
         before = sizes[at - 1] if at else 0

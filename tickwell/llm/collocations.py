@@ -26,7 +26,7 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 NONE = -1
-_BLOCK_BYTES = 24 << 20
+_BLOCK_BYTES = 12 << 20
 _WORDS = [f"w{i}" for i in range(1, LONGEST + 1)]
 
 # Bytes: what ends a piece, what ends a word, and capitals.
@@ -47,19 +47,19 @@ def _spoken(table: pa.Table) -> Iterator[tuple[str, pa.Array, np.ndarray]]:
         texts = table.filter(pc.equal(table["lang"], lang))["text"].combine_chunks().cast(pa.large_binary())
         offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
         data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[offsets[0] : offsets[-1]]
-        gap = _GAPS[data]
-        ended = _ENDS[data]
-        # A word ends where its text does, and so does its piece: count texts as pieces too.
+        word = ~_GAPS[data]
+        # A word ends where its text does, and so does its piece: texts count as pieces too.
         edges = np.zeros(len(data) + 1, dtype=bool)
         edges[offsets - offsets[0]] = True
-        inside = np.concatenate([[True], gap, [True]])
-        word = ~inside[1:-1]
-        starts = np.flatnonzero(word & (inside[:-2] | edges[:-1]))
-        stops = np.flatnonzero(word & (inside[2:] | edges[1:])) + 1
-        piece = (np.cumsum(ended, dtype=np.int64) + np.cumsum(edges[:-1], dtype=np.int64))[starts]
+        begins, ends = word & edges[:-1], word & edges[1:]
+        begins[1:] |= word[1:] & ~word[:-1]
+        ends[:-1] |= word[:-1] & ~word[1:]
+        starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+        piece = np.searchsorted(np.flatnonzero(_ENDS[data]), starts) + np.searchsorted(offsets - offsets[0], starts, side="right")
         packed = np.concatenate([[0], np.cumsum(stops - starts)])
         body = pa.py_buffer(_LOWER[data[word]])
-        yield lang, pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(packed), body]), piece
+        del data, word, edges, begins, ends, starts, stops
+        yield lang, pa.Array.from_buffers(pa.large_binary(), len(piece), [None, pa.py_buffer(packed), body]), piece
 
 
 def _counted(_: tuple, table: pa.Table) -> pa.Table:
