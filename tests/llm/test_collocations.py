@@ -62,7 +62,7 @@ def test_against_dictionaries(spark, docs, least, top):
 
 def test_blocks_and_ranges_change_nothing(spark, docs, monkeypatch):
     rows = texts(150, 8)
-    monkeypatch.setattr(C, "_BLOCK_BYTES", 2000)
+    monkeypatch.setattr(C, "_BATCH_BYTES", 2000)
     spark.conf.set("spark.sql.shuffle.partitions", "23")
     try:
         assert made(C.collocations(docs(rows), 4, 500)) == plain(rows, 4, 500)

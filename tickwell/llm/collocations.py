@@ -6,8 +6,9 @@ own beginnings are the last shorter rows before it. In suffix order, words rever
 So one pass over either stream finds left counts, right counts and what extends a phrase by looking back at most
 four rows of the stack, with no lookup by key.
 
-Words are numbered, and windows are rows of numbers. A word that is itself too rare is in no
-phrase that counts, so windows end before it.
+Words are numbered by 63 bits of a hash of language and word, and windows are rows of numbers. A word that is
+itself too rare is in no phrase that counts, so windows end before it; a bitmap of fixed size tells most of them.
+Windows travel as packed runs, dealt by ranges of prefix order.
 """
 
 from __future__ import annotations
@@ -20,15 +21,23 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickwell.llm.spark import by_blocks, shuffle_parts, written
+from tickwell.llm.spark import planned_bytes, shuffle_parts, written
+from tickwell.llm.text import byte_spans
 
 LONGEST = 5
 LEAST = 100
 TOP = 2000
 NONE = -1
-_BLOCK_BYTES = 12 << 20
 _WORDS = [f"w{i}" for i in range(1, LONGEST + 1)]
 
+# Text read at once, in a task; words a range of windows should stand for; windows looked at to set the ranges.
+_BATCH_BYTES = 16 << 20
+_RANGE_WORDS = 2 << 20
+_SEEN_PER_RANGE, _SEEN = 64, 1 << 20
+# Bits of the bitmap of frequent words: 2 MB to every task. A word that only shares a bit with a frequent
+# one costs room and changes no result.
+_BITS = 24
+
 # Bytes: what ends a piece, what ends a word, and capitals.
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -37,12 +46,31 @@ _GAPS[[0x20, 0x09]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-# --------------------------------------------------------------- words of a block
+# ------------------------------------------------------------------ words of texts
 
 
-def _spoken(table: pa.Table) -> Iterator[tuple[str, pa.Array, np.ndarray]]:
-    """(lang, words, piece of each word) of the texts of each language of a block."""
-    table = table.select(["lang", "text"])
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """(lang, text) rows in tables of about _BATCH_BYTES of text, one row at least."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        at = 0
+        sizes = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
+        while at < len(sizes):
+            upto = int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + _BATCH_BYTES - size)) + 1
+            part = batch.slice(at, min(upto, len(sizes)) - at)
+            held.append(part)
+            size += int(sizes[min(upto, len(sizes)) - 1] - (sizes[at - 1] if at else 0))
+            at = min(upto, len(sizes))
+            if size >= _BATCH_BYTES:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _spoken(table: pa.Table) -> Iterator[tuple[str, pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+    """(lang, its words, their numbers, place of each spoken word among them, piece of each) of a table's texts."""
     for lang in pc.unique(table["lang"]).to_pylist():
         texts = table.filter(pc.equal(table["lang"], lang))["text"].combine_chunks().cast(pa.large_binary())
         offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -59,52 +87,64 @@ def _spoken(table: pa.Table) -> Iterator[tuple[str, pa.Array, np.ndarray]]:
         packed = np.concatenate([[0], np.cumsum(stops - starts)])
         body = pa.py_buffer(_LOWER[data[word]])
         del data, word, edges, begins, ends, starts, stops
-        yield lang, pa.Array.from_buffers(pa.large_binary(), len(piece), [None, pa.py_buffer(packed), body]), piece
-
-
-def _counted(_: tuple, table: pa.Table) -> pa.Table:
-    """(block, lang, word, n) of one block."""
-    out = []
-    for lang, words, _pieces in _spoken(table):
-        coded = words.dictionary_encode()
-        n = np.bincount(coded.indices.to_numpy(zero_copy_only=False), minlength=len(coded.dictionary))
-        size = len(coded.dictionary)
-        block = pa.array(np.full(size, table["block"][0].as_py()), pa.int64())
-        out.append(pa.table([block, pa.array([lang] * size, pa.string()), coded.dictionary.cast(pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], ["block", "lang", "word", "n"]))
-    kinds = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
-    return pa.concat_tables(out) if out else kinds.empty_table()
-
-
-def _windows(_: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
-    """(w1 .. w5, n): the windows of two words and more of one block, equal ones as one row."""
-    found: list[np.ndarray] = []
-    for lang, words, piece in _spoken(texts):
-        own = known.filter(pc.equal(known["lang"], lang))
-        numbers = np.append(own["id"].to_numpy(), NONE)
-        at = pc.index_in(words, value_set=own["word"].combine_chunks().cast(pa.large_binary()))
-        place = pc.fill_null(at, len(numbers) - 1).to_numpy(zero_copy_only=False).astype(np.int64)
-        found.append(_distinct(place, piece, numbers))
-    rows = np.concatenate(found) if found else np.zeros((0, LONGEST + 1), dtype=np.int64)
-    return pa.table([pa.array(rows[:, i]) for i in range(LONGEST + 1)], [*_WORDS, "n"])
-
-
-def _distinct(place: np.ndarray, piece: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    """Distinct windows with their counts. place: of each word in numbers, whose last one stands for rare words."""
-    rare = len(numbers) - 1
-    n = len(place)
-    columns = [np.where(place == rare, 0, place + 1)]  # 0: no word
+        coded = pa.Array.from_buffers(pa.large_string(), len(piece), [None, pa.py_buffer(packed), body]).dictionary_encode()
+        yield lang, coded.dictionary, _numbers(lang, coded.dictionary), coded.indices.to_numpy(zero_copy_only=False), piece
+
+
+def _numbers(lang: str, words: pa.Array) -> np.ndarray:
+    """63-bit numbers of the words of a language."""
+    prefix = np.frombuffer(lang.encode() + b"\n", dtype=np.uint8)
+    bounds = np.frombuffer(words.buffers()[1], dtype=np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", dtype=np.uint8)[bounds[0] : bounds[-1]]
+    own = byte_spans(prefix, 11).of(np.zeros(1, dtype=np.int64), np.array([len(prefix)]))[0]
+    bounds = bounds - bounds[0]
+    hashes = byte_spans(data, 7).of(bounds[:-1], bounds[1:])
+    mixed = (hashes ^ own) * np.uint64(0x9FB21C651E98DF25)
+    return ((mixed ^ (mixed >> np.uint64(32))) >> np.uint64(1)).astype(np.int64)
+
+
+def _slid(words: np.ndarray, piece: np.ndarray, none: int) -> list[np.ndarray]:
+    """From each word on, the five words of its piece up to the first that is none."""
+    columns, n = [words], len(words)
     for step in range(1, LONGEST):
-        nxt = np.zeros(n, dtype=np.int64)
+        after = np.full(n, none, dtype=np.int64)
         if step < n:
-            same = (piece[step:] == piece[:-step]) & (columns[-1][: n - step] > 0)
-            nxt[: n - step] = np.where(same, columns[0][step:], 0)
-        columns.append(nxt)
-    kept = columns[1] > 0
-    columns = [c[kept] for c in columns]
-    bits = max(1, int(rare + 1).bit_length())
+            goes_on = (piece[step:] == piece[:-step]) & (columns[-1][: n - step] != none)
+            after[: n - step] = np.where(goes_on, words[step:], none)
+        columns.append(after)
+    return columns
+
+
+def _counted(batches: Iterator[pa.RecordBatch], every: int) -> Iterator[pa.RecordBatch]:
+    """(id, lang, word, n, seen): words and how often they are spoken, and one of so many windows (seen; no word)."""
+    kinds = pa.schema([("id", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64()), ("seen", pa.list_(pa.int64()))])
+    at = 0
+    for table in _gathered(batches):
+        for lang, words, numbers, place, piece in _spoken(table):
+            n = np.bincount(place, minlength=len(words))
+            size = len(words)
+            columns = [pa.array(numbers), pa.array([lang] * size, pa.string()), words.cast(pa.string()), pa.array(n), pa.nulls(size, kinds[4].type)]
+            yield pa.RecordBatch.from_arrays(columns, schema=kinds)
+            # Every so many words, a few bytes apart from each other whatever a text repeats.
+            chosen = np.arange(at % every, len(place), every)
+            at += len(place)
+            if len(chosen):
+                window = [c[chosen] for c in _slid(numbers[place], piece, NONE)]
+                flat, size = pa.array(np.stack(window, axis=1).reshape(-1)), len(chosen)
+                seen = pa.ListArray.from_arrays(pa.array(np.arange(size + 1, dtype=np.int32) * LONGEST), flat)
+                empty = pa.nulls(size, pa.string())
+                yield pa.RecordBatch.from_arrays([pa.nulls(size, pa.int64()), empty, empty, pa.nulls(size, pa.int64()), seen], schema=kinds)
+
+
+# ---------------------------------------------------------------- packed windows
+
+
+def _sorted_rows(columns: list[np.ndarray], largest: int, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct rows in order, counts) of columns of codes up to largest; n counts them, each row once by default."""
+    bits = max(1, int(largest).bit_length())
     per = 63 // bits
-    keys = []  # words side by side in as few integers as they fit
-    for i in range(0, LONGEST, per):
+    keys = []  # codes side by side in as few integers as they fit
+    for i in range(0, len(columns), per):
         key = np.zeros(len(columns[0]), dtype=np.int64)
         for c in columns[i : i + per]:
             key = key << bits | c
@@ -114,64 +154,125 @@ def _distinct(place: np.ndarray, piece: np.ndarray, numbers: np.ndarray) -> np.n
     if len(order):
         new[1:] = np.logical_or.reduce([k[order[1:]] != k[order[:-1]] for k in keys])
     first = np.flatnonzero(new)
-    rows = [np.append(NONE, numbers[:-1])[c[order[first]]] for c in columns]
-    return np.stack([*rows, np.diff(np.append(first, len(order)))], axis=1)
-
-
-# ------------------------------------------------------------------ count streams
-
-
-def _runs(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Counts of the phrases that a partition's windows, in prefix order, begin with.
-
-    A phrase too rare is left out, but for those of a partition's first and last row: others may hold more of them.
+    rows = np.stack([c[order[first]] for c in columns], axis=1)
+    if n is None or not len(first):
+        return rows, np.diff(np.append(first, len(order)))
+    return rows, np.add.reduceat(n[order], first)
+
+
+def _cut(rows: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where each bound, a row, belongs among sorted rows."""
+    low = np.searchsorted(rows[:, 0], bounds[:, 0], side="left")
+    high = np.searchsorted(rows[:, 0], bounds[:, 0], side="right")
+    for i in np.flatnonzero(low < high):
+        a, b = low[i], high[i]
+        for k in range(1, LONGEST):
+            if a < b:
+                part = rows[a:b, k]
+                a, b = a + np.searchsorted(part, bounds[i, k], side="left"), a + np.searchsorted(part, bounds[i, k], side="right")
+        low[i] = a
+    return low
+
+
+def _packed(rows: np.ndarray, n: np.ndarray, ids: np.ndarray) -> bytes:
+    """Sorted windows as compressed bytes. rows hold places in ids, one more; 0 is no word."""
+    used = np.zeros(len(ids) + 1, dtype=bool)
+    used[rows] = True
+    used[0] = True
+    code = (np.cumsum(used) - 1)[rows]
+    own = ids[np.flatnonzero(used)[1:] - 1]
+    kind = np.uint16 if len(own) < 1 << 16 else np.uint32
+    head = np.array([len(rows), len(own), kind().itemsize], dtype=np.int64)
+    parts = [head, np.diff(own, prepend=0), np.minimum(n, 255).astype(np.uint8), n[n >= 255].astype(np.int64), np.ascontiguousarray(code.T.astype(kind))]
+    raw = b"".join(p.tobytes() for p in parts)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, n, ids) as _packed took them; ids only those in rows."""
+    raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+    size, known, width = np.frombuffer(raw, dtype=np.int64, count=3).tolist()
+    ids = np.cumsum(np.frombuffer(raw, dtype=np.int64, count=known, offset=24))
+    at = 24 + 8 * known
+    n = np.frombuffer(raw, dtype=np.uint8, count=size, offset=at).astype(np.int64)
+    many = np.flatnonzero(n == 255)
+    at += size
+    n[many] = np.frombuffer(raw[at : at + 8 * len(many)], dtype=np.int64)
+    codes = np.frombuffer(raw[at + 8 * len(many) :], dtype=np.uint16 if width == 2 else np.uint32)
+    return codes.reshape(LONGEST, size).T.astype(np.int64), n, ids
+
+
+def _windows(batches: Iterator[pa.RecordBatch], common: np.ndarray, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(range, windows): windows of two words and more, equal ones as one, packed by the ranges between bounds."""
+    for table in _gathered(batches):
+        ranges, blobs = [], []
+        for _lang, _words, numbers, place, piece in _spoken(table):
+            slot = numbers & ((1 << _BITS) - 1)
+            often = np.flatnonzero(common[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
+            often = often[np.argsort(numbers[often])]
+            ids = numbers[often]
+            code = np.zeros(len(numbers), dtype=np.int64)
+            code[often] = np.arange(1, len(often) + 1)  # in the order of numbers; 0 is no word
+            columns = _slid(code[place], piece, 0)
+            whole = columns[1] > 0
+            rows, n = _sorted_rows([c[whole] for c in columns], len(often))
+            cuts = [0, *_cut(rows, _coded(bounds, ids)).tolist(), len(rows)]
+            for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                if a < b:
+                    ranges.append(i)
+                    blobs.append(_packed(rows[a:b], n[a:b], ids))
+        yield pa.RecordBatch.from_arrays([pa.array(ranges, pa.int32()), pa.array(blobs, pa.binary())], ["range", "windows"])
+
+
+def _coded(bounds: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Bounds in the codes of sorted ids. For a word not among them the next code stands, and nothing after it."""
+    code = np.where(bounds == NONE, 0, np.searchsorted(ids, bounds) + 1)
+    missing = ~np.isin(bounds, ids) & (bounds != NONE)
+    code[:, 1:][np.logical_or.accumulate(missing, axis=1)[:, :-1]] = 0
+    return code
+
+
+def _runs(_: tuple, table: pa.Table, least: int) -> pa.Table:
+    """Counts of the phrases of two words and more that the windows of a range begin with.
+
+    A phrase too rare is left out, but for those of the range's first and last window: others may hold more of them.
     """
-    names = [*_WORDS, "n"]
-    open_key: np.ndarray | None = None  # the last row's words
-    open_sum = np.zeros(LONGEST + 1, dtype=np.int64)  # its phrases so far, by length
-    at_edge = np.ones(LONGEST + 1, dtype=bool)  # phrases that began with the partition
-
-    def packed(rows: list[np.ndarray]) -> pa.RecordBatch:
-        table = np.concatenate(rows) if rows else np.zeros((0, LONGEST + 1), dtype=np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(table[:, i]) for i in range(LONGEST + 1)], names)
-
-    def phrase(words: np.ndarray, length: int, n: np.ndarray) -> np.ndarray:
-        rows = np.full((len(words), LONGEST + 1), NONE, dtype=np.int64)
-        rows[:, :length] = words[:, :length]
-        rows[:, LONGEST] = n
-        return rows
-
-    for batch in batches:
-        if not batch.num_rows:
+    parts = [_unpacked(blob) for blob in table["windows"].to_pylist()]
+    ids = np.unique(np.concatenate([own for *_, own in parts]))
+    places = [np.concatenate([[0], np.searchsorted(ids, own) + 1])[rows] for rows, _, own in parts]
+    rows = np.concatenate(places)
+    rows, n = _sorted_rows(list(rows.T), len(ids), np.concatenate([n for _, n, _ in parts]))
+    numbers = np.append(NONE, ids)
+    new = np.zeros(len(rows), dtype=bool)
+    new[0] = True
+    out = [np.zeros((0, LONGEST + 1), dtype=np.int64)]
+    for length in range(1, LONGEST + 1):
+        new[1:] |= rows[1:, length - 1] != rows[:-1, length - 1]
+        if length == 1:
             continue
-        words = np.stack([batch.column(i).to_numpy() for i in range(LONGEST)], axis=1)
-        n = batch.column(LONGEST).to_numpy()
-        before = np.concatenate([words[:1] if open_key is None else open_key[None], words[:-1]])
-        differs = words != before
-        out: list[np.ndarray] = []
-        for length in range(2, LONGEST + 1):
-            new = differs[:, :length].any(axis=1)
-            starts = np.flatnonzero(new)
-            heads = np.concatenate([[0], starts[starts > 0]])
-            sums = np.add.reduceat(n, heads)
-            # The first sum goes on with the open phrase unless the first row begins a new one.
-            if len(starts) and starts[0] == 0:
-                if open_key is not None and open_key[length - 1] != NONE and (open_sum[length] >= least or at_edge[length]):
-                    out.append(phrase(open_key[None], length, open_sum[length : length + 1]))
-                open_sum[length], at_edge[length] = 0, False
-            sums[0] += open_sum[length]
-            closed = heads[:-1]
-            if len(closed):
-                keep = (sums[:-1] >= least) & (words[closed, length - 1] != NONE)
-                if at_edge[length]:
-                    keep[0] = words[0, length - 1] != NONE
-                out.append(phrase(words[closed[keep]], length, sums[:-1][keep]))
-                at_edge[length] = False
-            open_sum[length] = sums[-1]
-        open_key = words[-1]
-        yield packed(out)
-    if open_key is not None:
-        yield packed([phrase(open_key[None], length, open_sum[length : length + 1]) for length in range(2, LONGEST + 1) if open_key[length - 1] != NONE])
+        first = np.flatnonzero(new)
+        sums = np.add.reduceat(n, first)
+        keep = sums >= least
+        keep[[0, -1]] = True
+        keep &= rows[first, length - 1] > 0
+        found = np.full((int(keep.sum()), LONGEST + 1), NONE, dtype=np.int64)
+        found[:, :length] = numbers[rows[first[keep], :length]]
+        found[:, LONGEST] = sums[keep]
+        out.append(found)
+    found = np.concatenate(out)
+    return pa.table([pa.array(found[:, i]) for i in range(LONGEST + 1)], [*_WORDS, "n"])
+
+
+def _bounds(seen: list[list[int]], common: np.ndarray, ranges: int) -> np.ndarray:
+    """Windows at even distances among those seen, each cut before its first rare word as all are."""
+    rows = np.array(seen, dtype=np.int64).reshape(-1, LONGEST)
+    slot = rows & ((1 << _BITS) - 1)
+    known = (common[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).astype(bool) & (rows != NONE)
+    rows = np.where(np.logical_and.accumulate(known, axis=1), rows, NONE)
+    rows = rows[rows[:, 1] != NONE]
+    rows = rows[np.lexsort(rows.T[::-1])]
+    at = (np.arange(1, ranges) * len(rows)) // ranges
+    return np.unique(rows[at], axis=0) if len(rows) else rows
 
 
 def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -179,27 +280,39 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
 
     Words are (id, lang, word, n); the third table is (lang, total), of all words, rare ones too.
     """
-    parts = shuffle_parts(docs)
-    given = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        F.struct(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")).alias("given"),
-    )
-    blocks = by_blocks(given, "doc_id", "text", _BLOCK_BYTES, ["given"]).select("block", "rest.given.lang", "text")
-    counted = written(blocks.groupBy("block").applyInArrow(_counted, "block long, lang string, word string, n long"), "words")
-    totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
-    frequent = counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    words = written(frequent.select(F.monotonically_increasing_id().alias("id"), "lang", "word", "n"), "vocabulary")
-    known = counted.select("block", "lang", "word").join(words.select("id", "lang", "word"), ["lang", "word"])
-    windows = blocks.groupBy("block").cogroup(known.repartition(parts, "block").groupBy("block"))
+    spark = docs.sparkSession
+    given = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    spoken = max(1, planned_bytes(docs) // 3)  # about how many words: texts take twice the bytes of their files
+    ranges = max(shuffle_parts(docs), spoken // _RANGE_WORDS)
+    every = max(1, spoken // min(_SEEN, _SEEN_PER_RANGE * ranges))
+    kinds = "id long, lang string, word string, n long, seen array<long>"
+    counted = written(given.mapInArrow(lambda batches: _counted(batches, every), kinds), "words")
+    heard = counted.filter("seen is null")
+    totals = heard.groupBy("lang").agg(F.sum("n").alias("total"))
+    frequent = heard.groupBy("id", "lang", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    words = written(frequent, "vocabulary")
+
+    # The bitmap has a fixed number of bytes, so at most so many rows reach the driver.
+    slot = F.col("id").bitwiseAND((1 << _BITS) - 1)
+    bits = words.groupBy(F.shiftright(slot, 3).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1, cast(id & 7 as int))")).alias("bits"))
+    common = np.zeros(1 << (_BITS - 3), dtype=np.uint8)
+    found = bits.toArrow()
+    common[found["at"].to_numpy()] = found["bits"].to_numpy()
+    seen = counted.filter("seen is not null").select("seen").toArrow()["seen"].to_pylist()
+    shared = spark.sparkContext.broadcast((common, _bounds(seen, common, ranges)))
+
+    packed = given.mapInArrow(lambda batches: _windows(batches, *shared.value), "range int, windows binary")
     kinds = ", ".join(f"{w} long" for w in _WORDS) + ", n long"
-    windows = written(windows.applyInArrow(_windows, kinds), "windows")
-    ordered = windows.repartitionByRange(parts, *_WORDS).sortWithinPartitions(*_WORDS)
-    partial = ordered.mapInArrow(lambda batches: _runs(batches, least), kinds)
+    dealt = packed.repartition(ranges, "range").groupBy("range")
+    partial = dealt.applyInArrow(lambda key, table: _runs(key, table, least), kinds)
     phrases = partial.groupBy(*_WORDS).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     single = words.select(F.col("id").alias("w1"), *[F.lit(NONE).cast("long").alias(w) for w in _WORDS[1:]], "n")
     return written(phrases.unionByName(single), "phrases"), words, totals
 
 
+# ------------------------------------------------------------------ count streams
+
+
 def _looked_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds to each row of a stream the counts of its beginnings, and says which of them it extends as often as they occur.
 
