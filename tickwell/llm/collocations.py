@@ -37,6 +37,8 @@ _SEEN_PER_RANGE, _SEEN = 64, 1 << 20
 # Bits of the bitmap of frequent words: 2 MB to every task. A word that only shares a bit with a frequent
 # one costs room and changes no result.
 _BITS = 24
+# The most frequent words, whose numbers travel as two bytes: 512 KB to every task.
+_BOOK = 1 << 16
 
 # Bytes: what ends a piece, what ends a word, and capitals.
 _ENDS = np.zeros(256, dtype=bool)
@@ -174,26 +176,31 @@ def _cut(rows: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return low
 
 
-def _packed(rows: np.ndarray, n: np.ndarray, ids: np.ndarray) -> bytes:
-    """Sorted windows as compressed bytes. rows hold places in ids, one more; 0 is no word."""
+def _packed(rows: np.ndarray, n: np.ndarray, ids: np.ndarray, book: np.ndarray) -> bytes:
+    """Sorted windows as compressed bytes. rows hold places in ids, one more; 0 is no word. Numbers in the sorted book go by their place."""
     used = np.zeros(len(ids) + 1, dtype=bool)
     used[rows] = True
     used[0] = True
     code = (np.cumsum(used) - 1)[rows]
     own = ids[np.flatnonzero(used)[1:] - 1]
     kind = np.uint16 if len(own) < 1 << 16 else np.uint32
-    head = np.array([len(rows), len(own), kind().itemsize], dtype=np.int64)
-    parts = [head, np.diff(own, prepend=0), np.minimum(n, 255).astype(np.uint8), n[n >= 255].astype(np.int64), np.ascontiguousarray(code.T.astype(kind))]
+    listed = np.isin(own, book)
+    places = np.searchsorted(book, own[listed]).astype(np.uint16)
+    head = np.array([len(rows), len(places), len(own) - len(places), kind().itemsize], dtype=np.int64)
+    parts = [head, np.diff(own[~listed], prepend=0), np.diff(places, prepend=np.uint16(0)), np.minimum(n, 255).astype(np.uint8), n[n >= 255].astype(np.int64), np.ascontiguousarray(code.T.astype(kind))]
     raw = b"".join(p.tobytes() for p in parts)
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpacked(blob: bytes, book: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(rows, n, ids) as _packed took them; ids only those in rows."""
     raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
-    size, known, width = np.frombuffer(raw, dtype=np.int64, count=3).tolist()
-    ids = np.cumsum(np.frombuffer(raw, dtype=np.int64, count=known, offset=24))
-    at = 24 + 8 * known
+    size, listed, known, width = np.frombuffer(raw, dtype=np.int64, count=4).tolist()
+    at = 32 + 8 * known
+    own = np.cumsum(np.frombuffer(raw, dtype=np.int64, count=known, offset=32))
+    places = np.cumsum(np.frombuffer(raw, dtype=np.uint16, count=listed, offset=at), dtype=np.uint16)
+    ids = np.sort(np.concatenate([own, book[places]]))
+    at += 2 * listed
     n = np.frombuffer(raw, dtype=np.uint8, count=size, offset=at).astype(np.int64)
     many = np.flatnonzero(n == 255)
     at += size
@@ -202,7 +209,7 @@ def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes.reshape(LONGEST, size).T.astype(np.int64), n, ids
 
 
-def _windows(batches: Iterator[pa.RecordBatch], common: np.ndarray, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _windows(batches: Iterator[pa.RecordBatch], common: np.ndarray, bounds: np.ndarray, book: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(range, windows): windows of two words and more, equal ones as one, packed by the ranges between bounds."""
     for table in _gathered(batches):
         ranges, blobs = [], []
@@ -220,7 +227,7 @@ def _windows(batches: Iterator[pa.RecordBatch], common: np.ndarray, bounds: np.n
             for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
                 if a < b:
                     ranges.append(i)
-                    blobs.append(_packed(rows[a:b], n[a:b], ids))
+                    blobs.append(_packed(rows[a:b], n[a:b], ids, book))
         yield pa.RecordBatch.from_arrays([pa.array(ranges, pa.int32()), pa.array(blobs, pa.binary())], ["range", "windows"])
 
 
@@ -232,12 +239,12 @@ def _coded(bounds: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return code
 
 
-def _runs(_: tuple, table: pa.Table, least: int) -> pa.Table:
+def _runs(table: pa.Table, least: int, book: np.ndarray) -> pa.Table:
     """Counts of the phrases of two words and more that the windows of a range begin with.
 
     A phrase too rare is left out, but for those of the range's first and last window: others may hold more of them.
     """
-    parts = [_unpacked(blob) for blob in table["windows"].to_pylist()]
+    parts = [_unpacked(blob, book) for blob in table["windows"].to_pylist()]
     ids = np.unique(np.concatenate([own for *_, own in parts]))
     places = [np.concatenate([[0], np.searchsorted(ids, own) + 1])[rows] for rows, _, own in parts]
     rows = np.concatenate(places)
@@ -299,12 +306,13 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     found = bits.toArrow()
     common[found["at"].to_numpy()] = found["bits"].to_numpy()
     seen = counted.filter("seen is not null").select("seen").toArrow()["seen"].to_pylist()
-    shared = spark.sparkContext.broadcast((common, _bounds(seen, common, ranges)))
+    book = words.orderBy(F.desc("n"), "id").limit(_BOOK).select("id").toArrow()["id"].to_numpy()
+    shared = spark.sparkContext.broadcast((common, _bounds(seen, common, ranges), np.sort(book)))
 
     packed = given.mapInArrow(lambda batches: _windows(batches, *shared.value), "range int, windows binary")
     kinds = ", ".join(f"{w} long" for w in _WORDS) + ", n long"
     dealt = packed.repartition(ranges, "range").groupBy("range")
-    partial = dealt.applyInArrow(lambda key, table: _runs(key, table, least), kinds)
+    partial = dealt.applyInArrow(lambda key, table: _runs(table, least, shared.value[2]), kinds)
     phrases = partial.groupBy(*_WORDS).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     single = words.select(F.col("id").alias("w1"), *[F.lit(NONE).cast("long").alias(w) for w in _WORDS[1:]], "n")
     return written(phrases.unionByName(single), "phrases"), words, totals
