@@ -176,16 +176,16 @@ def _cut(rows: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return low
 
 
-def _packed(rows: np.ndarray, n: np.ndarray, ids: np.ndarray, book: np.ndarray) -> bytes:
-    """Sorted windows as compressed bytes. rows hold places in ids, one more; 0 is no word. Numbers in the sorted book go by their place."""
+def _packed(rows: np.ndarray, n: np.ndarray, ids: np.ndarray, pages: np.ndarray) -> bytes:
+    """Sorted windows as compressed bytes. rows hold places in ids, one more; 0 is no word. pages: of ids in the book, or -1."""
     used = np.zeros(len(ids) + 1, dtype=bool)
     used[rows] = True
     used[0] = True
     code = (np.cumsum(used) - 1)[rows]
-    own = ids[np.flatnonzero(used)[1:] - 1]
+    own, page = (x[np.flatnonzero(used)[1:] - 1] for x in (ids, pages))
     kind = np.uint16 if len(own) < 1 << 16 else np.uint32
-    listed = np.isin(own, book)
-    places = np.searchsorted(book, own[listed]).astype(np.uint16)
+    listed = page >= 0
+    places = page[listed].astype(np.uint16)
     head = np.array([len(rows), len(places), len(own) - len(places), kind().itemsize], dtype=np.int64)
     parts = [head, np.diff(own[~listed], prepend=0), np.diff(places, prepend=np.uint16(0)), np.minimum(n, 255).astype(np.uint8), n[n >= 255].astype(np.int64), np.ascontiguousarray(code.T.astype(kind))]
     raw = b"".join(p.tobytes() for p in parts)
@@ -218,6 +218,8 @@ def _windows(batches: Iterator[pa.RecordBatch], common: np.ndarray, bounds: np.n
             often = np.flatnonzero(common[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
             often = often[np.argsort(numbers[often])]
             ids = numbers[often]
+            pages = np.searchsorted(book, ids)
+            pages[(pages == len(book)) | (np.append(book, NONE)[pages] != ids)] = -1
             code = np.zeros(len(numbers), dtype=np.int64)
             code[often] = np.arange(1, len(often) + 1)  # in the order of numbers; 0 is no word
             columns = _slid(code[place], piece, 0)
@@ -227,7 +229,7 @@ def _windows(batches: Iterator[pa.RecordBatch], common: np.ndarray, bounds: np.n
             for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
                 if a < b:
                     ranges.append(i)
-                    blobs.append(_packed(rows[a:b], n[a:b], ids, book))
+                    blobs.append(_packed(rows[a:b], n[a:b], ids, pages))
         yield pa.RecordBatch.from_arrays([pa.array(ranges, pa.int32()), pa.array(blobs, pa.binary())], ["range", "windows"])
 
 
