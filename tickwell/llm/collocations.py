@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwell.llm.spark import planned_bytes, shuffle_parts, written
-from tickwell.llm.text import byte_spans
+from tickwell.llm.text import byte_spans, give_back
 
 LONGEST = 5
 LEAST = 100
@@ -109,7 +109,7 @@ def _slid(words: np.ndarray, piece: np.ndarray, none: int) -> list[np.ndarray]:
     """From each word on, the five words of its piece up to the first that is none."""
     columns, n = [words], len(words)
     for step in range(1, LONGEST):
-        after = np.full(n, none, dtype=np.int64)
+        after = np.full(n, none, dtype=words.dtype)
         if step < n:
             goes_on = (piece[step:] == piece[:-step]) & (columns[-1][: n - step] != none)
             after[: n - step] = np.where(goes_on, words[step:], none)
@@ -136,6 +136,7 @@ def _counted(batches: Iterator[pa.RecordBatch], every: int) -> Iterator[pa.Recor
                 seen = pa.ListArray.from_arrays(pa.array(np.arange(size + 1, dtype=np.int32) * LONGEST), flat)
                 empty = pa.nulls(size, pa.string())
                 yield pa.RecordBatch.from_arrays([pa.nulls(size, pa.int64()), empty, empty, pa.nulls(size, pa.int64()), seen], schema=kinds)
+    give_back()
 
 
 # ---------------------------------------------------------------- packed windows
@@ -156,6 +157,7 @@ def _sorted_rows(columns: list[np.ndarray], largest: int, n: np.ndarray | None =
     if len(order):
         new[1:] = np.logical_or.reduce([k[order[1:]] != k[order[:-1]] for k in keys])
     first = np.flatnonzero(new)
+    del keys
     rows = np.stack([c[order[first]] for c in columns], axis=1)
     if n is None or not len(first):
         return rows, np.diff(np.append(first, len(order)))
@@ -193,7 +195,7 @@ def _packed(rows: np.ndarray, n: np.ndarray, ids: np.ndarray, pages: np.ndarray)
 
 
 def _unpacked(blob: bytes, book: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rows, n, ids) as _packed took them; ids only those in rows."""
+    """(columns, n, ids) of what _packed took; ids only those in it."""
     raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
     size, listed, known, width = np.frombuffer(raw, dtype=np.int64, count=4).tolist()
     at = 32 + 8 * known
@@ -206,7 +208,7 @@ def _unpacked(blob: bytes, book: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     at += size
     n[many] = np.frombuffer(raw[at : at + 8 * len(many)], dtype=np.int64)
     codes = np.frombuffer(raw[at + 8 * len(many) :], dtype=np.uint16 if width == 2 else np.uint32)
-    return codes.reshape(LONGEST, size).T.astype(np.int64), n, ids
+    return codes.reshape(LONGEST, size), n, ids
 
 
 def _windows(batches: Iterator[pa.RecordBatch], common: np.ndarray, bounds: np.ndarray, book: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -220,7 +222,7 @@ def _windows(batches: Iterator[pa.RecordBatch], common: np.ndarray, bounds: np.n
             ids = numbers[often]
             pages = np.searchsorted(book, ids)
             pages[(pages == len(book)) | (np.append(book, NONE)[pages] != ids)] = -1
-            code = np.zeros(len(numbers), dtype=np.int64)
+            code = np.zeros(len(numbers), dtype=np.int32)
             code[often] = np.arange(1, len(often) + 1)  # in the order of numbers; 0 is no word
             columns = _slid(code[place], piece, 0)
             whole = columns[1] > 0
@@ -231,6 +233,7 @@ def _windows(batches: Iterator[pa.RecordBatch], common: np.ndarray, bounds: np.n
                     ranges.append(i)
                     blobs.append(_packed(rows[a:b], n[a:b], ids, pages))
         yield pa.RecordBatch.from_arrays([pa.array(ranges, pa.int32()), pa.array(blobs, pa.binary())], ["range", "windows"])
+    give_back()
 
 
 def _coded(bounds: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -248,9 +251,12 @@ def _runs(table: pa.Table, least: int, book: np.ndarray) -> pa.Table:
     """
     parts = [_unpacked(blob, book) for blob in table["windows"].to_pylist()]
     ids = np.unique(np.concatenate([own for *_, own in parts]))
-    places = [np.concatenate([[0], np.searchsorted(ids, own) + 1])[rows] for rows, _, own in parts]
-    rows = np.concatenate(places)
-    rows, n = _sorted_rows(list(rows.T), len(ids), np.concatenate([n for _, n, _ in parts]))
+    places = [np.concatenate([[0], np.searchsorted(ids, own) + 1]).astype(np.int32) for *_, own in parts]
+    n = np.concatenate([n for _, n, _ in parts])
+    columns = [np.concatenate([place[rows[i]] for place, (rows, *_) in zip(places, parts)]) for i in range(LONGEST)]
+    del parts, places
+    rows, n = _sorted_rows(columns, len(ids), n)
+    del columns
     numbers = np.append(NONE, ids)
     new = np.zeros(len(rows), dtype=bool)
     new[0] = True
@@ -269,6 +275,8 @@ def _runs(table: pa.Table, least: int, book: np.ndarray) -> pa.Table:
         found[:, LONGEST] = sums[keep]
         out.append(found)
     found = np.concatenate(out)
+    del rows, n, new, out
+    give_back()
     return pa.table([pa.array(found[:, i]) for i in range(LONGEST + 1)], [*_WORDS, "n"])
 
 

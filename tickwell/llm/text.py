@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
+import pyarrow as pa
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -93,3 +96,10 @@ def normal_words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if len(ends) and ends[0] == 0:  # the text began with a space
         starts, ends = starts[1:], ends[1:]
     return kept, starts, ends
+
+
+def give_back() -> None:
+    """Let a Python worker, which outlives its tasks, return freed memory to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
