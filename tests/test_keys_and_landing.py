@@ -151,13 +151,61 @@ def test_runs_keep_each_others_data(spark, root, monkeypatch):
     assert [r[3] for r in stored(spark, root)] == ["2", "b"]
     assert landing.read_versions(spark, root).count() == 3
     day = at(1).date()
+    reader = read_raw(spark, root).select("payload")  # its files stay while it reads
     landing.compact(spark, root, (day, day))
-    assert landing.read_versions(spark, root).count() == 2
+    assert landing.read_versions(spark, root).count() == 5
+    assert sorted(r[0] for r in reader.collect()) == ["2", "b"]
     assert [r[3] for r in stored(spark, root)] == ["2", "b"]
+    assert landing.vacuum(spark, root) == 3
+    assert landing.read_versions(spark, root).count() == 2
+    land_raw(spark.createDataFrame([("market_chart", "b", at(1), "3")], SCHEMA), root)
+    assert [r[3] for r in stored(spark, root)] == ["2", "3"]
 
 
 def test_a_doubled_fetch_is_refused(spark, root):
     rows = [("global", None, at(1), "x"), ("global", None, at(1), "y")]
     with pytest.raises(ValueError):
         land_raw(spark.createDataFrame(rows, SCHEMA), root)
-    assert not os.path.exists(f"{root}/raw")
+    assert stored(spark, root) == [] and not os.path.exists(f"{root}/runs")
+    assert not [f for _, _, files in os.walk(f"{root}/raw") for f in files if f.startswith("part-")]
+
+
+@pytest.mark.parametrize("step", ["_complete", "_note_replaced", "_mark"])
+def test_a_run_lost_on_the_way_changes_nothing(spark, root, monkeypatch, step):
+    rows = [("market_chart", c, at(1), "1") for c in "ab"]
+    land_raw(spark.createDataFrame(rows, SCHEMA), root)
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    again = spark.createDataFrame([("market_chart", "a", at(1), "2"), ("market_chart", "c", at(2), "2")], SCHEMA)
+    with monkeypatch.context() as m:
+        m.setattr(landing, step, lost)
+        with pytest.raises(RuntimeError):
+            land_raw(again, root)
+    assert stored(spark, root) == sorted((*r[:1], *r[1:]) for r in rows)
+    land_raw(again, root)
+    assert [r[3] for r in stored(spark, root)] == ["2", "1", "2"]
+
+
+def test_the_input_is_computed_once(spark, root):
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame([("global", None, at(h), "x") for h in range(9)], SCHEMA)
+    land_raw(rows.mapInArrow(passed, SCHEMA), root)
+    assert seen.value == 9
+
+
+def test_a_late_record_reads_its_own_days_only(spark, root, monkeypatch):
+    land_raw(spark.createDataFrame([("global", None, at(1, day=d), "1") for d in range(1, 29)], SCHEMA), root)
+    opened = []
+    read = landing._read_folders
+    monkeypatch.setattr(landing, "_read_folders", lambda s, r, folders: (opened.append(folders), read(s, r, folders))[1])
+    land_raw(spark.createDataFrame([("global", None, at(1, day=d), "2") for d in (2, 27)], SCHEMA), root)
+    assert [len(folders) for folders in opened] == [2, 2]
+    assert sorted(r[2].day for r in stored(spark, root) if r[3] == "2") == [2, 27]

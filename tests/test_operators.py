@@ -296,6 +296,73 @@ def test_objects_old_and_replaced_are_ingested(spark, root, put, tmp_path):
     assert sorted(r.payload for r in read_raw(spark, str(lake)).collect()) == ["2", "old"]
 
 
+def store_fetch(root, coin, at, texts):
+    """A fetch as a folder of files, its parts."""
+    folder = f"{root}/raw/coins/{coin}/market_chart/date={at}/fetched_at={at}T00-00-00Z.json"
+    os.makedirs(folder, exist_ok=True)
+    for name, text in texts.items():
+        with open(f"{folder}/{name}", "w") as f:
+            f.write(text)
+    return folder
+
+
+def test_a_fetch_of_several_files_is_replaced_whole(spark, root, tmp_path):
+    lake = str(tmp_path / "landed")
+    os.mkdir(lake)
+    folder = store_fetch(root, "a", "2024-01-01", {"part-0": "1", "part-1": "2", "part-2": "3"})
+    store_fetch(root, "b", "2024-01-01", {"part-0": "b"})
+
+    def read():
+        return sorted((r.coin_id, r.part, r.payload) for r in read_raw(spark, lake).collect())
+
+    assert ingest_objects(spark, root, lake).rows == 4
+    assert read() == [("a", 0, "1"), ("a", 1, "2"), ("a", 2, "3"), ("b", 0, "b")]
+    with open(f"{folder}/part-1", "w") as f:
+        f.write("two")
+    os.utime(f"{folder}/part-1", (2e9, 2e9))
+    assert ingest_objects(spark, root, lake).rows == 3
+    assert read() == [("a", 0, "1"), ("a", 1, "two"), ("a", 2, "3"), ("b", 0, "b")]
+    os.remove(f"{folder}/part-0")  # three files become two
+    assert ingest_objects(spark, root, lake).rows == 2
+    assert read() == [("a", 0, "two"), ("a", 1, "3"), ("b", 0, "b")]
+    assert ingest_objects(spark, root, lake) is None
+    store_fetch(root, "a", "2024-01-01", {"part-0": "1"})  # as it was at first, but for the times
+    assert ingest_objects(spark, root, lake).rows == 3
+
+
+def test_one_new_object_opens_one_folder(spark, root, put, tmp_path, monkeypatch):
+    from tickwell.streaming import ingest
+
+    lake = str(tmp_path / "landed")
+    os.mkdir(lake)
+    for i in range(1000):
+        put(f"coins/c{i % 50}/market_chart", f"2024-01-{i // 50 + 1:02}T00:00:00", "{}")
+    assert ingest_objects(spark, root, lake).rows == 1000
+    put("coins/c7/market_chart", "2024-01-05T06:00:00", '{"new":1}')
+    opened = []
+    read = ingest.payloads_from_objects
+    monkeypatch.setattr(ingest, "payloads_from_objects", lambda s, r, p, folders: (opened.extend(folders), read(s, r, p, folders))[1])
+    assert ingest_objects(spark, root, lake).rows == 1
+    assert [f.split("/raw/")[1] for f in opened] == ["coins/c7/market_chart/date=2024-01-05"]
+    plan = read(spark, root, None, opened)._jdf.queryExecution().executedPlan().toString()
+    assert "Location: InMemoryFileIndex(1 paths)" in plan
+
+
+def test_very_many_changed_folders_are_read_by_days(spark, root, put, tmp_path, monkeypatch):
+    from tickwell.streaming import ingest
+
+    monkeypatch.setattr(ingest, "FOLDERS", 2)
+    lake = str(tmp_path / "landed")
+    os.mkdir(lake)
+    for coin in "abcd":
+        put(f"coins/{coin}/market_chart", "2024-01-01T00:00:00", coin)
+    put("global", "2024-01-02T00:00:00", "g")
+    assert ingest_objects(spark, root, lake).rows == 5
+    put("coins/a/market_chart", "2024-01-01T05:00:00", "a2")
+    assert ingest_objects(spark, root, lake).rows == 1
+    assert sorted(r.payload for r in read_raw(spark, lake).collect()) == ["a", "a2", "b", "c", "d", "g"]
+
+
 def test_object_scans_prune_dates(spark, root, put):
     for day in ("01", "02"):
         put("global", f"2024-01-{day}T00:00:00", '{"data":{"markets":1}}')

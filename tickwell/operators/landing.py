@@ -1,14 +1,16 @@
 """Landing: raw payloads stored unchanged under deterministic keys, append only.
 
 One Parquet table holds the payload text of all kinds below ``<root>/raw``.  Its
-directories are kind and date of the fetch, so their number follows the calendar
-whatever the number of coins, and inside them files are sorted by (fetched_at,
-coin_id), so keyed reads skip row groups.
-
-A run only ever adds files.  A fetch that is landed again is stored again with a
-later ``landed_at``, and its key is noted in a small log below ``<root>/replaced``;
+directories are kind and date of the fetch and the run that landed it, so their number
+follows the calendar whatever the number of coins, and inside them files are sorted by
+(fetched_at, coin_id), so keyed reads skip row groups.
+
+A run only ever adds files, and nobody sees them before the run's row stands in the small
+table ``<root>/runs``: readers take the runs first and then list the files, so they see a
+run whole or not at all.  A fetch that is landed again is stored again with a later
+``landed_at``, and its key is noted below ``<root>/replaced`` before the run is marked;
 readers keep the latest version of the noted keys.  So runs never wait for, rewrite or
-delete each other's data, whatever dates they share.  ``compact`` drops old versions.
+delete each other's data, whatever dates they share.  ``compact`` is such a run too.
 """
 
 from __future__ import annotations
@@ -18,14 +20,13 @@ import uuid
 from dataclasses import dataclass
 from datetime import date
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwell.functions import keys
 from tickwell.functions.scalars import utc
-from tickwell.schemas import ALL_COINS, LANDING, LANDING_DIRS, LANDING_KEY
-from tickwell.session import path_exists, scratch_dir
+from tickwell.schemas import ALL_COINS, LANDING, LANDING_DIRS, LANDING_KEY, REPLACED, RUNS, SUPERSEDED
+from tickwell.session import path_exists
 
 
 def landing_path(root: str) -> str:
@@ -43,11 +44,11 @@ def as_landing(payloads: DataFrame) -> DataFrame:
         F.coalesce(coin, F.lit(ALL_COINS)).alias("coin_id"),
         at.alias("fetched_at"),
         part.alias("part"),
-        F.lit(None).cast("string").alias("batch"),
         F.lit(None).cast("bigint").alias("landed_at"),
         F.col("payload"),
         F.col("kind"),
         F.to_date(at).alias("date"),
+        F.lit(None).cast("string").alias("batch"),
     )
 
 
@@ -58,31 +59,53 @@ def logical_key(df: DataFrame) -> DataFrame:
 
 
 def read_versions(spark: SparkSession, root: str) -> DataFrame:
-    """All stored rows with the explicit schema (numeric coin ids stay text), old versions included."""
+    """All stored rows with the explicit schema (numeric coin ids stay text): old versions and unfinished runs too."""
     return spark.read.schema(LANDING).parquet(landing_path(root))
 
 
-def _replaced(spark: SparkSession, root: str) -> DataFrame | None:
-    """The keys that were landed more than once; None while there is no log."""
-    path = f"{root.rstrip('/')}/replaced"
-    if not path_exists(spark, path):
-        return None
-    return spark.read.schema(LANDING).parquet(path).select(*LANDING_KEY, "date")
+def _beside(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame | None:
+    """A small table beside the landing table; None while it does not exist."""
+    path = f"{root.rstrip('/')}/{name}"
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else None
+
+
+def read_runs(spark: SparkSession, root: str) -> DataFrame:
+    """The runs that are complete."""
+    runs = _beside(spark, root, "runs", RUNS)
+    return spark.createDataFrame([], RUNS) if runs is None else runs
+
+
+def _read_complete(spark: SparkSession, root: str, between) -> tuple[DataFrame, DataFrame | None]:
+    """Stored rows of complete runs, but for those another complete run has rewritten, and the keys noted by these runs."""
+    runs = _beside(spark, root, "runs", RUNS)  # before the files are listed: a marked run has all its files
+    if runs is None:
+        return spark.createDataFrame([], LANDING), None
+    noted = _beside(spark, root, "replaced", REPLACED)
+    gone = _beside(spark, root, "superseded", SUPERSEDED)
+    stored = read_versions(spark, root).filter(between).join(runs.select("batch"), "batch", "left_semi")
+    stored = stored.select(*LANDING.fieldNames())
+    if gone is not None:
+        gone = gone.join(runs.select(F.col("batch").alias("by")), "by", "left_semi")
+        stays = (stored["batch"] == gone["batch"]) & stored["date"].between(gone["first_date"], gone["last_date"])
+        stored = stored.join(gone, stays, "left_anti")
+    if noted is not None:
+        noted = noted.filter(between).join(runs.select("batch"), "batch", "left_semi")
+    return stored, noted
 
 
 def read_raw(spark: SparkSession, root: str, dates: tuple[date, date] | None = None) -> DataFrame:
     """The landing table: of every fetch the latest version, of the given range of dates.
 
-    Only while the log of replaced keys holds any of these dates is there a join, on key
+    The table of runs, one short row each, meets the directories' run in a semi-join.  Only
+    while the log of replaced keys holds any of these dates is there a join on key
     columns, against one short row per replaced fetch.
     """
     between = F.col("date").between(*map(F.lit, dates)) if dates else F.lit(True)
-    stored = read_versions(spark, root).filter(between)
-    noted = _replaced(spark, root)
-    if noted is None or noted.filter(between).isEmpty():
+    stored, noted = _read_complete(spark, root, between)
+    if noted is None or noted.isEmpty():
         return stored
     key = [*LANDING_KEY, "date"]
-    noted = noted.filter(between).distinct()
+    noted = noted.select(*key).distinct()
     latest = stored.select(*key, "landed_at").join(noted, key, "left_semi")
     latest = latest.groupBy(*key).agg(F.max("landed_at").alias("_latest"))
     kept = stored.join(latest, key, "left").filter("_latest is null or landed_at = _latest")
@@ -104,9 +127,10 @@ def land_raw(payloads: DataFrame, root: str, order_by: str | None = None) -> Lan
     """Store payloads; readers see the version landed last of a fetch, and all others.
 
     The unit of replacement is (kind, coin_id, fetched_at) with all its parts.  The run
-    appends its rows and then notes those of its keys that are stored in another version
-    too.  Two runs that land one fetch at once both may note it; the later landed_at wins.
-    A lost executor costs a task retry and nothing else.
+    writes its rows, checks what it has stored, notes those of its keys that are stored in
+    another version too, and last is marked complete: a run that is lost on the way changes
+    nothing that is read.  The input is computed once.  Two runs that land one fetch at once
+    both may note it; the later landed_at wins.  A lost executor costs a task retry and nothing else.
 
     ``order_by`` names a column of the input that decides between several versions of
     one fetch inside the batch (highest wins); without it a batch that holds one
@@ -131,24 +155,22 @@ def land_raw(payloads: DataFrame, root: str, order_by: str | None = None) -> Lan
         )
         top = keyed.groupBy("kind", "_coin", "_at").agg(F.max("_version").alias("_version"))
         payloads = keyed.join(top, ["kind", "_coin", "_at", "_version"], "left_semi").select(*payloads.columns)
-    arriving = as_landing(payloads)
-    doubled = arriving.groupBy(*LANDING_KEY, "part").agg(F.count("*").alias("n")).filter("n > 1")
-    if not doubled.isEmpty():
-        raise ValueError("the batch holds one part of a fetch twice: say which counts with order_by")
 
     run = uuid.uuid4().hex
     landed_at = time.time_ns() // 1000
-    written = Observation(f"landing-{run}")
-    stored = arriving.withColumns({"batch": F.lit(run), "landed_at": F.lit(landed_at)}).observe(
-        written,
-        F.count(F.lit(1)).alias("rows"),
-        F.min("date").alias("first_date"),
-        F.max("date").alias("last_date"),
-    )
-    # Rebalance: one shuffle by directory and a share of the coins, hot directories split and
-    # small ones merged at run time, so the number of files follows the bytes.
+    arriving = as_landing(payloads).withColumns({"batch": F.lit(run), "landed_at": F.lit(landed_at)})
+    _write(arriving, path)
+    return _complete(spark, root, run, landed_at)
+
+
+def _write(rows: DataFrame, path: str) -> None:
+    """Add rows to the landing table.
+
+    Rebalance: one shuffle by directory and a share of the coins, hot directories split and
+    small ones merged at run time, so the number of files follows the bytes.
+    """
     (
-        stored.withColumn("_share", F.pmod(F.xxhash64("coin_id"), F.lit(16)))
+        rows.withColumn("_share", F.pmod(F.xxhash64("coin_id"), F.lit(16)))
         .hint("rebalance", *LANDING_DIRS, "_share")
         .sortWithinPartitions(*LANDING_DIRS, "fetched_at", "coin_id", "part")
         .drop("_share")
@@ -156,72 +178,104 @@ def land_raw(payloads: DataFrame, root: str, order_by: str | None = None) -> Lan
         .partitionBy(*LANDING_DIRS)
         .parquet(path)
     )
-    landed = _landed(spark, root, run, written)
+
+
+def _folders(spark: SparkSession, root: str, pattern: str) -> list[str]:
+    """Directories of the landing table that fit a pattern below it; no file is listed."""
+    glob = spark._jvm.org.apache.hadoop.fs.Path(f"{landing_path(root)}/{pattern}")
+    found = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob)
+    return [status.getPath().toString() for status in found or []]
+
+
+def _read_folders(spark: SparkSession, root: str, folders: list[str]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], LANDING)
+    return spark.read.schema(LANDING).option("basePath", landing_path(root)).parquet(*folders)
+
+
+def _complete(spark: SparkSession, root: str, run: str, landed_at: int) -> Landed:
+    """Check the stored rows of a run, note the keys it has landed again, and mark it complete."""
+    folders = _folders(spark, root, f"kind=*/date=*/batch={run}")
+    own = _read_folders(spark, root, folders)
+    # Key columns only.  The result has a row per day.
+    parts = own.groupBy(*LANDING_KEY, "part", "date").agg(F.count(F.lit(1)).alias("n"))
+    days = parts.groupBy("date").agg(F.sum("n").alias("rows"), F.max("n").alias("most")).collect()
+    if any(day["most"] > 1 for day in days):
+        _remove(spark, folders)
+        raise ValueError("the batch holds one part of a fetch twice: say which counts with order_by")
+    dates = sorted(day["date"] for day in days if day["date"] is not None)
+    landed = Landed(root, run, sum(day["rows"] for day in days), dates[0] if dates else None, dates[-1] if dates else None)
     if landed.rows:
         _note_replaced(spark, landed)
+        _mark(spark, landed, landed_at)
     return landed
 
 
+def _remove(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _note_replaced(spark: SparkSession, landed: Landed) -> None:
-    """Add the keys of a run that other runs have stored too to the log; reads key columns only."""
+    """Write down the keys of a run that other runs have stored too; reads key columns of the run's own days only."""
+    own = _folders(spark, landed.root, f"kind=*/date=*/batch={landed.batch}")
+    days = sorted({folder.rsplit("/", 1)[0] for folder in own})
     columns = [*LANDING_KEY, "date"]
-    span = F.col("date").between(F.lit(landed.first_date), F.lit(landed.last_date))
-    keys_of = read_versions(spark, landed.root).filter(span).select(*columns, "batch")
-    own = keys_of.filter(F.col("batch") == landed.batch).select(*columns).distinct()
-    others = keys_of.filter(F.col("batch") != landed.batch).select(*columns)
-    again = own.join(others, columns, "left_semi")
+    stored = _read_folders(spark, landed.root, days).select(*columns, "batch")
+    own = stored.filter(F.col("batch") == landed.batch).select(*columns).distinct()
+    others = stored.filter(F.col("batch") != landed.batch).select(*columns)
+    again = own.join(others, columns, "left_semi").withColumn("batch", F.lit(landed.batch))
     again = again.persist()
     if not again.isEmpty():
         again.write.mode("append").parquet(f"{landed.root.rstrip('/')}/replaced")
     again.unpersist()
 
 
-def compact(spark: SparkSession, root: str, dates: tuple[date, date]) -> None:
-    """Rewrite a range of dates without old versions; run it while no other run lands these dates.
+def _mark(spark: SparkSession, landed: Landed, landed_at: int) -> None:
+    """One row in one file: it appears at once."""
+    values = (landed.batch, landed_at, landed.rows, landed.first_date, landed.last_date)
+    fields = [f.split() for f in RUNS.split(", ")]
+    row = spark.range(1, numPartitions=1).select(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(values, fields)])
+    row.write.mode("append").parquet(f"{landed.root.rstrip('/')}/runs")
+
+
+def compact(spark: SparkSession, root: str, dates: tuple[date, date]) -> Landed:
+    """Rewrite a range of dates as one run without old versions, while others read and land.
 
-    The latest versions are written aside first and then replace the directories, so what is
-    read is never what is being overwritten.
+    The rewritten runs give way, for these dates, with the mark of the new one; those that are
+    complete only after this call has begun stay.  Their files remain until ``vacuum``.
     """
-    aside = scratch_dir(spark, "compact")
-    read_raw(spark, root, dates).write.partitionBy(*LANDING_DIRS).parquet(aside)
-    (
-        spark.read.schema(LANDING).parquet(aside)
-        .hint("rebalance", *LANDING_DIRS)
-        .sortWithinPartitions(*LANDING_DIRS, "fetched_at", "coin_id", "part")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*LANDING_DIRS)
-        .parquet(landing_path(root))
-    )
+    rewritten = [row["batch"] for row in read_runs(spark, root).filter((F.col("first_date") <= F.lit(dates[1])) & (F.col("last_date") >= F.lit(dates[0]))).collect()]
+    run = uuid.uuid4().hex
+    _write(read_raw(spark, root, dates).filter(F.col("batch").isin(rewritten)).withColumn("batch", F.lit(run)), landing_path(root))
+    folders = _folders(spark, root, f"kind=*/date=*/batch={run}")
+    rows = _read_folders(spark, root, folders).count()
+    landed = Landed(root, run, rows, *dates)
+    if rows:
+        gone = [F.struct(F.lit(b).alias("batch"), F.lit(dates[0]).alias("first_date"), F.lit(dates[1]).alias("last_date"), F.lit(run).alias("by")) for b in rewritten]
+        spark.range(1, numPartitions=1).select(F.inline(F.array(*gone))).write.mode("append").parquet(f"{root.rstrip('/')}/superseded")
+        _mark(spark, landed, time.time_ns() // 1000)
+    return landed
 
 
-def _landed(spark: SparkSession, root: str, run: str, written: Observation) -> Landed:
-    """What the write observed; counted in the table if the plan held nothing to observe."""
-    try:
-        seen = written.get
-    except Py4JJavaError:  # the optimizer dropped an empty input with its observation
-        seen = (
-            read_versions(spark, root)
-            .filter(F.col("batch") == run)
-            .agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.min("date").alias("first_date"),
-                F.max("date").alias("last_date"),
-            )
-            .first()
-        )
-    return Landed(root, run, seen["rows"], seen["first_date"], seen["last_date"])
+def vacuum(spark: SparkSession, root: str) -> int:
+    """Delete what ``compact`` has made useless; run it when no reader older than the last ``compact`` is left."""
+    gone = _beside(spark, root, "superseded", SUPERSEDED)
+    if gone is None:
+        return 0
+    runs = read_runs(spark, root).select(F.col("batch").alias("by"))
+    removed = 0
+    for row in gone.join(runs, "by", "left_semi").collect():
+        folders = [f for f in _folders(spark, root, f"kind=*/date=*/batch={row['batch']}") if str(row["first_date"]) <= f.split("/date=")[1][:10] <= str(row["last_date"])]
+        _remove(spark, folders)
+        removed += len(folders)
+    return removed
 
 
 def read_batch(spark: SparkSession, landed: Landed) -> DataFrame:
-    """Exactly the stored rows of one landing run; no join, only its dates are read."""
-    stored = read_versions(spark, landed.root)
-    if not landed.rows:
-        return stored.limit(0)
-    return stored.filter(
-        F.col("date").between(F.lit(landed.first_date), F.lit(landed.last_date))
-        & (F.col("batch") == landed.batch)
-    )
+    """Exactly the stored rows of one landing run; no join, only its directories are read."""
+    return _read_folders(spark, landed.root, _folders(spark, landed.root, f"kind=*/date=*/batch={landed.batch}"))
 
 
 def read_landed(spark: SparkSession, root: str, fetches: DataFrame) -> DataFrame:
@@ -232,6 +286,6 @@ def read_landed(spark: SparkSession, root: str, fetches: DataFrame) -> DataFrame
     wanted = wanted.distinct()
     span = wanted.agg(F.min("date"), F.max("date")).first()
     if span[0] is None:
-        return read_versions(spark, root).limit(0)
+        return spark.createDataFrame([], LANDING)
     # No hint: adaptive execution broadcasts the wanted keys if their bytes allow.
     return read_raw(spark, root, tuple(span)).join(wanted, [*LANDING_KEY, "date"], "left_semi")

@@ -33,8 +33,9 @@ def query(sql: str | None = None):
 
     def register(build):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            size_shuffles(configure(spark), bytes_below(spark, sf_dir))
-            return portable(build(spark, sf_dir))
+            own = spark.newSession()  # its settings are not the caller's
+            size_shuffles(configure(own), bytes_below(own, sf_dir))
+            return portable(build(own, sf_dir))
 
         name = build.__name__
         run.__name__ = name

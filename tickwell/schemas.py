@@ -244,15 +244,19 @@ LANDING = T.StructType(
         T.StructField("coin_id", T.StringType()),
         T.StructField("fetched_at", T.TimestampNTZType()),
         T.StructField("part", T.LongType()),
-        T.StructField("batch", T.StringType()),
         T.StructField("landed_at", T.LongType()),
         T.StructField("payload", T.StringType()),
         T.StructField("kind", T.StringType()),
         T.StructField("date", T.DateType()),
+        T.StructField("batch", T.StringType()),
     ]
 )
 LANDING_KEY = ("kind", "coin_id", "fetched_at")
-LANDING_DIRS = ("kind", "date")
+LANDING_DIRS = ("kind", "date", "batch")
+# Beside the landing table: runs that are complete, keys a run has landed again, and runs rewritten by another.
+RUNS = "batch string, landed_at bigint, rows bigint, first_date date, last_date date"
+REPLACED = "kind string, coin_id string, fetched_at timestamp_ntz, date date, batch string"
+SUPERSEDED = "batch string, first_date date, last_date date, by string"
 ALL_COINS = "_all"  # coin_id of the kinds that are not per coin
 
 # ----------------------------------------------------- fixed values: data tests
