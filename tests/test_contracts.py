@@ -262,3 +262,68 @@ def test_random_series_against_a_public_validator(spark):
     got = faults(spark, spec, *docs)
     for d, g in zip(docs, got):
         assert sorted(x for x in g if x[1] != "value_error") == sorted(expected(d)), d
+
+
+# ------------------------------------------------------------- documents of any size
+
+
+def long_document(spark, before, unit, times, after):
+    """A payload made of a unit repeated so many times."""
+    text = F.concat(F.lit(before), F.repeat(F.lit(unit), (F.col("id") + times).cast("int")), F.lit(after))
+    return spark.range(1).select(text.alias("payload"))
+
+
+def verdict(df, kind):
+    row = validate(df, kind).select("status", "errors", "n_items").first()
+    return row.status, [(e.loc, e.type) for e in row.errors], row.n_items
+
+
+def test_texts_of_any_length(spark):
+    start = json.dumps({**BASE, "links": {"homepage": ["", "u"]}})[:-1] + ', "description": {"en": "'
+    unit = 'said \\"so\\" \\\\ \\u00e9\\n'  # 15 characters once read: escapes of all kinds
+    good = long_document(spark, start, unit, 1_800_000, '"}}')
+    assert good.select(F.octet_length("payload")).first()[0] > 40_000_000
+    assert verdict(good, "coins_metadata") == ("valid", [], None)
+    record = conform(validate(good, "coins_metadata"), "coins_metadata").select("record.*")
+    read = record.select("id", F.length("description.en").alias("n"), F.left("description.en", F.lit(14)).alias("first"), "links.homepage").first()
+    assert read.asDict() == {"id": "harbour", "n": 14 * 1_800_000, "first": 'said "so" \\ é\n', "homepage": ["u"]}
+    bad = long_document(spark, start, unit, 1_800_000, '"}, "platforms": {"a": 1}}')
+    assert verdict(bad, "coins_metadata") == ("invalid", [("platforms -> a", "string_type")], None)
+    number = json.dumps(BASE)[:-1] + ', "market_cap_rank": "'
+    assert verdict(long_document(spark, number, "x", 30_000_000, '"}'), "coins_metadata")[1] == [("market_cap_rank", "int_parsing")]
+    for after in ('"}', '"}} x'):
+        assert verdict(long_document(spark, start, unit, 1_800_000, after), "coins_metadata")[1] == [("", "json_invalid")]
+    coin = json.dumps(COIN)[:-1]
+    snapshot = long_document(spark, f'[{coin}, "note": "', "é", 25_000_000, f'"}}, {json.dumps({**COIN, "ath": "high"})}]')
+    assert verdict(snapshot, "coins_markets") == ("invalid", [("1 -> ath", "float_parsing")], 2)
+
+
+def test_lists_of_any_length(spark):
+    """Series of over 128 MB, which no VARIANT holds."""
+    start, unit, rows = '{"market_caps":[],"prices":[', "[1930000000000,3.5],", 7_000_000
+    bad = long_document(spark, start, unit, rows, '[1,"x"],3],"total_volumes":"none"}')
+    found = [(f"prices -> {rows} -> 1", "float_parsing"), (f"prices -> {rows + 1}", "list_type"), ("total_volumes", "list_type")]
+    assert bad.select(F.octet_length("payload")).first()[0] > 128 << 20
+    assert verdict(bad, "market_chart") == ("invalid", found, rows + 2)
+
+
+def test_large_documents_in_pieces_agree_with_small_ones(spark, monkeypatch):
+    """The way of the largest documents gives the errors of the usual one on small documents."""
+    from tickwell.operators import contracts
+
+    payloads = {
+        "market_chart": [
+            {"prices": [[1, 2]], "market_caps": [], "total_volumes": []}, {"prices": [[1, "x"], 3, [1]], "market_caps": None},
+            {"prices": "[[1,2]]", "market_caps": {}, "total_volumes": [[1, 2, 3], None]}, [], "3", "null", "{", {"prices": [[1]], "market_caps": [[]], "total_volumes": [[1, 2]]},
+        ],
+        "ohlc": [[[1, 2, 3, 4, 5]], [[1, 2, 3, 4]], [[1, "2", None, 4, 5], 7], {}, "x"],
+        "coins_markets": [[COIN, {**COIN, "id": 1}], [{**COIN, "name": "n" * 40, "ath": "y"}], [1], {}],
+    }
+    usual = {kind: faults(spark, kind, *given) for kind, given in payloads.items()}
+    monkeypatch.setattr(contracts, "PARSE_LIMIT", 0)
+    monkeypatch.setattr(contracts, "LONG_TEXT", 24)  # longer than the names of fields
+    monkeypatch.setattr(contracts, "_parsed", lambda text: F.when(F.lit(False), F.parse_json(F.lit("1"))))
+    monkeypatch.setattr(contracts, "_if_sound", lambda *_: F.lit(None).cast(f"struct<errors:{contracts.ERRORS_TYPE},n:int>"))
+    monkeypatch.setattr(contracts, "_COLUMNS", {})
+    for kind, given in payloads.items():
+        assert faults(spark, kind, *given) == usual[kind], kind

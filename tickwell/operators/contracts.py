@@ -27,7 +27,7 @@ LOC_SEPARATOR = " -> "
 # Error type -> message.
 MESSAGES = {
     "json_invalid": "payload is not valid JSON",
-    "json_too_large": "payload is too large to be checked",
+    "json_too_large": "a field beside its texts is too large to be checked",
     "missing": "a required field is absent",
     "string_type": "a text value is needed",
     "float_type": "a number is needed",
@@ -58,7 +58,9 @@ ISO_TEXT = (
 MILLIS_ABOVE = 2e10  # an epoch number beyond this counts milliseconds
 MIN_EPOCH, MAX_EPOCH = -62135596800, 253402300800  # years 1 to 9999, in seconds
 INT64_LIMIT = float(2**63)
-PARSE_LIMIT = 16 * 1024 * 1024  # bytes of text any document of which can be parsed
+PARSE_LIMIT = 16 * 1024 * 1024  # bytes of text any document of which can be parsed at once
+LONG_TEXT = 1 << 20  # of a larger document, texts beyond so many characters are set aside while it is parsed
+_ASIDE = "\uffff"  # what stands for such a text, with its place; it is no number, no time and not blank
 
 
 class ContractError(ValueError):
@@ -235,7 +237,7 @@ def _datetime_value(v: Column) -> Column:
 
 
 _VALUE = {
-    "str": lambda v: _get(v, "string"),
+    "str": lambda v: _whole(_get(v, "string")),
     "float": _float_value,
     "int": _int_value,
     "datetime": _datetime_value,
@@ -339,13 +341,8 @@ def _off(rows: Column, width: int) -> Column:
     )
 
 
-def _rows_errors(spec: Rows, v: Column, loc: Column | None) -> Column:
-    """Errors of a series: first its values, and only if those are fine its widths."""
-    # One look at the merged type and one pass over the decoded doubles settle a series
-    # of plain numbers; the detailed walk below runs only for the others.
-    number = r"(VOID|BIGINT|DOUBLE|BOOLEAN|DECIMAL\(\d+,\d+\))"
-    plain = F.schema_of_variant(v).rlike(f"^ARRAY<(VOID|ARRAY<{number}>)>$")
-    sound = plain & ~F.coalesce(_off(_get(v, "array<array<double>>"), spec.width), F.lit(True))
+def _rows_walk(spec: Rows, items: Column, loc: Column | None) -> Column:
+    """Errors of the rows of a series, value by value; NULL rows are no list."""
 
     def row(x: Column, i: Column) -> Column:
         values = F.transform(
@@ -355,14 +352,23 @@ def _rows_errors(spec: Rows, v: Column, loc: Column | None) -> Column:
         wrong = _errors(_error(_at(loc, i), F.lit("list_type")))
         return F.coalesce(F.filter(values, lambda e: e.isNotNull()), wrong)
 
-    items = _get(v, "array<variant>")
     detail = F.flatten(F.transform(items, row))
     uneven = F.exists(items, lambda x: F.size(_get(x, "array<variant>")) != spec.width)
     width = F.when(uneven, _errors(_error(_root(loc), F.lit("value_error")))).otherwise(_none())
-    walked = F.when(items.isNull(), _errors(_error(_root(loc), F.lit("list_type")))).otherwise(
+    return F.when(items.isNull(), _errors(_error(_root(loc), F.lit("list_type")))).otherwise(
         F.get(F.transform(F.array(detail), lambda d: F.when(F.size(d) > 0, d).otherwise(width)), 0)
     )
-    return F.when(sound, _none()).otherwise(walked)
+
+
+def _rows_errors(spec: Rows, v: Column, loc: Column | None) -> Column:
+    """Errors of a series: first its values, and only if those are fine its widths."""
+    # One look at the merged type and one pass over the decoded doubles settle a series
+    # of plain numbers; the detailed walk below runs only for the others.
+    number = r"(VOID|BIGINT|DOUBLE|BOOLEAN|DECIMAL\(\d+,\d+\))"
+    plain = F.schema_of_variant(v).rlike(f"^ARRAY<(VOID|ARRAY<{number}>)>$")
+    sound = plain & ~F.coalesce(_off(_get(v, "array<array<double>>"), spec.width), F.lit(True))
+
+    return F.when(sound, _none()).otherwise(_rows_walk(spec, _get(v, "array<variant>"), loc))
 
 
 # JSON types of a whole column of values that are surely fine, by kind.
@@ -405,6 +411,12 @@ def _plain_list(spec: RecordList, v: Column) -> Column:
     return typed & ~F.coalesce(F.exists(items, suspect), F.lit(True))
 
 
+def _records_walk(spec: RecordList, items: Column, loc: Column | None) -> Column:
+    """Errors of a list of records, one by one; NULL items are no list."""
+    found = F.transform(items, lambda x, i: _record_errors(spec.record, x, _at(loc, i)))
+    return F.coalesce(F.flatten(found), _errors(_error(_root(loc), F.lit("list_type"))))
+
+
 def _flat(spec: object) -> bool:
     return isinstance(spec, RecordList) and all(isinstance(f.spec, Scalar) for f in spec.record.fields)
 
@@ -413,11 +425,7 @@ def _errors_of(spec: object, v: Column, loc: Column | None) -> Column:
     if isinstance(spec, Record):
         return _record_errors(spec, v, loc)
     if isinstance(spec, RecordList):
-        found = F.transform(
-            _get(v, "array<variant>"),
-            lambda x, i: _record_errors(spec.record, x, _at(loc, i)),
-        )
-        walked = F.coalesce(F.flatten(found), _errors(_error(_root(loc), F.lit("list_type"))))
+        walked = _records_walk(spec, _get(v, "array<variant>"), loc)
         return F.when(_plain_list(spec, v), _none()).otherwise(walked) if _flat(spec) else walked
     if isinstance(spec, Rows):
         return _rows_errors(spec, v, loc)
@@ -480,12 +488,76 @@ def _contract(contract: object) -> object:
     return CONTRACTS[contract] if isinstance(contract, str) else contract
 
 
-def _document(text: Column) -> Column:
-    """The payload as VARIANT; NULL when it is not exactly one JSON document."""
+def _parsed(text: Column) -> Column:
     items = _get(F.try_parse_json(_in_list(text)), "array<variant>")
     return _bind(items, lambda x: F.when(F.size(x) == 2, F.get(x, 0)))
 
 
+# The parser of VARIANT takes texts of 20 million characters and values of 128 MB.  Documents beyond that
+# are read by the plain JSON reader, which can be told to take texts of any length.
+_ANY_LENGTH = {**_STRICT_JSON, "maxStringLen": str(2**31 - 1)}
+
+
+def _quoted(text: Column) -> Column:
+    """A JSON document cut at its quotes: what stands in quotes has the odd places."""
+    plain = F.replace(text, F.lit("\\\\"), F.lit("\\u005c"))
+    return F.split(F.replace(plain, F.lit('\\"'), F.lit("\\u0022")), '"')
+
+
+def _shortened(text: Column) -> Column:
+    """A JSON document whose very long texts are set aside; NULL when it is not exactly one document."""
+    one = F.size(F.from_json(_in_list(text), "array<string>", _ANY_LENGTH)) == 2
+    short = F.transform(
+        _quoted(text),
+        lambda x, i: F.when((i % 2 == 1) & (F.length(x) > LONG_TEXT), F.concat(F.lit(_ASIDE), i.cast("string"))).otherwise(x),
+    )
+    return F.when(one, F.array_join(short, '"'))
+
+
+def _whole(text: Column) -> Column:
+    """A text of a document, or the one that was set aside for it, from the column ``_quoted``."""
+    place = F.substring(text, 2, 10).try_cast("int")
+    aside = F.get(F.from_json(F.concat(F.lit('["'), F.get(F.col("_quoted"), place), F.lit('"]')), "array<string>", _ANY_LENGTH), 0)
+    return F.when(text.startswith(_ASIDE), F.coalesce(aside, text)).otherwise(text)
+
+
+def _is_large(text: Column) -> Column:
+    return F.octet_length(text) > PARSE_LIMIT
+
+
+def _document(text: Column) -> Column:
+    """The payload as VARIANT, very long texts set aside; NULL when it is not exactly one JSON document or too large."""
+    return F.coalesce(_parsed(text), F.when(_is_large(text), _bind(_shortened(text), _parsed)))
+
+
+def _piecewise(spec: object, text: Column) -> Column | None:
+    """Errors and number of items of a valid document too large for one VARIANT, its lists read item by item."""
+    if isinstance(spec, (Rows, RecordList)):
+        walk = _rows_walk if isinstance(spec, Rows) else _records_walk
+        items = F.from_json(text, "array<variant>", _ANY_LENGTH)
+        return _bind(items, lambda x: F.struct(_worded(walk(spec, x, None)).alias("errors"), F.size(x).alias("n")))
+    if not _series_of(spec):
+        return None
+    names = [f.name for f in spec.fields]
+    read = F.struct(
+        *[F.from_json(text, f"struct<{','.join(f'{n}:{t}' for n in names)}>", _ANY_LENGTH).alias(k) for k, t in (("v", "variant"), ("a", "array<variant>"))]
+    )
+
+    def walked(r: Column) -> Column:
+        found, lists = [], []
+        for f in spec.fields:
+            here = _at(None, F.lit(f.name))
+            value, items = r["v"][f.name], F.coalesce(_get(r["v"][f.name], "array<variant>"), r["a"][f.name])
+            absent = value.isNull() & items.isNull()
+            missing = _errors(_error(here, F.lit("missing")))
+            found.append(_bind(items, lambda x: F.when(absent, missing).otherwise(_rows_walk(f.spec, x, here))))
+            lists.append(items)
+        return F.struct(_worded(F.concat(*found)).alias("errors"), F.size(lists[0]).alias("n"))
+
+    wrong = F.struct(_worded(_errors(_error(F.lit(""), F.lit("model_type")))).alias("errors"), F.lit(None).cast("int").alias("n"))
+    return F.when(F.ltrim(text, F.lit(" \t\r\n")).startswith("{"), _bind(read, walked)).otherwise(wrong)
+
+
 def _items_in(spec: object, doc: Column) -> Column:
     """Number of entries of the list a payload is about."""
     if isinstance(spec, (Rows, RecordList)):
@@ -511,10 +583,16 @@ def _check(spec: object, payload: str) -> Column:
     text = F.col(payload)
 
     def walk(doc: Column) -> Column:
-        unreadable = F.when(F.octet_length(text) > PARSE_LIMIT, "json_too_large")
-        broken = _errors(_error(F.lit(""), unreadable.otherwise("json_invalid")))
-        errors = F.when(doc.isNull(), broken).otherwise(_errors_of(spec, doc, None))
-        return F.struct(_worded(errors).alias("errors"), _items_in(spec, doc).alias("n"))
+        def broken(kind: str) -> Column:
+            return F.struct(_worded(_errors(_error(F.lit(""), F.lit(kind)))).alias("errors"), F.lit(None).cast("int").alias("n"))
+
+        def in_pieces(short: Column) -> Column:
+            pieces = _piecewise(spec, short)
+            return F.when(short.isNull(), broken("json_invalid")).otherwise(broken("json_too_large") if pieces is None else pieces)
+
+        whole = F.struct(_worded(_errors_of(spec, doc, None)).alias("errors"), _items_in(spec, doc).alias("n"))
+        large = F.when(_is_large(text), _bind(_shortened(text), in_pieces)).otherwise(broken("json_invalid"))
+        return F.when(doc.isNull(), large).otherwise(whole)
 
     series = _series_of(spec)
     if not series:
@@ -585,7 +663,9 @@ def _plain_records(spec: RecordList, v: Column) -> Column:
     items = _get(v, f"array<struct<{','.join(f'{f.name}:{t}' for f, t in names)}>>")
 
     def value(x: Column, f: Field) -> Column:
-        return _iso_value(x[f.name]) if f.spec.kind == "datetime" else x[f.name]
+        if f.spec.kind == "datetime":
+            return _iso_value(x[f.name])
+        return _whole(x[f.name]) if f.spec.kind == "str" else x[f.name]
 
     return F.transform(items, lambda x: F.struct(*[value(x, f).alias(f.name) for f in fields]))
 
@@ -656,7 +736,8 @@ def conform(validated: DataFrame, contract: object, payload: str = "payload") ->
     # copy the whole check into a filter and run it a second time.
     kept = F.when(F.size("errors") == 0, F.array(record))
     carried = [c for c in validated.columns if c not in ("doc", "errors", "n_items", "status")]
-    return validated.select(*carried, F.explode(kept).alias("record"))
+    aside = F.when(_is_large(F.col(payload)), _quoted(F.col(payload)))
+    return validated.withColumn("_quoted", aside).select(*carried, F.explode(kept).alias("record"))
 
 
 def report(validated: DataFrame, *keys: str) -> DataFrame:
