@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tickwell.functions.scalars import drop_empty, to_bigint
 from tickwell.schemas import CONTRACTS, Field, ListOf, MapOf, Record, RecordList, Rows, Scalar
+from tickwell.session import materialize
 
 ERRORS_TYPE = "array<struct<loc:string,msg:string,type:string>>"
 LOC_SEPARATOR = " -> "
@@ -634,7 +635,8 @@ def validate(
     list, for the kinds that have one) and ``status`` ('valid' / 'invalid').
 
     ``contract`` is a payload kind or a contract term.  With ``raise_on_invalid`` the
-    invalid payloads are counted first, in one pass, and any makes the call raise.
+    payloads are checked at once and the result is written to the scratch folder, where
+    invalid ones are counted and any makes the call raise; what is returned reads it from there.
     """
     spec = _contract(contract)
     parsed = df.withColumn("doc", _document(F.col(payload)))
@@ -647,6 +649,7 @@ def validate(
         F.when(F.size(errors) == 0, "valid").otherwise("invalid").alias("status"),
     )
     if raise_on_invalid:
+        checked = materialize(checked, "validated")
         bad = checked.agg(F.count_if(F.col("status") == "invalid").alias("n")).first()["n"]
         if bad:
             raise ContractError(f"{bad} payloads break their contract")

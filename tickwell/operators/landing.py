@@ -159,11 +159,11 @@ def land_raw(payloads: DataFrame, root: str, order_by: str | None = None) -> Lan
     run = uuid.uuid4().hex
     landed_at = time.time_ns() // 1000
     arriving = as_landing(payloads).withColumns({"batch": F.lit(run), "landed_at": F.lit(landed_at)})
-    _write(arriving, path)
+    write_rows(arriving, path)
     return _complete(spark, root, run, landed_at)
 
 
-def _write(rows: DataFrame, path: str) -> None:
+def write_rows(rows: DataFrame, path: str) -> None:
     """Add rows to the landing table.
 
     Rebalance: one shuffle by directory and a share of the coins, hot directories split and
@@ -248,7 +248,7 @@ def compact(spark: SparkSession, root: str, dates: tuple[date, date]) -> Landed:
     """
     rewritten = [row["batch"] for row in read_runs(spark, root).filter((F.col("first_date") <= F.lit(dates[1])) & (F.col("last_date") >= F.lit(dates[0]))).collect()]
     run = uuid.uuid4().hex
-    _write(read_raw(spark, root, dates).filter(F.col("batch").isin(rewritten)).withColumn("batch", F.lit(run)), landing_path(root))
+    write_rows(read_raw(spark, root, dates).filter(F.col("batch").isin(rewritten)).withColumn("batch", F.lit(run)), landing_path(root))
     folders = _folders(spark, root, f"kind=*/date=*/batch={run}")
     rows = _read_folders(spark, root, folders).count()
     landed = Landed(root, run, rows, *dates)

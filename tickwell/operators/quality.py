@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,31 +63,41 @@ def unique_combination(df: DataFrame, table: str, columns: Sequence[str]) -> Dat
 def run_tests(df: DataFrame, table: str, tests: dict) -> DataFrame:
     """All tests declared for a table as (table, test, columns, failures, status).
 
-    The table is read once: rows are counted by the first key, with their NULLs per
-    column, and all verdicts but those of further keys come from these counts.
+    The table is read once, whatever the number of keys.
     """
     columns = list(tests.get("not_null", []))
     found = [("unique", [c]) for c in tests.get("unique", [])]
     found += [("unique_combination_of_columns", list(c)) for c in tests.get("unique_combination", [])]
     if not found:
         return not_null(df, table, columns)
-    kind, key = found[0]
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"_null{i}") for i, c in enumerate(columns)]
-    # Counts are combined on the map side, so a hot key ships one row per task.
-    grouped = df.groupBy(*[F.col(c).alias(f"_key{i}") for i, c in enumerate(key)]).agg(F.count(F.lit(1)).alias("_n"), *nulls)
-    twice = F.col("_n") > 1
-    if kind == "unique":
-        twice = twice & F.col("_key0").isNotNull()
+    # One scan: Expand makes a row per key and its own columns, and counts are combined on the map side,
+    # so a hot key ships one row per task.  Nulls are counted in the rows of the first key.
+    held = list(dict.fromkeys(c for _, key in found for c in key))
+    alias = {c: f"_key{i}" for i, c in enumerate(held)}
+    keyed = df.select(*[F.col(c).alias(alias[c]) for c in held], *[F.col(c).isNull().alias(f"_null{i}") for i, c in enumerate(columns)])
+    sets = [[F.col(alias[c]) for c in key] for _, key in found]
+    nulls = [F.count_if(F.col(f"_null{i}")).alias(f"_null{i}") for i in range(len(columns))]
+    grouped = keyed.groupingSets(sets, *[F.col(alias[c]) for c in held]).agg(
+        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set"), *nulls
+    )
+
+    def number(key: list[str]) -> int:
+        """grouping_id of a key: a bit for every column it lacks, the first column highest."""
+        return sum(1 << (len(held) - 1 - i) for i, c in enumerate(held) if c not in key)
+
+    def twice(kind: str, key: list[str]):
+        several = (F.col("_set") == number(key)) & (F.col("_n") > 1)
+        return several & F.col(alias[key[0]]).isNotNull() if kind == "unique" else several
+
+    first = F.col("_set") == number(found[0][1])
     counts = grouped.agg(
-        F.count_if(twice).alias("_twice"), *[F.coalesce(F.sum(f"_null{i}"), F.lit(0)).alias(f"_null{i}") for i in range(len(columns))]
+        *[F.count_if(twice(kind, key)).alias(f"_twice{i}") for i, (kind, key) in enumerate(found)],
+        *[F.coalesce(F.sum(F.when(first, F.col(f"_null{i}"))), F.lit(0)).alias(f"_null{i}") for i in range(len(columns))],
     )
 
     def verdict(test: str, named: str, failures: str):
         return F.struct(F.lit(test).alias("test"), F.lit(named).alias("columns"), F.col(failures).alias("failures"))
 
     verdicts = [verdict("not_null", c, f"_null{i}") for i, c in enumerate(columns)]
-    verdicts.append(verdict(kind, ",".join(key), "_twice"))
-    results = [_verdict(counts.select(F.lit(table).alias("table"), F.inline(F.array(*verdicts))))]
-    for kind, key in found[1:]:
-        results.append(unique(df, table, key[0]) if kind == "unique" else unique_combination(df, table, key))
-    return reduce(DataFrame.unionByName, results)
+    verdicts += [verdict(kind, ",".join(key), f"_twice{i}") for i, (kind, key) in enumerate(found)]
+    return _verdict(counts.select(F.lit(table).alias("table"), F.inline(F.array(*verdicts))))

@@ -24,6 +24,26 @@ def write_table(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) ->
     return path
 
 
+def save_table(df: DataFrame, root: str, layer: str, name: str, keys: Sequence[str], buckets: int) -> str:
+    """Write a table of the catalog, in a database per layer, its files bucketed and sorted by keys; returns its name.
+
+    Groupings and joins by the keys then need no shuffle.  One shuffle by the same keys before
+    the write gives a file per bucket instead of one per bucket and task.
+    """
+    spark = df.sparkSession
+    spark.sql(f"create database if not exists {layer}")
+    full = f"{layer}.{name}"
+    (
+        df.repartition(buckets, *keys)
+        .write.mode("overwrite")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .option("path", layer_path(root, layer, name))
+        .saveAsTable(full)
+    )
+    return full
+
+
 def literal_rows(spark: SparkSession) -> DataFrame:
     """The two rows of the first example model: 1 and NULL."""
     one = spark.range(1).select(F.lit(1).alias("id"))

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from tickwell.functions.scalars import epoch_ms
 from tickwell.operators import quality
-from tickwell.operators.landing import land_raw
-from tickwell.operators.contracts import conform, report, validate
+from tickwell.operators.contracts import ContractError, conform, report, validate
+from tickwell.operators.landing import land_raw, read_batch
 from tickwell.operators.staging import ohlc_rows, stg_snapshots
 from tickwell.plans.layers import first_rows
-from tickwell.plans.loads import load, load_charts, summarize, validate_stored
+from tickwell.plans.loads import backfill_summary, load, load_charts, report_files, summarize, validate_stored
 from tickwell.queries import payloads as P
 from tickwell.queries.registry import query, table
 from tickwell.schemas import STAGING_TESTS
+from tickwell.session import scratch_dir
 from tickwell.sources.requests import json_of, request_documents
 from tickwell.sources.scans import decode_snapshots, scan_ohlc
 
@@ -258,6 +259,122 @@ def ohlc_candles(spark, sf_dir):
     return ohlc_rows(scan_ohlc(valid), "coin_id")
 
 
+@query("""
+    select o_orderkey, case when o_orderkey % 8 in (0, 7) then 'PASS' else 'FAIL' end as status,
+           cast(case o_orderkey % 8 when 0 then 0 when 7 then 0 when 5 then 2 else 1 end as bigint) as n_errors,
+           case o_orderkey % 8
+                when 1 then 'field: 0 -> id | a text value is needed (string_type)'
+                when 2 then 'field: 0 -> symbol | a required field is absent (missing)'
+                when 3 then 'field: 1 -> current_price | the text is no number (float_parsing)'
+                when 4 then 'field: 0 -> market_cap_rank | the number has a fractional part (int_from_float)'
+                when 5 then 'field: 0 -> last_updated | the text is no time or date (datetime_from_date_parsing)' || chr(10)
+                            || 'field: 1 | an object with named fields is needed (model_type)'
+                when 6 then 'field:  | a list is needed (list_type)' else '' end as errors
+    from orders
+""")
+def validate_snapshot_errors(spark, sf_dir):
+    """Snapshot lists with a fault of each kind, reported with its place."""
+    kind = F.col("o_orderkey") % 8
+
+    def text(c):
+        return F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
+
+    def coin(price):
+        members = [
+            F.concat(F.lit('"id":'), F.when(kind == 1, F.col("o_orderkey").cast("string")).otherwise(text(F.col("o_orderkey")))),
+            F.when(kind != 2, F.concat(F.lit('"symbol":'), text(F.col("o_orderstatus")))),
+            F.concat(F.lit('"name":'), text(F.col("o_orderpriority"))),
+            F.concat(F.lit('"last_updated":"'), F.when(kind == 5, "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")), F.lit('"')),
+            F.concat(F.lit('"current_price":'), price),
+            F.concat(F.lit('"market_cap_rank":'), F.when(kind == 4, "1.5").when(kind == 7, "3.0").otherwise("3")),
+        ]
+        return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
+
+    price = text(F.col("o_totalprice"))
+    second = F.when(kind == 3, coin(F.lit('"n/a"'))).when(kind == 5, F.lit("[]"))
+    whole = F.concat(F.lit("["), F.concat_ws(",", coin(price), second), F.lit("]"))
+    lists = table(spark, sf_dir, "orders").select("o_orderkey", F.when(kind == 6, coin(price)).otherwise(whole).alias("payload"))
+    return report(validate(lists, "coins_markets"), "o_orderkey")
+
+
+@query("""
+    select user_id, case when user_id % 5 = 0 then 'valid' else 'invalid' end as status,
+           case user_id % 5 when 1 then '' when 2 then n - 1 || ' -> 4' when 3 then '0 -> 0' when 4 then '' end as loc,
+           case user_id % 5 when 1 then 'value_error' when 2 then 'float_parsing' when 3 then 'float_type' when 4 then 'list_type' end as type
+    from (select user_id, count(distinct strftime(ts, '%Y-%m-%d')) as n from events group by user_id)
+""")
+def validate_ohlc_errors(spark, sf_dir):
+    """Candle lists with short rows, text and nulls for numbers, and objects for lists."""
+    kind = F.col("user_id") % 5
+    value = F.col("value").cast("string")
+    daily = table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(F.max("value").alias("value"))
+    lists = daily.groupBy("user_id").agg(F.collect_list(F.concat(F.lit("[1,2,3,4,"), value, F.lit("]"))).alias("rows"))
+    rows = F.array_join("rows", ",")
+    last = F.concat_ws(",", F.array_join(F.slice("rows", 1, F.size("rows") - 1), ","), F.lit('[1,2,3,4,"n/a"]'))
+    last = F.when(F.size("rows") == 1, '[1,2,3,4,"n/a"]').otherwise(last)
+    inside = F.when(kind == 1, F.concat(rows, F.lit(",[1,2,3,4]"))).when(kind == 2, last)
+    inside = inside.when(kind == 3, F.concat(F.lit("[null,2,3,4,5],"), rows)).otherwise(rows)
+    payload = F.when(kind == 4, '{"rows":[]}').otherwise(F.concat(F.lit("["), inside, F.lit("]")))
+    checked = validate(lists.select("user_id", payload.alias("payload")), "ohlc")
+    first = F.get("errors", 0)
+    return checked.select("user_id", "status", first["loc"].alias("loc"), first["type"].alias("type"))
+
+
+@query("""
+    select 'raw/global/date=' || strftime(h, '%Y-%m-%d') || '/fetched_at=' || strftime(h, '%Y-%m-%dT%H-00-00Z.json') as s3_key,
+           case when n % 3 = 0 then 'invalid' else 'valid' end as status,
+           (select count(*) > 0 from (select date_trunc('hour', ts), count(*) as n from events group by 1) where n % 3 = 0) as raised
+    from (select date_trunc('hour', ts) as h, count(*) as n from events group by 1)
+""")
+def strict_load(spark, sf_dir):
+    """A strict load of partly invalid payloads raises and leaves all of them stored."""
+    root = P.new_root(spark, "strict")
+    hours = P.global_payloads(spark, sf_dir)
+    n = F.get_json_object("payload", "$.data.active_cryptocurrencies").cast("long")
+    broken = F.regexp_replace("payload", '"markets":[0-9]+', '"markets":"many"')
+    payloads = hours.withColumn("payload", F.when(n % 3 == 0, broken).otherwise(F.col("payload")))
+    raised = False
+    try:
+        load(payloads, root, "global")
+    except ContractError:
+        raised = True
+    stored = validate_stored(spark, root, hours.select("kind", "fetched_at"), "global")
+    return summarize(stored, "global").withColumn("raised", F.lit(raised))
+
+
+@query("""
+    select source as coin, case when lang in ('fr', 'de') then 'FAIL' else 'PASS' end as status,
+           cast(case when lang = 'fr' then 1 when lang = 'de' then 2 else 0 end as bigint) as n_errors, count(*) as files
+    from documents group by all
+""")
+def files_report(spark, sf_dir):
+    """Documents stored as files in the folders of their coins, reported one by one, counted by result."""
+    root = scratch_dir(spark, "files")
+    lang = F.col("lang")
+    document = F.concat(
+        F.lit('{"id":"'), F.col("doc_id").cast("string"), F.lit('","symbol":'), F.when(lang == "de", F.lit("1")).otherwise(F.lit('"s"')),
+        F.when(lang.isin("fr", "de"), F.lit("")).otherwise(F.lit(',"name":"n"')), F.lit("}"),
+    )
+    files = table(spark, sf_dir, "documents").select("source", document.alias("value"))
+    files.write.partitionBy("source").option("maxRecordsPerFile", 1).text(root, lineSep=" ")
+    found = report_files(spark, root, "coins_metadata", "*.txt")
+    return found.groupBy(F.split_part("coin", F.lit("="), F.lit(2)).alias("coin"), "status", "n_errors").agg(F.count(F.lit(1)).alias("files"))
+
+
+@query("""
+    select cast(user_id as varchar) as coin_id,
+           'raw/coins/' || user_id || '/market_chart/date=2024-02-01/fetched_at=2024-02-01T00-00-00Z.json' as s3_key,
+           case when count(*) filter (where value > 250) > 0 then 'invalid' else 'valid' end as status
+    from events group by user_id
+""")
+def backfill_status(spark, sf_dir):
+    """The status of every coin's backfill, landed and read back."""
+    root = P.new_root(spark, "status")
+    pair = F.array(F.col("t"), F.when(F.col("value") <= 250, F.col("value")))
+    parts = P.chart_parts(spark, sf_dir, {"prices": pair, "market_caps": pair, "total_volumes": pair})
+    return backfill_summary(read_batch(spark, land_raw(parts, root)))
+
+
 @query("""
     select 'documents_labels' as "table", 'not_null' as test, 'doc_id' as "columns",
            count(*) filter (where d.doc_id is null) as failures,
@@ -296,8 +413,7 @@ def dq_unique(spark, sf_dir):
     """Uniqueness of single columns; nulls are left out."""
     labelled = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
     results = [
-        quality.unique(table(spark, sf_dir, "events"), "events", "event_id"),
-        quality.unique(table(spark, sf_dir, "events"), "events", "user_id"),
+        quality.run_tests(table(spark, sf_dir, "events"), "events", {"unique": ["event_id", "user_id"]}),
         quality.unique(table(spark, sf_dir, "orders"), "orders", "o_custkey"),
         quality.unique(labelled, "labels", "quality"),
     ]

@@ -9,7 +9,7 @@ from tickwell.operators.consolidate import ids_string, last_n_days, restrict_to,
 from tickwell.operators.landing import land_raw
 from tickwell.operators.staging import stg_chart_points
 from tickwell.plans import marts
-from tickwell.plans.layers import layer_path, write_table
+from tickwell.plans.layers import layer_path, save_table, write_table
 from tickwell.queries import payloads as P
 from tickwell.queries.registry import query, table
 from tickwell.session import materialize
@@ -90,13 +90,16 @@ def _both_fetches(spark, sf_dir):
     return stg_chart_points(P.unlanded(backfill.unionByName(refetch)))
 
 
-@query("""
+LATEST_SQL = """
     select cast(user_id as varchar) as coin_id, epoch_us(ts) // 1000 as ts_ms,
            case when ts >= timestamp '2024-01-26' then value * 2 else value end as price_usd,
            case when ts >= timestamp '2024-01-26' then '2024-02-02 00:00:00'
                 else '2024-02-01 00:00:00' end as fetched_at
     from events
-""")
+"""
+
+
+@query(LATEST_SQL)
 def latest_points(spark, sf_dir):
     """Overlapping fetches consolidated: the later fetch wins."""
     return marts.latest_points(_both_fetches(spark, sf_dir))
@@ -127,6 +130,15 @@ def write_layers(spark, sf_dir):
     return spark.read.schema(daily.schema).parquet(path)
 
 
+@query(_DAILY_SQL)
+def bucketed_layer(spark, sf_dir):
+    """Consolidated points as a table bucketed by coin, and the daily fact grouped from it without a shuffle."""
+    root = P.new_root(spark, "core")
+    name = f"points_{root.rsplit('-', 1)[1]}"
+    points = marts.latest_points(_both_fetches(spark, sf_dir))
+    return marts.daily_ohlc(spark.table(save_table(points, root, "core", name, ["coin_id"], 16)))
+
+
 @query("""
     select cast(user_id as varchar) as coin_id, strftime(ts, '%Y-%m-%d %H:00:00') as hour,
            arg_max(event_id, (ts, event_id)) as event_id,

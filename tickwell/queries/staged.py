@@ -14,11 +14,14 @@ from tickwell.queries.registry import query, table
 from tickwell.sources.scans import scan_charts, scan_global, scan_metadata, scan_snapshots
 
 
-@query("""
+CHART_SQL = """
     select cast(user_id as varchar) as coin_id, '2024-02-01 00:00:00' as fetched_at,
            '2024-02-01' as snapshot_date, epoch_us(ts) // 1000 as ts_ms, value as price_usd
     from events
-""")
+"""
+
+
+@query(CHART_SQL)
 def chart_points(spark, sf_dir):
     """Charts of all coins landed, scanned and flattened to points."""
     root = P.new_root(spark, "chart")
@@ -83,7 +86,7 @@ def snapshot_objects(spark, sf_dir):
     return stg_snapshots(scan_snapshots(spark, root, "objects"))
 
 
-@query("""
+METADATA_SQL = """
     select cast(doc_id as varchar) as coin_id, source as symbol, lang as name,
            '["' || lang || '","' || source || '"]' as categories,
            case when lang = 'de' then '{"' || source || '":null,"":""}'
@@ -97,7 +100,10 @@ def snapshot_objects(spark, sf_dir):
            '2024-01-31T10:00:00.000Z' as api_last_updated, '2024-02-01' as snapshot_date,
            '2024-02-01 00:00:00' as fetched_at
     from documents
-""")
+"""
+
+
+@query(METADATA_SQL)
 def metadata_stage(spark, sf_dir):
     """Metadata documents landed, scanned with nested JSON as text, and flattened."""
     root = P.new_root(spark, "metadata")

@@ -146,6 +146,46 @@ def stream_points(
     _available(_committed(spark, root, runs_per_trigger), checkpoint, write)
 
 
+def stream_latest(spark: SparkSession, points: str, out: str, checkpoint: str, value: str = "price_usd") -> None:
+    """Maintain the latest value per coin and time of the points that ``stream_points`` stages.
+
+    The state store holds one value per (coin_id, ts_ms), that of the latest fetch, of its last landed
+    version, and of equal times the highest; an increment reads the new points only, and writes the
+    keys it has changed.  ``read_latest`` gives the values.  A point that a later version of its
+    fetch leaves out stays, unlike with ``marts.current_points``.
+    """
+    # Where the highest of several fields wins, they are compared in this order.
+    best = F.struct("fetched_at", "landed_at", value)
+    staged = spark.read.parquet(points)
+    arriving = (
+        spark.readStream.schema(staged.drop("batch").schema)
+        .option("maxFileAge", NEVER_OLD)
+        .option("recursiveFileLookup", True)
+        .parquet(points)
+    )
+    latest = arriving.groupBy("coin_id", "ts_ms").agg(F.max(best).alias("best"))
+
+    def write(changed: DataFrame, batch_id: int) -> None:
+        rows = changed.select("coin_id", "ts_ms", "best.*")
+        rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    (
+        latest.writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+
+
+def read_latest(spark: SparkSession, out: str, value: str = "price_usd") -> DataFrame:
+    """(coin_id, ts_ms, value, fetched_at) as ``stream_latest`` left it: of every key what changed it last."""
+    changes = spark.read.parquet(out)
+    last = changes.groupBy("coin_id", "ts_ms").agg(F.max_by(F.struct(value, "fetched_at"), "batch").alias("last"))
+    return last.select("coin_id", "ts_ms", f"last.{value}", "last.fetched_at")
+
+
 def stream_objects(
     spark: SparkSession, source: str, root: str, checkpoint: str, bytes_per_trigger: int = 64 << 30
 ) -> None:
