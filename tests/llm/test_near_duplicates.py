@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tickwell.llm import simhash
 
@@ -37,7 +38,6 @@ def test_fingerprints_and_components(docs, awkward):
 
 def test_empty_table(docs):
     assert simhash.near_duplicates(docs([])).collect() == []
-    assert simhash.similar_groups(docs([])).collect() == []
 
 
 @pytest.mark.parametrize("hot, four, three", [(4096, 1 << 22, 1 << 25), (6, 1 << 22, 1 << 25), (4096, 0, 1 << 25), (4096, 0, 0)])
@@ -55,97 +55,13 @@ def test_any_segments_link_alike(spark, monkeypatch, hot, four, three):
             made.add(x)
     items = list(enumerate(sorted(made)))
     nodes = spark.createDataFrame([(i, x - (1 << 64) if x >> 63 else x) for i, x in items], "node long, fp long")
-    got = {i: i for i, _ in items} | {r.node: r.component for r in simhash.link(nodes, ["fp"], 4).collect()}
+    got = {i: i for i, _ in items} | {r.node: r.component for r in simhash.link(nodes, "fp", 4).collect()}
     assert got == brute_components(items, lambda x, y: (x ^ y).bit_count() <= 4)
 
 
-def test_crowded_buckets_apply_the_whole_check(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "HOT_BUCKET", 6)
-    ball = simhash._ball
-    # The keys of the first 16 bits are enough: the others are equal in all fingerprints.
-    monkeypatch.setattr(simhash, "_ball", lambda width, radius: ball(min(width, 16), radius))
-    rng = np.random.default_rng(21)
-    flip = lambda x, low, high, n: x ^ sum(1 << int(b) for b in low + rng.choice(high - low, n, replace=False))
-    rows = []
-    for base in (0, 0xA5A5):
-        for k in range(12):  # pairs of copies that share a crowded bucket with others like them by table and hint only
-            hint, rest = flip(0, 0, 60, 4), int(rng.integers(0, 1 << 60))
-            for _ in range(2):
-                rows.append((flip(base, 0, 16, int(rng.integers(0, 4))), flip(hint, 0, 60, 1), flip(rest, 0, 60, 2)))
-    items = list(enumerate(rows))
-    items = [items[i] for i in rng.permutation(len(items))]
-    bits = lambda x, y: (x ^ y).bit_count()
-    near = lambda x, y: bits(x[0], y[0]) <= 5 and bits(x[1], y[1]) <= 12 and bits(x[1], y[1]) + bits(x[2], y[2]) <= 14
-    nodes = spark.createDataFrame([(i, *x) for i, x in items], "node long, fp long, h long, r long")
-    found = simhash.link(nodes, ["fp"], 5, check=(["h", "r"], 14), hint=("h", 12)).collect()
-    expected = brute_components(items, near)
-    assert 10 < len(set(expected.values())) < len(items)
-    assert {i: i for i, _ in items} | {r.node: r.component for r in found} == expected
-
-
-def test_near_copies_group_and_others_do_not(docs):
-    rng = np.random.default_rng(5)
-    words = [f"w{i}" for i in range(3000)]
-    rows, groups = [], {}
-    for g in range(12):
-        base = list(rng.choice(words, 300))
-        for c in range(3):
-            copy = list(base)
-            for at in rng.choice(300, 2 * c, replace=False):
-                copy[at] = "edited"
-            rows.append((g * 10 + c, " ".join(copy)))
-            groups[g * 10 + c] = g * 10
-    assert {r.doc_id: r.component_id for r in simhash.similar_groups(docs(rows)).collect()} == groups
-
-
-def zipf_texts(rng, n, words=20_000):
-    return [[f"v{x}" for x in np.minimum(rng.zipf(1.3, 250), words)] + [f"u{x}" for x in rng.integers(0, words, 250)] for _ in range(n)]
-
-
-def copies(rng, base, share):
-    """A text with as much appended, cut, or replaced as leaves about that Jaccard similarity of five-word shingles."""
-    n = len(base)
-    fresh = [f"new{x}" for x in rng.integers(0, 1 << 30, n)]
-    changed = list(base)
-    for at in np.linspace(3, n - 4, int(n * (1 - share) / (1 + share) / 5)).astype(int):
-        changed[at] = fresh[at]
-    return [base + fresh[: int(n * (1 / share - 1))], base[: int(n * share) + 1], base[-int(n * share) - 1 :], changed]
-
-
-def jaccard(x, y):
-    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (x, y)]
-    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
-
-
-def test_copies_with_passages_added_or_cut_group(docs):
-    rng = np.random.default_rng(8)
-    rows, groups = [], {}
-    for g, base in enumerate(zipf_texts(rng, 30)):
-        for c, text in enumerate([base, *copies(rng, base, 0.88)]):
-            rows.append((g * 10 + c, " ".join(text)))
-            groups[g * 10 + c] = g * 10
-    assert {r.doc_id: r.component_id for r in simhash.similar_groups(docs(rows)).collect()} == groups
-
-
-def test_bands_recall_copies_at_the_threshold():
-    rng = np.random.default_rng(9)
-    pairs = [(b, c) for b in zipf_texts(rng, 100) for c in copies(rng, b, 0.81) if jaccard(b, c) >= 0.8]
-    keys = lambda t: simhash.band_keys(simhash.shingle_set(" ".join(t)))
-    assert len(pairs) > 300
-    assert all(any(x == y for x, y in zip(keys(b), keys(c))) for b, c in pairs)
-
-
-def test_links_are_those_of_the_exact_similarity(docs):
-    rng = np.random.default_rng(10)
-    texts = []
-    for i, base in enumerate(zipf_texts(rng, 24)):
-        texts += [base, *copies(rng, base, 0.66 + 0.01 * i)]  # similarities from 0.66 to 0.89
-    line = [f"l{i}" for i in range(12)]
-    texts += [line * 40 + [f"p{i}" for i in range(40)], line * 40 + [f"q{i}" for i in range(40)]]  # alike but for their sets
-    items = list(enumerate(texts))
-    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
-    near = {(x, y) for x in range(len(texts)) for y in range(len(texts)) if len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y])}
-    expected = brute_components([(i, i) for i, _ in items], lambda x, y: (x, y) in near)
-    assert 24 < len(set(expected.values())) < len(items)
-    found = simhash.similar_groups(docs([(i, " ".join(t)) for i, t in items])).collect()
-    assert {r.doc_id: r.component_id for r in found} == expected
+def test_carried_columns_and_repeated_ids(docs):
+    texts = [(1, "a b c d e f"), (1, "wholly other words stand here now"), (2, "A b c d e f"), (2, "A b c d e f"), (None, "a b c d e f")]
+    rows = simhash.near_duplicates(docs(texts), carry=["text", "fp"]).select("doc_id", "component_id", F.col("rest.text").alias("text"), "rest.fp")
+    assert sorted((r.doc_id or 0, r.component_id or 0, r.text, r.fp) for r in rows.collect()) == sorted(
+        (i or 0, 1 if i else 0, t, 2) for i, t in texts
+    )

@@ -35,3 +35,15 @@ def test_awkward_rows(spark, awkward):
     assert {r.doc_id for r in made[-1].collect()} <= {i for i, *_ in rows}
     empty = stages(spark, spark.createDataFrame([], schema))
     assert all(t.isEmpty() for t in empty[1:])
+
+
+def test_one_document_of_each_group_stays(spark):
+    words = "one text of quite a few words that stand in no other text of this small table at all"
+    other = "another text with words of its own so that no fingerprint of it is near to the first one"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _row map<string,int>"
+    rows = [(4, words), (2, words.upper()), (2, words.upper()), (3, other), (4, other), (9, None), (8, ""), (None, words), (None, words)]
+    table = spark.createDataFrame([(i, t, "en", "s", 1, {"a": 1}) for i, t in rows], schema)
+    kept = corpus_pipeline.drop_near_duplicates(spark, table, SF_DIR)
+    assert kept.columns == table.columns
+    # Document 4 has a row in either group, which makes them one; its smallest id is 2.
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted([(2, words.upper()), (8, ""), (0, words)])

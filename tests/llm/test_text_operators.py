@@ -198,6 +198,67 @@ def test_verbatim_questions_whatever_their_slots(spark, docs):
     assert found == {(1, 1): 1, (2, 1): 1, (3, 2): 5, (4, 3): 1, (6, 4): 1, (8, 1): 2}
 
 
+def plainly_contaminated(docs, items, window=10):
+    """Every window of every text against every window of every item, word by word."""
+    import regex
+
+    numbers, units = "|".join(decontaminate.NUMBER_WORDS), "|".join(decontaminate.UNITS)
+
+    def words(text):
+        plain = (text or "").replace("^", " ")
+        plain = regex.sub(r"([0-9])[.,]([0-9])", r"\1\2", plain)
+        plain = regex.sub(r"(^|[.!?:;\n])([^\p{L}\p{N}]*)(\p{Lu})", r"\1\2^\3", plain)
+        plain = regex.sub(r"[^\p{L}\p{M}\p{N}^]+", " ", plain).strip(" ")
+        shape = regex.sub(rf"(?<![^ ])\^?(?:[0-9][^ ]*|(?i:{numbers})(?![^ ]))", "<num>", plain)
+        shape = regex.sub(rf"<num> (?i:{units})(?![^ ])", "<num> <unit>", shape)
+        shape = regex.sub(r"(?<![^ ])\p{Lu}[^ ]*", "<name>", shape)
+        return plain.lower().replace("^", "").split(" "), shape.lower().replace("^", "").split(" ")
+
+    found = {}
+    cut = [(i, *words(t)) for i, t in items]
+    for doc_id, text in docs:
+        if doc_id is None or text is None:
+            continue
+        own, shape = words(text)
+        for item_id, wanted, pattern in cut:
+            n = min(window, len(wanted))
+            if wanted == [""]:
+                continue
+            literal = decontaminate.LITERAL if n == window else decontaminate.SHORT_LITERAL
+            for p in range(len(own) - n + 1):
+                hits, equal = set(), False
+                for q in range(len(wanted) - n + 1):
+                    equal |= own[p : p + n] == wanted[q : q + n]
+                    if pattern[q : q + n] == shape[p : p + n] and sum(w[0] != "<" for w in pattern[q : q + n]) >= literal:
+                        pairs = {(s, i, d) for s, i, d in zip(pattern[q:], wanted[q : q + n], own[p:]) if s[0] == "<"}
+                        if len({x[:2] for x in pairs}) == len(pairs):
+                            hits.add((tuple(pattern[q : q + n]), tuple(wanted[q : q + n])))
+                if hits or equal:
+                    found[doc_id, item_id] = found.get((doc_id, item_id), 0) + max(1, len(hits))
+    return found
+
+
+def test_windows_against_a_plain_search(spark, docs):
+    import random
+
+    rng = random.Random(4)
+    plain = ["red", "fox", "eats", "apples", "and", "goes", "home"]
+    slots = ["7", "12", "three", "km", "days", "Tom", "Ann", "What", "Is"]
+    marks = ["", "", "", "", ".", "?", ",", ";"]
+
+    def text(n):
+        return " ".join(rng.choice(plain if rng.random() < 0.75 else slots) + rng.choice(marks) for _ in range(n))
+
+    items = [(i, text(rng.randint(1, 16))) for i in range(24)] + [(30, None), (31, ""), (32, "?")]
+    changed = lambda t: t.replace("7", "9").replace("Tom", "Bob").replace("12", "40")
+    rows = [(i, f"{text(rng.randint(0, 12))} {rng.choice([str, changed, str.lower])(rng.choice(items)[1] or '')} {text(rng.randint(0, 12))}") for i in range(60)]
+    rows += [(100, None), (101, ""), (None, items[0][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for window in (10, 4):
+        got = {(r.doc_id, r.item_id): r.n_windows for r in decontaminate.contaminated(docs(rows).filter("doc_id is not null"), bench, window).collect()}
+        assert got == plainly_contaminated(rows, items, window)
+
+
 def test_native_plans_have_no_python(spark, docs, awkward):
     bench = spark.createDataFrame([(1, "a b c d e f g h i j k l")], "item_id long, text string")
     for df in (license_scan.scan(docs(awkward)), decontaminate.contaminated(docs(awkward), bench)):

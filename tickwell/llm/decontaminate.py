@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +56,26 @@ def words(table: DataFrame, text: str) -> DataFrame:
     return plain.select(*rest, F.split("plain", " ").alias("own"), F.split(exact, " ").alias("exact"), F.split(shape, " ").alias("shape"))
 
 
+def _inner(length: int) -> tuple[int, int]:
+    """(step, size): of any so many neighbouring words, size of them in a row begin at a place that step divides."""
+    step = max(1, length // 2)
+    return step, length - step + 1
+
+
+def _probes(words: Column, length: int) -> Column:
+    """Keys of the inner windows that begin at every step-th word of a text."""
+    step, size = _inner(length)
+    last = F.size(words) - size
+    places = F.when(last >= 0, F.sequence(F.lit(0), last, F.lit(step))).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda p: F.xxhash64(F.lit(length), *[F.get(words, p + i) for i in range(size)]))
+
+
+def _probed(window: Column, length: int) -> Column:
+    """Keys of all inner windows by which a text that holds this window can show it."""
+    step, size = _inner(length)
+    return F.array(*[F.xxhash64(F.lit(length), *[F.get(window, F.lit(o + i)) for i in range(size)]) for o in range(step)])
+
+
 def _keys(shape: Column, length: int) -> Column:
     """The key of every window of so many words of a template."""
     last = F.size(shape) - length
@@ -85,7 +107,8 @@ def contaminated(
     filled alike in the document too. Windows with fewer than LITERAL other words say too little
     and are not compared; items shorter than a window are compared whole if SHORT_LITERAL other
     words remain. Windows that are equal word by word, but for capitals, count whatever their slots, and
-    so do short items. Null and empty texts match nothing; rows sharing an id add up.
+    so do short items. Null and empty texts match nothing; rows sharing an id add up, rows without one are
+    not compared. Texts are read whole, whatever their length.
     """
     literal = lambda shape: F.size(F.filter(shape, lambda w: ~w.startswith("<")))
     part = lambda column, n: F.slice(column, F.col("w.pos") + 1, n)
@@ -93,7 +116,7 @@ def contaminated(
     given = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     shaped = words(given, "text").select("doc_id", "exact", "shape")
     lengths = items.select(F.size("shape").alias("n")).filter((F.col("n") < window) & (F.get("exact", F.lit(0)) != "")).distinct()
-    made = []
+    wanted = {}
     for n in [window, *sorted(r.n for r in lengths.collect())]:  # at most window - 1 numbers
         whole = items if n == window else items.filter(F.size("shape") == n)
         keys = whole.select("item_id", "own", "shape", F.explode(_windows(F.col("shape"), n)).alias("w"))
@@ -101,13 +124,26 @@ def contaminated(
         keys = keys.filter(literal(F.col("shape")) >= (LITERAL if n == window else SHORT_LITERAL)).distinct()
         copies = whole.select("item_id", "exact", F.explode(_windows(F.col("exact"), n)).alias("w"))
         copies = copies.select("item_id", part("exact", n).alias("exact"), "w.key").filter(F.get("exact", F.lit(0)) != "").distinct()
-        known = keys.select("key").union(copies.select("key")).distinct()
-        known = F.broadcast(known) if known.count() <= BROADCAST_ROWS else known
-        spread = shaped.select("doc_id", F.explode(F.concat(_keys(F.col("shape"), n), _keys(F.col("exact"), n))).alias("key"))
-        met = materialize(spread.join(known, "key", "left_semi").select("doc_id").distinct(), "hits")
-        met = F.broadcast(met) if met.count() <= BROADCAST_ROWS else met
-        again = materialize(given.join(met, "doc_id", "left_semi").withColumn("row", F.monotonically_increasing_id()), "texts")
-        again = words(again, "text")
+        wanted[n] = keys, copies
+
+    # One pass finds the documents that may hold a window, of whatever length: each window of n words covers an inner
+    # one of about half the words that begins at every n/2-th word of the text, so few keys tell. What follows is exact.
+    inner = [
+        side.select(F.explode(_probed(F.col(column), n)).alias("key"))
+        for n, (keys, copies) in wanted.items()
+        for side, column in ((keys, "shape"), (copies, "exact"))
+    ]
+    known = materialize(reduce(DataFrame.union, inner).distinct(), "known")
+    known = F.broadcast(known) if known.count() <= BROADCAST_ROWS else known
+    probes = F.concat(*[_probes(F.col(column), n) for n in wanted for column in ("shape", "exact")])
+    spread = shaped.select("doc_id", F.explode(probes).alias("key"))
+    met = materialize(spread.join(known, "key", "left_semi").select("doc_id").distinct(), "hits")
+    met = F.broadcast(met) if met.count() <= BROADCAST_ROWS else met
+    again = materialize(given.join(met, "doc_id", "left_semi").withColumn("row", F.monotonically_increasing_id()), "texts")
+    again = words(again, "text")
+
+    made = []
+    for n, (keys, copies) in wanted.items():
         shapes = again.select("row", "doc_id", "own", "shape", F.explode(_windows(F.col("shape"), n)).alias("w"))
         shapes = shapes.select("row", "doc_id", "w.pos", part("own", n).alias("found"), part("shape", n).alias("shape"), "w.key")
         fits = _fits(F.col("shape"), F.col("wanted"), F.col("found"))
@@ -118,7 +154,4 @@ def contaminated(
         # A window that is found by its template already does not count again as an equal one.
         windows = pairs.union(equal).groupBy("row", "doc_id", "item_id", "pos").agg(F.greatest(F.count_if("fits"), F.lit(1)).alias("n"))
         made.append(windows.groupBy("doc_id", "item_id").agg(F.sum("n").alias("n_windows")))
-    every = made[0]
-    for more in made[1:]:
-        every = every.union(more)
-    return every.groupBy("doc_id", "item_id").agg(F.sum("n_windows").alias("n_windows"))
+    return reduce(DataFrame.union, made).groupBy("doc_id", "item_id").agg(F.sum("n_windows").alias("n_windows"))

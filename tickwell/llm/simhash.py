@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -10,9 +11,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickwell.llm.spark import components
-from tickwell.llm.text import byte_spans, mix, normal_words
+from tickwell.llm.text import give_back, normal_words
 from tickwell.session import materialize
 
 # A bucket of more fingerprints than this is not probed pair by pair.
@@ -21,22 +23,14 @@ HOT_BUCKET = 4096
 FOUR_SEGMENTS = 1 << 22
 THREE_SEGMENTS = 1 << 25
 _CHUNK = 1 << 16
-# Bands of MinHashes over shingles: at a Jaccard similarity of 0.8 all miss with (1 - 0.8**4)**20 = 0.00003.
-BANDS, BAND_ROWS = 20, 4
-_MULTIPLIERS = mix(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
 
-# 256-bit SimHashes of sets with a Jaccard similarity of 0.8 differ in 39 bits, with a deviation of 5.7.
-CANDIDATE_BITS = 72
+def _votes(hashes: np.ndarray) -> np.ndarray:
+    """For each of 64 bits, the number of hashes that have it."""
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
 
 
-def _votes(hashes: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
-    """For each of 64 bits, the (weighted) number of hashes that have it."""
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    return bits.sum(0, dtype=np.int64) if weights is None else weights @ bits
-
-
-def _majority(votes: np.ndarray, total: float) -> int:
+def _majority(votes: np.ndarray, total: int) -> int:
     return int(np.packbits(votes * 2 > total, bitorder="little").view(np.int64)[0])
 
 
@@ -64,56 +58,18 @@ def fingerprint(text: str | None, size: int = 4) -> int:
     return _majority(votes, total)
 
 
-def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
-    """The distinct shingle hashes of a text, in order."""
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *shingle_hashes(text, size)]))
-
-
-def set_digest(shingles: np.ndarray) -> list[int]:
-    """128 bits of a set of shingles, each word a sum over its own remix."""
-    return [int(mix(shingles + np.uint64(11 + i)).sum(dtype=np.uint64).view(np.int64)) for i in range(2)]
-
-
-def wide_fingerprint(shingles: np.ndarray, words: int = 4) -> list[int]:
-    """SimHash of 64 * words bits over a set of shingles, each word from its own remix of the hashes."""
-    votes = np.zeros((words, 64), dtype=np.int64)
-    for at in range(0, len(shingles), _CHUNK):
-        for i in range(words):
-            votes[i] += _votes(mix(shingles[at : at + _CHUNK] + np.uint64(i)))
-    return [_majority(v, len(shingles)) for v in votes]
-
-
-def band_keys(shingles: np.ndarray) -> list[int]:
-    """One key per band of MinHashes over a set of shingles; 0 for the empty set."""
-    keys = np.zeros(BANDS, dtype=np.uint64)
-    if len(shingles):
-        least = np.array([(shingles * m).min() for m in _MULTIPLIERS])
-        for column in least.reshape(BANDS, BAND_ROWS).T:
-            keys = mix(keys * np.uint64(0x9FB21C651E98DF25) + column)
-    return keys.view(np.int64).tolist()
-
-
-def word_fingerprints(text: str | None, tables: int = 3) -> list[int]:
-    """SimHashes over the words of a text, each distinct word weighted by the root of its count."""
-    kept, starts, ends = normal_words((text or "").encode("utf-8", "surrogatepass").lower())
-    if not len(starts):
-        return [0] * tables
-    hashes, counts = np.unique(byte_spans(kept, 7).of(starts, ends), return_counts=True)
-    weights = np.sqrt(counts)
-    return [_majority(_votes(mix(hashes + np.uint64(101 + i)), weights), weights.sum()) for i in range(tables)]
-
-
-def fingerprints(docs: DataFrame, make: Callable[[str | None], list[int]], names: list[str], id_col="doc_id", text_col="text") -> DataFrame:
-    """(doc_id, one long column per name), computed from whole texts."""
-    schema = "doc_id long, " + ", ".join(f"{n} long" for n in names)
+def fingerprints(docs: DataFrame, size: int, id_col="doc_id", text_col="text", carry: list[str] | None = None) -> DataFrame:
+    """(doc_id, fp, rest) of whole texts; rest holds the columns to carry, null if there are none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [make(t.as_py()) for t in batch.column(1)]
-            columns = [pa.array([m[i] for m in made], pa.int64()) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *names])
+            made = pa.array([fingerprint(t.as_py(), size) for t in batch.column(1)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), made, batch.column(2)], ["doc_id", "fp", "rest"])
+        give_back()
 
-    chosen = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    rest = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(None).cast("int")
+    chosen = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), rest.alias("rest"))
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType()), chosen.schema["rest"]])
     return chosen.mapInArrow(run, schema)
 
 
@@ -154,16 +110,12 @@ def _bucketed(nodes: DataFrame, columns: list[str], table: str, segments: list[t
     return nodes.select(*columns, _keys(F.col(table), segments, probes).alias("k")).select(*columns, "k.seg", "k.key")
 
 
-def link(nodes: DataFrame, tables: list[str], radius: int, check: tuple[list[str], int] | None = None, hint: tuple[str, int] | None = None, bands: list[str] | None = None, confirm: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def link(nodes: DataFrame, table: str, radius: int) -> DataFrame:
     """(node, component) of distinct nodes linked by their fingerprints, found by multi-index hashing.
 
-    nodes: (node, fingerprint columns), one row per node. A pair is found if its fingerprints in one
-    of the tables differ by radius bits at most; with check, (columns, bits), it is a link only if those
-    columns together differ by at most that many bits. hint, (column, bits), is a necessary
-    condition for that which bucket rows carry along to leave most other pairs out early. The joins
-    compare whole fingerprints as they read the buckets, so only pairs within reach become rows.
-    With bands, which need a check, nodes that are equal in one of these columns are compared by the check too.
-    confirm keeps those of the checked pairs (a, b) that are links.
+    nodes: (node, fingerprint column), one row per node. Two nodes are linked if their fingerprints differ
+    by radius bits at most. The joins compare whole fingerprints as they read the buckets, so
+    only pairs within reach become rows.
 
     First each node is compared with the smallest node of its buckets; then pairs are looked up
     whose nodes these links leave apart, so a group of many near copies does not give all its pairs. A
@@ -172,182 +124,74 @@ def link(nodes: DataFrame, tables: list[str], radius: int, check: tuple[list[str
     """
     segments = _segments(radius, nodes.count())
 
-    def near(t: str, x: str, y: str) -> Column:
-        differ = lambda c: F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}")))
-        close = differ(t) <= radius
-        return close & (differ(hint[0]) <= hint[1]) if hint else close
-
-    def checked(pairs: list[DataFrame]) -> DataFrame:
-        found = pairs[0]
-        for more in pairs[1:]:
-            found = found.union(more)
-        if not check:
-            return found
-        columns, bits = check
-        sides = [nodes.select(F.col("node").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in columns]) for s in "ab"]
-        both = found.distinct().join(sides[0], "a").join(sides[1], "b")
-        differ = sum(F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in columns)
-        near_pairs = both.filter(differ <= bits).select("a", "b")
-        return confirm(near_pairs) if confirm else near_pairs
-
-    stars = []
-    for t in tables:
-        carried = list(dict.fromkeys(["node", t, *([hint[0]] if hint else [])]))
-        own = _bucketed(nodes, carried, t, segments, False)
-        first = own.groupBy("seg", "key").agg(F.min(F.struct(*carried)).alias("y"), F.count("*").alias("n")).filter("n > 1")
-        met = own.join(first, ["seg", "key"]).select(F.struct(*carried).alias("x"), "y")
-        met = met.filter((F.col("x.node") != F.col("y.node")) & near(t, "x", "y"))
-        stars.append(met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
-    if bands:
-        stars.append(_band_stars(nodes, bands, *check))
-    edges = materialize(checked(stars), "stars")
-    marked = nodes.join(components(edges), "node", "left").select(nodes["*"], F.coalesce("component", "node").alias("part"))
-    marked = materialize(marked, "nodes")
-    pairs = []
-    for t in tables:
-        carried = list(dict.fromkeys(["node", "part", t, *([hint[0]] if hint else [])]))
-        own, probes = (_bucketed(marked, carried, t, segments, probes) for probes in (False, True))
-        crowded = own.groupBy("seg", "key").agg(F.count("*").alias("n")).filter(f"n > {HOT_BUCKET}").select("seg", "key")
-        crowded = materialize(crowded, "crowded")
-        if not crowded.isEmpty():
-            met = probes.join(crowded, ["seg", "key"], "left_semi").select(carried).distinct()
-            pairs.append(materialize(_dense(met, t, radius, near, checked), "pairs"))
-            own = own.join(crowded, ["seg", "key"], "left_anti")
-        joined = probes.alias("x").join(
-            own.alias("y"),
-            (F.col("x.seg") == F.col("y.seg"))
-            & (F.col("x.key") == F.col("y.key"))
-            & (F.col("x.node") > F.col("y.node"))
-            & (F.col("x.part") != F.col("y.part"))
-            & near(t, "x", "y"),
-        )
-        pairs.append(materialize(joined.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "pairs"))
-    if bands:
-        pairs.append(materialize(_band_pairs(marked, bands, *check), "pairs"))
-    return components(edges.union(checked(pairs)))
-
-
-def _within(x: str, y: str, columns: list[str], bits: int) -> Column:
-    return sum(F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in columns) <= bits
-
-
-def _banded(nodes: DataFrame, bands: list[str], columns: list[str]) -> DataFrame:
-    return nodes.select(*columns, F.posexplode(F.array(*bands)).alias("seg", "key"))
-
-
-def _band_stars(nodes: DataFrame, bands: list[str], columns: list[str], bits: int) -> DataFrame:
-    """Each node with the smallest node of its bands, if within bits."""
-    carried = ["node", *columns]
-    own = _banded(nodes, bands, carried)
+    def near(x: str, y: str) -> Column:
+        return F.bit_count(F.col(f"{x}.{table}").bitwiseXOR(F.col(f"{y}.{table}"))) <= radius
+
+    carried = ["node", table]
+    own = _bucketed(nodes, carried, table, segments, False)
     first = own.groupBy("seg", "key").agg(F.min(F.struct(*carried)).alias("y"), F.count("*").alias("n")).filter("n > 1")
     met = own.join(first, ["seg", "key"]).select(F.struct(*carried).alias("x"), "y")
-    met = met.filter((F.col("x.node") != F.col("y.node")) & _within("x", "y", columns, bits))
-    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-
-
-def _band_pairs(marked: DataFrame, bands: list[str], columns: list[str], bits: int) -> DataFrame:
-    """Pairs within bits of bands that hold several parts: nodes apart from the smallest node's part, with all others."""
-    own = _banded(marked, bands, ["node", "part", *columns])
-    heads = own.groupBy("seg", "key").agg(F.min(F.struct("node", "part")).alias("y"), F.min("part").alias("p"), F.max("part").alias("q"))
-    mixed = own.join(heads.filter("p <> q").select("seg", "key", F.col("y.part").alias("main")), ["seg", "key"])
-    mixed = materialize(mixed, "bands")
-    joined = mixed.filter("part <> main").alias("x").join(
-        mixed.alias("y"),
+    met = met.filter((F.col("x.node") != F.col("y.node")) & near("x", "y"))
+    edges = materialize(met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "stars")
+    marked = nodes.join(components(edges), "node", "left").select(nodes["*"], F.coalesce("component", "node").alias("part"))
+    marked = materialize(marked, "nodes")
+    pairs = [edges]
+    carried = ["node", "part", table]
+    own, probes = (_bucketed(marked, carried, table, segments, probes) for probes in (False, True))
+    crowded = own.groupBy("seg", "key").agg(F.count("*").alias("n")).filter(f"n > {HOT_BUCKET}").select("seg", "key")
+    crowded = materialize(crowded, "crowded")
+    if not crowded.isEmpty():
+        met = probes.join(crowded, ["seg", "key"], "left_semi").select(carried).distinct()
+        pairs.append(materialize(_dense(met, table, radius, near), "pairs"))
+        own = own.join(crowded, ["seg", "key"], "left_anti")
+    joined = probes.alias("x").join(
+        own.alias("y"),
         (F.col("x.seg") == F.col("y.seg"))
         & (F.col("x.key") == F.col("y.key"))
+        & (F.col("x.node") > F.col("y.node"))
         & (F.col("x.part") != F.col("y.part"))
-        & ((F.col("y.part") == F.col("y.main")) | (F.col("x.node") > F.col("y.node")))
-        & _within("x", "y", columns, bits),
+        & near("x", "y"),
     )
-    return joined.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    pairs.append(materialize(joined.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")), "pairs"))
+    return components(reduce(DataFrame.union, pairs))
 
 
-def _dense(nodes: DataFrame, table: str, radius: int, near: Callable[[str, str, str], Column], checked: Callable[[list[DataFrame]], DataFrame]) -> DataFrame:
+def _dense(nodes: DataFrame, table: str, radius: int, near: Callable[[str, str], Column]) -> DataFrame:
     """Pairs that connect the nodes of crowded buckets, by keys of the balls of half the radius.
 
     Two fingerprints share such a key if they are within the radius. Each node is paired with the
     smallest of each of its keys that holds a node of another part. Nodes of that one's part, and
-    those whose link to it the whole check confirms, are settled among themselves; all others are
-    compared with every node of the key.
+    those within its radius, are settled among themselves; all others are compared with every node of the key.
     """
     masks = F.array(*[F.lit(m - (1 << 64) if m >> 63 else m).cast("long") for m in _ball(64, -(-radius // 2))])
     keyed = nodes.select("*", F.explode(F.transform(masks, lambda m: F.col(table).bitwiseXOR(m))).alias("key"))
     first = keyed.groupBy("key").agg(F.min(F.struct(*nodes.columns)).alias("y"), F.min("part").alias("p"), F.max("part").alias("q"))
     met = keyed.join(first.filter("p <> q").select("key", "y"), "key").filter(F.col("node") != F.col("y.node"))
     met = materialize(met.select("key", F.struct(*nodes.columns).alias("x"), "y"), "met")
-    direct = met.filter((F.col("x.part") != F.col("y.part")) & near(table, "x", "y"))
-    direct = direct.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    direct = materialize(checked([direct]), "direct")
-    joined = direct.select(F.col("a").alias("x_node"), F.col("b").alias("y_node")).distinct()
     apart = met.filter(F.col("x.part") != F.col("y.part"))
-    apart = apart.join(joined, (F.col("x.node") == F.col("x_node")) & (F.col("y.node") == F.col("y_node")), "left_anti").select("key", "x")
-    others = apart.alias("l").join(met.select("key", F.col("x").alias("y")).alias("r"), "key")
-    others = others.filter((F.col("x.part") != F.col("y.part")) & near(table, "x", "y"))
+    direct = apart.filter(near("x", "y")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    others = apart.filter(~near("x", "y")).select("key", "x").alias("l").join(met.select("key", F.col("x").alias("y")).alias("r"), "key")
+    others = others.filter((F.col("x.part") != F.col("y.part")) & near("x", "y"))
     others = others.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"))
     return direct.union(others).distinct()
 
 
-def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, id_col="doc_id", text_col="text") -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row.
+def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, id_col="doc_id", text_col="text", carry: list[str] | None = None) -> DataFrame:
+    """(doc_id, fingerprint, component_id[, rest]) for every row; rest holds the columns to carry.
 
     Fingerprints link at radius or fewer differing bits; component_id is the smallest doc_id
     reachable. Texts without words (null, empty) have fingerprint zero and link like any other.
-    A row without doc_id gets its fingerprint and, as it cannot be named, no component.
+    A row without doc_id gets its fingerprint and, as it cannot be named, no component. Rows that share
+    an id are one document, whatever their texts, so they share a component too.
     """
-    made = materialize(fingerprints(docs, lambda t: [fingerprint(t, size)], ["fp"], id_col, text_col), "fingerprints")
-    nodes = materialize(made.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
-    linked = link(nodes, ["fp"], radius)
-    named = nodes.join(linked, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return made.join(named, "fp", "left").select(
+    made = materialize(fingerprints(docs, size, id_col, text_col, carry), "fingerprints")
+    named = made.filter("doc_id is not null")
+    nodes = materialize(named.groupBy("fp").agg(F.min("doc_id").alias("node")), "nodes")
+    linked = link(nodes, "fp", radius)
+    groups = nodes.join(linked, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    return made.join(groups, "fp", "left").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
+        *(["rest"] if carry else []),
     )
-
-
-def _shingle_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, shingles): the set of five-word shingle hashes of each text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(len(batch)):  # one text a batch, as sets are as large as texts
-                made = pa.array([shingle_set(batch.column(1)[i].as_py()).view(np.int64)], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[i : i + 1], made], ["node", "shingles"])
-
-    chosen = docs.select(F.col(f"`{id_col}`").cast("long").alias("node"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return chosen.mapInArrow(run, "node long, shingles array<long>")
-
-
-def similar_groups(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """(doc_id, component_id): groups of texts linked by a Jaccard similarity of 0.8 of their five-word shingles.
-
-    Candidates come from three SimHashes over single words, which a changed word moves far less than
-    those over shingles, within five bits, and from bands of MinHashes over the shingles, which find copies
-    with passages added or cut. Of these, pairs whose 256-bit SimHashes over the set of shingles differ in
-    at most CANDIDATE_BITS bits are confirmed by the sets themselves. Texts without words (null, empty)
-    count as copies of each other. Rows without doc_id are left out.
-    """
-    digest, wide, narrow, bands = ["d0", "d1"], [f"s{i}" for i in range(4)], [f"w{i}" for i in range(3)], [f"m{i}" for i in range(BANDS)]
-
-    def make(text: str | None) -> list[int]:
-        shingles = shingle_set(text)
-        return [*set_digest(shingles), *wide_fingerprint(shingles), *word_fingerprints(text), *band_keys(shingles)]
-
-    made = materialize(fingerprints(docs, make, digest + wide + narrow + bands, id_col, text_col), "fingerprints")
-    least = F.min(F.struct("doc_id", *wide, *narrow, *bands)).alias("n")
-    nodes = made.filter("doc_id is not null").groupBy(digest).agg(least).select(*digest, F.col("n.doc_id").alias("node"), "n.*").drop("doc_id")
-    nodes = materialize(nodes, "nodes")
-
-    def confirm(pairs: DataFrame) -> DataFrame:
-        pairs = materialize(pairs, "candidates")
-        ids = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = docs.join(ids, F.col(f"`{id_col}`").cast("long") == ids["node"], "left_semi")
-        sets = materialize(_shingle_sets(wanted, id_col, text_col), "sets")
-        sides = [sets.select(F.col("node").alias(s), F.col("shingles").alias(f"{s}_set")) for s in "ab"]
-        shared = F.size(F.array_intersect("a_set", "b_set"))
-        # J = shared / (a + b - shared) >= 4 / 5
-        return pairs.join(sides[0], "a").join(sides[1], "b").filter(9 * shared >= 4 * (F.size("a_set") + F.size("b_set"))).select("a", "b")
-
-    linked = link(nodes, narrow, 5, check=(wide, CANDIDATE_BITS), hint=(wide[0], 24), bands=bands, confirm=confirm)
-    named = nodes.join(linked, "node", "left").select(*digest, F.coalesce("component", "node").alias("component_id"))
-    return made.join(named, digest).select("doc_id", "component_id")
