@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwell.llm import byte_bpe, decontaminate, language_id, simhash, suffix_dedup
-from tickwell.llm.spark import ship_package
+from tickwell.llm.spark import ship_package, written
 from tickwell.session import configure, scratch_dir
 
 # A text whose best language has less than this pooled probability is rejected.
@@ -22,11 +22,19 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each group of near-duplicates, one row of it; rows without doc_id stay."""
-    groups = simhash.similar_groups(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    rest = [c for c in docs.columns if c != "doc_id"]
-    named = docs.join(groups, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("row"))
-    return named.select("doc_id", "row.*").select(docs.columns).union(docs.filter("doc_id is null"))
+    """Keeps the smallest doc_id of each group linked by SimHash, one row of each of its fingerprints.
+
+    Of rows without doc_id one of each fingerprint stays. Of equal rows any one is kept, as they are equal, and of
+    rows of one id and one fingerprint that differ, the first one read.
+    """
+    row = "_row"
+    while row in docs.columns:
+        row = f"_{row}"
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = simhash.near_duplicates(numbered, carry=[row])
+    first = found.filter("component_id is null or doc_id = component_id").groupBy("doc_id", "fingerprint")
+    first = first.agg(F.min(F.col("rest").getField(row)).alias(row)).select(row)
+    return numbered.join(first, row, "left_semi").select(docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +65,7 @@ STAGES = [
     ("decontaminate", drop_contaminated),
     ("byte_bpe", encode),
 ]
-# Trained networks, suffix arrays and fingerprints over arccos bounds are not SQL: see tests/llm.
+# Trained networks, suffix arrays and XXH64 fingerprints are not SQL: see tests/llm.
 ORACLE_SQL = None
 
 
