@@ -182,7 +182,7 @@ def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, id_col="doc
     Fingerprints link at radius or fewer differing bits; component_id is the smallest doc_id
     reachable. Texts without words (null, empty) have fingerprint zero and link like any other.
     A row without doc_id gets its fingerprint and, as it cannot be named, no component. Rows that share
-    an id are one document, whatever their texts, so they share a component too.
+    an id link by their fingerprints like any others, and where one id is the smallest of two fingerprints these link too.
     """
     made = materialize(fingerprints(docs, size, id_col, text_col, carry), "fingerprints")
     named = made.filter("doc_id is not null")
