@@ -13,10 +13,13 @@ from collections.abc import Iterator
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickwell.llm.text import HELD
+
 # White space as the pattern's \s means it; fixed values (Unicode White_Space).
 _WHITE = r"\x09-\x0D\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 # No match of the pattern goes beyond a run of white space and the run of other characters after it.
@@ -215,6 +218,7 @@ class Coder:
 
 
 _coders: dict[tuple[int, str], Coder] = {}
+HELD.append(_coders.clear)
 
 
 def coder(vocabulary: bytes, pattern: str) -> Coder:
@@ -225,16 +229,17 @@ def coder(vocabulary: bytes, pattern: str) -> Coder:
     return _coders[key]
 
 
-def _parts(texts: list[str]) -> Iterator[slice]:
-    """Slices of some megabytes of text, at least one text each."""
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of some megabytes of text, the second column, at least one text each."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
     start, size = 0, 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > _TEXT_BYTES:
-            yield slice(start, i)
+    for i, more in enumerate(sizes):
+        if size and size + more > _TEXT_BYTES:
+            yield batch.slice(start, i - start)
             start, size = i, 0
-        size += len(text)
-    if texts:
-        yield slice(start, len(texts))
+        size += more
+    if sizes:
+        yield batch.slice(start)
 
 
 def code(docs: DataFrame, path: str, pattern: str, id_col="doc_id", text_col="text", with_ids: bool = False) -> DataFrame:
@@ -250,12 +255,11 @@ def code(docs: DataFrame, path: str, pattern: str, id_col="doc_id", text_col="te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(vocabulary, pattern)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for part in _parts(texts):
-                coded = own.encode(texts[part])
+            for part in _parts(batch):
+                coded = own.encode([t or "" for t in part.column(1).to_pylist()])
                 decoded = own.decode([ids for ids, _ in coded])
                 columns = [
-                    batch.column(0).slice(part.start, part.stop - part.start),
+                    part.column(0),
                     pa.array([len(ids) for ids, _ in coded], pa.int64()),
                     pa.array([hashlib.sha256(shown).hexdigest() for _, shown in coded]),
                     pa.array([hashlib.sha256(b).hexdigest() for b in decoded]),

@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwell.llm.text import byte_spans, normal_words
+from tickwell.llm.text import byte_spans, give_back, normal_words, start_afresh
 
 # The network reads one sequence per run of non-space bytes; longer runs continue in further sequences.
 PIECE = 32
@@ -231,17 +232,20 @@ def train(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", pe
 
 def _labelled(batches: Iterator[pa.RecordBatch], net: Network | None, column: int) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Batches of some megabytes of text with the (label, score) of each row."""
+    start_afresh()
     pooled = Pooled(net) if net else lambda texts: [("und", 0.0)] * len(texts)
     for batch in batches:
-        texts = batch.column(column).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         at = 0
-        while at < len(texts):
+        while at < len(sizes):
             end, size = at, 0
-            while end < len(texts) and (size == 0 or size < _TEXT_BYTES):
-                size += len(texts[end] or "") + 1
+            while end < len(sizes) and (size == 0 or size < _TEXT_BYTES):
+                size += sizes[end] + 1
                 end += 1
-            yield batch.slice(at, end - at), pooled(texts[at:end])
+            part = batch.slice(at, end - at)
+            yield part, pooled(part.column(column).to_pylist())
             at = end
+    give_back()
 
 
 def accepted(docs: DataFrame, net: Network | None, least: float, text_col="text") -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import ctypes
+import gc
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -98,6 +100,18 @@ def normal_words(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return kept, starts, ends
 
 
+# What forgets the things that operators keep in a worker from task to task.
+HELD: list[Callable[[], None]] = []
+
+
+def start_afresh() -> None:
+    """Forget what other operators have left in this worker, and return its memory."""
+    for forget in HELD:
+        forget()
+    gc.collect()
+    give_back()
+
+
 def give_back() -> None:
     """Let a Python worker, which outlives its tasks, return freed memory to the system."""
     pa.default_memory_pool().release_unused()
