@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 import tiktoken
 
 from tickwell.llm import byte_bpe, chat_format, decontaminate, hmm_lm, language_id, license_scan
@@ -263,3 +264,24 @@ def test_native_plans_have_no_python(spark, docs, awkward):
     bench = spark.createDataFrame([(1, "a b c d e f g h i j k l")], "item_id long, text string")
     for df in (license_scan.scan(docs(awkward)), decontaminate.contaminated(docs(awkward), bench)):
         assert not any(n in df._jdf.queryExecution().toString() for n in ("Python", "Pandas", "InArrow"))
+
+
+def test_licence_files_with_titles_and_at_any_width(spark, docs):
+    import textwrap
+
+    rows, expected = [], set()
+    for i, (name, category, text) in enumerate(k for k in license_scan.KNOWN if len(k[2]) > 400):
+        for j, width in enumerate((40, 60, 72, 80, 1000)):
+            body = textwrap.fill(" ".join(text.split()), width)
+            for k, head in enumerate(("", f"{name} License\n\n", f"The {name} Licence ({name})\n\nCopyright (c) 2020 Some Body\n\n", "Copyright 2019 A. Uthor\nAll rights reserved.\n\n")):
+                rows.append((1000 * i + 10 * j + k, head + body))
+                expected.add((rows[-1][0], name))
+    found = license_scan.scan(docs(rows)).filter("scope = 'document'").collect()
+    assert expected and {(r.doc_id, r.license) for r in found} == expected
+
+
+def test_known_texts_of_your_own(spark, docs):
+    text = F.lit("Do as you wish with this.")
+    known = spark.range(1).select(F.sha2(license_scan.canonical(text), 256).alias("digest"), F.lit("own").alias("license"), F.lit("free").alias("category"))
+    found = license_scan.scan(docs([(1, "do AS you -- wish\nwith this"), (2, "x\nDo as you wish with this"), (3, "else")]), known)
+    assert {(r.doc_id, r.scope) for r in found.collect()} == {(1, "document"), (2, "line")}

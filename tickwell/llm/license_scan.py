@@ -56,14 +56,23 @@ SPELLINGS = [
     ("judgement", "judgment"), ("fulfilment", "fulfillment"), ("acknowledgement", "acknowledgment"),
     ("copyright owner", "copyright holder"), ("per cent", "percent"), ("https", "http"),
 ]
-COPYRIGHT_LINE = r"(?im)^[^\p{L}\p{N}\n(]*(?:copyright|copr\.|\(c\)|©|all rights reserved)[^\n]*$"
+# A line that names a holder: after the word come a sign, a year, by, the or a placeholder, or nothing. What a wrapped
+# sentence goes on with ("copyright notice and this ...", "copyright holders be liable ...") stays.
+COPYRIGHT_LINE = (
+    r"(?im)^[^\p{L}\p{N}\n(]*(?:copyright[ \t:]*(?:\(c\)|©|[0-9<\[{]|by |the |$)|copr\.|\(c\)|©|all rights reserved)[^\n]*$"
+)
+# A title above a text, as licence files have it.
+TITLE = (
+    r"(?i)\A[^\p{L}\p{N}\n]*(?:the )?(?:mit|expat|isc|zlib|x11|bsd|new bsd|simplified bsd|[0-9]-clause bsd|apache|boost software)"
+    r"(?: [0-9][a-z0-9.\-]*)? licen[sc]e(?: \([a-z0-9 .\-]+\))?[^\p{L}\p{N}\n]*\n"
+)
 # Every known text has one of these words in all its spellings, so only texts with one are canonicalised.
 _SIGNS = r"(?i)licen[sc]e|permission"
 
 
 def canonical(text: Column) -> Column:
-    """Lower case without copyright lines, punctuation as single spaces, one spelling."""
-    bare = F.regexp_replace(text, COPYRIGHT_LINE, " ")
+    """Lower case without a title and copyright lines, punctuation as single spaces, one spelling."""
+    bare = F.regexp_replace(F.regexp_replace(text, TITLE, " "), COPYRIGHT_LINE, " ")
     plain = F.trim(F.regexp_replace(F.lower(bare), r"[^\p{L}\p{N}]+", " "))
     return reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, plain)
 
@@ -88,10 +97,11 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col="doc_id", text_
         F.array(F.struct(F.lit("document").alias("scope"), F.col("text").alias("unit"))),
         F.transform(F.split("text", "\n"), lambda line: F.struct(F.lit("line").alias("scope"), line.alias("unit"))),
     )
-    signed = given.filter(F.col("text").rlike(_SIGNS))
+    signs = F.lit(True) if known is not None else F.col("unit").rlike(_SIGNS)  # a table of your own may hold any texts
+    signed = given if known is not None else given.filter(F.col("text").rlike(_SIGNS))
     digests = (
         signed.select("doc_id", F.inline(units))
-        .filter(F.col("unit").rlike(_SIGNS))
+        .filter(signs)
         .select("doc_id", "scope", F.sha2(canonical(F.col("unit")), 256).alias("digest"))
     )
     table = F.broadcast(known_licenses(docs.sparkSession)) if known is None else known.select("digest", "license", "category").distinct()
@@ -101,7 +111,8 @@ def scan(docs: DataFrame, known: DataFrame | None = None, id_col="doc_id", text_
 def scan_sql() -> str:
     """The same rows in DuckDB's SQL."""
     text = lambda s: "'" + s.replace("'", "''") + "'"
-    plain = r"trim(regexp_replace(lower(regexp_replace(unit, '{line}', ' ', 'g')), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))".format(line=COPYRIGHT_LINE)
+    bare = f"regexp_replace(regexp_replace(unit, '{TITLE}', ' '), '{COPYRIGHT_LINE}', ' ', 'g')"
+    plain = rf"trim(regexp_replace(lower({bare}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
     spelled = reduce(lambda c, pair: f"replace({c}, {text(pair[0])}, {text(pair[1])})", SPELLINGS, plain)
     known = ", ".join(f"({', '.join(map(text, row))})" for row in KNOWN)
     return f"""
