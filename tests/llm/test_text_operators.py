@@ -108,6 +108,50 @@ def test_hidden_markov_scores(docs, awkward):
     assert hmm_lm.score(docs([])).collect() == []
 
 
+def test_scores_against_plain_recursions_with_emissions_per_word(docs, awkward, monkeypatch):
+    monkeypatch.setattr(hmm_lm, "BLOCK_BYTES", 1 << 10)  # several blocks
+    rng = random.Random(8)
+    rows = [(i + 100, " ".join(rng.choices("abcdefghij"[i % 2 * 5 :][:5], k=rng.randint(0, 90)))) for i in range(60)] + awkward
+    given = docs(rows)
+    training = given.filter(~hmm_lm.held_out(F.col("doc_id")))
+    tokens, distinct = hmm_lm._totals(training)
+    model = hmm_lm.train(training, tokens, 3)
+    read = [hmm_lm.Tokens([(t or "").encode()]) for _, t in rows]
+    emitted, c = {}, Counter()
+    for (doc_id, _), found in zip(rows, read):
+        if doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2:
+            continue
+        emit = model.emit[:, found.classes]
+        a = [model.start * emit[:, 0]]
+        for t in range(1, len(found.classes)):
+            a.append((a[-1] / a[-1].sum()) @ model.move * emit[:, t])
+        b = np.ones(len(model.start))
+        for t in reversed(range(len(found.classes))):
+            share = a[t] * b / (a[t] * b).sum()
+            word = int(found.hashes[t])
+            emitted[word] = emitted.get(word, 0) + share
+            c[word] += 1
+            b = model.move @ (emit[:, t] * b)
+            b /= b.sum()
+    assert (sum(c.values()), len(c)) == (tokens.sum(), distinct.sum())
+    rare = sum(emitted[w] for w in c if c[w] == 1) + 1e-3
+    rare /= rare.sum()
+    whole = sum(emitted.values()) + (len(c) + 1) * rare
+    chance = {w: (g + rare) / whole for w, g in emitted.items()}
+    assert np.allclose(sum(chance.values()) + rare / whole, 1)
+    expected = []
+    for (doc_id, _), found in zip(rows, read):
+        state, log = model.start, 0.0
+        for t, word in enumerate(found.hashes):
+            state = (state @ model.move if t else state) * chance.get(int(word), rare / whole)
+            log += np.log10(state.sum())
+            state = state / state.sum()
+        expected.append((doc_id or -1, len(found.hashes), log))
+    made = sorted((r.doc_id or -1, r.n_tokens, r.score) for r in hmm_lm.score(given).collect())
+    for row, plain in zip(made, sorted(expected), strict=True):
+        assert row[:2] == plain[:2] and row[2] == pytest.approx(plain[2], rel=1e-5)
+
+
 def test_forward_and_baum_welch_against_plain_recursions():
     rng = np.random.default_rng(0)
     k, c = 3, 5

@@ -6,14 +6,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwell.llm.spark import by_blocks
+from tickwell.llm.spark import by_blocks, written
 from tickwell.llm.text import byte_spans, split_words
 from tickwell.llm.windows import parts
 
-# Latent states, word classes (a hash of the word chooses one; the end has its own) and rounds of training.
+# Latent states and rounds of training. All rounds but the last tie the emissions of words that share a class
+# (a hash of the word chooses one; the end has its own); the last one gives every word emissions of its own.
 STATES = 4
 CLASSES = 4096
 ROUNDS = 4
@@ -136,8 +137,11 @@ class Hmm:
         products, scales = self._products(classes, starts, lengths, starts == bounds[text])
         return self._ahead(products, first, scales)[1]
 
-    def expected(self, classes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Expected counts of starts, moves and emissions over the texts (states x [1 + states + classes])."""
+    def expected(self, classes: np.ndarray, bounds: np.ndarray, shares: np.ndarray | None = None) -> np.ndarray:
+        """Expected counts of starts, moves and emissions over the texts (states x [1 + states + classes]).
+
+        shares (tokens x states), if given, receives each token's state probabilities.
+        """
         k = len(self.start)
         counts = np.zeros((k, 1 + k + self.emit.shape[1]))
         starts, lengths, text, first = self._chunks(bounds)
@@ -163,6 +167,8 @@ class Hmm:
                 n = live[t]
                 share = alpha[t] * beta[:n]
                 share /= share.sum(1, keepdims=True)
+                if shares is not None:
+                    shares[begin[:n] + t] = share
                 for s in range(k):
                     counts[s, 1 + k :] += np.bincount(seen[t], share[:, s], self.emit.shape[1])
                 ahead = beta[:n] * self.by_class[seen[t]]
@@ -248,71 +254,101 @@ def train(training: DataFrame, tokens: np.ndarray, rounds: int = ROUNDS) -> Hmm:
     return model
 
 
-def score(docs: DataFrame, id_col="doc_id", text_col="text", rounds: int = ROUNDS) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row's whole text.
+def _summed(block: np.ndarray, h: np.ndarray, n: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Counts and state shares added up per block and word."""
+    order = np.lexsort((h, block))
+    block, h = block[order], h[order]
+    starts = np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (h[1:] != h[:-1])))
+    return block[starts], h[starts], np.add.reduceat(n[order], starts), np.add.reduceat(shares[order], starts, axis=0)
 
-    Tokens are the words, A-Z lower-cased, and one end; null is empty. c, N and V count tokens of
-    the rows that are not held out. base_score sums log10((c + 1) / (N + V + 1)). The model draws a
-    latent state per token, a word class from the state, and the word from its class with
-    (c + 1) / (class tokens + class words + 1), an unseen word taking the last share; score is the log10 of
-    the text's probability, summed over all state paths.
 
-    Counts return to the texts by blocks: each block sends its distinct words once, gets their
-    counts over the corpus back, and meets them in one task. Words are told apart by 64-bit hashes.
-    """
-    doc_id, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string")
-    training = docs.filter(~held_out(doc_id)).select(text.alias("text"))
-    tokens, distinct = _totals(training)
-    model = train(training, tokens, rounds)
-    total, types = int(tokens.sum()), int(distinct.sum())
-    shares = np.log10(tokens + distinct + 1)
-    base = float(np.log10(total + types + 1))
-    blocked = by_blocks(docs, id_col, text_col, BLOCK_BYTES)
-    marked = blocked.withColumn("learn", ~held_out(F.col("doc_id")))
+def _block_words(blocked: DataFrame, model: Hmm) -> DataFrame:
+    """(block, h, n, g0, g1, ...): per block and distinct word its training tokens and how many of them each state is expected to emit."""
+    states = [f"g{s}" for s in range(STATES)]
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
-        def counted() -> pa.RecordBatch:
-            block, h, n = (np.concatenate(c) for c in zip(*held))
-            order = np.lexsort((h, block))
-            block, h, n = block[order], h[order], n[order]
-            starts = np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (h[1:] != h[:-1])))
-            columns = [block[starts], h[starts].view(np.int64), np.add.reduceat(n, starts)]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["block", "h", "n"])
+        def made() -> pa.RecordBatch:
+            block, h, n, shares = _summed(*(np.concatenate(c) for c in zip(*held)))
+            columns = [pa.array(block, pa.int64()), pa.array(h.view(np.int64)), pa.array(n, pa.int64())]
+            columns += [pa.array(shares[:, s].astype(np.float32)) for s in range(STATES)]
+            return pa.RecordBatch.from_arrays(columns, ["block", "h", "n", *states])
 
         for batch in batches:
-            texts, blocks = _encoded(batch, 2), batch.column(0).to_numpy()
-            learn = batch.column(3).to_numpy(zero_copy_only=False).astype(np.int64)
+            texts, blocks = _encoded(batch, 1), batch.column(0).to_numpy()
+            learn = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
             for part in parts(texts, _PART_BYTES):
                 found = Tokens(texts[part])
-                held.append((np.repeat(blocks[part], found.counts), found.hashes, np.repeat(learn[part], found.counts)))
-                size += len(found.hashes)
-                if size > 1 << 22:
-                    yield counted()
+                counted = np.repeat(learn[part], found.counts)
+                shares = np.zeros((len(found.hashes), STATES))
+                model.expected(found.classes, found.bounds, shares)
+                held.append(_summed(np.repeat(blocks[part], found.counts), found.hashes, counted, shares * counted[:, None]))
+                size += len(held[-1][0])
+                if size > 1 << 20:
+                    yield made()
                     held, size = [], 0
         if held:
-            yield counted()
+            yield made()
+
+    schema = "block long, h long, n long, " + ", ".join(f"{g} float" for g in states)
+    return blocked.select("block", "text", "learn").mapInArrow(run, schema)
 
-    given = marked.select("block", "doc_id", "text", "learn").mapInArrow(words, "block long, h long, n long")
-    counts = given.withColumn("c", F.sum("n").over(Window.partitionBy("h"))).select("block", "h", "c")
+
+def score(docs: DataFrame, id_col="doc_id", text_col="text", rounds: int = ROUNDS) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row's whole text.
+
+    Tokens are the words, A-Z lower-cased, and one end; null is empty. c, N and V count tokens of
+    the rows that are not held out. base_score sums log10((c + 1) / (N + V + 1)). score is the log10 of the
+    text's probability, summed over all state paths, where state s emits a word with
+    (g + r) / (G + (V + 1) r): g is how many of the word's c tokens the state is expected to emit, G their sum
+    over all words, and r the state's share of the tokens of words seen once, which stand for unseen words (of
+    which one counts as a word, with g = 0). With a single state that is the base.
+
+    All rounds of training but the last tie words of a class, so that the model is small enough to send around. The
+    last gathers g for every word of the training texts: a table of a row per word that grows with the vocabulary
+    and never passes the driver. It returns to the texts by blocks: each block sends its distinct words once, gets
+    their rows back, and meets them in one task. Words are told apart by 64-bit hashes. Repeated rows and ids are
+    scored each by its own text; a row without id is not held out; an empty table gives no rows.
+    """
+    doc_id, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`").cast("string")
+    training = docs.filter(~held_out(doc_id)).select(text.alias("text"))
+    tokens, distinct = _totals(training)
+    model = train(training, tokens, rounds - 1)
+    total, types = int(tokens.sum()), int(distinct.sum())
+    base = float(np.log10(total + types + 1))
+    blocked = by_blocks(docs, id_col, text_col, BLOCK_BYTES)
+    states = [f"g{s}" for s in range(STATES)]
+    given = written(_block_words(blocked.withColumn("learn", ~held_out(F.col("doc_id"))), model), "hmm-blocks")
+    summed = given.filter("n > 0").groupBy("h").agg(F.sum("n").alias("c"), *[F.sum(g).cast("float").alias(g) for g in states])
+    words = written(summed, "hmm-words")
+    once = [F.coalesce(F.sum(F.when(F.col("c") == 1, F.col(g))), F.lit(0.0)) for g in states]
+    sums = words.agg(*[F.coalesce(F.sum(g), F.lit(0.0)) for g in states], *once).first()
+    whole, rare = np.array(sums[:STATES]), np.array(sums[STATES:]) + 1e-3
+    rare /= rare.sum()
+    # Emissions relative to the base: the base's part of a text's probability is summed apart.
+    factor = (total + types + 1) / (whole + (types + 1) * rare)
+    counts = given.select("block", "h").join(words, "h")
 
     def rate(left: pa.Table, right: pa.Table) -> pa.Table:
-        h, c = right["h"].to_numpy().view(np.uint64), right["c"].to_numpy()
+        h = right["h"].to_numpy().view(np.uint64)
         order = np.argsort(h)
-        h, c = h[order], c[order]
+        h = np.append(h[order], np.uint64(0))  # the last row is any unseen word
+        c = np.append(right["c"].to_numpy()[order], 0)
+        g = np.array([np.append(right[name].to_numpy()[order], 0.0) for name in states], dtype=float)
+        own = Hmm(model.start, model.move, (g + rare[:, None]) * factor[:, None] / (c + 1.0))
+        logs = np.log10(c + 1.0) - base
         made: list[list[np.ndarray]] = [[], [], [], []]
         texts = [(t or "").encode() for t in left["text"].to_pylist()]
         for part in parts(texts, _PART_BYTES):
             found = Tokens(texts[part])
-            own = c[np.searchsorted(h, found.hashes)]
-            logs = np.log10(own + 1.0)
+            row = np.searchsorted(h[:-1], found.hashes)
+            row = np.where(h[row] == found.hashes, row, len(h) - 1)
             at = found.bounds[:-1]
-            known = np.add.reduceat((own > 0).astype(np.int64), at)
-            plain = np.add.reduceat(logs, at) - found.counts * base
-            within = np.add.reduceat(logs - shares[found.classes], at)
-            likely = model.log_likelihood(found.classes, found.bounds) / np.log(10) + within
+            known = np.add.reduceat((c[row] > 0).astype(np.int64), at)
+            plain = np.add.reduceat(logs[row], at)
+            likely = plain + own.log_likelihood(row, found.bounds) / np.log(10)
             for column, values in zip(made, (found.counts, known, plain, likely)):
                 column.append(values)
         n_tokens, n_known, plain, likely = (np.concatenate(m) if m else np.zeros(0) for m in made)
@@ -328,7 +364,8 @@ def score(docs: DataFrame, id_col="doc_id", text_col="text", rounds: int = ROUND
         )
 
     schema = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    rated = marked.select("block", "doc_id", "text", "learn").groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(rate, schema)
+    texts = blocked.select("block", "doc_id", "text")
+    rated = texts.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(rate, schema)
     return rated.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
