@@ -127,7 +127,8 @@ def test_scores_against_plain_recursions_with_emissions_per_word(docs, awkward,
             a.append((a[-1] / a[-1].sum()) @ model.move * emit[:, t])
         b = np.ones(len(model.start))
         for t in reversed(range(len(found.classes))):
-            share = a[t] * b / (a[t] * b).sum()
+            share = np.rint(a[t] * b / (a[t] * b).sum() * 1024) / 1024
+            share[-1] = 1 - share[:-1].sum()
             word = int(found.hashes[t])
             emitted[word] = emitted.get(word, 0) + share
             c[word] += 1

@@ -19,6 +19,7 @@ STATES = 4
 CLASSES = 4096
 ROUNDS = 4
 BLOCK_BYTES = 24 << 20
+_PARTS = 1 << 10  # a token's state shares are whole parts of it: their sums are exact in any order, and short
 _PART_BYTES = 2 << 20
 _CHUNK = 64  # tokens whose transition products are taken side by side
 _ROWS = 8192  # chunks worked on at a time
@@ -263,8 +264,9 @@ def _summed(block: np.ndarray, h: np.ndarray, n: np.ndarray, shares: np.ndarray)
 
 
 def _block_words(blocked: DataFrame, model: Hmm) -> DataFrame:
-    """(block, h, n, g0, g1, ...): per block and distinct word its training tokens and how many of them each state is expected to emit."""
-    states = [f"g{s}" for s in range(STATES)]
+    """(block, h, n, g0, g1, ...): per block and distinct word its training tokens and how many of them, in _PARTS of a
+    token, each state but the last is expected to emit."""
+    states = [f"g{s}" for s in range(STATES - 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -272,9 +274,8 @@ def _block_words(blocked: DataFrame, model: Hmm) -> DataFrame:
 
         def made() -> pa.RecordBatch:
             block, h, n, shares = _summed(*(np.concatenate(c) for c in zip(*held)))
-            columns = [pa.array(block, pa.int64()), pa.array(h.view(np.int64)), pa.array(n, pa.int64())]
-            columns += [pa.array(shares[:, s].astype(np.float32)) for s in range(STATES)]
-            return pa.RecordBatch.from_arrays(columns, ["block", "h", "n", *states])
+            columns = [block, h.view(np.int64), n, *shares.T]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["block", "h", "n", *states])
 
         for batch in batches:
             texts, blocks = _encoded(batch, 1), batch.column(0).to_numpy()
@@ -284,7 +285,8 @@ def _block_words(blocked: DataFrame, model: Hmm) -> DataFrame:
                 counted = np.repeat(learn[part], found.counts)
                 shares = np.zeros((len(found.hashes), STATES))
                 model.expected(found.classes, found.bounds, shares)
-                held.append(_summed(np.repeat(blocks[part], found.counts), found.hashes, counted, shares * counted[:, None]))
+                whole = np.rint(shares[:, :-1] * _PARTS).astype(np.int64) * counted[:, None]
+                held.append(_summed(np.repeat(blocks[part], found.counts), found.hashes, counted, whole))
                 size += len(held[-1][0])
                 if size > 1 << 20:
                     yield made()
@@ -292,7 +294,7 @@ def _block_words(blocked: DataFrame, model: Hmm) -> DataFrame:
         if held:
             yield made()
 
-    schema = "block long, h long, n long, " + ", ".join(f"{g} float" for g in states)
+    schema = "block long, h long, n long, " + ", ".join(f"{g} long" for g in states)
     return blocked.select("block", "text", "learn").mapInArrow(run, schema)
 
 
@@ -319,13 +321,22 @@ def score(docs: DataFrame, id_col="doc_id", text_col="text", rounds: int = ROUND
     total, types = int(tokens.sum()), int(distinct.sum())
     base = float(np.log10(total + types + 1))
     blocked = by_blocks(docs, id_col, text_col, BLOCK_BYTES)
-    states = [f"g{s}" for s in range(STATES)]
+    states = [f"g{s}" for s in range(STATES - 1)]
     given = written(_block_words(blocked.withColumn("learn", ~held_out(F.col("doc_id"))), model), "hmm-blocks")
-    summed = given.filter("n > 0").groupBy("h").agg(F.sum("n").alias("c"), *[F.sum(g).cast("float").alias(g) for g in states])
+    summed = given.filter("n > 0").groupBy("h").agg(F.sum("n").alias("c"), *[F.sum(g).alias(g) for g in states])
     words = written(summed, "hmm-words")
-    once = [F.coalesce(F.sum(F.when(F.col("c") == 1, F.col(g))), F.lit(0.0)) for g in states]
-    sums = words.agg(*[F.coalesce(F.sum(g), F.lit(0.0)) for g in states], *once).first()
-    whole, rare = np.array(sums[:STATES]), np.array(sums[STATES:]) + 1e-3
+
+    def spread(c: np.ndarray, *parts: np.ndarray) -> np.ndarray:
+        """Expected tokens (states x words); the last state has what the others leave."""
+        g = np.array(parts, dtype=float).reshape(STATES - 1, -1) / _PARTS
+        return np.maximum(np.vstack([g, c - g.sum(0)]), 0)
+
+    def added(*columns: Column) -> list[Column]:
+        return [F.coalesce(F.sum(c.cast("double")), F.lit(0.0)) for c in columns]
+
+    seen = [F.col(c) for c in ("c", *states)]
+    sums = words.agg(*added(*seen), *added(*[F.when(F.col("c") == 1, c) for c in seen])).first()
+    whole, rare = spread(*sums[:STATES])[:, 0], spread(*sums[STATES:])[:, 0] + 1e-3
     rare /= rare.sum()
     # Emissions relative to the base: the base's part of a text's probability is summed apart.
     factor = (total + types + 1) / (whole + (types + 1) * rare)
@@ -336,7 +347,7 @@ def score(docs: DataFrame, id_col="doc_id", text_col="text", rounds: int = ROUND
         order = np.argsort(h)
         h = np.append(h[order], np.uint64(0))  # the last row is any unseen word
         c = np.append(right["c"].to_numpy()[order], 0)
-        g = np.array([np.append(right[name].to_numpy()[order], 0.0) for name in states], dtype=float)
+        g = spread(c, *[np.append(right[name].to_numpy()[order], 0) for name in states])
         own = Hmm(model.start, model.move, (g + rare[:, None]) * factor[:, None] / (c + 1.0))
         logs = np.log10(c + 1.0) - base
         made: list[list[np.ndarray]] = [[], [], [], []]
