@@ -16,6 +16,7 @@ from tickwell.plans.layers import first_rows
 from tickwell.plans.loads import backfill_summary, load, load_charts, report_files, summarize, validate_stored
 from tickwell.queries import payloads as P
 from tickwell.queries.registry import query, table
+from tickwell.queries.staged import VIEW_SQL, register_lake
 from tickwell.schemas import STAGING_TESTS
 from tickwell.session import scratch_dir
 from tickwell.sources.requests import json_of, request_documents
@@ -468,6 +469,35 @@ def dq_staging(spark, sf_dir):
     return quality.run_tests(staged, "stg_coins_markets", STAGING_TESTS["stg_coins_markets"])
 
 
+def _declared_sql(name: str, tests: dict) -> str:
+    """The declared tests of a view, on the SQL that gives its rows; columns that no source has are null."""
+    source = f"({VIEW_SQL[name]})"
+    absent = ("total_market_cap_usd",)
+    parts = [
+        f"""select '{name}' as "table", 'not_null' as test, '{c}' as "columns",
+            {"count(*)" if c in absent else f"count(*) filter (where {c} is null)"} as failures from {source}"""
+        for c in tests.get("not_null", [])
+    ]
+    parts += [
+        f"""select '{name}', 'unique_combination_of_columns', '{",".join(key)}', count(*)
+            from (select {",".join(key)} from {source} group by all having count(*) > 1)"""
+        for key in tests.get("unique_combination", [])
+    ]
+    return " union all ".join(parts)
+
+
+@query(
+    """select *, case when failures = 0 then 'pass' else 'fail' end as status from ("""
+    + " union all ".join(_declared_sql(name, STAGING_TESTS[name]) for name in VIEW_SQL)
+    + ")"
+)
+def dq_views(spark, sf_dir):
+    """The declared tests of all four staged views, run on the views registered over one lake."""
+    register_lake(spark, sf_dir)
+    results = [quality.run_tests(spark.table(name), name, STAGING_TESTS[name]) for name in VIEW_SQL]
+    return reduce(DataFrame.unionByName, results)
+
+
 @query("""
     select id from (
         select c_nationkey as id from customer

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tickwell.functions.scalars import epoch_ms, hour_start
 from tickwell.operators.consolidate import ids_string, last_n_days, restrict_to, top_by
 from tickwell.operators.landing import land_raw
-from tickwell.operators.staging import stg_chart_points
+from tickwell.operators.staging import stg_chart_points, stg_global
 from tickwell.plans import marts
 from tickwell.plans.layers import layer_path, save_table, write_table
 from tickwell.queries import payloads as P
@@ -239,6 +239,30 @@ def market_health(spark, sf_dir):
     return health.withColumns({c: F.round(c, 6) for c in ("cap_change", "cap_change_pct")})
 
 
+@query("""
+    with hourly as (
+        select date_trunc('hour', ts) as h,
+               cast(sum(cast(value as decimal(18,2))) filter (where event_type = 'purchase') as double) as total,
+               nullif(count(*) filter (where event_type = 'click'), 0) / count(*) * 100 as share
+        from events group by 1),
+    lagged as (select *, lag(total) over (order by h) as prev from hourly)
+    select strftime(h, '%Y-%m-%d %H:%M:%S') as fetched_at, total as total_market_cap,
+           round(share, 6) as coin_share_pct, prev as prev_total_market_cap, round(total - prev, 6) as cap_change,
+           round((total - prev) / nullif(prev, 0) * 100, 6) as cap_change_pct
+    from lagged
+""")
+def global_health(spark, sf_dir):
+    """The same from the staged global documents: totals in one currency, share of one coin."""
+    staged = stg_global(decode_global(P.unlanded(P.global_payloads(spark, sf_dir))), "purchase", "click")
+    totals = staged.select(
+        "fetched_at",
+        F.col("total_market_cap_purchase").alias("total_market_cap"),
+        F.round("click_dominance_pct", 6).alias("coin_share_pct"),
+    )
+    health = marts.market_health(materialize(totals, "totals"))
+    return health.withColumns({c: F.round(c, 6) for c in ("cap_change", "cap_change_pct")})
+
+
 @query("""
     with hourly as (
         select event_type as currency, date_trunc('hour', ts) as h,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickwell.functions import keys
-from tickwell.functions.scalars import item, json_first, json_text, trim_slashes
+from tickwell.functions.scalars import item, json_first, json_text, trim_slashes, upper_ticker, utc
 from tickwell.operators.landing import land_raw
 from tickwell.operators.staging import stg_chart_points, stg_global, stg_metadata, stg_snapshots
 from tickwell.plans.layers import register_views
@@ -40,7 +40,7 @@ def chart_volumes(spark, sf_dir):
     return stg_chart_points(P.unlanded(P.charts(spark, sf_dir)), "total_volumes")
 
 
-_SNAPSHOT_SQL = """
+SNAPSHOT_SQL = """
     select cast(o_orderkey as varchar) as coin_id, o_orderstatus as symbol,
            o_orderpriority as name, o_totalprice as current_price,
            o_totalprice * 4 as market_cap, o_custkey as market_cap_rank,
@@ -56,7 +56,7 @@ _SNAPSHOT_SQL = """
 """
 
 
-@query(_SNAPSHOT_SQL)
+@query(SNAPSHOT_SQL)
 def snapshot_stage(spark, sf_dir):
     """Snapshot lists landed, scanned and typed; unknown keys are not read."""
     root = P.new_root(spark, "snapshot")
@@ -64,7 +64,7 @@ def snapshot_stage(spark, sf_dir):
     return stg_snapshots(scan_snapshots(spark, root, "landed"))
 
 
-@query(_SNAPSHOT_SQL)
+@query(SNAPSHOT_SQL)
 def snapshot_objects(spark, sf_dir):
     """The same view over the object layout: JSON under date=/fetched_at=...json keys.
 
@@ -240,3 +240,51 @@ def views_sql(spark, sf_dir):
                max(ts_ms) as last_ms
         from stg_market_chart group by coin_id, snapshot_date
     """)
+
+
+def register_lake(spark, sf_dir):
+    """All four kinds of documents landed in one lake, and the staged views registered over it."""
+    root = P.new_root(spark, "lake")
+    for build in (P.snapshots, P.metadata, P.global_payloads, P.charts):
+        land_raw(build(spark, sf_dir), root)
+    return register_views(spark, root, "landed")
+
+
+# The staged views and the SQL that gives their rows from the tables.
+VIEW_SQL = {
+    "stg_coins_markets": SNAPSHOT_SQL,
+    "stg_coin_metadata": METADATA_SQL,
+    "stg_global": GLOBAL_SQL,
+    "stg_market_chart": CHART_SQL,
+}
+
+
+def _view_counts(sources: dict[str, str]) -> str:
+    return " union all ".join(
+        f"""
+        select '{name}' as view_name, cast(snapshot_date as varchar(10)) as snapshot_date, count(*) as n_rows,
+               count(distinct {"fetched_at" if name == "stg_global" else "coin_id"}) as n_keys
+        from {source} group by snapshot_date"""
+        for name, source in sources.items()
+    )
+
+
+@query(_view_counts({name: f"({sql})" for name, sql in VIEW_SQL.items()}))
+def views_all(spark, sf_dir):
+    """SQL over all four staged views of one lake: rows and keys per day."""
+    register_lake(spark, sf_dir)
+    return spark.sql(_view_counts({name: name for name in VIEW_SQL}))
+
+
+@query("""
+    select event_id, upper(event_type) as ticker, strftime(ts, '%Y-%m-%d %H:%M:%S') as naive,
+           strftime(ts - interval 330 minute, '%Y-%m-%d %H:%M:%S') as aware
+    from events
+""")
+def utc_times(spark, sf_dir):
+    """Naive times are UTC already, aware ones are converted; tickers in capitals."""
+    second = F.date_trunc("second", "ts").cast("timestamp_ntz")
+    offset = F.concat(second.cast("string"), F.lit("+05:30")).cast("timestamp")
+    return table(spark, sf_dir, "events").select(
+        "event_id", upper_ticker(F.col("event_type")).alias("ticker"), utc(second).alias("naive"), utc(offset).alias("aware")
+    )

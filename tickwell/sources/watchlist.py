@@ -52,11 +52,11 @@ def watchlist_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def watchlist_yaml(spark: SparkSession, path: str) -> DataFrame:
-    """The same from a YAML file, where a YAML reader is installed."""
+    """The same from a YAML file at any Hadoop path, where a YAML reader is installed."""
     import yaml
 
-    with open(path, encoding="utf-8") as f:
-        coins = (yaml.safe_load(f) or {}).get("coins", [])
+    text = spark.read.text(path, wholetext=True).first()  # an empty file has no row
+    coins = (yaml.safe_load(text[0]) or {}).get("coins", []) if text else []
     rows = [
         (i, str(c["id"]), c.get("symbol"), c.get("name"))
         for i, c in enumerate(coins)
