@@ -66,6 +66,17 @@ def test_language_held_out_accuracy_and_edge_cases(docs, awkward):
     assert language_id.identify(docs([])).collect() == []
 
 
+def test_long_texts_teach_beyond_their_beginning(docs, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_CHARS", 200)
+    late = {"aa": "kaka lolo mimi ", "bb": "strx wrnk plpt "}
+    rows = [(i, "0 " * 1000 + late[lang] * 400, lang) for i in range(80) for lang in late]
+    spark = docs([]).sparkSession
+    given = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    net = language_id.train(given)
+    found = language_id.predict(docs([(1, "lolo kaka"), (2, "plpt strx")]), net).collect()
+    assert {r.doc_id: r.lang_pred for r in found} == {1: "aa", 2: "bb"}
+
+
 def test_backpropagation_matches_differences():
     net = language_id.Network(["a", "b"], hidden=3)
     net.w = {k: v.astype(np.float64) for k, v in net.w.items()}

@@ -193,9 +193,11 @@ def train(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", pe
     """A network fitted on about per_label labelled documents of each language, None without any.
 
     The documents are those with the least hashes of their ids, so the sample is the same on each
-    run; of each at most its first SAMPLE_CHARS characters are learned from. Labels are counted over all rows, and
+    run; of a text of over SAMPLE_CHARS characters a stretch of so many is learned from, which may lie anywhere in it
+    (a hash of the text tells where). Labels are counted over all rows, and
     a row is drawn by comparing its hash with per_label / count, so nothing is sorted and what
     reaches the driver is bounded by labels * per_label * SAMPLE_CHARS.
+    Repeated rows are drawn together and count each; rows without text or label teach nothing.
     """
     doc_id, text, lang = F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), F.col(f"`{lang_col}`").cast("string")
     labelled = docs.filter(~held_out(doc_id) & lang.isNotNull() & text.isNotNull() & (lang != "und"))
@@ -207,7 +209,8 @@ def train(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", pe
     for label, count in counts.items():
         bar = F.when(F.col("lang") == label, F.lit(min(1.0, per_label / count))).otherwise(bar)
     drawn = labelled.filter(F.pmod("h", F.lit(1 << 30)) < bar * (1 << 30))
-    rows = drawn.select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"), "h").collect()
+    begin = 1 + F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0)) + 1)
+    rows = drawn.select("lang", F.substring("text", begin.cast("int"), F.lit(SAMPLE_CHARS)).alias("text"), "h").collect()
     labels = sorted(counts)
     net = Network(labels)
     total: dict[tuple[int, bytes], int] = {}
@@ -264,6 +267,8 @@ def predict(docs: DataFrame, net: Network | None, id_col="doc_id", text_col="tex
 
     Every byte gets label probabilities from both directions; those of letters are averaged over
     the text. `und` with score 0 if the text is null or has no letter, or nothing was learned.
+    Of labels with equal means the first in order counts. Repeated rows and ids give a row each, equal texts the
+    same label; texts of any length are read whole, some megabytes at a time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
