@@ -97,3 +97,20 @@ def test_several_keys_are_tested_in_one_scan(spark):
 def test_folders_of_coins_are_pruned(spark, name):
     plan = _plan(QUERIES[name](spark, SF))
     assert "PartitionFilters: [isnotnull(date" in plan
+
+
+@pytest.mark.parametrize("folder", ["coins/{id}/market_chart", "coins_metadata/{id}"])
+def test_objects_of_coins_lie_under_their_keys_and_nothing_beside_them(spark, root, folder):
+    from tickwell.queries import reruns
+
+    at = "timestamp_ntz'2024-02-01 03:00:00' as fetched_at"
+    documents = spark.range(40).selectExpr("cast(id as string) as coin_id", at, """concat('{"id":"', id, '"}') as payload""")
+    reruns._store_by_coin(documents, root, folder)
+    places, files = set(), []
+    for place, _, names in os.walk(f"{root}/raw"):
+        kept = [name for name in names if name.endswith(".txt")]
+        places |= {os.path.relpath(place, f"{root}/raw") for _ in kept}
+        files += names
+    key = "date=2024-02-01/fetched_at=2024-02-01T03-00-00Z.json"
+    assert places == {f"{folder.replace('{id}', str(coin))}/{key}" for coin in range(40)}
+    assert len(files) == 40  # a checksum file beside each costs as much as the object
