@@ -114,3 +114,11 @@ def test_objects_of_coins_lie_under_their_keys_and_nothing_beside_them(spark, ro
     key = "date=2024-02-01/fetched_at=2024-02-01T03-00-00Z.json"
     assert places == {f"{folder.replace('{id}', str(coin))}/{key}" for coin in range(40)}
     assert len(files) == 40  # a checksum file beside each costs as much as the object
+
+
+def test_reported_files_have_nothing_beside_them(spark, tmp_path, monkeypatch):
+    monkeypatch.setenv("TICKWELL_LOCAL_SCRATCH", str(tmp_path))
+    QUERIES["files_report"](spark, SF)
+    names = [name for _, _, found in os.walk(tmp_path) for name in found]
+    assert sum(name.endswith(".txt") for name in names) == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert not [name for name in names if name.startswith(".part-")]
