@@ -13,7 +13,7 @@ from tickwell.operators.contracts import ContractError
 from tickwell.schemas import STAGING_TESTS
 from tickwell.sources import scans
 from tickwell.sources import watchlist as W
-from tickwell.sources.requests import request_charts
+from tickwell.sources.requests import request_charts, with_parts
 from tickwell.sources.scans import scan_charts, scan_ohlc
 from tickwell.streaming.ingest import ingest_objects, stream_objects, stream_points
 
@@ -378,3 +378,11 @@ def test_declared_tests_read_a_table_once(spark):
     assert tests._jdf.queryExecution().executedPlan().toString().count("Scan ExistingRDD") == 1
     found = {(r.test, r.columns): r.failures for r in tests.collect()}
     assert found == {("not_null", "a"): 2, ("not_null", "b"): 1, ("unique", "a"): 1}
+
+
+def test_parts_of_a_list_follow_its_items_not_their_ids(spark):
+    ids = spark.range(4000).select((F.col("id") * 37).alias("id"), F.lit("2024-01-01").alias("at"))
+    ids = ids.unionByName(spark.sql("select 5 as id, cast(null as string) as at"))
+    parted = with_parts(ids, F.col("at").cast("timestamp_ntz"), F.col("id"), 256)
+    sizes = [r["count"] for r in parted.groupBy("fetched_at", "part").count().collect()]
+    assert sum(sizes) == 4001 and max(sizes) <= 256 and len(sizes) <= 4000 // 128 + 2

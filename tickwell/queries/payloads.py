@@ -95,10 +95,10 @@ def order_month() -> Column:
     return F.date_trunc("month", F.col("o_orderdate")).cast("timestamp_ntz")
 
 
-def snapshots(spark: SparkSession, sf_dir: str, loose: bool = False) -> DataFrame:
+def snapshots(spark: SparkSession, sf_dir: str, loose: bool = False, filled: bool = False) -> DataFrame:
     """Snapshot lists: the orders of a month, fetched at its start; o_custkey is no known key.
 
-    ``loose`` writes integers as decimals and numbers as text, which a contract allows.
+    ``loose`` writes integers as decimals and numbers as text, which a contract allows; ``filled`` makes as few parts as the items need.
     """
     rank, volume = F.col("o_custkey"), F.col("o_totalprice")
     if loose:
@@ -117,7 +117,7 @@ def snapshots(spark: SparkSession, sf_dir: str, loose: bool = False) -> DataFram
         F.col("o_custkey"),
     )
     orders = table(spark, sf_dir, "orders")
-    return request_list(orders, "coins_markets", order_month(), F.col("o_orderkey"), coin)
+    return request_list(orders, "coins_markets", order_month(), F.col("o_orderkey"), coin, filled)
 
 
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:

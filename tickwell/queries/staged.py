@@ -72,14 +72,14 @@ def snapshot_objects(spark, sf_dir):
     """
     root = P.new_root(spark, "objects")
     at = F.col("fetched_at")
-    documents = P.snapshots(spark, sf_dir).select(
+    documents = P.snapshots(spark, sf_dir, filled=True).select(
         F.date_format(at, "yyyy-MM-dd").alias("date"),
         F.concat(F.date_format(at, keys.FETCHED_FORMAT), F.lit(".json")).alias("fetched_at"),
         F.col("payload").alias("value"),
     )
     (
-        documents.hint("rebalance", "date", "fetched_at")
-        .write.partitionBy("date", "fetched_at")
+        P.objects_writer(documents.hint("rebalance", "date", "fetched_at"))
+        .partitionBy("date", "fetched_at")
         .option("maxRecordsPerFile", 1)
         .text(f"{root}/raw/coins/markets")
     )

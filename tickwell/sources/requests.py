@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwell.functions.scalars import epoch_ms
@@ -73,13 +73,35 @@ def request_charts(
     )
 
 
+def with_parts(items: DataFrame, fetched_at: Column, unique_id: Column, size: int) -> DataFrame:
+    """Add ``fetched_at`` and ``part``: the items of a fetch in id order, cut into parts of at most ``size`` (2^n).
+
+    Ranges of half as many ids are counted, one short row each, and put together until they hold
+    half a part; so the number of parts follows the items and not the range of their ids.
+    """
+    ranged = items.withColumns({"fetched_at": fetched_at, "_range": part_of(unique_id, size // 2)})
+    counted = ranged.groupBy("fetched_at", "_range").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("fetched_at").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    part = part_of(F.coalesce(F.sum("n").over(before), F.lit(0)), size // 2)
+    parts = counted.select(F.col("fetched_at").alias("_at"), F.col("_range").alias("_of"), part.alias("part"))
+    same = F.col("fetched_at").eqNullSafe(F.col("_at")) & F.col("_range").eqNullSafe(F.col("_of"))
+    return ranged.join(parts, same).drop("_range", "_at", "_of")
+
+
 def request_list(
-    items: DataFrame, kind: str, fetched_at: Column, unique_id: Column, item: Column
+    items: DataFrame, kind: str, fetched_at: Column, unique_id: Column, item: Column, filled: bool = False
 ) -> DataFrame:
-    """Payloads that are a JSON list of items per fetch (snapshots, candles)."""
-    grouped = items.groupBy(
-        fetched_at.alias("fetched_at"), part_of(unique_id, LIST_PART).alias("part")
-    ).agg(F.collect_list(item).alias("items"))
+    """Payloads that are a JSON list of items per fetch (snapshots, candles).
+
+    ``filled`` counts the items first, so that few parts hold many: for payloads stored as a file each.
+    """
+    if filled:
+        parted = with_parts(items.withColumn("_item", item), fetched_at, unique_id, LIST_PART)
+        grouped = parted.groupBy("fetched_at", "part").agg(F.collect_list("_item").alias("items"))
+    else:
+        grouped = items.groupBy(
+            fetched_at.alias("fetched_at"), part_of(unique_id, LIST_PART).alias("part")
+        ).agg(F.collect_list(item).alias("items"))
     return grouped.select(
         F.lit(kind).alias("kind"), "fetched_at", "part", json_of(F.col("items")).alias("payload")
     )
