@@ -117,7 +117,7 @@ def test_objects_of_coins_lie_under_their_keys_and_nothing_beside_them(spark, ro
 
 
 def test_reported_files_have_nothing_beside_them(spark, tmp_path, monkeypatch):
-    monkeypatch.setenv("TICKWELL_LOCAL_SCRATCH", str(tmp_path))
+    monkeypatch.setattr("tickwell.queries.checked.scratch_dir", lambda spark, label: f"{tmp_path}/{label}")
     QUERIES["files_report"](spark, SF)
     names = [name for _, _, found in os.walk(tmp_path) for name in found]
     assert sum(name.endswith(".txt") for name in names) == spark.read.parquet(f"{SF}/documents.parquet").count()
