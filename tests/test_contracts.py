@@ -327,3 +327,36 @@ def test_large_documents_in_pieces_agree_with_small_ones(spark, monkeypatch):
     monkeypatch.setattr(contracts, "_COLUMNS", {})
     for kind, given in payloads.items():
         assert faults(spark, kind, *given) == usual[kind], kind
+
+
+def test_loose_lists_are_settled_without_the_walk(spark):
+    """Numbers in text and integers as decimals keep to the typed accesses, with the records and errors of the walk."""
+    from tickwell.operators import contracts as C
+    from tickwell.schemas import SNAPSHOT
+
+    base = {"id": "a", "symbol": "s", "name": "n", "last_updated": "2024-01-01T00:00:00Z"}
+    rows = [{}, {"total_volume": None, "market_cap_rank": None}]
+    fine = [
+        {"total_volume": "1.5", "market_cap_rank": 3.0}, {"total_volume": " 1_000 ", "market_cap_rank": "+1_0.0"},
+        {"ath": "nan", "atl": "-inf", "market_cap_rank": 1e3}, {"max_supply": "1E+5", "atl_date": "2024-02-29"},
+        {"market_cap_rank": 5, "current_price": True, "odd key": "x", "a total_volume": "y", "total_volume": 2},
+    ]
+    walked = [
+        {"total_volume": "n/a"}, {"market_cap_rank": 1.5}, {"market_cap_rank": "1.5"}, {"market_cap_rank": 1e20},
+        {"market_cap_rank": "12x"}, {"ath": "1__0"}, {"total_volume": "0x10", "ath": "1"}, {"ath": {}}, {"market_cap_rank": 10**20},
+        {"market_cap_rank": "9" * 25, "id": 5},
+    ]
+    lists = [[{**base, **x}, *[{**base, **r} for r in rows]] for x in (*fine, *walked)] + [[{**base, "ath": "1"}, {**base, "ath": 1}]]
+    df = spark.createDataFrame([(i, json.dumps(x)) for i, x in enumerate(lists)], "n int, payload string")
+    v = F.parse_json("payload")
+    settled = [r[0] for r in df.orderBy("n").select(C._plain_list(SNAPSHOT, v)).collect()]
+    assert settled == [True] * len(fine) + [False] * (len(walked) + 1)
+
+    def records(plain):
+        with_plain = df.select("n", "payload", v.alias("doc"), F.lit(None).cast("array<string>").alias("_quoted"))
+        walk = F.transform(C._get(F.col("doc"), "array<variant>"), lambda x: C._typed(SNAPSHOT.record, x))
+        return {r.n: str(r.r) for r in with_plain.select("n", (C._plain_records(SNAPSHOT, F.col("doc")) if plain else walk).alias("r")).filter(f"n < {len(fine)}").collect()}
+
+    assert records(True) == records(False) and len(records(True)) == len(fine)
+    kept = conform(validate(df, "coins_markets"), "coins_markets")
+    assert sorted(r.n for r in kept.collect()) == [*range(len(fine)), len(lists) - 3, len(lists) - 1]  # beyond 64 bits, and mixed types

@@ -198,19 +198,24 @@ def _typed_fault(spec: Scalar, v: Column, json_type: Column, nullable: bool) ->
     return F.when(json_type != "VOID", fault) if nullable else fault
 
 
+def _number_in_text(text: Column, kind: str) -> Column:
+    """The number that a text stands for."""
+    if kind == "int":
+        return F.regexp_replace(_stripped(text), r"_|\.0+$|^\+", "").try_cast("bigint")
+    plain = _plain_number(text)
+    return F.when(plain.rlike("(?i)nan"), F.lit(float("nan"))).otherwise(plain.try_cast("double"))
+
+
 def _float_value(v: Column) -> Column:
-    json_type = F.schema_of_variant(v)
-    text = _plain_number(_get(v, "string"))
-    parsed = F.when(text.rlike("(?i)nan"), F.lit(float("nan"))).otherwise(text.try_cast("double"))
-    return F.when(json_type == "STRING", parsed).otherwise(_get(v, "double"))
+    parsed = _number_in_text(_get(v, "string"), "float")
+    return F.when(F.schema_of_variant(v) == "STRING", parsed).otherwise(_get(v, "double"))
 
 
 def _int_value(v: Column) -> Column:
     json_type = F.schema_of_variant(v)
-    digits = F.regexp_replace(_stripped(_get(v, "string")), r"_|\.0+$|^\+", "")
     exact = _get(v, "bigint")
     return (
-        F.when(json_type == "STRING", digits.try_cast("bigint"))
+        F.when(json_type == "STRING", _number_in_text(_get(v, "string"), "int"))
         .when(json_type == "DOUBLE", F.when(F.abs(_get(v, "double")) < INT64_LIMIT, exact))
         .otherwise(exact)
     )
@@ -372,21 +377,72 @@ def _rows_errors(spec: Rows, v: Column, loc: Column | None) -> Column:
     return F.when(sound, _none()).otherwise(_rows_walk(spec, _get(v, "array<variant>"), loc))
 
 
-# JSON types of a whole column of values that are surely fine, by kind.
+# JSON types of a whole column of values that may be fine without a walk, by kind ...
 _PLAIN = {
     "str": "STRING",
-    "float": r"BIGINT|DOUBLE|BOOLEAN|DECIMAL\(",
-    "int": "BIGINT|BOOLEAN",
+    "float": r"BIGINT|DOUBLE|BOOLEAN|DECIMAL\(|STRING",
+    "int": r"BIGINT|BOOLEAN|DOUBLE|DECIMAL\(|STRING",
     "datetime": "STRING",
 }
+# ... and those of them whose values have to be looked at one by one.
+_LOOSE = {"float": "STRING", "int": r"STRING|DOUBLE|DECIMAL\("}
+
+
+def _numbers(spec: RecordList) -> list[Field]:
+    return [f for f in spec.record.fields if f.spec.kind in _LOOSE]
+
+
+def _any_loose(spec: RecordList, merged: Column) -> Column:
+    """Whether some numbers are written as text, or integers as decimals."""
+    found = [f"[< ]({'|'.join(f.name for f in _numbers(spec) if f.spec.kind == k)}): ({t})" for k, t in _LOOSE.items()]
+    return merged.rlike("|".join(found)) if _numbers(spec) else F.lit(False)
+
+
+def _in_text(spec: RecordList, merged: Column) -> Column:
+    """For each number whether it is written as text; a column of mixed types has no such type."""
+    return F.struct(*[merged.rlike(f"[< ]{f.name}: STRING").alias(f.name) for f in _numbers(spec)])
+
+
+def _typed_items(fields: list[Field], v: Column, types: Callable[[Field], str]) -> Column:
+    """The named fields of all records, in one typed access."""
+    return _get(v, f"array<struct<{','.join(f'{f.name}:{types(f)}' for f in fields)}>>")
+
+
+def _numbers_off(spec: RecordList, v: Column, merged: Column) -> Column:
+    """Whether some number in text does not parse, or some integer written as a decimal may not be one."""
+    integers = [f for f in _numbers(spec) if f.spec.kind == "int"]
+
+    def off(in_text: Column) -> Column:
+        def text_off(x: Column) -> Column:
+            doubt = F.lit(False)
+            for f in _numbers(spec):
+                text = x[f.name]
+                parses = _stripped(text).rlike(INT_TEXT) if f.spec.kind == "int" else _plain_number(text).rlike(FLOAT_TEXT)
+                doubt = doubt | (in_text[f.name] & text.isNotNull() & ~F.coalesce(parses, F.lit(False)))
+            return doubt
+
+        def number_off(x: Column) -> Column:
+            doubt = F.lit(False)
+            for f in integers:
+                number = x[f.name]
+                whole = (F.rint(number) == number) & (F.abs(number) < INT64_LIMIT)
+                doubt = doubt | (~in_text[f.name] & number.isNotNull() & ~whole)
+            return doubt
+
+        found = F.exists(_typed_items(_numbers(spec), v, lambda f: "string"), text_off)
+        if integers:
+            found = found | F.exists(_typed_items(integers, v, lambda f: "double"), number_off)
+        return F.coalesce(found, F.lit(True))
+
+    return _bind(_in_text(spec, merged), off)
 
 
 def _plain_list(spec: RecordList, v: Column) -> Column:
-    """Whether a list of flat records is fine by its merged type and its required values.
+    """Whether a list of flat records is fine by its merged type and the values that does not tell.
 
     The merged type of all items comes from one look at the document; what it cannot
-    show (a null or absent required value, the text of a time) is read in one typed
-    access.  False only means that the detailed walk has to decide.
+    show (a null or absent required value, the text of a time or number, whether a decimal
+    is whole) is read in a few typed accesses.  False only means that the detailed walk has to decide.
     """
     fields = spec.record.fields
     by_types: dict[str, list[str]] = {}
@@ -407,9 +463,12 @@ def _plain_list(spec: RecordList, v: Column) -> Column:
                 doubt = doubt | (value.isNotNull() & ~_is_iso(value))
         return doubt
 
-    items = _get(v, f"array<struct<{','.join(f'{f.name}:string' for f in seen)}>>")
-    typed = _bind(merged, lambda m: m.startswith("ARRAY<OBJECT<") & ~m.rlike(wrong))
-    return typed & ~F.coalesce(F.exists(items, suspect), F.lit(True))
+    def settle(m: Column) -> Column:
+        typed = m.startswith("ARRAY<OBJECT<") & ~m.rlike(wrong)
+        sound = ~F.coalesce(F.exists(_typed_items(seen, v, lambda f: "string"), suspect), F.lit(True))
+        return typed & sound & (~_any_loose(spec, m) | ~_numbers_off(spec, v, m))
+
+    return _bind(merged, settle)
 
 
 def _records_walk(spec: RecordList, items: Column, loc: Column | None) -> Column:
@@ -660,17 +719,37 @@ def validate(
 
 
 def _plain_records(spec: RecordList, v: Column) -> Column:
-    """Records of a plain list, all fields in one typed access."""
+    """Records of a plain list, all fields in one typed access; numbers in text in another."""
     fields = spec.record.fields
-    names = [(f, "string" if f.spec.kind == "datetime" else _SQL_TYPE[f.spec.kind]) for f in fields]
-    items = _get(v, f"array<struct<{','.join(f'{f.name}:{t}' for f, t in names)}>>")
+    items = _typed_items(fields, v, lambda f: "string" if f.spec.kind == "datetime" else _SQL_TYPE[f.spec.kind])
 
     def value(x: Column, f: Field) -> Column:
         if f.spec.kind == "datetime":
             return _iso_value(x[f.name])
         return _whole(x[f.name]) if f.spec.kind == "str" else x[f.name]
 
-    return F.transform(items, lambda x: F.struct(*[value(x, f).alias(f.name) for f in fields]))
+    def record(x: Column) -> Column:
+        return F.struct(*[value(x, f).alias(f.name) for f in fields])
+
+    def loose(in_text: Column) -> Column:
+        def with_text(x: Column, text: Column) -> Column:
+            return F.struct(
+                *[
+                    (
+                        F.when(in_text[f.name], _number_in_text(text[f.name], f.spec.kind)).otherwise(x[f.name])
+                        if f.spec.kind in _LOOSE
+                        else value(x, f)
+                    ).alias(f.name)
+                    for f in fields
+                ]
+            )
+
+        return F.zip_with(items, _typed_items(_numbers(spec), v, lambda f: "string"), with_text)
+
+    def read(m: Column) -> Column:
+        return F.when(_any_loose(spec, m), _bind(_in_text(spec, m), loose)).otherwise(F.transform(items, record))
+
+    return _bind(F.schema_of_variant(v), read) if _numbers(spec) else F.transform(items, record)
 
 
 def _typed(spec: object, v: Column) -> Column:
