@@ -398,9 +398,9 @@ def _any_loose(spec: RecordList, merged: Column) -> Column:
     return merged.rlike("|".join(found)) if _numbers(spec) else F.lit(False)
 
 
-def _in_text(spec: RecordList, merged: Column) -> Column:
-    """For each number whether it is written as text; a column of mixed types has no such type."""
-    return F.struct(*[merged.rlike(f"[< ]{f.name}: STRING").alias(f.name) for f in _numbers(spec)])
+def _written_as(types: str, f: Field, merged: Column) -> Column:
+    """Whether a number is written in such a way by all records that have it; values of mixed types have no such type."""
+    return merged.rlike(f"[< ]{f.name}: ({types})")
 
 
 def _typed_items(fields: list[Field], v: Column, types: Callable[[Field], str]) -> Column:
@@ -409,37 +409,34 @@ def _typed_items(fields: list[Field], v: Column, types: Callable[[Field], str])
 
 
 def _numbers_off(spec: RecordList, v: Column, merged: Column) -> Column:
-    """Whether some number in text does not parse, or some integer written as a decimal may not be one."""
-    integers = [f for f in _numbers(spec) if f.spec.kind == "int"]
-
-    def off(in_text: Column) -> Column:
-        def text_off(x: Column) -> Column:
-            doubt = F.lit(False)
-            for f in _numbers(spec):
-                text = x[f.name]
-                parses = _stripped(text).rlike(INT_TEXT) if f.spec.kind == "int" else _plain_number(text).rlike(FLOAT_TEXT)
-                doubt = doubt | (in_text[f.name] & text.isNotNull() & ~F.coalesce(parses, F.lit(False)))
-            return doubt
-
-        def number_off(x: Column) -> Column:
-            doubt = F.lit(False)
-            for f in integers:
-                number = x[f.name]
-                whole = (F.rint(number) == number) & (F.abs(number) < INT64_LIMIT)
-                doubt = doubt | (~in_text[f.name] & number.isNotNull() & ~whole)
-            return doubt
-
-        found = F.exists(_typed_items(_numbers(spec), v, lambda f: "string"), text_off)
-        if integers:
-            found = found | F.exists(_typed_items(integers, v, lambda f: "double"), number_off)
-        return F.coalesce(found, F.lit(True))
-
-    return _bind(_in_text(spec, merged), off)
-
-
-def _plain_list(spec: RecordList, v: Column) -> Column:
+    """Whether some number in text does not parse, or some integer written as a decimal may not be one.
+
+    Each such number is read on its own, if the merged type says that it is there.
+    """
+    def any_off(f: Field, target: str, off: Callable[[Column], Column]) -> Column:
+        values = F.transform(_typed_items([f], v, lambda _: target), lambda x: x[f.name])
+        return F.coalesce(F.exists(values, lambda x: x.isNotNull() & off(x)), F.lit(True))
+
+    def text_off(kind: str) -> Callable[[Column], Column]:
+        parses = (lambda x: _stripped(x).rlike(INT_TEXT)) if kind == "int" else (lambda x: _plain_number(x).rlike(FLOAT_TEXT))
+        return lambda x: ~F.coalesce(parses(x), F.lit(False))
+
+    def number_off(x: Column) -> Column:
+        return ~((F.rint(x) == x) & (F.abs(x) < INT64_LIMIT))
+
+    found = F.lit(False)
+    for f in _numbers(spec):
+        found = found | (_written_as("STRING", f, merged) & any_off(f, "string", text_off(f.spec.kind)))
+        if f.spec.kind == "int":
+            found = found | (_written_as(r"DOUBLE|DECIMAL\(", f, merged) & any_off(f, "double", number_off))
+    return found
+
+
+def _plain_list(spec: RecordList, v: Column, valid: bool = False) -> Column:
     """Whether a list of flat records is fine by its merged type and the values that does not tell.
 
+    Of a valid list only times are looked at, which may be epochs in text.
+
     The merged type of all items comes from one look at the document; what it cannot
     show (a null or absent required value, the text of a time or number, whether a decimal
     is whole) is read in a few typed accesses.  False only means that the detailed walk has to decide.
@@ -451,7 +448,7 @@ def _plain_list(spec: RecordList, v: Column) -> Column:
         by_types.setdefault(allowed, []).append(f.name)
     wrong = "|".join(f"[< ]({'|'.join(names)}): (?!{allowed})" for allowed, names in by_types.items())
     merged = F.schema_of_variant(v)
-    seen = [f for f in fields if f.required or f.spec.kind == "datetime"]
+    seen = [f for f in fields if (f.required and not valid) or f.spec.kind == "datetime"]
 
     def suspect(x: Column) -> Column:
         doubt = x.isNull()
@@ -465,8 +462,9 @@ def _plain_list(spec: RecordList, v: Column) -> Column:
 
     def settle(m: Column) -> Column:
         typed = m.startswith("ARRAY<OBJECT<") & ~m.rlike(wrong)
-        sound = ~F.coalesce(F.exists(_typed_items(seen, v, lambda f: "string"), suspect), F.lit(True))
-        return typed & sound & (~_any_loose(spec, m) | ~_numbers_off(spec, v, m))
+        sound = ~F.coalesce(F.exists(_typed_items(seen, v, lambda f: "string"), suspect), F.lit(True)) if seen else F.lit(True)
+        settled = typed & sound
+        return settled if valid else settled & (~_any_loose(spec, m) | ~_numbers_off(spec, v, m))
 
     return _bind(merged, settle)
 
@@ -719,7 +717,7 @@ def validate(
 
 
 def _plain_records(spec: RecordList, v: Column) -> Column:
-    """Records of a plain list, all fields in one typed access; numbers in text in another."""
+    """Records of a plain list, all fields in one typed access; a number in text in one of its own."""
     fields = spec.record.fields
     items = _typed_items(fields, v, lambda f: "string" if f.spec.kind == "datetime" else _SQL_TYPE[f.spec.kind])
 
@@ -731,23 +729,19 @@ def _plain_records(spec: RecordList, v: Column) -> Column:
     def record(x: Column) -> Column:
         return F.struct(*[value(x, f).alias(f.name) for f in fields])
 
-    def loose(in_text: Column) -> Column:
-        def with_text(x: Column, text: Column) -> Column:
-            return F.struct(
-                *[
-                    (
-                        F.when(in_text[f.name], _number_in_text(text[f.name], f.spec.kind)).otherwise(x[f.name])
-                        if f.spec.kind in _LOOSE
-                        else value(x, f)
-                    ).alias(f.name)
-                    for f in fields
-                ]
-            )
-
-        return F.zip_with(items, _typed_items(_numbers(spec), v, lambda f: "string"), with_text)
+    def loose(texts: Column) -> Column:
+        def number(x: Column, i: Column, f: Field) -> Column:
+            text = F.get(texts[f.name], i)[f.name]
+            return F.when(texts[f.name].isNotNull(), _number_in_text(text, f.spec.kind)).otherwise(x[f.name])
+
+        return F.transform(
+            items,
+            lambda x, i: F.struct(*[(number(x, i, f) if f.spec.kind in _LOOSE else value(x, f)).alias(f.name) for f in fields]),
+        )
 
     def read(m: Column) -> Column:
-        return F.when(_any_loose(spec, m), _bind(_in_text(spec, m), loose)).otherwise(F.transform(items, record))
+        in_text = [F.when(_written_as("STRING", f, m), _typed_items([f], v, lambda f: "string")).alias(f.name) for f in _numbers(spec)]
+        return F.when(_any_loose(spec, m), _bind(F.struct(*in_text), loose)).otherwise(F.transform(items, record))
 
     return _bind(F.schema_of_variant(v), read) if _numbers(spec) else F.transform(items, record)
 
@@ -760,7 +754,7 @@ def _typed(spec: object, v: Column) -> Column:
         return F.transform(rows, lambda r: F.transform(_get(r, "array<variant>"), _float_value))
     if isinstance(spec, RecordList):
         walked = F.transform(_get(v, "array<variant>"), lambda x: _typed(spec.record, x))
-        return F.when(_plain_list(spec, v), _plain_records(spec, v)).otherwise(walked) if _flat(spec) else walked
+        return F.when(_plain_list(spec, v, valid=True), _plain_records(spec, v)).otherwise(walked) if _flat(spec) else walked
     if isinstance(spec, ListOf):
         items = F.transform(_get(v, "array<variant>"), lambda x: _typed(spec.item, x))
         return items if spec.keep_empty else drop_empty(items)
