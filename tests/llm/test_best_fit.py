@@ -131,3 +131,20 @@ def test_query(spark, name):
     texts = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     n = check(rows, texts, 2048)
     assert n <= 1 + 1.01 * best_fit.least_sequences(count([r["length"] for r in rows], 2048))
+
+
+def test_words_part_and_shrink_where_the_tokenizer_does():
+    """Case and punctuation make no new words, and ids stay those of the tokenizer, marks and contractions included."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    words, runs, ends = best_fit._words_of(pa.array(["Fox, fox. FOX", "fox's fox"], pa.large_string()))
+    assert sorted(words.to_pylist()) == ["'s", ",", ".", "fox"]
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.encode_special_tokens = True
+    rng = random.Random(3)
+    parts = ["H̱", "İ", "å", "A", "Q", "'S", "'re", "'LL", "don't", ".", "###", "≠", "…", "\x01", "\x00", "7", "١", "\xdf", "\xc9", "Σ", "\xa0", " ", "\t", "<|endoftext|>", "<unk>", "漢", "\U0001f600", "x", "fox"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(4000)]
+    ids, bounds = best_fit._Coder(PATH).ids(pa.array(texts, pa.large_string()), 0)
+    for text, a, b in zip(texts, bounds.tolist(), bounds[1:].tolist()):
+        assert ids[a:b].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 0], repr(text)

@@ -191,19 +191,33 @@ def plan(counts: np.ndarray, steps: int = STEPS) -> list[tuple[int, Counter]]:
 # -------------------------------------------------------------------- on Spark
 
 
+# ASCII letters, and the other ASCII bytes.
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_OTHER = ~_LETTER
+_OTHER[128:] = False
+
+
 def _words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """The distinct runs without ASCII space of some texts, the place of each run of all texts, and the runs up to each text's end."""
+    """The distinct runs without ASCII space of some texts, the place of each run of all texts, and the runs up to each text's end.
+
+    A run also ends between an ASCII letter and another ASCII character, where the tokenizer's pattern parts in any
+    case, and its ASCII capitals are small, as the tokenizer makes them; but for those that what follows may be composed with.
+    """
     bounds = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)[bounds[0] : bounds[-1]]
     word = ~SPACE[data]
     edges = np.zeros(len(data) + 1, dtype=bool)  # a run ends where its text does
     edges[bounds - bounds[0]] = True
     begins, ends = word & edges[:-1], word & edges[1:]
-    begins[1:] |= word[1:] & ~word[:-1]
-    ends[:-1] |= word[:-1] & ~word[1:]
+    parted = _LETTER[data[:-1]] & _OTHER[data[1:]] & word[1:]
+    begins[1:] |= word[1:] & ~word[:-1] | parted
+    ends[:-1] |= word[:-1] & ~word[1:] | parted
+    small = data.copy()
+    small[:-1] |= (((data[:-1] >= 65) & (data[:-1] <= 90) & (data[1:] < 128)) << 5).astype(np.uint8)
     starts = np.flatnonzero(begins)
     offsets = np.concatenate([[0], np.cumsum(np.flatnonzero(ends) + 1 - starts)])
-    runs = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[word])])
+    runs = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(small[word])])
     coded = runs.dictionary_encode()
     return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False), np.searchsorted(starts, bounds[1:] - bounds[0])
 
@@ -265,7 +279,7 @@ class _Coder:
     def ids(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, each text's closed by end, and where each text's begin and the last ends.
 
-        The tokenizer parts texts at white space before anything else, so the ids of a text are
+        The tokenizer parts texts at white space and where a pattern of letters ends, so the ids of a text are
         those of its words.
         """
         words, runs, ends = _words_of(texts)
