@@ -70,3 +70,24 @@ def test_only_a_local_disk_is_written_directly(spark, tmp_path):
     assert store.local_path(spark, f"file://{tmp_path}") == store.local_path(spark, str(tmp_path)) == str(tmp_path)
     spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.store.link./in", f"file://{tmp_path}")
     assert store.local_path(spark, "viewfs://store/in/lake") is None
+
+
+def test_numbers_of_stored_lists_are_not_read_by_opening_the_file_anew(spark, root, put):
+    from tickwell.operators.staging import stg_snapshots
+    from tickwell.sources.scans import scan_snapshots
+
+    item = '{"id":"%d","symbol":"s","name":"n","last_updated":"2024-01-31T00:00:00.000Z","current_price":%d.5,"market_cap_rank":%d,"total_volume":1.50}'
+    path = put("coins/markets", "2024-02-01T00:00:00", "[" + ",".join(item % (n, n, n) for n in range(5000)) + "]")
+    pid = spark._jvm.java.lang.ProcessHandle.current().pid()
+
+    def bytes_read():
+        with open(f"/proc/{pid}/io") as counts:
+            return int(counts.readline().split()[1])
+
+    def rows():
+        return stg_snapshots(scan_snapshots(spark, root)).selectExpr("count(*)", "sum(current_price)", "sum(market_cap_rank)", "sum(total_volume)").first()
+
+    rows()
+    before = bytes_read()
+    assert tuple(rows()) == (5000, 5000 * 4999 / 2 + 2500, 5000 * 4999 / 2, 7500)
+    assert bytes_read() - before < 5 * os.path.getsize(path)
