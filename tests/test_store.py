@@ -91,3 +91,32 @@ def test_numbers_of_stored_lists_are_not_read_by_opening_the_file_anew(spark, ro
     before = bytes_read()
     assert tuple(rows()) == (5000, 5000 * 4999 / 2 + 2500, 5000 * 4999 / 2, 7500)
     assert bytes_read() - before < 5 * os.path.getsize(path)
+
+
+def test_files_are_reported_without_the_writer(spark, monkeypatch):
+    from tickwell.queries import QUERIES
+
+    monkeypatch.setattr(payloads, "objects_writer", _refuse)
+    counted = QUERIES["files_report"](spark, "/root/testdata/sf0.001").agg({"files": "sum"}).first()[0]
+    assert counted == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+
+
+def test_documents_are_read_as_they_are(spark, tmp_path):
+    import gzip
+
+    from tickwell.sources.objects import scan_documents
+
+    given = {"a/1.json": b'{"id": "\xc3\xa9"}\r\n', "a/b/2.json": b"\xef\xbb\xbf{}", "c/3.json": b"\xff\xfe", "c d/4.json": b" ", "c/empty.json": b"", "c/5.json.gz": gzip.compress(b"[1]"), "c/6.txt": b"no"}
+    for name, content in given.items():
+        (tmp_path / "files" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "files" / name).write_bytes(content)
+
+    def found(pattern):
+        rows = scan_documents(spark, str(tmp_path / "files"), pattern).selectExpr("coin", "file", "hex(payload) as payload").collect()
+        return sorted(map(tuple, rows))
+
+    text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(str(tmp_path / "files"), wholetext=True)
+    assert sorted(r[2] for r in found("*.json")) == sorted(r[0] for r in text.selectExpr("hex(value)").collect())
+    assert [r[:2] for r in found("*.json")] == [("a", "1.json"), ("a", "2.json"), ("c", "3.json"), ("c%20d", "4.json")]
+    assert found("*.gz") == [("c", "5.json.gz", b"[1]".hex().upper())]
+    assert "Scan text" not in scan_documents(spark, str(tmp_path / "files"))._jdf.queryExecution().executedPlan().toString()
